@@ -40,6 +40,35 @@ ZONE_HOURS = {"GMT": 0, "UT": 0, "UTC": 0, "Z": 0, "EST": -5, "EDT": -4, "CST":
               "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
 
 
+RX_ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[T ]\d{1,2}:\d{1,2}:\d{1,2}(?:Z|[+-]\d{2}:?\d{2})?)?$"
+RX_MDY = r"^([A-Za-z]+)(\.?)\s+(\d{1,2})\s+(\d{4})$"
+RX_DMY = r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$"
+RX_YMD_SLASH = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
+RX_MDY_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
+RX_ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
+RX_LDJSON = r"""(?is)<script\b[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
+RX_TIME_ATTR = r"""(?i)<time\b[^>]*\bdatetime\s*=\s*["']([^"']*)["']"""
+RX_TIME_TEXT = r"(?is)<time\b[^>]*>(.*?)</time>"
+RX_DATE_CLASSED = (r"""(?is)<(span|div|p|small|li)\b[^>]*\bclass\s*=\s*["'][^"']*"""
+                   r"""(date|time|publish|posted|created|updated|meta)[^"']*["'][^>]*>(.*?)</(span|div|p|small|li)>""")
+RX_DATA_DATE = r"""(?i)\bdata-date\s*=\s*["']([^"']*)["']"""
+RX_SCRIPT_STYLE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
+RX_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
+RX_MAIN = r"(?is)<main\b[^>]*>(.*?)</main>"
+RX_BODY = r"(?is)<body\b[^>]*>(.*)"
+
+
+def rx_meta_property(prop: str) -> str:
+    return rf"""<meta\b[^>]*\bproperty\s*=\s*["']{prop.replace('.', chr(92) + '.')}["'][^>]*>"""
+
+
+def rx_meta_name(name: str) -> str:
+    return rf"""(?i)<meta\b[^>]*\bname\s*=\s*["'][^"']*{name.replace('.', chr(92) + '.')}[^"']*["'][^>]*>"""
+
+
+RX_CONTENT = r"""(?i)\bcontent\s*=\s*["']([^"']*)["']"""
+
+
 def _ymd(y: Column, m: Column, d: Column) -> Column:
     s = F.format_string("%04d-%02d-%02d", y.cast("int"), m.cast("int"), d.cast("int"))
     return F.try_to_date(s, "yyyy-MM-dd")
@@ -57,27 +86,22 @@ def parse_date(raw: Column | str) -> Column:
     are optional; else a leading ``YYYY-MM-DD`` is taken."""
     r = F.regexp_replace(strip(col(raw)), "\\.+$", "")
     nc = F.replace(r, F.lit(","), F.lit(""))
-    iso = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[T ]\d{1,2}:\d{1,2}:\d{1,2}(?:Z|[+-]\d{2}:?\d{2})?)?$"
-    mdy = r"^([A-Za-z]+)(\.?)\s+(\d{1,2})\s+(\d{4})$"
-    dmy = r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$"
-    ymd_slash = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
-    mdy_slash = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 
     def g(rx: str, i: int) -> Column:
         return F.regexp_extract(nc, rx, i)
 
-    mdy_word = g(mdy, 1)
-    mdy_ok = (nc.rlike(mdy) & mdy_word.rlike(_MONTH_WORD)
-              & ((g(mdy, 2) == "") | (F.length(mdy_word) == 3)))
-    dmy_word = g(dmy, 2)
+    mdy_word = g(RX_MDY, 1)
+    mdy_ok = (nc.rlike(RX_MDY) & mdy_word.rlike(_MONTH_WORD)
+              & ((g(RX_MDY, 2) == "") | (F.length(mdy_word) == 3)))
+    dmy_word = g(RX_DMY, 2)
     return F.coalesce(
-        F.when(nc.rlike(iso), _ymd(g(iso, 1), g(iso, 2), g(iso, 3))),
-        F.when(mdy_ok, _ymd(g(mdy, 4), _month_no(mdy_word), g(mdy, 3))),
-        F.when(nc.rlike(dmy) & dmy_word.rlike(_MONTH_WORD),
-               _ymd(g(dmy, 3), _month_no(dmy_word), g(dmy, 1))),
-        F.when(nc.rlike(ymd_slash), _ymd(g(ymd_slash, 1), g(ymd_slash, 2), g(ymd_slash, 3))),
-        F.when(nc.rlike(mdy_slash), _ymd(g(mdy_slash, 3), g(mdy_slash, 1), g(mdy_slash, 2))),
-        F.when(r.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(r, 1, 10), "yyyy-MM-dd")),
+        F.when(nc.rlike(RX_ISO), _ymd(g(RX_ISO, 1), g(RX_ISO, 2), g(RX_ISO, 3))),
+        F.when(mdy_ok, _ymd(g(RX_MDY, 4), _month_no(mdy_word), g(RX_MDY, 3))),
+        F.when(nc.rlike(RX_DMY) & dmy_word.rlike(_MONTH_WORD),
+               _ymd(g(RX_DMY, 3), _month_no(dmy_word), g(RX_DMY, 1))),
+        F.when(nc.rlike(RX_YMD_SLASH), _ymd(g(RX_YMD_SLASH, 1), g(RX_YMD_SLASH, 2), g(RX_YMD_SLASH, 3))),
+        F.when(nc.rlike(RX_MDY_SLASH), _ymd(g(RX_MDY_SLASH, 3), g(RX_MDY_SLASH, 1), g(RX_MDY_SLASH, 2))),
+        F.when(r.rlike(RX_ISO_PREFIX), F.try_to_date(F.substring(r, 1, 10), "yyyy-MM-dd")),
     )
 
 
@@ -132,21 +156,18 @@ def from_meta(html: Column | str) -> Column:
     h = col(html)
     cands = []
     for prop in META_PROPERTIES:
-        q = prop.replace(".", "\\.")
-        tag = F.regexp_extract(h, f"<meta\\b[^>]*\\bproperty\\s*=\\s*[\"']{q}[\"'][^>]*>", 0)
-        cands.append(parse_date(F.nullif(_attr(tag, "content"), F.lit(""))))
+        tag = F.regexp_extract(h, rx_meta_property(prop), 0)
+        cands.append(parse_date(F.nullif(F.regexp_extract(tag, RX_CONTENT, 1), F.lit(""))))
     for name in META_NAMES:
-        q = name.replace(".", "\\.")
-        tag = F.regexp_extract(h, f"(?i)<meta\\b[^>]*\\bname\\s*=\\s*[\"'][^\"']*{q}[^\"']*[\"'][^>]*>", 0)
-        cands.append(parse_date(F.nullif(_attr(tag, "content"), F.lit(""))))
+        tag = F.regexp_extract(h, rx_meta_name(name), 0)
+        cands.append(parse_date(F.nullif(F.regexp_extract(tag, RX_CONTENT, 1), F.lit(""))))
     return F.coalesce(*cands)
 
 
 def from_jsonld(html: Column | str) -> Column:
     """Publish date from ld+json scripts: datePublished, dateCreated,
     dateModified of each object (or list element), then its @graph nodes."""
-    scripts = F.regexp_extract_all(
-        col(html), F.lit("(?is)<script\\b[^>]*type\\s*=\\s*[\"']application/ld\\+json[\"'][^>]*>(.*?)</script>"), 1)
+    scripts = F.regexp_extract_all(col(html), F.lit(RX_LDJSON), 1)
 
     def items(s: Column) -> Column:
         t = strip(s)
@@ -172,21 +193,21 @@ def from_jsonld(html: Column | str) -> Column:
 def from_time_tag(html: Column | str) -> Column:
     """<time datetime=...> attributes in order, then <time> texts."""
     h = col(html)
-    attrs = F.regexp_extract_all(h, F.lit("(?i)<time\\b[^>]*\\bdatetime\\s*=\\s*[\"']([^\"']*)[\"']"), 1)
-    texts = F.regexp_extract_all(h, F.lit("(?is)<time\\b[^>]*>(.*?)</time>"), 1)
+    attrs = F.regexp_extract_all(h, F.lit(RX_TIME_ATTR), 1)
+    texts = F.regexp_extract_all(h, F.lit(RX_TIME_TEXT), 1)
     return F.coalesce(_first_date(attrs), _first_date(F.transform(texts, lambda t: strip(strip_html(t)))))
 
 
 def visible_text(html: Column | str, n: int) -> Column:
     """Text of article, else main, else body: tags become spaces,
     whitespace squeezed, first n chars."""
-    h = F.regexp_replace(col(html), "(?is)<(script|style)\\b.*?</\\1>|<!--.*?-->", " ")
-    art = F.regexp_extract(h, "(?is)<article\\b[^>]*>(.*?)</article>", 1)
-    main = F.regexp_extract(h, "(?is)<main\\b[^>]*>(.*?)</main>", 1)
-    body = F.regexp_extract(h, "(?is)<body\\b[^>]*>(.*)", 1)
+    h = F.regexp_replace(col(html), RX_SCRIPT_STYLE, " ")
+    art = F.regexp_extract(h, RX_ARTICLE, 1)
+    main = F.regexp_extract(h, RX_MAIN, 1)
+    body = F.regexp_extract(h, RX_BODY, 1)
     root = F.coalesce(F.nullif(art, F.lit("")), F.nullif(main, F.lit("")),
                       F.nullif(body, F.lit("")), h)
-    txt = strip(F.regexp_replace(F.regexp_replace(root, "<[^>]+>", " "), "\\s+", " "))
+    txt = strip(F.regexp_replace(F.regexp_replace(root, "<[^>]+>", " "), "[\\t\\n\\x0B\\f\\r ]+", " "))
     return F.substring(txt, 1, n)
 
 
@@ -200,10 +221,8 @@ def from_visible_text(html: Column | str) -> Column:
     """Date-classed span/div/p/small/li elements, then data-date attributes,
     then the date patterns over the first 2000 chars of the main text."""
     h = col(html)
-    classed = F.regexp_extract_all(h, F.lit(
-        "(?is)<(span|div|p|small|li)\\b[^>]*\\bclass\\s*=\\s*[\"'][^\"']*"
-        "(date|time|publish|posted|created|updated|meta)[^\"']*[\"'][^>]*>(.*?)</\\1>"), 3)
-    data_date = F.regexp_extract_all(h, F.lit("(?i)\\bdata-date\\s*=\\s*[\"']([^\"']*)[\"']"), 1)
+    classed = F.regexp_extract_all(h, F.lit(RX_DATE_CLASSED), 3)
+    data_date = F.regexp_extract_all(h, F.lit(RX_DATA_DATE), 1)
     return F.coalesce(
         _first_date(F.transform(classed, lambda t: strip(strip_html(t)))),
         _first_date(data_date),

@@ -274,3 +274,25 @@ def health_fold(spark, sf):
 def health_alerts(spark, sf):
     a = health.health_alerts(health.source_health(A.fetch_log(spark, sf)))
     return a.select("source_id", "failures", "disabled", "status")
+
+
+# -------------------------------------------------------------------- pages
+@query
+def page_title(spark, sf):
+    from ..functions.html import page_title as title
+    p = A.table(spark, sf, "pages")
+    return p.select("page_id", title("html").alias("title"))
+
+
+@query
+def page_excerpt(spark, sf):
+    from ..functions.html import page_excerpt as excerpt_of
+    p = A.table(spark, sf, "pages")
+    return p.select("page_id", excerpt_of("html", 300).alias("excerpt"))
+
+
+@query
+def main_text(spark, sf):
+    from ..functions.html import main_text as text_of
+    p = A.table(spark, sf, "pages")
+    return p.select("page_id", text_of("html", 2000).alias("main_text"))

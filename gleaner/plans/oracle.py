@@ -138,3 +138,183 @@ def normalize_url(u: str) -> str:
 
 def url_hash(u: str) -> str:
     return f"sha256({normalize_url(u)})"
+
+
+# --------------------------------------------------------------------- HTML
+from ..functions import html as H  # noqa: E402
+
+
+def unescape(x: str) -> str:
+    for ent, ch in H.ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    return x
+
+
+def drop_elements(h: str, tags: list[str]) -> str:
+    out = f"regexp_replace({h}, {q(H.RX_COMMENT)}, '', 'g')"
+    for t in tags:
+        out = f"regexp_replace({out}, {q(H.rx_element(t))}, '', 'g')"
+    return out
+
+
+def node_text(frag: str) -> str:
+    return (f"array_to_string(list_transform(regexp_split_to_array({frag}, {q(H.RX_TAG)}), "
+            f"lambda x: {strip(unescape('x'))}), '')")
+
+
+def node_lines(frag: str) -> str:
+    return (f"array_to_string(list_filter(list_transform(regexp_split_to_array({frag}, {q(H.RX_TAG)}), "
+            f"lambda x: {strip(unescape('x'))}), lambda x: x <> ''), chr(10))")
+
+
+def meta_content(h: str, attr: str, value: str) -> str:
+    tag = f"regexp_extract({h}, {q(H.rx_meta(attr, value))}, 0)"
+    return f"regexp_extract({tag}, {q(H.RX_META_CONTENT)}, 1)"
+
+
+def page_title(h0: str) -> str:
+    h = drop_elements(h0, ["script", "style"])
+    og = strip(unescape(meta_content(h, "property", "og:title")))
+    title = strip(unescape(f"regexp_extract({h}, {q(H.RX_TITLE)}, 1)"))
+    h1 = node_text(f"regexp_extract({h}, {q(H.RX_H1)}, 1)")
+    return f"coalesce(nullif({og}, ''), nullif({title}, ''), {h1})"
+
+
+def meta_description(h: str, n: int) -> str:
+    og = strip(unescape(meta_content(h, "property", "og:description")))
+    desc = strip(unescape(meta_content(h, "name", "description")))
+    return f"substr(coalesce(nullif({og}, ''), nullif({desc}, '')), 1, {n})"
+
+
+def main_text_parts(h0: str) -> tuple[str, str]:
+    """(root, noise-free html) expressions; used by main_text."""
+    h = drop_elements(h0, H.NOISE_TAGS)
+    root = (f"coalesce(nullif(regexp_extract({h}, {q(H.RX_ARTICLE)}, 1), ''), "
+            f"nullif(regexp_extract({h}, {q(H.RX_MAIN)}, 1), ''), "
+            f"nullif(regexp_extract({h}, {q(H.RX_CONTENT_DIV)}, 2), ''), "
+            f"nullif(regexp_extract({h}, {q(H.RX_BODY)}, 1), ''), {h})")
+    return root, h
+
+
+def main_text_from_root(root: str, n: int) -> str:
+    pieces = f"regexp_split_to_array({root}, {q(H.RX_P_OPEN)})[2:]"
+    close_rest = f"regexp_replace(y, {q(H.RX_P_CLOSE_REST)}, '')"
+    paras = (f"list_filter(list_transform({pieces}, lambda y: "
+             f"{node_text(close_rest)}), "
+             f"lambda z: length(z) > 20)")
+    text = f"(CASE WHEN len({paras}) > 0 THEN array_to_string({paras}, chr(10) || chr(10)) ELSE {node_lines(root)} END)"
+    return f"substr(regexp_replace({text}, '\\n{{3,}}', chr(10) || chr(10), 'g'), 1, {n})"
+
+
+# -------------------------------------------------------------------- dates
+from ..functions import dates as D  # noqa: E402
+from ..functions.url import URL_DATE_RX  # noqa: E402
+
+
+def _ymd(y: str, m: str, d: str) -> str:
+    return (f"CAST(try_strptime(printf('%04d-%02d-%02d', TRY_CAST({y} AS INTEGER), TRY_CAST({m} AS INTEGER), "
+            f"TRY_CAST({d} AS INTEGER)), '%Y-%m-%d') AS DATE)")
+
+
+def _month_no(w: str) -> str:
+    return f"((instr({q(D._ABBR)}, lower(substr({w}, 1, 3))) + 2) // 3)"
+
+
+def parse_date(raw: str) -> str:
+    r = f"regexp_replace({strip(raw)}, '\\.+$', '')"
+    nc = f"replace({r}, ',', '')"
+
+    def g(rx: str, i: int) -> str:
+        return f"regexp_extract({nc}, {q(rx)}, {i})"
+
+    def m(rx: str, s: str = nc) -> str:
+        return f"regexp_matches({s}, {q(rx)})"
+
+    mdy_word = g(D.RX_MDY, 1)
+    mdy_ok = (f"({m(D.RX_MDY)} AND {m(D._MONTH_WORD, mdy_word)} "
+              f"AND ({g(D.RX_MDY, 2)} = '' OR length({mdy_word}) = 3))")
+    dmy_word = g(D.RX_DMY, 2)
+    return ("coalesce("
+            f"CASE WHEN {m(D.RX_ISO)} THEN {_ymd(g(D.RX_ISO, 1), g(D.RX_ISO, 2), g(D.RX_ISO, 3))} END, "
+            f"CASE WHEN {mdy_ok} THEN {_ymd(g(D.RX_MDY, 4), _month_no(mdy_word), g(D.RX_MDY, 3))} END, "
+            f"CASE WHEN {m(D.RX_DMY)} AND {m(D._MONTH_WORD, dmy_word)} THEN "
+            f"{_ymd(g(D.RX_DMY, 3), _month_no(dmy_word), g(D.RX_DMY, 1))} END, "
+            f"CASE WHEN {m(D.RX_YMD_SLASH)} THEN {_ymd(g(D.RX_YMD_SLASH, 1), g(D.RX_YMD_SLASH, 2), g(D.RX_YMD_SLASH, 3))} END, "
+            f"CASE WHEN {m(D.RX_MDY_SLASH)} THEN {_ymd(g(D.RX_MDY_SLASH, 3), g(D.RX_MDY_SLASH, 1), g(D.RX_MDY_SLASH, 2))} END, "
+            f"CASE WHEN {m(D.RX_ISO_PREFIX, r)} THEN CAST(try_strptime(substr({r}, 1, 10), '%Y-%m-%d') AS DATE) END)")
+
+
+def _first_date(lst: str) -> str:
+    return f"list_filter(list_transform({lst}, lambda v: {parse_date('v')}), lambda d: d IS NOT NULL)[1]"
+
+
+def from_meta(h: str) -> str:
+    cands = []
+    for prop in D.META_PROPERTIES:
+        tag = f"regexp_extract({h}, {q(D.rx_meta_property(prop))}, 0)"
+        cands.append(parse_date(f"nullif(regexp_extract({tag}, {q(D.RX_CONTENT)}, 1), '')"))
+    for name in D.META_NAMES:
+        tag = f"regexp_extract({h}, {q(D.rx_meta_name(name))}, 0)"
+        cands.append(parse_date(f"nullif(regexp_extract({tag}, {q(D.RX_CONTENT)}, 1), '')"))
+    return "coalesce(" + ", ".join(cands) + ")"
+
+
+def from_jsonld(h: str) -> str:
+    scripts = f"regexp_extract_all({h}, {q(D.RX_LDJSON)}, 1)"
+
+    def key(o: str, k: str) -> str:
+        return parse_date(f"try(json_extract_string({o}, {q('$.' + k)}))")
+
+    graph = "coalesce(try(from_json(try(json_extract(o, '$.\"@graph\"')), '[\"JSON\"]')), [])"
+    graph_date = (f"list_filter(list_transform({graph}, lambda n: coalesce({key('n', 'datePublished')}, "
+                  f"{key('n', 'dateCreated')})), lambda d: d IS NOT NULL)[1]")
+    item_date = (f"coalesce({key('o', 'datePublished')}, {key('o', 'dateCreated')}, "
+                 f"{key('o', 'dateModified')}, {graph_date})")
+    items = (f"CASE WHEN starts_with({strip('s')}, '[') THEN try(from_json({strip('s')}, '[\"JSON\"]')) "
+             f"ELSE [{strip('s')}] END")
+    per_script = (f"list_transform({scripts}, lambda s: list_filter(list_transform({items}, "
+                  f"lambda o: {item_date}), lambda d: d IS NOT NULL)[1])")
+    return f"list_filter({per_script}, lambda d: d IS NOT NULL)[1]"
+
+
+def from_time_tag(h: str) -> str:
+    attrs = f"regexp_extract_all({h}, {q(D.RX_TIME_ATTR)}, 1)"
+    texts = f"list_transform(regexp_extract_all({h}, {q(D.RX_TIME_TEXT)}, 1), lambda t: {strip(strip_html('t'))})"
+    return f"coalesce({_first_date(attrs)}, {_first_date(texts)})"
+
+
+def visible_text(h0: str, n: int) -> str:
+    h = f"regexp_replace({h0}, {q(D.RX_SCRIPT_STYLE)}, ' ', 'g')"
+    root = (f"coalesce(nullif(regexp_extract({h}, {q(D.RX_ARTICLE)}, 1), ''), "
+            f"nullif(regexp_extract({h}, {q(D.RX_MAIN)}, 1), ''), "
+            f"nullif(regexp_extract({h}, {q(D.RX_BODY)}, 1), ''), {h})")
+    txt = strip(f"regexp_replace(regexp_replace({root}, '<[^>]+>', ' ', 'g'), {q(WS + '+')}, ' ', 'g')")
+    return f"substr({txt}, 1, {n})"
+
+
+def date_in_text(t: str) -> str:
+    return "coalesce(" + ", ".join(parse_date(f"nullif(regexp_extract({t}, {q(rx)}, 0), '')")
+                                   for rx in D.VISIBLE_DATE_PATTERNS) + ")"
+
+
+def from_visible_text(h: str) -> str:
+    classed = (f"list_transform(regexp_extract_all({h}, {q(D.RX_DATE_CLASSED)}, 3), "
+               f"lambda t: {strip(strip_html('t'))})")
+    data_date = f"regexp_extract_all({h}, {q(D.RX_DATA_DATE)}, 1)"
+    return f"coalesce({_first_date(classed)}, {_first_date(data_date)}, {date_in_text(visible_text(h, 2000))})"
+
+
+def from_html(h: str) -> str:
+    return f"coalesce({from_meta(h)}, {from_jsonld(h)}, {from_time_tag(h)}, {from_visible_text(h)})"
+
+
+def date_from_url(u: str) -> str:
+    def g(i: int) -> str:
+        return f"regexp_extract({u}, {q(URL_DATE_RX)}, {i})"
+
+    compact = g(7)
+    y = f"TRY_CAST(coalesce(nullif({g(1)}, ''), nullif({g(4)}, ''), nullif(substr({compact}, 1, 4), '')) AS INTEGER)"
+    mo = f"TRY_CAST(coalesce(nullif({g(2)}, ''), nullif({g(5)}, ''), nullif(substr({compact}, 5, 2), '')) AS INTEGER)"
+    d = f"TRY_CAST(coalesce(nullif({g(3)}, ''), nullif({g(6)}, ''), nullif(substr({compact}, 7, 2), '')) AS INTEGER)"
+    ok = f"({y} BETWEEN 1990 AND 2100 AND {mo} BETWEEN 1 AND 12 AND {d} BETWEEN 1 AND 31)"
+    return f"CASE WHEN {ok} THEN {_ymd(y, mo, d)} END"

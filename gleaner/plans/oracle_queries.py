@@ -226,3 +226,10 @@ reg("health_fold", f"""WITH {HEALTH} SELECT source_id, consecutive_failures, {_f
 reg("health_alerts", f"""WITH {HEALTH} SELECT source_id, consecutive_failures AS failures,
   consecutive_failures >= 5 AS disabled, CASE WHEN consecutive_failures >= 5 THEN 'disabled' ELSE 'alert' END AS status
   FROM health WHERE consecutive_failures >= 3""")
+
+reg("page_title", f"SELECT page_id, {O.page_title('html')} AS title FROM pages")
+_ROOT = O.main_text_parts("html")[0]
+reg("page_excerpt", f"""SELECT page_id, coalesce(md, nullif(substr({O.main_text_from_root('root', 400)}, 1, 300), '')) AS excerpt
+  FROM (SELECT page_id, {O.meta_description('html', 300)} AS md, {_ROOT} AS root FROM pages)""")
+reg("main_text", f"""SELECT page_id, {O.main_text_from_root('root', 2000)} AS main_text
+  FROM (SELECT page_id, {_ROOT} AS root FROM pages)""")
