@@ -58,12 +58,15 @@ RX_MAIN = r"(?is)<main\b[^>]*>(.*?)</main>"
 RX_BODY = r"(?is)<body\b[^>]*>(.*)"
 
 
+_DOT = r"\."
+
+
 def rx_meta_property(prop: str) -> str:
-    return rf"""<meta\b[^>]*\bproperty\s*=\s*["']{prop.replace('.', chr(92) + '.')}["'][^>]*>"""
+    return rf"""<meta\b[^>]*\bproperty\s*=\s*["']{prop.replace('.', _DOT)}["'][^>]*>"""
 
 
 def rx_meta_name(name: str) -> str:
-    return rf"""(?i)<meta\b[^>]*\bname\s*=\s*["'][^"']*{name.replace('.', chr(92) + '.')}[^"']*["'][^>]*>"""
+    return rf"""(?i)<meta\b[^>]*\bname\s*=\s*["'][^"']*{name.replace('.', _DOT)}[^"']*["'][^>]*>"""
 
 
 RX_CONTENT = r"""(?i)\bcontent\s*=\s*["']([^"']*)["']"""
@@ -142,98 +145,112 @@ def feed_date(raw: Column | str) -> Column:
     )
 
 
-def _first_date(arr: Column) -> Column:
-    return F.get(F.filter(F.transform(arr, parse_date), lambda d: d.isNotNull()), 0)
+def first_parsed(candidates: Column) -> Column:
+    """First candidate string (in order) that parses as a date.
 
+    One ``parse_date`` inside one lambda serves every candidate, which keeps
+    the expression tree small however many sources of dates are chained."""
+    return F.get(F.filter(F.transform(candidates, parse_date), lambda d: d.isNotNull()), 0)
 
-def _attr(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, f"(?i)\\b{name}\\s*=\\s*[\"']([^\"']*)[\"']", 1)
 
+def _nonempty(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
 
-def from_meta(html: Column | str) -> Column:
-    """Publish date from <meta> tags: properties first (exact), then names
-    (substring, any case); the first tag per key whose content parses."""
+
+def meta_candidates(html: Column | str) -> Column:
+    """content of the first <meta> per property (exact), then per name
+    (substring, any case), in priority order."""
     h = col(html)
-    cands = []
-    for prop in META_PROPERTIES:
-        tag = F.regexp_extract(h, rx_meta_property(prop), 0)
-        cands.append(parse_date(F.nullif(F.regexp_extract(tag, RX_CONTENT, 1), F.lit(""))))
-    for name in META_NAMES:
-        tag = F.regexp_extract(h, rx_meta_name(name), 0)
-        cands.append(parse_date(F.nullif(F.regexp_extract(tag, RX_CONTENT, 1), F.lit(""))))
-    return F.coalesce(*cands)
+    cands = [_nonempty(F.regexp_extract(F.regexp_extract(h, rx_meta_property(p), 0), RX_CONTENT, 1))
+             for p in META_PROPERTIES]
+    cands += [_nonempty(F.regexp_extract(F.regexp_extract(h, rx_meta_name(n), 0), RX_CONTENT, 1))
+              for n in META_NAMES]
+    return F.array(*cands)
 
 
-def from_jsonld(html: Column | str) -> Column:
-    """Publish date from ld+json scripts: datePublished, dateCreated,
-    dateModified of each object (or list element), then its @graph nodes."""
+def jsonld_candidates(html: Column | str) -> Column:
+    """Per ld+json script, per object (or list element): datePublished,
+    dateCreated, dateModified, then datePublished/dateCreated of each
+    @graph node."""
     scripts = F.regexp_extract_all(col(html), F.lit(RX_LDJSON), 1)
 
     def items(s: Column) -> Column:
         t = strip(s)
         return F.when(F.startswith(t, F.lit("[")), F.from_json(t, "array<string>")).otherwise(F.array(t))
 
-    def key(o: Column, k: str) -> Column:
-        return parse_date(F.get_json_object(o, f"$.{k}"))
-
-    def item_date(o: Column) -> Column:
-        graph = F.from_json(F.get_json_object(o, "$.@graph"), "array<string>")
-        graph_date = F.get(F.filter(F.transform(
-            F.coalesce(graph, F.array().cast("array<string>")),
-            lambda n: F.coalesce(key(n, "datePublished"), key(n, "dateCreated"))),
-            lambda d: d.isNotNull()), 0)
-        return F.coalesce(key(o, "datePublished"), key(o, "dateCreated"),
-                          key(o, "dateModified"), graph_date)
+    def item_cands(o: Column) -> Column:
+        graph = F.coalesce(F.from_json(F.get_json_object(o, "$.@graph"), "array<string>"),
+                           F.array().cast("array<string>"))
+        own = F.array(*[F.get_json_object(o, f"$.{k}") for k in ("datePublished", "dateCreated", "dateModified")])
+        nodes = F.flatten(F.transform(graph, lambda n: F.array(F.get_json_object(n, "$.datePublished"),
+                                                                F.get_json_object(n, "$.dateCreated"))))
+        return F.concat(own, nodes)
 
-    per_script = F.transform(scripts, lambda s: F.get(F.filter(
-        F.transform(items(s), item_date), lambda d: d.isNotNull()), 0))
-    return F.get(F.filter(per_script, lambda d: d.isNotNull()), 0)
+    per_script = F.transform(scripts, lambda s: F.flatten(F.transform(
+        F.coalesce(items(s), F.array().cast("array<string>")), item_cands)))
+    return F.flatten(per_script)
 
 
-def from_time_tag(html: Column | str) -> Column:
+def time_candidates(html: Column | str) -> Column:
     """<time datetime=...> attributes in order, then <time> texts."""
     h = col(html)
     attrs = F.regexp_extract_all(h, F.lit(RX_TIME_ATTR), 1)
-    texts = F.regexp_extract_all(h, F.lit(RX_TIME_TEXT), 1)
-    return F.coalesce(_first_date(attrs), _first_date(F.transform(texts, lambda t: strip(strip_html(t)))))
+    texts = F.transform(F.regexp_extract_all(h, F.lit(RX_TIME_TEXT), 1), lambda t: strip(strip_html(t)))
+    return F.concat(attrs, texts)
 
 
 def visible_text(html: Column | str, n: int) -> Column:
     """Text of article, else main, else body: tags become spaces,
     whitespace squeezed, first n chars."""
     h = F.regexp_replace(col(html), RX_SCRIPT_STYLE, " ")
-    art = F.regexp_extract(h, RX_ARTICLE, 1)
-    main = F.regexp_extract(h, RX_MAIN, 1)
-    body = F.regexp_extract(h, RX_BODY, 1)
-    root = F.coalesce(F.nullif(art, F.lit("")), F.nullif(main, F.lit("")),
-                      F.nullif(body, F.lit("")), h)
+    root = F.coalesce(_nonempty(F.regexp_extract(h, RX_ARTICLE, 1)), _nonempty(F.regexp_extract(h, RX_MAIN, 1)),
+                      _nonempty(F.regexp_extract(h, RX_BODY, 1)), h)
     txt = strip(F.regexp_replace(F.regexp_replace(root, "<[^>]+>", " "), "[\\t\\n\\x0B\\f\\r ]+", " "))
     return F.substring(txt, 1, n)
 
 
+def text_candidates(text: Column) -> Column:
+    """First match of each visible-date pattern, in pattern order."""
+    return F.array(*[_nonempty(F.regexp_extract(text, rx, 0)) for rx in VISIBLE_DATE_PATTERNS])
+
+
 def date_in_text(text: Column) -> Column:
-    """First visible-date pattern (in pattern order) whose first match parses."""
-    return F.coalesce(*[parse_date(F.nullif(F.regexp_extract(text, rx, 0), F.lit("")))
-                        for rx in VISIBLE_DATE_PATTERNS])
+    return first_parsed(text_candidates(text))
 
 
-def from_visible_text(html: Column | str) -> Column:
-    """Date-classed span/div/p/small/li elements, then data-date attributes,
-    then the date patterns over the first 2000 chars of the main text."""
+def visible_candidates(html: Column | str) -> Column:
+    """Date-classed span/div/p/small/li texts, data-date attributes, then
+    pattern matches in the first 2000 chars of the main text."""
     h = col(html)
-    classed = F.regexp_extract_all(h, F.lit(RX_DATE_CLASSED), 3)
+    classed = F.transform(F.regexp_extract_all(h, F.lit(RX_DATE_CLASSED), 3), lambda t: strip(strip_html(t)))
     data_date = F.regexp_extract_all(h, F.lit(RX_DATA_DATE), 1)
-    return F.coalesce(
-        _first_date(F.transform(classed, lambda t: strip(strip_html(t)))),
-        _first_date(data_date),
-        date_in_text(visible_text(h, 2000)),
-    )
+    return F.concat(classed, data_date, text_candidates(visible_text(h, 2000)))
 
 
-def from_html(html: Column | str) -> Column:
-    """Meta -> JSON-LD -> time tag -> visible text."""
+def from_meta(html: Column | str) -> Column:
+    return first_parsed(meta_candidates(html))
+
+
+def from_jsonld(html: Column | str) -> Column:
+    return first_parsed(jsonld_candidates(html))
+
+
+def from_time_tag(html: Column | str) -> Column:
+    return first_parsed(time_candidates(html))
+
+
+def from_visible_text(html: Column | str) -> Column:
+    return first_parsed(visible_candidates(html))
+
+
+def html_candidates(html: Column | str) -> Column:
     h = col(html)
-    return F.coalesce(from_meta(h), from_jsonld(h), from_time_tag(h), from_visible_text(h))
+    return F.concat(meta_candidates(h), jsonld_candidates(h), time_candidates(h), visible_candidates(h))
+
+
+def from_html(html: Column | str) -> Column:
+    """Meta -> JSON-LD -> time tag -> visible text: first candidate that parses."""
+    return first_parsed(html_candidates(html))
 
 
 def resolve_date(html: Column | str | None, url: Column | str | None,

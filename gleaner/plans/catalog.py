@@ -296,3 +296,36 @@ def main_text(spark, sf):
     from ..functions.html import main_text as text_of
     p = A.table(spark, sf, "pages")
     return p.select("page_id", text_of("html", 2000).alias("main_text"))
+
+
+def _listings(spark, sf):
+    return A.listings(spark, sf)
+
+
+@query
+def page_links(spark, sf):
+    from ..sources.pages import extract_links
+    links = extract_links(_listings(spark, sf))
+    return links.select("listing_url", "link_pos", "href", "text",
+                        F.date_format("ctx_date", "yyyy-MM-dd").alias("ctx_date"))
+
+
+@query
+def listing_scan(spark, sf):
+    from ..sources.pages import scan_listing
+    items = scan_listing(_listings(spark, sf), A.table(spark, sf, "pages"), A.AS_OF, A.WINDOW_DAYS)
+    return items.select("url", "title", "source", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"),
+                        "date_method", "link_pos")
+
+
+@query
+def url_list_scan(spark, sf):
+    from ..sources.pages import scan_urls
+    p = A.table(spark, sf, "pages")
+    urls = p.select(F.col("page_id").alias("url_ord"),
+                    F.when(F.col("page_id") % 10 == 0, F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("/gone")))
+                    .otherwise(F.col("url")).alias("url"))
+    items = scan_urls(urls, p)
+    return items.select("url_ord", "url", "title", "source",
+                        F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"), "excerpt",
+                        F.length("raw_html").cast("long").alias("html_chars"))

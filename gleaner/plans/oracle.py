@@ -244,43 +244,39 @@ def parse_date(raw: str) -> str:
             f"CASE WHEN {m(D.RX_ISO_PREFIX, r)} THEN CAST(try_strptime(substr({r}, 1, 10), '%Y-%m-%d') AS DATE) END)")
 
 
-def _first_date(lst: str) -> str:
+def first_parsed(lst: str) -> str:
     return f"list_filter(list_transform({lst}, lambda v: {parse_date('v')}), lambda d: d IS NOT NULL)[1]"
 
 
-def from_meta(h: str) -> str:
-    cands = []
-    for prop in D.META_PROPERTIES:
-        tag = f"regexp_extract({h}, {q(D.rx_meta_property(prop))}, 0)"
-        cands.append(parse_date(f"nullif(regexp_extract({tag}, {q(D.RX_CONTENT)}, 1), '')"))
-    for name in D.META_NAMES:
-        tag = f"regexp_extract({h}, {q(D.rx_meta_name(name))}, 0)"
-        cands.append(parse_date(f"nullif(regexp_extract({tag}, {q(D.RX_CONTENT)}, 1), '')"))
-    return "coalesce(" + ", ".join(cands) + ")"
+def _nonempty(x: str) -> str:
+    return f"nullif({x}, '')"
 
 
-def from_jsonld(h: str) -> str:
-    scripts = f"regexp_extract_all({h}, {q(D.RX_LDJSON)}, 1)"
+def meta_candidates(h: str) -> str:
+    cands = [_nonempty(f"regexp_extract(regexp_extract({h}, {q(D.rx_meta_property(p))}, 0), {q(D.RX_CONTENT)}, 1)")
+             for p in D.META_PROPERTIES]
+    cands += [_nonempty(f"regexp_extract(regexp_extract({h}, {q(D.rx_meta_name(n))}, 0), {q(D.RX_CONTENT)}, 1)")
+              for n in D.META_NAMES]
+    return "[" + ", ".join(cands) + "]"
 
-    def key(o: str, k: str) -> str:
-        return parse_date(f"try(json_extract_string({o}, {q('$.' + k)}))")
 
+def jsonld_candidates(h: str) -> str:
+    scripts = f"regexp_extract_all({h}, {q(D.RX_LDJSON)}, 1)"
+    items = (f"coalesce(CASE WHEN starts_with({strip('s')}, '[') THEN try(from_json({strip('s')}, '[\"JSON\"]')) "
+             f"ELSE [{strip('s')}] END, [])")
     graph = "coalesce(try(from_json(try(json_extract(o, '$.\"@graph\"')), '[\"JSON\"]')), [])"
-    graph_date = (f"list_filter(list_transform({graph}, lambda n: coalesce({key('n', 'datePublished')}, "
-                  f"{key('n', 'dateCreated')})), lambda d: d IS NOT NULL)[1]")
-    item_date = (f"coalesce({key('o', 'datePublished')}, {key('o', 'dateCreated')}, "
-                 f"{key('o', 'dateModified')}, {graph_date})")
-    items = (f"CASE WHEN starts_with({strip('s')}, '[') THEN try(from_json({strip('s')}, '[\"JSON\"]')) "
-             f"ELSE [{strip('s')}] END")
-    per_script = (f"list_transform({scripts}, lambda s: list_filter(list_transform({items}, "
-                  f"lambda o: {item_date}), lambda d: d IS NOT NULL)[1])")
-    return f"list_filter({per_script}, lambda d: d IS NOT NULL)[1]"
-
-
-def from_time_tag(h: str) -> str:
+    own = ("[try(json_extract_string(o, '$.datePublished')), try(json_extract_string(o, '$.dateCreated')), "
+           "try(json_extract_string(o, '$.dateModified'))]")
+    nodes = (f"flatten(list_transform({graph}, lambda n: [try(json_extract_string(n, '$.datePublished')), "
+             f"try(json_extract_string(n, '$.dateCreated'))]))")
+    per_script = f"list_transform({scripts}, lambda s: flatten(list_transform({items}, lambda o: list_concat({own}, {nodes}))))"
+    return f"flatten({per_script})"
+
+
+def time_candidates(h: str) -> str:
     attrs = f"regexp_extract_all({h}, {q(D.RX_TIME_ATTR)}, 1)"
     texts = f"list_transform(regexp_extract_all({h}, {q(D.RX_TIME_TEXT)}, 1), lambda t: {strip(strip_html('t'))})"
-    return f"coalesce({_first_date(attrs)}, {_first_date(texts)})"
+    return f"list_concat({attrs}, {texts})"
 
 
 def visible_text(h0: str, n: int) -> str:
@@ -292,20 +288,28 @@ def visible_text(h0: str, n: int) -> str:
     return f"substr({txt}, 1, {n})"
 
 
+def text_candidates(t: str) -> str:
+    return "[" + ", ".join(_nonempty(f"regexp_extract({t}, {q(rx)}, 0)") for rx in D.VISIBLE_DATE_PATTERNS) + "]"
+
+
 def date_in_text(t: str) -> str:
-    return "coalesce(" + ", ".join(parse_date(f"nullif(regexp_extract({t}, {q(rx)}, 0), '')")
-                                   for rx in D.VISIBLE_DATE_PATTERNS) + ")"
+    return first_parsed(text_candidates(t))
 
 
-def from_visible_text(h: str) -> str:
+def visible_candidates(h: str) -> str:
     classed = (f"list_transform(regexp_extract_all({h}, {q(D.RX_DATE_CLASSED)}, 3), "
                f"lambda t: {strip(strip_html('t'))})")
     data_date = f"regexp_extract_all({h}, {q(D.RX_DATA_DATE)}, 1)"
-    return f"coalesce({_first_date(classed)}, {_first_date(data_date)}, {date_in_text(visible_text(h, 2000))})"
+    return f"list_concat({classed}, {data_date}, {text_candidates(visible_text(h, 2000))})"
+
+
+def html_candidates(h: str) -> str:
+    return (f"list_concat({meta_candidates(h)}, {jsonld_candidates(h)}, {time_candidates(h)}, "
+            f"{visible_candidates(h)})")
 
 
 def from_html(h: str) -> str:
-    return f"coalesce({from_meta(h)}, {from_jsonld(h)}, {from_time_tag(h)}, {from_visible_text(h)})"
+    return first_parsed(html_candidates(h))
 
 
 def date_from_url(u: str) -> str:

@@ -233,3 +233,102 @@ reg("page_excerpt", f"""SELECT page_id, coalesce(md, nullif(substr({O.main_text_
   FROM (SELECT page_id, {O.meta_description('html', 300)} AS md, {_ROOT} AS root FROM pages)""")
 reg("main_text", f"""SELECT page_id, {O.main_text_from_root('root', 2000)} AS main_text
   FROM (SELECT page_id, {_ROOT} AS root FROM pages)""")
+
+# ------------------------------------------------------------------ pages
+from ..sources import pages as PG  # noqa: E402
+
+LISTINGS = f"""listings AS (
+  SELECT printf('https://%s/list/%d', host, block) AS listing_url,
+         '<html><body><nav><a href="/">Home page link</a></nav><ul>' || string_agg(li, '' ORDER BY page_id)
+         || '</ul></body></html>' AS html
+  FROM (SELECT {O.domain('url')} AS host, CAST(floor(page_id / {A.LISTING_CHUNK}) AS BIGINT) AS block, page_id,
+               '<li>' || CASE WHEN page_id % 2 = 0 THEN printf('<time datetime="2024-01-%02d"></time>', page_id % 30 + 1)
+               ELSE '' END || ' <a href="' || regexp_replace(url, '#.*$', '') || '">'
+               || regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) || '</a></li>' AS li
+        FROM pages) GROUP BY host, block)"""
+
+
+def _resolve(base: str, href: str) -> str:
+    scheme = O.url_part(base, 1)
+    auth = O.url_part(base, 2)
+    bpath = O.url_part(base, 3)
+    origin = f"({scheme} || '://' || {auth})"
+    no_frag = f"regexp_replace({base}, '#.*$', '')"
+    bdir = f"regexp_replace({bpath}, '[^/]*$', '')"
+    return (f"(CASE WHEN regexp_matches({href}, {O.q(PG.RX_SCHEME)}) THEN {href} "
+            f"WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href} "
+            f"WHEN starts_with({href}, '/') THEN {origin} || {href} "
+            f"WHEN {href} = '' THEN {no_frag} "
+            f"WHEN starts_with({href}, '#') THEN {no_frag} || {href} "
+            f"WHEN starts_with({href}, '?') THEN {origin} || {bpath} || {href} "
+            f"ELSE {origin} || CASE WHEN {bdir} = '' THEN '/' ELSE {bdir} END || {href} END)")
+
+
+def _likely_article(href: str, text: str, base: str) -> str:
+    path = O.url_part(href, 3)
+    shallow = f"({path} = '' OR {path} = '/' OR length({path}) - length(replace({path}, '/', '')) <= 1)"
+    self_link = f"regexp_replace({href}, '/+$', '') = regexp_replace({base}, '/+$', '')"
+    anchor = f"(instr({href}, '#') > 0 AND {path} = {O.url_part(base, 3)})"
+    return (f"(NOT regexp_matches({O.strip(text)}, {O.q(PG.NAV_TEXT)}) "
+            f"AND NOT ({shallow} AND NOT regexp_matches({path}, {O.q(PG.ARTICLE_PATH_HINT)})) "
+            f"AND NOT ({self_link}) AND NOT {anchor})")
+
+
+def _same_site(ld: str, bd: str) -> str:
+    return f"({ld} = {bd} OR ends_with({bd}, '.' || {ld}) OR ends_with({ld}, '.' || {bd}))"
+
+
+def _context_date(b: str) -> str:
+    attr = f"nullif(regexp_extract({b}, {O.q(PG.RX_TIME_ATTR1)}, 1), '')"
+    ttext = f"nullif({O.strip(O.node_text(f'regexp_extract({b}, {O.q(PG.RX_TIME_TEXT1)}, 1)'))}, '')"
+    spaced = f"regexp_replace(regexp_replace({b}, '<[^>]+>', ' ', 'g'), {O.q(O.WS + '+')}, ' ', 'g')"
+    words = f"substr({O.strip(spaced)}, 1, 200)"
+    return O.first_parsed(f"list_concat([{attr}, {ttext}], {O.text_candidates(O.unescape(words))})")
+
+
+LINKS = f"""blocks AS (
+  SELECT listing_url, unnest(segs) AS seg, generate_subscripts(segs, 1) AS seg_pos
+  FROM (SELECT listing_url, regexp_split_to_array({O.drop_elements('html', PG.LISTING_NOISE)}, {O.q(PG.RX_BLOCK_CLOSE)}) AS segs
+        FROM listings)),
+anchors AS (
+  SELECT listing_url, seg_pos, ctx_date, unnest(hs) AS h, unnest(ts) AS t, generate_subscripts(hs, 1) AS a_pos
+  FROM (SELECT listing_url, seg_pos, {_context_date('seg')} AS ctx_date,
+               regexp_extract_all(seg, {O.q(PG.RX_ANCHOR)}, 1) AS hs, regexp_extract_all(seg, {O.q(PG.RX_ANCHOR)}, 2) AS ts
+        FROM blocks)),
+links0 AS (SELECT listing_url, seg_pos, a_pos, ctx_date, {_resolve('listing_url', O.unescape(O.strip('h')))} AS href,
+                  {O.node_text('t')} AS text FROM anchors),
+links1 AS (SELECT *, row_number() OVER (PARTITION BY listing_url, href ORDER BY seg_pos, a_pos) AS k FROM links0
+  WHERE {_same_site(O.domain('href'), O.domain('listing_url'))} AND length(text) >= 10
+    AND {_likely_article('href', 'text', 'listing_url')}),
+links AS (SELECT listing_url, row_number() OVER (PARTITION BY listing_url ORDER BY seg_pos, a_pos) AS link_pos,
+                 href, text, ctx_date FROM links1 WHERE k = 1)"""
+
+reg("page_links", f"""WITH {LISTINGS}, {LINKS} SELECT listing_url, CAST(link_pos AS BIGINT) AS link_pos, href, text,
+  strftime(ctx_date, '%Y-%m-%d') AS ctx_date FROM links""")
+
+reg("listing_scan", f"""WITH {LISTINGS}, {LINKS},
+  lookup AS (SELECT {O.url_hash('url')} AS page_key, arg_min(html, page_id) AS page_html FROM pages GROUP BY 1),
+  j AS (SELECT l.*, coalesce(ctx_date, {O.date_from_url('href')}) AS known, page_html
+        FROM links l LEFT JOIN lookup p ON {O.url_hash('l.href')} = p.page_key WHERE link_pos <= {PG.MAX_LINKS}),
+  j2 AS (SELECT *, CASE WHEN known IS NULL AND page_html IS NOT NULL THEN row_number() OVER (
+           PARTITION BY listing_url, (known IS NULL AND page_html IS NOT NULL) ORDER BY link_pos) END AS lk FROM j),
+  j3 AS (SELECT *, CASE WHEN lk <= {PG.MAX_LOOKUPS} THEN {O.from_html('page_html')} END AS page_date FROM j2),
+  r AS (SELECT *, coalesce(known, page_date) AS resolved FROM j3)
+  SELECT href AS url, text AS title, listing_url AS source,
+         strftime(coalesce(resolved, {AS_OF_D}), '%Y-%m-%d') AS publish_date,
+         CASE WHEN ctx_date IS NOT NULL THEN 'context' WHEN known IS NOT NULL THEN 'url'
+              WHEN page_date IS NOT NULL THEN 'page' ELSE 'fallback' END AS date_method,
+         CAST(link_pos AS BIGINT) AS link_pos
+  FROM r WHERE resolved IS NULL OR resolved >= {CUTOFF_D}""")
+
+reg("url_list_scan", f"""WITH urls AS (SELECT page_id AS url_ord, CASE WHEN page_id % 10 = 0
+      THEN regexp_replace(url, '#.*$', '') || '/gone' ELSE url END AS url FROM pages),
+  pg AS (SELECT url, arg_min(html, page_id) AS html FROM pages GROUP BY url)
+  SELECT u.url_ord, u.url,
+    CASE WHEN html IS NOT NULL THEN coalesce(nullif({O.page_title('html')}, ''), u.url) ELSE u.url END AS title,
+    'manual' AS source,
+    strftime(CASE WHEN html IS NOT NULL THEN coalesce({O.from_html('html')}, {O.date_from_url('u.url')})
+             ELSE {O.date_from_url('u.url')} END, '%Y-%m-%d') AS publish_date,
+    CASE WHEN html IS NOT NULL THEN {O.meta_description('html', 500)} END AS excerpt,
+    CAST(length(substr(html, 1, {PG.MAX_HTML})) AS BIGINT) AS html_chars
+  FROM urls u LEFT JOIN pg ON u.url = pg.url""")

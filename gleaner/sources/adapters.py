@@ -121,16 +121,16 @@ LISTING_CHUNK = 64     # pages per synthetic listing page (bounds every group)
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages built from ``pages``: per host and block of 64 page ids,
-    an <li> per page with a link to its path, its <title> as text and, for
+    an <li> per page with a link to its URL (fragment dropped), its <title> as text and, for
     even page_id, a <time datetime>.  A block holds at most 64 rows, so no
     group grows with the data."""
     p = table(spark, sf_dir, "pages")
     host = U.domain("url")
-    path = U.path("url")
+    href = F.regexp_replace("url", "#.*$", "")
     title = F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1)
     time_tag = F.when(F.col("page_id") % 2 == 0, F.format_string(
         '<time datetime="2024-01-%02d"></time>', (F.col("page_id") % 30 + 1).cast("int"))).otherwise(F.lit(""))
-    li = F.concat(F.lit("<li>"), time_tag, F.lit(' <a href="'), path, F.lit('">'), title, F.lit("</a></li>"))
+    li = F.concat(F.lit("<li>"), time_tag, F.lit(' <a href="'), href, F.lit('">'), title, F.lit("</a></li>"))
     block = F.floor(F.col("page_id") / LISTING_CHUNK).cast("long")
     return (p.select(host.alias("host"), block.alias("block"), F.col("page_id"), li.alias("li"))
             .groupBy("host", "block")
