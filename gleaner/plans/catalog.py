@@ -329,3 +329,97 @@ def url_list_scan(spark, sf):
     return items.select("url_ord", "url", "title", "source",
                         F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"), "excerpt",
                         F.length("raw_html").cast("long").alias("html_chars"))
+
+
+# ------------------------------------------------------------------ reports
+@query
+def timeline_lines(spark, sf):
+    from ..operators.report import timeline_lines as tl
+    return tl(_ranked(spark, sf))
+
+
+@query
+def source_lines(spark, sf):
+    from ..operators.report import source_lines as sl
+    return sl(_ranked(spark, sf))
+
+
+@query
+def item_docs(spark, sf):
+    from ..operators.report import item_docs as docs
+    return docs(_ranked(spark, sf))
+
+
+@query
+def text_blocks(spark, sf):
+    from ..operators.blocks import doc_title, text_to_blocks
+    d = A.table(spark, sf, "documents")
+    # documents carry single newlines only; doubling them makes every line a paragraph
+    d2 = d.select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("body"),
+                  doc_title("text").alias("title"))
+    b = text_to_blocks(d2, "doc_id", "body")
+    return b.join(d2.select("doc_id", "title"), "doc_id").select(
+        "doc_id", "block_ord", "block_type", "content", "sent", "title")
+
+
+@query
+def natural_sort(spark, sf):
+    from ..operators.blocks import slide_caption
+    c = A.table(spark, sf, "customer").select("c_custkey", "c_name", T.natural_key("c_name").alias("nkey"))
+    r = with_global_rank(c, [F.col("nkey"), F.col("c_custkey")], "natural_rank")
+    return r.select("c_custkey", "c_name", slide_caption("c_name").alias("caption"), "natural_rank")
+
+
+@query
+def media_type(spark, sf):
+    from ..operators.blocks import media_type as mt
+    p = A.table(spark, sf, "part")
+    suffix = F.element_at(F.array(*[F.lit(x) for x in A.MEDIA_SUFFIXES]),
+                          (F.col("p_partkey") % len(A.MEDIA_SUFFIXES) + 1).cast("int"))
+    name = F.concat(F.replace(F.lower("p_name"), F.lit(" "), F.lit("_")), suffix)
+    return p.select("p_partkey", name.alias("file_name"), mt(name).alias("block_type"))
+
+
+# ------------------------------------------------------------------- export
+def _imported(ranked):
+    return ranked.where(F.col("item_ord") % 4 == 0).select("url_hash")
+
+
+@query
+def import_pending(spark, sf):
+    from ..operators.export import pending
+    r = _ranked(spark, sf)
+    return pending(r, _imported(r)).select("url_hash", "rank")
+
+
+@query
+def export_batches(spark, sf):
+    from ..operators.export import batches, pending
+    r = _ranked(spark, sf)
+    return batches(pending(r, _imported(r))).select("url_hash", "rank", "pos", "batch")
+
+
+@query
+def coverage(spark, sf):
+    from ..operators.export import coverage as cov
+    return cov(_curated(spark, sf).items)
+
+
+# ------------------------------------------------------------- run records
+@query
+def enabled_sources(spark, sf):
+    h = health.source_health(A.fetch_log(spark, sf))
+    return health.enabled_sources(A.sources_dim(spark), h).select("label")
+
+
+@query
+def job_status(spark, sf):
+    from ..operators.status import job_status as js
+    return js(A.fetch_log(spark, sf))
+
+
+@query
+def manifest_row(spark, sf):
+    from ..operators.status import manifest_row as mr
+    c = _curated(spark, sf)
+    return mr(c.tagged, _seen_live(spark, sf), A.job_spec(), A.AS_OF)

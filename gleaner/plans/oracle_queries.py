@@ -332,3 +332,102 @@ reg("url_list_scan", f"""WITH urls AS (SELECT page_id AS url_ord, CASE WHEN page
     CASE WHEN html IS NOT NULL THEN {O.meta_description('html', 500)} END AS excerpt,
     CAST(length(substr(html, 1, {PG.MAX_HTML})) AS BIGINT) AS html_chars
   FROM urls u LEFT JOIN pg ON u.url = pg.url""")
+
+# ---------------------------------------------------------------- reports
+from ..operators import report as RP  # noqa: E402
+from ..operators import blocks as BK  # noqa: E402
+
+reg("timeline_lines", f"""{PIPE} SELECT rank AS line_ord,
+  printf('| %d | %s | %s | %s | %s | [%s](%s) |', rank, coalesce(publish_date, ''), coalesce(source, ''),
+         {O.clip('title', 55)}, coalesce(excerpt, ''), {O.q(RP.LINK_LABEL)}, coalesce(url, '')) AS line FROM ranked""")
+
+reg("source_lines", f"""{PIPE}, l AS (
+  SELECT rank, 1 AS k, printf('%d. [%s](%s)', rank, coalesce(title, ''), coalesce(url, '')) AS line FROM ranked
+  UNION ALL SELECT rank, 2, printf('   - Date: %s | Source: %s', coalesce(publish_date, ''), coalesce(source, '')) FROM ranked
+  UNION ALL SELECT rank, 3, CASE WHEN substr(coalesce(excerpt, ''), 1, 80) <> ''
+                       THEN '   - ' || substr(coalesce(excerpt, ''), 1, 80) END FROM ranked
+  UNION ALL SELECT rank, 4, '' FROM ranked)
+  SELECT rank, CAST(k AS BIGINT) AS line_ord, line FROM l WHERE line IS NOT NULL""")
+
+reg("item_docs", f"""{PIPE} SELECT rank,
+  printf('%03d_%s.md', rank, substr(regexp_replace(coalesce(title, ''), '[^\\p{{L}}\\p{{N}} _-]', '_', 'g'), 1, 60)) AS doc_name,
+  printf('# %s' || chr(10) || chr(10) || '- URL: %s' || chr(10) || '- Date: %s' || chr(10) || '- Source: %s'
+         || chr(10) || '- Score: %s' || chr(10) || '- Signals: %s' || chr(10) || chr(10) || '%s' || chr(10),
+         coalesce(title, ''), coalesce(url, ''), coalesce(publish_date, ''), coalesce(source, ''),
+         CAST(score AS VARCHAR), CASE WHEN len(signals) > 0 THEN array_to_string(signals, ', ') ELSE 'none' END,
+         coalesce(excerpt, '')) AS body FROM ranked""")
+
+_BODY = "replace(text, chr(10), chr(10) || chr(10))"
+reg("text_blocks", f"""WITH d AS (SELECT doc_id, {_BODY} AS body,
+      CASE WHEN {O.strip(f"split_part({O.strip('text')}, chr(10), 1)")} = '' THEN 'Untitled'
+           ELSE {O.strip(f"split_part({O.strip('text')}, chr(10), 1)")} END AS title FROM documents),
+  p0 AS (SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS p_pos
+         FROM (SELECT doc_id, regexp_split_to_array({O.strip('body')}, '\\n{{2,}}') AS ps FROM d)),
+  p AS (SELECT doc_id, p_pos, {O.strip('p')} AS p FROM p0 WHERE {O.strip('p')} <> ''),
+  c AS (SELECT doc_id, p_pos, p, starts_with(p, '^') AS heading,
+               unnest(range(0, CASE WHEN starts_with(p, '^') THEN 1 ELSE CAST(ceil(length(p) / {BK.MAX_LEN}) AS BIGINT) END)) AS c
+        FROM p),
+  b AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p_pos, c) AS block_ord,
+               CASE WHEN heading THEN 'heading_3' ELSE 'paragraph' END AS block_type,
+               CASE WHEN heading THEN regexp_replace(p, '^[\\^ ]+', '') ELSE substr(p, CAST(c * {BK.MAX_LEN} + 1 AS BIGINT), {BK.MAX_LEN}) END AS content
+        FROM c)
+  SELECT b.doc_id, CAST(block_ord AS BIGINT) AS block_ord, block_type, content, block_ord <= {BK.MAX_BLOCKS} AS sent, d.title
+  FROM b JOIN d USING (doc_id)""")
+
+
+def _natural_key(x: str) -> str:
+    return (f"array_to_string(list_transform(regexp_extract_all(coalesce({x}, ''), '[0-9]+|[^0-9]+'), "
+            f"lambda r: CASE WHEN regexp_matches(r, '^[0-9]+$') THEN '0' || lpad(r, 30, '0') "
+            f"ELSE '1' || lower(r) || chr(1) END), '')")
+
+
+def _caption(x: str) -> str:
+    d = f"regexp_extract({x}, '([0-9]+)', 1)"
+    return (f"CASE WHEN {d} <> '' THEN 'Slide ' || CASE WHEN regexp_replace({d}, '^0+', '') = '' THEN '0' "
+            f"ELSE regexp_replace({d}, '^0+', '') END ELSE {x} END")
+
+
+reg("natural_sort", f"""SELECT c_custkey, c_name, {_caption('c_name')} AS caption,
+  CAST(row_number() OVER (ORDER BY {_natural_key('c_name')}, c_custkey) AS BIGINT) AS natural_rank FROM customer""")
+
+
+def _media(x: str) -> str:
+    ext = f"regexp_extract(lower({x}), '\\.([a-z0-9]+)$', 1)"
+    return (f"CASE WHEN {ext} IN ('png','jpg','jpeg','gif','webp','bmp','svg','tif','tiff','ico') THEN 'image' "
+            f"WHEN {ext} = 'pdf' THEN 'pdf' WHEN {ext} IN ('mp3','wav','ogg','m4a','aac','flac','aif','aiff') THEN 'audio' "
+            f"WHEN {ext} IN ('mp4','mov','avi','webm','mkv','mpeg','mpg','m4v') THEN 'video' ELSE 'file' END")
+
+
+_SUFFIX = "[" + ", ".join(O.q(x) for x in A.MEDIA_SUFFIXES) + f"][p_partkey % {len(A.MEDIA_SUFFIXES)} + 1]"
+reg("media_type", f"""SELECT p_partkey, file_name, {_media('file_name')} AS block_type
+  FROM (SELECT p_partkey, replace(lower(p_name), ' ', '_') || {_SUFFIX} AS file_name FROM part)""")
+
+# ----------------------------------------------------------------- export
+_PENDING = "pending AS (SELECT * FROM ranked WHERE url_hash NOT IN (SELECT url_hash FROM ranked WHERE item_ord % 4 = 0))"
+reg("import_pending", f"{PIPE}, {_PENDING} SELECT url_hash, rank FROM pending")
+reg("export_batches", f"""{PIPE}, {_PENDING} SELECT url_hash, rank, CAST(pos AS BIGINT) AS pos,
+  CAST(floor((pos - 1) / 20) AS BIGINT) AS batch FROM (SELECT *, row_number() OVER (ORDER BY rank) AS pos FROM pending)""")
+reg("coverage", f"""{PIPE} SELECT strftime(min(CAST(publish_date AS DATE)), '%Y-%m-%d') AS date_from,
+  strftime(max(CAST(publish_date AS DATE)), '%Y-%m-%d') AS date_to,
+  CASE WHEN min(publish_date) IS NULL THEN 'dates-unknown'
+       ELSE strftime(min(CAST(publish_date AS DATE)), '%m.%d') || '-' || strftime(max(CAST(publish_date AS DATE)), '%m.%d') END AS label,
+  CAST(count(*) AS BIGINT) AS n FROM items""")
+
+# ------------------------------------------------------------ run records
+reg("enabled_sources", f"""WITH {HEALTH}, {SOURCES} SELECT label FROM sources
+  WHERE label NOT IN (SELECT source_id FROM health WHERE consecutive_failures >= 5)""")
+reg("job_status", f"""WITH {HEALTH} SELECT '{A.TASK_KEY}' AS task_key,
+  (SELECT CAST(count(DISTINCT CAST(ts AS DATE)) AS BIGINT) FROM log) AS runs,
+  (SELECT strftime(max(CAST(ts AS DATE)), '%Y-%m-%d') FROM log) AS last_run,
+  CAST(count(*) AS BIGINT) AS sources, CAST(count(*) FILTER (WHERE consecutive_failures >= 5) AS BIGINT) AS disabled,
+  CAST(count(*) FILTER (WHERE consecutive_failures >= 3) AS BIGINT) AS alerting,
+  CAST(sum(total_items_fetched) AS BIGINT) AS items_fetched FROM health""")
+reg("manifest_row", f"""WITH {RAW}, {RAW_W}, {SEEN}, {TAGGED}
+  SELECT '{A.TASK_KEY}' AS task_key, '{A.AS_OF:%Y%m%dT%H%M%S}' AS run_id, '{A.AS_OF:%Y-%m-%dT%H:%M:%S}+00:00' AS started_at,
+    CAST({A.WINDOW_DAYS} AS BIGINT) AS window_days, CAST({A.TTL_DAYS} AS BIGINT) AS dedup_ttl_days,
+    fetched, deduped, filtered_out, final, waterline_before, waterline_before + fetched - deduped AS waterline_after,
+    CAST({A.N_SOURCES} AS BIGINT) AS configured_sources, '0.1.0' AS version
+  FROM (SELECT CAST(count(*) AS BIGINT) AS fetched, CAST(count(*) FILTER (WHERE dup IS NOT NULL) AS BIGINT) AS deduped,
+          CAST(count(*) FILTER (WHERE disposition IN ('no_date','not_included','excluded','low_signal')) AS BIGINT) AS filtered_out,
+          CAST(count(*) FILTER (WHERE disposition = 'passed') AS BIGINT) AS final FROM tagged) t,
+       (SELECT CAST(count(DISTINCT url_hash) AS BIGINT) AS waterline_before FROM seen_live) s""")

@@ -27,6 +27,8 @@ WEIGHTS = [("en.example.com", 1.5), ("example.com", 1.1), ("src3", 1.4), ("src7"
 INCLUDE = ["the ", "que", "und"]
 EXCLUDE = ["nicht", "blest", "###"]
 MIN_SIGNALS = 0
+# File suffixes given to part names for the media-type query.
+MEDIA_SUFFIXES = [".png", ".JPG", ".pdf", ".mp3", ".mp4", ".txt", ".webp", ".mov"]
 # Ordered theme lexicon built from words of the corpus.
 THEMES = [
     ("english", ["that", "with", "this"]),
