@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,3 +40,35 @@ def regex_quote(s: str) -> str:
         else:
             out.append("\\" + ch)
     return "".join(out)
+
+
+_PLAIN = (str, int, float, bool, type(None), _dt.date, _dt.datetime)
+_BUILT: dict = {}
+
+
+def _plain(v) -> bool:
+    if isinstance(v, tuple):
+        return all(_plain(x) for x in v)
+    return isinstance(v, _PLAIN)
+
+
+def cached(fn):
+    """Memoise a Column builder per SparkContext when every argument is a
+    plain value (column names, numbers, tuples of them).
+
+    Building a large expression costs thousands of driver->JVM calls; the
+    unresolved expression is immutable, so queries of one session share it."""
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        if not (all(_plain(a) for a in args) and all(_plain(v) for v in kwargs.values())):
+            return fn(*args, **kwargs)
+        sc = SparkContext._active_spark_context
+        if sc is None:
+            return fn(*args, **kwargs)
+        key = (sc.applicationId, sc.startTime, fn.__module__, fn.__qualname__, args,
+               tuple(sorted(kwargs.items())))
+        hit = _BUILT.get(key)
+        if hit is None:
+            hit = _BUILT[key] = fn(*args, **kwargs)
+        return hit
+    return wrapper

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import col, strip
+from .common import cached, col, strip
 from .text import strip_html
 from .url import date_from_url
 
@@ -81,6 +81,7 @@ def _month_no(word: Column) -> Column:
     return ((F.instr(F.lit(_ABBR), F.lower(F.substring(word, 1, 3))) + 2) / 3).cast("int")
 
 
+@cached
 def parse_date(raw: Column | str) -> Column:
     """Tolerant parse of one date string; the date as written (no zone shift).
 
@@ -108,6 +109,7 @@ def parse_date(raw: Column | str) -> Column:
     )
 
 
+@cached
 def feed_date(raw: Column | str) -> Column:
     """Feed entry date shifted to UTC: RFC 822 (``Tue, 03 Mar 2026 23:30:00
     -0500``, zone names) or ISO 8601 with offset; else a plain ISO date."""
@@ -157,6 +159,7 @@ def _nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+@cached
 def meta_candidates(html: Column | str) -> Column:
     """content of the first <meta> per property (exact), then per name
     (substring, any case), in priority order."""
@@ -168,6 +171,7 @@ def meta_candidates(html: Column | str) -> Column:
     return F.array(*cands)
 
 
+@cached
 def jsonld_candidates(html: Column | str) -> Column:
     """Per ld+json script, per object (or list element): datePublished,
     dateCreated, dateModified, then datePublished/dateCreated of each
@@ -191,6 +195,7 @@ def jsonld_candidates(html: Column | str) -> Column:
     return F.flatten(per_script)
 
 
+@cached
 def time_candidates(html: Column | str) -> Column:
     """<time datetime=...> attributes in order, then <time> texts."""
     h = col(html)
@@ -199,6 +204,7 @@ def time_candidates(html: Column | str) -> Column:
     return F.concat(attrs, texts)
 
 
+@cached
 def visible_text(html: Column | str, n: int) -> Column:
     """Text of article, else main, else body: tags become spaces,
     whitespace squeezed, first n chars."""
@@ -218,6 +224,7 @@ def date_in_text(text: Column) -> Column:
     return first_parsed(text_candidates(text))
 
 
+@cached
 def visible_candidates(html: Column | str) -> Column:
     """Date-classed span/div/p/small/li texts, data-date attributes, then
     pattern matches in the first 2000 chars of the main text."""
@@ -227,27 +234,33 @@ def visible_candidates(html: Column | str) -> Column:
     return F.concat(classed, data_date, text_candidates(visible_text(h, 2000)))
 
 
+@cached
 def from_meta(html: Column | str) -> Column:
     return first_parsed(meta_candidates(html))
 
 
+@cached
 def from_jsonld(html: Column | str) -> Column:
     return first_parsed(jsonld_candidates(html))
 
 
+@cached
 def from_time_tag(html: Column | str) -> Column:
     return first_parsed(time_candidates(html))
 
 
+@cached
 def from_visible_text(html: Column | str) -> Column:
     return first_parsed(visible_candidates(html))
 
 
+@cached
 def html_candidates(html: Column | str) -> Column:
     h = col(html)
     return F.concat(meta_candidates(h), jsonld_candidates(h), time_candidates(h), visible_candidates(h))
 
 
+@cached
 def from_html(html: Column | str) -> Column:
     """Meta -> JSON-LD -> time tag -> visible text: first candidate that parses."""
     return first_parsed(html_candidates(html))

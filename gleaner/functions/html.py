@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import col, strip
+from .common import cached, col, strip
 
 # Named entities decoded in page text ('&amp;' last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
@@ -72,6 +72,7 @@ def meta_content(html: Column, attr: str, value: str) -> Column:
     return F.regexp_extract(tag, RX_META_CONTENT, 1)
 
 
+@cached
 def page_title(html: Column | str) -> Column:
     """og:title -> <title> -> first <h1> -> ''."""
     h = drop_elements(html, ["script", "style"])
@@ -81,6 +82,7 @@ def page_title(html: Column | str) -> Column:
     return F.coalesce(F.nullif(og, F.lit("")), F.nullif(title, F.lit("")), h1)
 
 
+@cached
 def meta_description(html: Column | str, n: int) -> Column:
     """og:description, else meta description; stripped; first n chars; NULL if none."""
     h = col(html)
@@ -89,6 +91,7 @@ def meta_description(html: Column | str, n: int) -> Column:
     return F.substring(F.coalesce(F.nullif(og, F.lit("")), F.nullif(desc, F.lit(""))), 1, n)
 
 
+@cached
 def main_text(html: Column | str, n: int = 2000) -> Column:
     """Readable text: noise elements dropped; root = article -> main ->
     div with class content/article/post -> body; paragraphs over 20 chars
@@ -105,6 +108,7 @@ def main_text(html: Column | str, n: int = 2000) -> Column:
     return F.substring(F.regexp_replace(text, "\n{3,}", "\n\n"), 1, n)
 
 
+@cached
 def page_excerpt(html: Column | str, n: int = 300) -> Column:
     """Meta description, else the first n chars of the main text; NULL when empty."""
     return F.coalesce(meta_description(html, n),

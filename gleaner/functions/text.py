@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import WS, col, nz, rstrip, strip
+from .common import cached, WS, col, nz, rstrip, strip
 
 ELLIPSIS = "…"
 
@@ -33,6 +33,7 @@ SENTENCE_END = r"[.!?。！？；]\s+|[.!?。！？；]$"
 # ---------------------------------------------------------------------------
 
 
+@cached
 def strip_html(c: Column | str) -> Column:
     """Remove HTML comments (across lines), then every tag."""
     no_comments = F.regexp_replace(col(c), "(?s)<!--.*?-->", "")
@@ -53,6 +54,7 @@ def _cut(t: Column, n: int) -> Column:
     return F.concat(cut, F.lit(ELLIPSIS))
 
 
+@cached
 def truncate_words(c: Column | str, n: int) -> Column:
     """strip; if longer than n: first n-1 chars, rstrip, cut back to the
     last space when it lies past 60% of n, append an ellipsis."""
@@ -60,6 +62,7 @@ def truncate_words(c: Column | str, n: int) -> Column:
     return F.when(t == "", F.lit("")).when(F.length(t) <= n, t).otherwise(_cut(t, n))
 
 
+@cached
 def make_excerpt(c: Column | str, n: int = 120) -> Column:
     """Excerpt of raw (possibly HTML) text: strip, drop markup, strip, truncate."""
     t = strip(nz(c))
@@ -67,12 +70,14 @@ def make_excerpt(c: Column | str, n: int = 120) -> Column:
     return F.when(t == "", F.lit("")).when(F.length(t2) <= n, t2).otherwise(_cut(t2, n))
 
 
+@cached
 def sentences(c: Column | str) -> Column:
     """Split at sentence ends; keep stripped pieces longer than 10 chars."""
     parts = F.transform(F.split(nz(c), SENTENCE_END), lambda s: strip(s))
     return F.filter(parts, lambda s: F.length(s) > 10)
 
 
+@cached
 def takeaway(title: Column | str, excerpt: Column | str, n: int = 60) -> Column:
     """One-line "what happened": an action-verb title, else the first of the
     first three sentences with an action verb, else the first sentence."""
@@ -91,32 +96,37 @@ def takeaway(title: Column | str, excerpt: Column | str, n: int = 60) -> Column:
             .otherwise(truncate_words(body, n)))
 
 
+@cached
 def detect_signals(text: Column | str,
-                   patterns: list[tuple[str, str]] = SIGNAL_PATTERNS) -> Column:
+                   patterns: tuple[tuple[str, str], ...] = tuple(SIGNAL_PATTERNS)) -> Column:
     """Ordered array of names of the patterns found in text."""
     t = nz(text)
     return F.array_compact(F.array(*[
         F.when(t.rlike("(?i)" + rx), F.lit(name)) for name, rx in patterns]))
 
 
+@cached
 def clip(c: Column | str, n: int) -> Column:
     """Hard display cut: first n chars plus an ellipsis when longer."""
     c = nz(c)
     return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit(ELLIPSIS))).otherwise(c)
 
 
+@cached
 def stars(score: Column | str) -> Column:
     s = col(score)
     return (F.when(s >= 2.0, F.lit("⭐⭐⭐")).when(s >= 1.5, F.lit("⭐⭐"))
             .otherwise(F.lit("⭐")))
 
 
+@cached
 def title_from_slug(url: Column | str) -> Column:
     """Last path segment, '-'/'_' to spaces, title case."""
     slug = F.element_at(F.split(F.regexp_replace(col(url), "/+$", ""), "/"), -1)
     return F.initcap(strip(F.regexp_replace(slug, "[-_]", " ")))
 
 
+@cached
 def doc_name(rank: Column | str, title: Column | str) -> Column:
     """``{rank:03d}_{safe title[:60]}.md``; chars other than letters, digits,
     space, '_' and '-' become '_'."""
@@ -124,6 +134,7 @@ def doc_name(rank: Column | str, title: Column | str) -> Column:
     return F.format_string("%03d_%s.md", col(rank), safe)
 
 
+@cached
 def natural_key(name: Column | str, width: int = 30) -> Column:
     """Sort key ordering digit runs numerically and other runs case-blind.
 

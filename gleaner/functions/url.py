@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import cached, col
 
 # RFC 3986 appendix B: scheme, authority, path, query, fragment.
 URL_RX = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -26,19 +26,23 @@ TRACKING_PREFIXES = [
 TRACKING_RX = "(?i)^(" + "|".join(TRACKING_PREFIXES) + ")"
 
 
+@cached
 def scheme(u: Column | str) -> Column:
     return F.lower(F.regexp_extract(col(u), URL_RX, 1))
 
 
+@cached
 def domain(u: Column | str) -> Column:
     """Network location lower-cased (host plus port / user info)."""
     return F.lower(F.regexp_extract(col(u), URL_RX, 2))
 
 
+@cached
 def path(u: Column | str) -> Column:
     return F.regexp_extract(col(u), URL_RX, 3)
 
 
+@cached
 def query(u: Column | str) -> Column:
     return F.regexp_extract(col(u), URL_RX, 4)
 
@@ -76,6 +80,7 @@ def clean_query(q: Column) -> Column:
         ordered, lambda x: F.concat(_encode(x["k"]), F.lit("="), _encode(x["v"]))), "&")
 
 
+@cached
 def normalize_url(u: Column | str) -> Column:
     """Lower-case scheme and host, drop fragment and ``;params`` of the last
     segment, strip trailing slashes (empty path -> '/'), clean the query."""
@@ -87,6 +92,7 @@ def normalize_url(u: Column | str) -> Column:
                     F.when(qs == "", F.lit("")).otherwise(F.concat(F.lit("?"), qs)))
 
 
+@cached
 def url_hash(u: Column | str) -> Column:
     """sha-256 hex of the normalised URL."""
     return F.sha2(normalize_url(u), 256)
@@ -98,6 +104,7 @@ URL_DATE_RX = (r"/(\d{4})/(\d{1,2})/(\d{1,2})(?:/|$)"
                r"|/(\d{8})(?:/|$)")
 
 
+@cached
 def date_from_url(u: Column | str) -> Column:
     """Leftmost URL date; year 1990-2100, month 1-12, day 1-31.
 

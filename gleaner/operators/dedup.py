@@ -13,8 +13,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def distinct_hashes(seen: DataFrame) -> DataFrame:
-    return seen.select("url_hash").distinct().withColumn("in_seen", F.lit(True))
+ORD_BITS = 32   # item_ord must stay below 2**32 within one source
+
+
+def arrival(source_ord: str = "source_ord", item_ord: str = "item_ord"):
+    """(source_ord, item_ord) packed into one long that sorts the same way,
+    so "first" is a fixed-width ``min`` (hash aggregate, no sort)."""
+    s, i = F.col(source_ord).cast("long"), F.col(item_ord).cast("long")
+    bad = (s < 0) | (s >= (1 << 30)) | (i < 0) | (i >= (1 << ORD_BITS))
+    return F.when(bad, F.raise_error(F.lit("source_ord/item_ord out of range for arrival order"))) \
+        .otherwise(F.shiftleft(s, ORD_BITS) + i)
+
+
+def hash_facts(items: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Per url_hash: the first arrival in this run and whether the hash is
+    in the seen state — one partial aggregate over items unioned with seen
+    (hot hashes collapse map-side; seen needs no separate distinct)."""
+    keys = items.select("url_hash", arrival().alias("_arr"), F.lit(False).alias("_seen"))
+    if seen is not None:
+        keys = keys.unionByName(seen.select("url_hash", F.lit(None).cast("long").alias("_arr"),
+                                            F.lit(True).alias("_seen")))
+    return keys.groupBy("url_hash").agg(F.min("_arr").alias("_first"), F.max("_seen").alias("_in_seen"))
 
 
 def tag_duplicates(items: DataFrame, seen: DataFrame | None) -> DataFrame:
@@ -22,19 +41,13 @@ def tag_duplicates(items: DataFrame, seen: DataFrame | None) -> DataFrame:
 
     ``items`` needs url_hash, source_ord, item_ord.  A hash present in
     ``seen`` marks all its rows dup_state; otherwise every row but the first
-    in (source_ord, item_ord) order is dup_run."""
-    key = F.struct("source_ord", "item_ord")
-    first = items.groupBy("url_hash").agg(F.min(key).alias("_first"))
-    out = items.join(first, "url_hash", "inner")
-    if seen is not None:
-        out = out.join(distinct_hashes(seen), "url_hash", "left")
-        in_seen = F.coalesce(F.col("in_seen"), F.lit(False))
-    else:
-        in_seen = F.lit(False)
-    dup = (F.when(in_seen, F.lit("dup_state"))
-           .when(key != F.col("_first"), F.lit("dup_run")))
-    cols = [c for c in items.columns]
-    return out.select(*cols, dup.alias("dup"))
+    in (source_ord, item_ord) order is dup_run.  One join back on url_hash
+    (AQE splits a hot hash's partition on the items side)."""
+    facts = hash_facts(items, seen)
+    out = items.join(facts, "url_hash", "left")
+    dup = (F.when(F.col("_in_seen"), F.lit("dup_state"))
+           .when(arrival() != F.col("_first"), F.lit("dup_run")))
+    return out.select(*items.columns, dup.alias("dup"))
 
 
 def first_wins(items: DataFrame) -> DataFrame:

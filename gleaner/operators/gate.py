@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import col, nz, regex_quote
+from ..functions.common import cached, col, nz, regex_quote
 from ..functions.text import detect_signals, make_excerpt, takeaway
 from ..spec import FilterSpec, window_cutoff
 
@@ -20,6 +20,7 @@ from ..spec import FilterSpec, window_cutoff
 _ALTERNATION_AT = 64
 
 
+@cached
 def in_window(publish_date: Column | str, as_of: dt.datetime | dt.date, days: int) -> Column:
     """Undated rows pass; dated rows need date >= as_of - days (inclusive)."""
     d = col(publish_date)
@@ -44,18 +45,24 @@ def matches_any(text: Column, patterns: list[str]) -> Column:
     return out
 
 
-def reason(df: DataFrame, spec: FilterSpec, signals: Column) -> Column:
+def reason(spec: FilterSpec, signals_col: str = "signals") -> Column:
     """First failing filter reason, or 'passed'."""
+    return _reason(spec.require_publish_date, tuple(spec.include_patterns),
+                   tuple(spec.exclude_patterns), spec.min_detail_signals, signals_col)
+
+
+@cached
+def _reason(require_date: bool, include: tuple, exclude: tuple, min_signals: int, signals_col: str) -> Column:
     text = gate_text("title", "excerpt")
     c = F.when(F.lit(False), F.lit(None))
-    if spec.require_publish_date:
+    if require_date:
         c = c.when(F.col("publish_date").isNull(), F.lit("no_date"))
-    if spec.include_patterns:
-        c = c.when(~matches_any(text, spec.include_patterns), F.lit("not_included"))
-    if spec.exclude_patterns:
-        c = c.when(matches_any(text, spec.exclude_patterns), F.lit("excluded"))
-    if spec.min_detail_signals > 0:
-        c = c.when(F.size(signals) < spec.min_detail_signals, F.lit("low_signal"))
+    if include:
+        c = c.when(~matches_any(text, list(include)), F.lit("not_included"))
+    if exclude:
+        c = c.when(matches_any(text, list(exclude)), F.lit("excluded"))
+    if min_signals > 0:
+        c = c.when(F.size(signals_col) < min_signals, F.lit("low_signal"))
     return c.otherwise(F.lit("passed"))
 
 
@@ -65,7 +72,7 @@ def tag_reason(df: DataFrame, spec: FilterSpec) -> DataFrame:
     ``takeaway``; others keep NULL there (computed only under 'passed')."""
     signals = detect_signals(F.concat(nz("title"), F.lit(" "), nz("excerpt")))
     out = df.withColumn("signals", signals)
-    r = reason(out, spec, F.col("signals"))
+    r = reason(spec, "signals")
     disp = F.coalesce(F.col("dup"), r) if "dup" in df.columns else r
     out = out.withColumn("disposition", disp)
     passed = F.col("disposition") == "passed"

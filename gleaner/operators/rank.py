@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.common import col
+from ..functions.common import cached, col
 from ..functions.url import domain as url_domain
 from ..spec import RankingSpec, as_of_date
 
@@ -24,7 +24,11 @@ EXPR_LIMIT = 512                # weight-map entries evaluated as one CASE
 BROADCAST_LIMIT = 100_000       # weight-map entries allowed on a broadcast side
 
 
-def weight_expr(domain: Column, source: Column, entries: list[tuple[str, float]]) -> Column:
+@cached
+def weight_expr(url_col: str, source_col: str, entries: tuple[tuple[str, float], ...]) -> Column:
+    """First entry whose pattern is a substring of the URL's domain or
+    equals the source label (any case); 1.0 when none matches."""
+    domain, source = url_domain(url_col), F.col(source_col)
     c = F.when(F.lit(False), F.lit(None).cast("double"))
     for pattern, w in entries:
         c = c.when((F.instr(domain, pattern) > 0) | (F.lower(source) == pattern.lower()),
@@ -37,7 +41,7 @@ def with_source_weight(df: DataFrame, entries: list[tuple[str, float]],
     """Add ``weight`` from the ordered (pattern, weight) entries; default 1.0."""
     dom = url_domain("url")
     if len(entries) <= EXPR_LIMIT:
-        return df.withColumn("weight", weight_expr(dom, F.col("source"), entries))
+        return df.withColumn("weight", weight_expr("url", "source", tuple(map(tuple, entries))))
     if len(entries) > BROADCAST_LIMIT:
         raise ValueError(f"weight map of {len(entries)} entries exceeds the broadcast bound")
     spark = spark or df.sparkSession
@@ -53,6 +57,7 @@ def with_source_weight(df: DataFrame, entries: list[tuple[str, float]],
     return out.withColumn("weight", F.coalesce("_w", F.lit(1.0))).drop("_dom", "_src", "_w")
 
 
+@cached
 def freshness(publish_date: Column | str, as_of: dt.datetime | dt.date) -> Column:
     """Age in whole days from publish date: <=1 -> 0.3, <=3 -> 0.15, else 0
     (future dates count as fresh; NULL -> 0)."""

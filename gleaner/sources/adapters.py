@@ -89,9 +89,9 @@ def seen_state(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF) ->
     """Hashes of documents with doc_id % 5 = 0, first seen doc_id % 90 days ago."""
     d = table(spark, sf_dir, "documents").where(F.col("doc_id") % 5 == 0)
     url = doc_url(F.col("doc_id"), F.col("text"), F.col("lang"), F.col("source"))
-    return d.select(
+    return d.select("doc_id", url.alias("url")).select(
         F.lit(TASK_KEY).alias("task_key"),
-        U.url_hash(url).alias("url_hash"),
+        U.url_hash("url").alias("url_hash"),
         F.timestamp_add("DAY", -(F.col("doc_id") % 90), F.lit(as_of).cast("timestamp_ntz")).alias("first_seen_ts"),
     )
 
