@@ -423,3 +423,56 @@ def manifest_row(spark, sf):
     from ..operators.status import manifest_row as mr
     c = _curated(spark, sf)
     return mr(c.tagged, _seen_live(spark, sf), A.job_spec(), A.AS_OF)
+
+
+# ---------------------------------------------------------------- streaming
+@query
+def stream_incremental(spark, sf):
+    """Three cron-style availableNow runs over arrivals split by source
+    range; survivors must equal the batch run's survivors."""
+    from ..streaming.incremental import run_incremental, seed_state
+    from ..streaming.scratch import run_folder
+    base = run_folder(spark, "incremental")
+    landing, state, out, ckpt = (f"{base}/{x}" for x in ("landing", "seen", "items", "checkpoint"))
+    seed_state(A.seen_state(spark, sf), state)
+    raw = _raw(spark, sf)
+    for lo, hi in ((0, 7), (7, 14), (14, 1 << 30)):
+        raw.where((F.col("source_ord") >= lo) & (F.col("source_ord") < hi)).write.mode("append").parquet(landing)
+        run_incremental(spark, landing, spec=A.job_spec(), as_of=A.AS_OF, state_path=state,
+                        out_path=out, checkpoint=ckpt)
+    return spark.read.parquet(out).select("url_hash", "source", "publish_date", "score", "title")
+
+
+@query
+def stream_ttl_dedup(spark, sf):
+    """Event-time TTL dedup on a stream: one row per URL hash."""
+    from ..schema import RAW_ITEMS
+    from ..streaming.incremental import ttl_dedup
+    from ..streaming.scratch import run_folder
+    base = run_folder(spark, "ttl-dedup")
+    _raw(spark, sf).write.parquet(f"{base}/landing")
+    stream = spark.readStream.schema(RAW_ITEMS).parquet(f"{base}/landing")
+    q = (ttl_dedup(stream, "fetched_at", A.TTL_DAYS).select("url_hash", "url", "source")
+         .writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("url_hash")
+
+
+@query
+def stream_health(spark, sf):
+    """Health fold over three time-ordered arrivals of the fetch log;
+    must equal the batch fold."""
+    from ..streaming.health import latest_health, run_health_stream
+    from ..streaming.scratch import run_folder
+    base = run_folder(spark, "health")
+    log = A.fetch_log(spark, sf).drop("event_id")
+    day = F.dayofmonth("ts")
+    for lo, hi in ((1, 11), (11, 21), (21, 32)):
+        log.where((day >= lo) & (day < hi)).write.mode("append").parquet(f"{base}/landing")
+        run_health_stream(spark, f"{base}/landing", f"{base}/health", f"{base}/checkpoint")
+    h = latest_health(spark, f"{base}/health")
+    return h.select("source_id", "consecutive_failures",
+                    F.date_format("last_success", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_success"),
+                    F.date_format("last_failure", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_failure"),
+                    "disabled", "total_items_fetched")

@@ -431,3 +431,8 @@ reg("manifest_row", f"""WITH {RAW}, {RAW_W}, {SEEN}, {TAGGED}
           CAST(count(*) FILTER (WHERE disposition IN ('no_date','not_included','excluded','low_signal')) AS BIGINT) AS filtered_out,
           CAST(count(*) FILTER (WHERE disposition = 'passed') AS BIGINT) AS final FROM tagged) t,
        (SELECT CAST(count(DISTINCT url_hash) AS BIGINT) AS waterline_before FROM seen_live) s""")
+
+# -------------------------------------------------------------- streaming
+reg("stream_incremental", f"{PIPE} SELECT url_hash, source, publish_date, score, title FROM items")
+reg("stream_ttl_dedup", f"WITH {RAW}, {RAW_W} SELECT DISTINCT url_hash FROM raw_w")
+reg("stream_health", SQL["health_fold"])
