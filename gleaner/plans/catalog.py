@@ -476,3 +476,65 @@ def stream_health(spark, sf):
                     F.date_format("last_success", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_success"),
                     F.date_format("last_failure", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_failure"),
                     "disabled", "total_items_fetched")
+
+
+# -------------------------------------------------------- feeds and sitemaps
+@query
+def rss_scan(spark, sf):
+    """Raw items written as an RSS feed (Spark XML writer), scanned back."""
+    from ..sources.feeds import scan_rss
+    from ..streaming.scratch import run_folder
+    path = run_folder(spark, "rss")
+    r = A.raw_items(spark, sf)
+    pub = F.date_format(F.to_timestamp(F.col("publish_date")), "EEE, dd MMM yyyy HH:mm:ss Z")
+    (r.select("title", F.col("url").alias("link"), pub.alias("pubDate"), F.col("excerpt").alias("description"),
+              F.col("item_ord").alias("guid"))
+     .write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path))
+    items = scan_rss(spark, path, label="corpus-rss", url=None, as_of=A.AS_OF, window_days=A.WINDOW_DAYS)
+    return items.select("url", "title", "source", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"),
+                        "excerpt")
+
+
+@query
+def atom_scan(spark, sf):
+    """Raw items written as one Atom feed per source (two links per entry,
+    two-line titles), scanned back with the newest-80 rule per feed."""
+    from ..sources.feeds import scan_atom
+    from ..streaming.scratch import run_folder
+    path = run_folder(spark, "atom")
+    d = A.table(spark, sf, "documents")
+    r = A.raw_items(spark, sf).join(d.select(F.col("doc_id").alias("item_ord"), "text"), "item_ord")
+    published = F.date_format(F.timestamp_add("SECOND", (F.col("item_ord") % 86400).cast("int"),
+                                              F.to_timestamp(F.col("publish_date"))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    title = F.concat_ws("\n", F.slice(F.split("text", "\n"), 1, 2))
+    links = F.array(F.struct(F.col("url").alias("_href"), F.lit("alternate").alias("_rel")),
+                    F.struct(F.concat(F.col("url"), F.lit(".pdf")).alias("_href"), F.lit("related").alias("_rel")))
+    (r.select(F.col("item_ord").cast("string").alias("id"), F.substring(title, 1, 200).alias("title"),
+              links.alias("link"), published.alias("published"), F.col("excerpt").alias("summary"), "source")
+     .sortWithinPartitions("item_ord")
+     .write.partitionBy("source").format("xml").option("rowTag", "entry").option("rootTag", "feed").save(path))
+    items = scan_atom(spark, path, query="corpus", label=None, as_of=A.AS_OF, window_days=A.WINDOW_DAYS,
+                      feed_col="source")
+    return items.select("url", "title", "source", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"),
+                        "excerpt")
+
+
+@query
+def sitemap_scan(spark, sf):
+    """Pages written as a sitemap (lastmod, URL-dated and undated entries,
+    some without <loc>), scanned back with a '/en/' path filter."""
+    from ..sources.sitemap import scan_sitemap
+    from ..streaming.scratch import run_folder
+    path = run_folder(spark, "sitemap")
+    p = A.table(spark, sf, "pages")
+    day = (F.col("page_id") % 28 + 1).cast("int")
+    base = F.regexp_replace("url", "#.*$", "")
+    loc = (F.when(F.col("page_id") % 11 == 0, F.lit(None))
+           .when(F.col("page_id") % 3 == 1, F.format_string("%s/2024/01/%02d/", base, day))
+           .otherwise(base))
+    lastmod = F.when(F.col("page_id") % 3 == 0, F.format_string("2024-01-%02d", day))
+    (p.select(loc.alias("loc"), lastmod.alias("lastmod"))
+     .write.format("xml").option("rowTag", "url").option("rootTag", "urlset").save(path))
+    items = scan_sitemap(spark, path, label="corpus-sitemap", url=None, path_filter="/en/",
+                         as_of=A.AS_OF, window_days=A.WINDOW_DAYS)
+    return items.select("url", "title", "source", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"))

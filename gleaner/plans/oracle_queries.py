@@ -436,3 +436,34 @@ reg("manifest_row", f"""WITH {RAW}, {RAW_W}, {SEEN}, {TAGGED}
 reg("stream_incremental", f"{PIPE} SELECT url_hash, source, publish_date, score, title FROM items")
 reg("stream_ttl_dedup", f"WITH {RAW}, {RAW_W} SELECT DISTINCT url_hash FROM raw_w")
 reg("stream_health", SQL["health_fold"])
+
+# --------------------------------------------------------- feeds, sitemaps
+reg("rss_scan", f"""WITH {RAW} SELECT {O.strip('url')} AS url, {O.strip("coalesce(title, '')")} AS title,
+  'corpus-rss' AS source, strftime(publish_date, '%Y-%m-%d') AS publish_date,
+  substr(nullif(excerpt, ''), 1, 500) AS excerpt
+  FROM raw WHERE {O.strip('url')} <> '' AND (publish_date IS NULL OR publish_date >= {CUTOFF_D})""")
+
+reg("atom_scan", f"""WITH {RAW}, e AS (
+    SELECT r.*, d.text,
+      CASE WHEN r.publish_date IS NULL THEN '' ELSE strftime(CAST(r.publish_date AS TIMESTAMP)
+        + to_seconds(CAST(r.item_ord % 86400 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') END AS published
+    FROM raw r JOIN documents d ON d.doc_id = r.item_ord),
+  k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY published DESC, item_ord) AS k FROM e)
+  SELECT {O.strip('url')} AS url,
+    replace({O.strip("substr(array_to_string(string_split(text, chr(10))[1:2], chr(10)), 1, 200)")}, chr(10), ' ') AS title,
+    source, strftime(publish_date, '%Y-%m-%d') AS publish_date,
+    CASE WHEN {O.strip("coalesce(excerpt, '')")} <> '' THEN substr(replace({O.strip("coalesce(excerpt, '')")}, chr(10), ' '), 1, 500) END AS excerpt
+  FROM k WHERE k <= 80 AND {O.strip('url')} <> '' AND (publish_date IS NULL OR publish_date >= {CUTOFF_D})""")
+
+LASTMOD = "coalesce(lastmod, '')"
+reg("sitemap_scan", f"""WITH s AS (
+    SELECT CASE WHEN page_id % 11 = 0 THEN NULL
+                WHEN page_id % 3 = 1 THEN printf('%s/2024/01/%02d/', regexp_replace(url, '#.*$', ''), page_id % 28 + 1)
+                ELSE regexp_replace(url, '#.*$', '') END AS loc,
+           CASE WHEN page_id % 3 = 0 THEN printf('2024-01-%02d', page_id % 28 + 1) END AS lastmod
+    FROM pages),
+  u AS (SELECT {O.strip("coalesce(loc, '')")} AS url, lastmod FROM s),
+  d AS (SELECT url, coalesce({O.parse_date(f"nullif({O.strip(LASTMOD)}, '')")},
+                             {O.date_from_url('url')}) AS pd FROM u WHERE url <> '' AND instr(url, '/en/') > 0)
+  SELECT url, {O.title_from_slug('url')} AS title, 'corpus-sitemap' AS source, strftime(pd, '%Y-%m-%d') AS publish_date
+  FROM d WHERE pd IS NOT NULL AND pd >= {CUTOFF_D}""")
