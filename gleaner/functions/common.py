@@ -31,6 +31,14 @@ def nz(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element
+    ``transform``).  Spark does not share a subexpression that sits in a
+    CASE branch or is referenced many times inside another function, so
+    deep string pipelines would otherwise recompute it per reference."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def regex_quote(s: str) -> str:
     """Escape a literal for use inside a regex understood by Java and RE2."""
     out = []

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import cached, col, strip
+from .common import cached, col, let, strip
 from .text import strip_html
 from .url import date_from_url
 
@@ -159,6 +159,14 @@ def _nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def _has(h: Column, needle: str) -> Column:
+    """Cheap guard: a case-blind substring test before any regex runs."""
+    return F.instr(F.lower(h), needle) > 0
+
+
+_NO_CANDIDATES = "array<string>"
+
+
 @cached
 def meta_candidates(html: Column | str) -> Column:
     """content of the first <meta> per property (exact), then per name
@@ -168,7 +176,7 @@ def meta_candidates(html: Column | str) -> Column:
              for p in META_PROPERTIES]
     cands += [_nonempty(F.regexp_extract(F.regexp_extract(h, rx_meta_name(n), 0), RX_CONTENT, 1))
               for n in META_NAMES]
-    return F.array(*cands)
+    return F.when(_has(h, "<meta"), F.array(*cands)).otherwise(F.array().cast(_NO_CANDIDATES))
 
 
 @cached
@@ -192,7 +200,7 @@ def jsonld_candidates(html: Column | str) -> Column:
 
     per_script = F.transform(scripts, lambda s: F.flatten(F.transform(
         F.coalesce(items(s), F.array().cast("array<string>")), item_cands)))
-    return F.flatten(per_script)
+    return F.when(_has(col(html), "ld+json"), F.flatten(per_script)).otherwise(F.array().cast(_NO_CANDIDATES))
 
 
 @cached
@@ -201,7 +209,7 @@ def time_candidates(html: Column | str) -> Column:
     h = col(html)
     attrs = F.regexp_extract_all(h, F.lit(RX_TIME_ATTR), 1)
     texts = F.transform(F.regexp_extract_all(h, F.lit(RX_TIME_TEXT), 1), lambda t: strip(strip_html(t)))
-    return F.concat(attrs, texts)
+    return F.when(_has(h, "<time"), F.concat(attrs, texts)).otherwise(F.array().cast(_NO_CANDIDATES))
 
 
 @cached
@@ -230,8 +238,9 @@ def visible_candidates(html: Column | str) -> Column:
     pattern matches in the first 2000 chars of the main text."""
     h = col(html)
     classed = F.transform(F.regexp_extract_all(h, F.lit(RX_DATE_CLASSED), 3), lambda t: strip(strip_html(t)))
-    data_date = F.regexp_extract_all(h, F.lit(RX_DATA_DATE), 1)
-    return F.concat(classed, data_date, text_candidates(visible_text(h, 2000)))
+    data_date = F.when(_has(h, "data-date"), F.regexp_extract_all(h, F.lit(RX_DATA_DATE), 1)) \
+        .otherwise(F.array().cast(_NO_CANDIDATES))
+    return F.concat(classed, data_date, let(visible_text(h, 2000), text_candidates))
 
 
 @cached

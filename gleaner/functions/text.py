@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import cached, WS, col, nz, rstrip, strip
+from .common import WS, cached, col, let, nz, rstrip, strip
 
 ELLIPSIS = "…"
 
@@ -48,26 +48,29 @@ def _last_space_index(c: Column) -> Column:
 
 def _cut(t: Column, n: int) -> Column:
     """Word-aware cut of an already stripped, non-empty text longer than n."""
-    cut = rstrip(F.substring(t, 1, n - 1))
-    ls = _last_space_index(cut)
-    cut = F.when(ls > F.lit(n * 0.6), F.substring(cut, F.lit(1), ls)).otherwise(cut)
-    return F.concat(cut, F.lit(ELLIPSIS))
+    def finish(cut: Column) -> Column:
+        return let(_last_space_index(cut), lambda ls: F.concat(
+            F.when(ls > F.lit(n * 0.6), F.substring(cut, F.lit(1), ls)).otherwise(cut), F.lit(ELLIPSIS)))
+    return let(rstrip(F.substring(t, 1, n - 1)), finish)
+
+
+def _fit(t: Column, n: int) -> Column:
+    """t (stripped) as is when it fits in n chars, else cut."""
+    return F.when(t == "", F.lit("")).when(F.length(t) <= n, t).otherwise(_cut(t, n))
 
 
 @cached
 def truncate_words(c: Column | str, n: int) -> Column:
     """strip; if longer than n: first n-1 chars, rstrip, cut back to the
     last space when it lies past 60% of n, append an ellipsis."""
-    t = strip(nz(c))
-    return F.when(t == "", F.lit("")).when(F.length(t) <= n, t).otherwise(_cut(t, n))
+    return let(strip(nz(c)), lambda t: _fit(t, n))
 
 
 @cached
 def make_excerpt(c: Column | str, n: int = 120) -> Column:
     """Excerpt of raw (possibly HTML) text: strip, drop markup, strip, truncate."""
-    t = strip(nz(c))
-    t2 = strip(strip_html(t))
-    return F.when(t == "", F.lit("")).when(F.length(t2) <= n, t2).otherwise(_cut(t2, n))
+    return let(strip(nz(c)), lambda t: F.when(t == "", F.lit("")).otherwise(
+        let(strip(strip_html(t)), lambda t2: _fit(t2, n))))
 
 
 @cached
@@ -81,28 +84,36 @@ def sentences(c: Column | str) -> Column:
 def takeaway(title: Column | str, excerpt: Column | str, n: int = 60) -> Column:
     """One-line "what happened": an action-verb title, else the first of the
     first three sentences with an action verb, else the first sentence."""
-    title, excerpt = nz(title), nz(excerpt)
     verb = "(?i)" + ACTION_VERBS
-    text = strip(strip_html(excerpt))
-    body = F.regexp_replace(strip(F.regexp_replace(text, "(?i)" + FILLER_STARTS, "")),
-                            "^[,;: ]+", "")
-    sents = sentences(body)
-    with_verb = F.get(F.filter(F.slice(sents, 1, 3), lambda s: s.rlike(verb)), 0)
+    title, excerpt = nz(title), nz(excerpt)
+
+    def from_body(body: Column) -> Column:
+        return let(sentences(body), lambda sents: let(
+            F.get(F.filter(F.slice(sents, 1, 3), lambda s: s.rlike(verb)), 0),
+            lambda with_verb: F.when(with_verb.isNotNull(), truncate_words(with_verb, n))
+            .when(F.size(sents) > 0, truncate_words(F.get(sents, 0), n))
+            .otherwise(truncate_words(body, n))))
+
+    def from_text(text: Column) -> Column:
+        body = F.regexp_replace(strip(F.regexp_replace(text, "(?i)" + FILLER_STARTS, "")), "^[,;: ]+", "")
+        return F.when(text == "", truncate_words(title, n)).otherwise(let(body, from_body))
+
     return (F.when((title == "") & (excerpt == ""), F.lit(""))
             .when((F.length(title) <= n) & title.rlike(verb), title)
-            .when(text == "", truncate_words(title, n))
-            .when(with_verb.isNotNull(), truncate_words(with_verb, n))
-            .when(F.size(sents) > 0, truncate_words(F.get(sents, 0), n))
-            .otherwise(truncate_words(body, n)))
+            .otherwise(let(strip(strip_html(excerpt)), from_text)))
 
 
 @cached
 def detect_signals(text: Column | str,
                    patterns: tuple[tuple[str, str], ...] = tuple(SIGNAL_PATTERNS)) -> Column:
-    """Ordered array of names of the patterns found in text."""
+    """Ordered array of the names of the (case-insensitive) patterns found
+    in text.  Built as a concat of 0/1-element arrays so it stays in
+    generated code (a filter over an array would fall back to interpreted
+    evaluation of every regex)."""
     t = nz(text)
-    return F.array_compact(F.array(*[
-        F.when(t.rlike("(?i)" + rx), F.lit(name)) for name, rx in patterns]))
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.when(t.rlike("(?i)" + rx), F.array(F.lit(name))).otherwise(empty)
+                      for name, rx in patterns])
 
 
 @cached

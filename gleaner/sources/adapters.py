@@ -41,7 +41,17 @@ THEMES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has
+    cores (a small file with one row group is a single task, and most
+    operators here are regex work per row).  A large input already has
+    enough splits and is returned untouched, so at scale this adds no
+    shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def job_spec(min_signals: int = MIN_SIGNALS) -> JobSpec:
