@@ -26,11 +26,14 @@ def source_health(log: DataFrame) -> DataFrame:
         F.max(F.when(~ok, F.col("ts"))).alias("last_failure"),
         F.sum(F.when(ok, F.col("item_count")).otherwise(F.lit(0))).cast("long").alias("total_items_fetched"),
         F.count(F.lit(1)).cast("long").alias("fetches"))
-    tail = (log.join(first.select(*keys, "last_success"), keys)
+    # one row per source joins back to the log; the per-source columns ride
+    # through the second aggregate, so no third join is needed
+    after_last = ~ok & (F.col("last_success").isNull() | (F.col("ts") > F.col("last_success")))
+    return (log.select(*keys, "ts", "success").join(first, keys)
             .groupBy(*keys)
-            .agg(F.count_if(~ok & (F.col("last_success").isNull() | (F.col("ts") > F.col("last_success"))))
-                 .cast("long").alias("consecutive_failures")))
-    return (first.join(tail, keys)
+            .agg(F.count_if(after_last).cast("long").alias("consecutive_failures"),
+                 F.max("last_success").alias("last_success"), F.max("last_failure").alias("last_failure"),
+                 F.max("total_items_fetched").alias("total_items_fetched"), F.max("fetches").alias("fetches"))
             .withColumn("disabled", F.col("consecutive_failures") >= DISABLE_AFTER))
 
 
