@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import __version__
 from ..functions import text as T
 from ..functions import url as U
 from ..functions.dates import parse_date
@@ -538,3 +539,16 @@ def sitemap_scan(spark, sf):
     items = scan_sitemap(spark, path, label="corpus-sitemap", url=None, path_filter="/en/",
                          as_of=A.AS_OF, window_days=A.WINDOW_DAYS)
     return items.select("url", "title", "source", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"))
+
+
+@query
+def weekly_report(spark, sf):
+    """The whole weekly report as ordered lines."""
+    from ..operators.report import display_title, weekly_report as weekly
+    ranked = _ranked(spark, sf)
+    c = _curated(spark, sf)
+    silent = stats.silent_sources(stats.per_source(c.tagged, A.sources_dim(spark)), A.sources_dim(spark))
+    alerts = health.health_alerts(health.source_health(A.fetch_log(spark, sf)))
+    board = themes.board(ranked, A.THEMES)
+    return weekly(ranked, board, silent, alerts, title=display_title(A.TASK_KEY), as_of=A.AS_OF,
+                  window_days=A.WINDOW_DAYS, configured=A.N_SOURCES, version=__version__)

@@ -467,3 +467,76 @@ reg("sitemap_scan", f"""WITH s AS (
                              {O.date_from_url('url')}) AS pd FROM u WHERE url <> '' AND instr(url, '/en/') > 0)
   SELECT url, {O.title_from_slug('url')} AS title, 'corpus-sitemap' AS source, strftime(pd, '%Y-%m-%d') AS publish_date
   FROM d WHERE pd IS NOT NULL AND pd >= {CUTOFF_D}""")
+
+# ---------------------------------------------------------- weekly report
+import datetime as _dt  # noqa: E402
+
+from .. import __version__  # noqa: E402
+
+
+def _lit_rows(section: int, part: int, lines: list[str], start: int = 0) -> str:
+    return " UNION ALL ".join(f"SELECT {section}, {part}, {start + i}, {O.q(t)}" for i, t in enumerate(lines))
+
+
+_BIG = 1 << 40
+_START = (A.AS_OF - _dt.timedelta(days=A.WINDOW_DAYS)).strftime("%Y-%m-%d")
+_TITLE = A.TASK_KEY.replace("_", " ").title()
+_THEME_BOARD = f"""th AS (SELECT *, {_theme_case(_gtext())} AS theme FROM ranked),
+  tc AS (SELECT theme, count(*) AS n, min(rank) AS first_rank FROM th WHERE theme IS NOT NULL GROUP BY theme),
+  board AS (SELECT *, row_number() OVER (ORDER BY n DESC, first_rank) AS i FROM tc ORDER BY n DESC, first_rank LIMIT 6),
+  refs AS (SELECT theme, rank, title, url, publish_date,
+                  row_number() OVER (PARTITION BY theme ORDER BY rank) AS p FROM th WHERE theme IS NOT NULL)"""
+_SILENT = f"""silent AS (SELECT c.label AS source,
+    CASE WHEN coalesce(p.fetched, 0) = 0 THEN '{RP.SILENT_REASON_TEXT[0][1]}'
+         WHEN coalesce(p.dedup_dropped, 0) >= coalesce(p.fetched, 0) AND coalesce(p.filter_dropped, 0) = 0 THEN '{RP.SILENT_REASON_TEXT[1][1]}'
+         WHEN coalesce(p.filter_dropped, 0) > 0 THEN '{RP.SILENT_REASON_TEXT[2][1]}' ELSE '{RP.SILENT_REASON_TEXT[3][1]}' END AS reason,
+    coalesce(p.fetched, 0) AS fetched, coalesce(p.dedup_dropped, 0) AS dedup_dropped, coalesce(p.filter_dropped, 0) AS filter_dropped
+  FROM (SELECT DISTINCT label FROM sources) c LEFT JOIN per_source p ON p.source = c.label WHERE coalesce(p.final, 0) = 0)"""
+_ALERTS = """alerts AS (SELECT source_id, consecutive_failures AS failures, consecutive_failures >= 5 AS disabled, last_failure
+  FROM health WHERE consecutive_failures >= 3)"""
+_LINES = f"""lines(section, part, line_ord, line) AS (
+  {_lit_rows(0, 0, ['# ' + _TITLE, '', RP.W_PERIOD.format(start=_START, end=f'{A.AS_OF:%Y-%m-%d}'),
+                    RP.W_GENERATED.format(generated=f'{A.AS_OF:%Y-%m-%d %H:%M} UTC')])}
+  UNION ALL SELECT 0, 0, 4, printf({O.q(RP.W_SOURCES)}, {A.N_SOURCES}, (SELECT count(DISTINCT source) FROM ranked), (SELECT count(*) FROM ranked))
+  UNION ALL {_lit_rows(0, 0, ['', '---', ''], 5)}
+  UNION ALL SELECT 1, 0, 0, printf({O.q(RP.W_TOP)}, least(5, (SELECT count(*) FROM ranked)))
+  UNION ALL {_lit_rows(1, 0, [''] + RP.TOP_HEADER, 1)}
+  UNION ALL SELECT 1, rank, 0, printf('| %d | %s | %s | %s | %s | %s | [%s](%s) |', rank, {O.stars('score')},
+      coalesce(publish_date, ''), coalesce(source, ''), {O.clip('title', 60)}, coalesce(takeaway, ''),
+      {O.q(RP.LINK_LABEL)}, coalesce(url, '')) FROM ranked WHERE rank <= 5
+  UNION ALL {_lit_rows(1, _BIG, ['', '---', ''])}
+  UNION ALL {_lit_rows(2, 0, RP.TIMELINE_HEADER)}
+  UNION ALL SELECT 2, rank, 0, printf('| %d | %s | %s | %s | %s | [%s](%s) |', rank, coalesce(publish_date, ''),
+      coalesce(source, ''), {O.clip('title', 55)}, coalesce(excerpt, ''), {O.q(RP.LINK_LABEL)}, coalesce(url, '')) FROM ranked
+  UNION ALL {_lit_rows(2, _BIG, ['', '---', ''])}
+  UNION ALL SELECT 3, 0, 0, printf({O.q(RP.W_THEMES)}, (SELECT count(*) FROM board))
+  UNION ALL {_lit_rows(3, 0, [''], 1)}
+  UNION ALL SELECT 3, i, 0, printf({O.q(RP.W_THEME_HEAD)}, i, theme) FROM board
+  UNION ALL SELECT 3, i, 1, '' FROM board
+  UNION ALL SELECT 3, i, 2, printf({O.q(RP.W_THEME_SUMMARY)}, n, theme) FROM board
+  UNION ALL SELECT 3, i, 3, '' FROM board
+  UNION ALL SELECT 3, i, 4, {O.q(RP.W_THEME_REFS)} FROM board
+  UNION ALL SELECT 3, b.i, 4 + r.p, printf({O.q(RP.W_THEME_REF)}, {O.clip('r.title', 50)}, coalesce(r.url, ''), coalesce(r.publish_date, ''))
+      FROM board b JOIN refs r ON r.theme = b.theme AND r.p <= 5
+  UNION ALL SELECT 3, b.i, 5 + least(5, b.n), '' FROM board b
+  UNION ALL SELECT 3, {1 << 39}, 0, {O.q(RP.W_NO_THEMES)} WHERE (SELECT count(*) FROM board) = 0
+  UNION ALL {_lit_rows(3, _BIG, ['', '---', ''])}
+  UNION ALL {_lit_rows(4, 0, [RP.W_SILENT, ''])}
+  UNION ALL SELECT 4, 0, 2 + t.k, t.line FROM (SELECT unnest([{', '.join(O.q(x) for x in [RP.W_SILENT_INTRO, ''] + RP.W_SILENT_HEADER)}]) AS line,
+      unnest(range(0, 4)) AS k) t WHERE (SELECT count(*) FROM silent) > 0
+  UNION ALL SELECT 4, 1, row_number() OVER (ORDER BY source), printf('| %s | %s | %d | %d | %d |', source, reason,
+      fetched, dedup_dropped, filter_dropped) FROM silent
+  UNION ALL SELECT 4, 0, 2, {O.q(RP.W_NO_SILENT)} WHERE (SELECT count(*) FROM silent) = 0
+  UNION ALL {_lit_rows(4, _BIG, ['', '---', ''])}
+  UNION ALL {_lit_rows(5, 0, [RP.W_ALERTS, ''])}
+  UNION ALL SELECT 5, 0, 2 + t.k, t.line FROM (SELECT unnest([{', '.join(O.q(x) for x in RP.W_ALERTS_HEADER)}]) AS line,
+      unnest(range(0, 2)) AS k) t WHERE (SELECT count(*) FROM alerts) > 0
+  UNION ALL SELECT 5, 1, row_number() OVER (ORDER BY disabled DESC, failures DESC, source_id),
+      printf('| %s | %d | %s | %s |', source_id, failures, coalesce(strftime(last_failure, '%Y-%m-%d %H:%M:%S'), '—'),
+             CASE WHEN disabled THEN '{RP.ALERT_STATUS_TEXT[0][1]}' ELSE '{RP.ALERT_STATUS_TEXT[1][1]}' END) FROM alerts
+  UNION ALL SELECT 5, 0, 2, {O.q(RP.W_NO_ALERTS)} WHERE (SELECT count(*) FROM alerts) = 0
+  UNION ALL {_lit_rows(5, _BIG, ['', '---', '', RP.W_FOOTER.format(version=__version__)])})"""
+
+reg("weekly_report", f"""{PIPE}, {_THEME_BOARD}, {PER_SOURCE}, {_SILENT}, {HEALTH}, {_ALERTS}, {_LINES}
+  SELECT CAST(section AS BIGINT) AS section, CAST(part AS BIGINT) AS part, CAST(line_ord AS BIGINT) AS line_ord, line
+  FROM lines""")
