@@ -198,3 +198,63 @@ def weekly_report(ranked: DataFrame, board: DataFrame, silent: DataFrame, alerts
     layout = spark.createDataFrame(fixed, LINES_SCHEMA)
     return (layout.unionByName(header).unionByName(top).unionByName(timeline).unionByName(themes)
             .unionByName(silent_part).unionByName(alert_part))
+
+
+# Literal text of the memo layout (investment memo / dossier).
+M_TITLE = "# Investment Memo: {title}"
+M_PERIOD = "> **Period**: {start} — {end}"
+M_GENERATED = "> **Generated**: {generated}"
+M_SOURCES = "> **Sources**: %d | **Items**: %d"
+M_SUMMARY = ["## Executive Summary", "", "_To be filled based on analysis of collected items._"]
+M_FACTS = "## Facts (Verifiable Updates)"
+M_ANALYSIS = "## Analysis"
+M_EVIDENCE = "Evidence:"
+M_NO_THEMES = "_Analysis pending — review facts above and form thematic conclusions._"
+M_REFERENCES = "## Source References"
+M_FOOTER = "_Generated by gleaner v{version}_"
+
+
+def memo_report(ranked: DataFrame, board: DataFrame, *, title: str, as_of: dt.datetime,
+                window_days: int, version: str) -> DataFrame:
+    """Memo report lines (section, part, line_ord, line): facts per item,
+    analysis per theme, numbered references."""
+    spark = ranked.sparkSession
+    start = (as_of - dt.timedelta(days=window_days)).strftime("%Y-%m-%d")
+    fixed = [(0, 0, i, t) for i, t in enumerate([
+        M_TITLE.format(title=title), "", M_PERIOD.format(start=start, end=f"{as_of:%Y-%m-%d}"),
+        M_GENERATED.format(generated=f"{as_of:%Y-%m-%d %H:%M} UTC")])]
+    fixed += [(0, 1, i, t) for i, t in enumerate(["", "---", ""] + M_SUMMARY + ["", "---", "", M_FACTS, ""])]
+    fixed += [(2, 0, i, t) for i, t in enumerate(["", "---", "", M_ANALYSIS, ""])]
+    fixed += [(4, 0, i, t) for i, t in enumerate(["---", "", M_REFERENCES, ""])]
+    fixed += [(6, 0, i, t) for i, t in enumerate(["", "---", "", M_FOOTER.format(version=version)])]
+    layout = spark.createDataFrame(fixed, LINES_SCHEMA)
+
+    totals = ranked.agg(F.countDistinct("source").alias("active"), F.count(F.lit(1)).alias("items"))
+    head = _rows(totals, 0, F.lit(0), F.lit(4), F.format_string(M_SOURCES, F.col("active"), F.col("items")))
+    facts = ranked.select("rank", F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.format_string("%d. **%s** (%s)", F.col("rank"), nz("title"),
+                                                      nz("publish_date")).alias("line")),
+        F.struct(F.lit(1).alias("k"), F.concat(F.lit("   - Source: "), nz("source")).alias("line")),
+        F.struct(F.lit(2).alias("k"), F.concat(F.lit("   - "), F.substring(nz("excerpt"), 1, 120)).alias("line")),
+        F.struct(F.lit(3).alias("k"), F.format_string("   - [Source](%s)", nz("url")).alias("line")))).alias("l"))
+    facts = _rows(facts, 1, F.col("rank"), F.col("l.k"), F.col("l.line"))
+
+    idx = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("first_rank")))   # <= 6 rows
+    b = board.withColumn("i", idx)
+    theme_heads = b.select("i", F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.concat(F.lit("### "), F.col("theme")).alias("line")),
+        F.struct(F.lit(1).alias("k"), F.lit("").alias("line")),
+        F.struct(F.lit(2).alias("k"), F.format_string(W_THEME_SUMMARY, F.col("n"), F.col("theme")).alias("line")),
+        F.struct(F.lit(3).alias("k"), F.lit("").alias("line")),
+        F.struct(F.lit(4).alias("k"), F.lit(M_EVIDENCE).alias("line")))).alias("l"))
+    theme_refs = b.select("i", F.posexplode("refs").alias("p", "r")).select(
+        "i", (F.col("p") + 5).alias("k"),
+        F.format_string("- [%s](%s)", F.substring(nz(F.col("r.title")), 1, 50), nz(F.col("r.url"))).alias("line"))
+    theme_tail = b.select("i", (F.size("refs") + 5).alias("k"), F.lit("").alias("line"))
+    analysis = (_rows(theme_heads, 3, F.col("i"), F.col("l.k"), F.col("l.line"))
+                .unionByName(_rows(theme_refs.unionByName(theme_tail), 3, F.col("i"), F.col("k"), F.col("line")))
+                .unionByName(_rows(b.agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == 0), 3, F.lit(0),
+                                   F.lit(0), F.lit(M_NO_THEMES))))
+    refs = _rows(ranked, 5, F.col("rank"), F.lit(0),
+                 F.format_string("%d. %s — %s", F.col("rank"), nz("title"), nz("url")))
+    return layout.unionByName(head).unionByName(facts).unionByName(analysis).unionByName(refs)

@@ -552,3 +552,21 @@ def weekly_report(spark, sf):
     board = themes.board(ranked, A.THEMES)
     return weekly(ranked, board, silent, alerts, title=display_title(A.TASK_KEY), as_of=A.AS_OF,
                   window_days=A.WINDOW_DAYS, configured=A.N_SOURCES, version=__version__)
+
+
+@query
+def memo_report(spark, sf):
+    """The memo report (investment memo / company dossier) as ordered lines."""
+    from ..operators.report import display_title, memo_report as memo
+    ranked = _ranked(spark, sf)
+    return memo(ranked, themes.board(ranked, A.THEMES), title=display_title(A.TASK_KEY), as_of=A.AS_OF,
+                window_days=A.WINDOW_DAYS, version=__version__)
+
+
+@query
+def score_pre_dedup(spark, sf):
+    """Scores with the multi-source bonus counted before dedup (distinct
+    sources per URL hash)."""
+    c = P.curate(_raw(spark, sf), _seen_live(spark, sf), A.job_spec(), A.AS_OF)
+    items = P.survivors(c.tagged, A.job_spec(), A.AS_OF, multi_stage="pre_dedup")
+    return items.select("url_hash", "source", "score")

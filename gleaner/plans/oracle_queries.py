@@ -540,3 +540,47 @@ _LINES = f"""lines(section, part, line_ord, line) AS (
 reg("weekly_report", f"""{PIPE}, {_THEME_BOARD}, {PER_SOURCE}, {_SILENT}, {HEALTH}, {_ALERTS}, {_LINES}
   SELECT CAST(section AS BIGINT) AS section, CAST(part AS BIGINT) AS part, CAST(line_ord AS BIGINT) AS line_ord, line
   FROM lines""")
+
+
+def _fixed(section: int, part: int, lines: list[str]) -> str:
+    return _lit_rows(section, part, lines)
+
+
+_MEMO = f"""mlines(section, part, line_ord, line) AS (
+  {_fixed(0, 0, [RP.M_TITLE.format(title=_TITLE), '', RP.M_PERIOD.format(start=_START, end=f'{A.AS_OF:%Y-%m-%d}'),
+                 RP.M_GENERATED.format(generated=f'{A.AS_OF:%Y-%m-%d %H:%M} UTC')])}
+  UNION ALL {_fixed(0, 1, ['', '---', ''] + RP.M_SUMMARY + ['', '---', '', RP.M_FACTS, ''])}
+  UNION ALL {_fixed(2, 0, ['', '---', '', RP.M_ANALYSIS, ''])}
+  UNION ALL {_fixed(4, 0, ['---', '', RP.M_REFERENCES, ''])}
+  UNION ALL {_fixed(6, 0, ['', '---', '', RP.M_FOOTER.format(version=__version__)])}
+  UNION ALL SELECT 0, 0, 4, printf({O.q(RP.M_SOURCES)}, (SELECT count(DISTINCT source) FROM ranked), (SELECT count(*) FROM ranked))
+  UNION ALL SELECT 1, rank, 0, printf('%d. **%s** (%s)', rank, coalesce(title, ''), coalesce(publish_date, '')) FROM ranked
+  UNION ALL SELECT 1, rank, 1, '   - Source: ' || coalesce(source, '') FROM ranked
+  UNION ALL SELECT 1, rank, 2, '   - ' || substr(coalesce(excerpt, ''), 1, 120) FROM ranked
+  UNION ALL SELECT 1, rank, 3, printf('   - [Source](%s)', coalesce(url, '')) FROM ranked
+  UNION ALL SELECT 3, i, 0, '### ' || theme FROM board
+  UNION ALL SELECT 3, i, 1, '' FROM board
+  UNION ALL SELECT 3, i, 2, printf({O.q(RP.W_THEME_SUMMARY)}, n, theme) FROM board
+  UNION ALL SELECT 3, i, 3, '' FROM board
+  UNION ALL SELECT 3, i, 4, {O.q(RP.M_EVIDENCE)} FROM board
+  UNION ALL SELECT 3, b.i, 4 + r.p, printf('- [%s](%s)', substr(coalesce(r.title, ''), 1, 50), coalesce(r.url, ''))
+      FROM board b JOIN refs r ON r.theme = b.theme AND r.p <= 5
+  UNION ALL SELECT 3, b.i, 5 + least(5, b.n), '' FROM board b
+  UNION ALL SELECT 3, 0, 0, {O.q(RP.M_NO_THEMES)} WHERE (SELECT count(*) FROM board) = 0
+  UNION ALL SELECT 5, rank, 0, printf('%d. %s — %s', rank, coalesce(title, ''), coalesce(url, '')) FROM ranked)"""
+
+reg("memo_report", f"""{PIPE}, {_THEME_BOARD}, {_MEMO}
+  SELECT CAST(section AS BIGINT) AS section, CAST(part AS BIGINT) AS part, CAST(line_ord AS BIGINT) AS line_ord, line
+  FROM mlines""")
+
+reg("score_pre_dedup", f"""{PIPE}, ms AS (SELECT url_hash, count(DISTINCT source) AS n_sources FROM tagged GROUP BY url_hash)
+  SELECT i.url_hash, i.source,
+    round(w + least(CAST(0.1 AS DOUBLE) * len(sig), CAST(0.3 AS DOUBLE))
+          + CASE WHEN ms.n_sources > 1 THEN CAST(0.3 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
+          + CASE WHEN date_diff('day', publish_date, {AS_OF_D}) <= 1 THEN CAST(0.3 AS DOUBLE)
+                 WHEN date_diff('day', publish_date, {AS_OF_D}) <= 3 THEN CAST(0.15 AS DOUBLE)
+                 ELSE CAST(0.0 AS DOUBLE) END, 3) AS score
+  FROM (SELECT t.*, coalesce((SELECT weight FROM weights
+                              WHERE instr({O.domain('t.url')}, pattern) > 0 OR lower(pattern) = lower(t.source)
+                              ORDER BY ord LIMIT 1), CAST(1.0 AS DOUBLE)) AS w
+        FROM tagged t WHERE disposition = 'passed') i JOIN ms ON ms.url_hash = i.url_hash""")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.url import url_hash
 from ..operators.dedup import tag_duplicates
 from ..operators.gate import in_window, tag_reason
-from ..operators.rank import score
+from ..operators.rank import multi_source_counts, score
 from ..spec import JobSpec
 
 ITEM_COLUMNS = ["url", "title", "source", "publish_date", "excerpt", "takeaway", "signals",
@@ -40,9 +40,18 @@ def tag(raw: DataFrame, seen: DataFrame | None, spec: JobSpec) -> DataFrame:
     return tag_reason(tag_duplicates(with_hash, seen), spec.filters)
 
 
-def survivors(tagged: DataFrame, spec: JobSpec, as_of: dt.datetime) -> DataFrame:
+def survivors(tagged: DataFrame, spec: JobSpec, as_of: dt.datetime,
+              multi_stage: str = "post_dedup") -> DataFrame:
+    """Passed rows, scored.  The multi-source bonus counts rows per hash
+    among survivors (``post_dedup``, as the reference does: always one, so
+    it never fires) or distinct sources per hash before dedup
+    (``pre_dedup``: one partial aggregate joined back)."""
     passed = tagged.where(F.col("disposition") == "passed")
-    scored = score(passed, spec.ranking, spec.weight_entries(), as_of)
+    multi = None
+    if multi_stage == "pre_dedup":
+        passed = passed.join(multi_source_counts(tagged, "pre_dedup"), "url_hash", "left")
+        multi = F.col("n_sources") > 1
+    scored = score(passed, spec.ranking, spec.weight_entries(), as_of, multi)
     return scored.select(
         "url", "title", "source",
         F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"),
