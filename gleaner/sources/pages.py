@@ -110,9 +110,14 @@ def extract_links(listings: DataFrame) -> DataFrame:
 
 
 def page_lookup(pages: DataFrame) -> DataFrame:
-    """Landed pages keyed by normalised-URL hash, first page per key."""
-    return (pages.select(U.url_hash("url").alias("page_key"), "page_id", "html")
-            .groupBy("page_key").agg(F.min_by("html", "page_id").alias("page_html")))
+    """Landed pages keyed by normalised-URL hash: the first page per key
+    and its HTML publish date.  The date is taken map-side, so the join
+    ships one small row per page instead of its HTML."""
+    keyed = pages.select(U.url_hash("url").alias("page_key"), "page_id",
+                         from_html("html").alias("html_date"))
+    return (keyed.groupBy("page_key")
+            .agg(F.min_by(F.struct("html_date"), "page_id")["html_date"].alias("page_date"))
+            .withColumn("page_found", F.lit(True)))
 
 
 def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, window_days: int,
@@ -124,15 +129,15 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
     known = F.coalesce(F.col("ctx_date"), U.date_from_url("href"))
     j = (links.withColumn("known", known).withColumn("page_key", U.url_hash("href"))
          .join(page_lookup(pages), "page_key", "left"))
-    needs = F.col("known").isNull() & F.col("page_html").isNotNull()
+    needs = F.col("known").isNull() & F.col("page_found").isNotNull()
     j = j.withColumn("_needs", needs)
     w = Window.partitionBy("listing_url", "_needs").orderBy("link_pos")
     j = j.withColumn("_lookup", F.when(F.col("_needs"), F.row_number().over(w)))
-    page_date = F.when(F.col("_lookup") <= MAX_LOOKUPS, from_html("page_html"))
-    resolved = F.coalesce(F.col("known"), page_date)
+    looked_up = F.when(F.col("_lookup") <= MAX_LOOKUPS, F.col("page_date"))
+    resolved = F.coalesce(F.col("known"), looked_up)
     method = (F.when(F.col("ctx_date").isNotNull(), F.lit("context"))
               .when(F.col("known").isNotNull(), F.lit("url"))
-              .when(page_date.isNotNull(), F.lit("page"))
+              .when(looked_up.isNotNull(), F.lit("page"))
               .otherwise(F.lit("fallback" if fallback_today else "none")))
     out = (j.select("listing_url", "link_pos", "href", "text", resolved.alias("resolved"), method.alias("date_method"))
            .where(F.col("resolved").isNull() | (F.col("resolved") >= F.lit(window_cutoff(as_of, window_days)))))
