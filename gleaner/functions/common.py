@@ -26,6 +26,12 @@ def rstrip(c: Column | str) -> Column:
     return F.regexp_replace(col(c), f"{WS}+$", "")
 
 
+def ntz(t: _dt.datetime) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ) that does not depend on
+    the session or driver time zone."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def nz(c: Column | str) -> Column:
     """NULL -> empty string."""
     return F.coalesce(col(c), F.lit(""))

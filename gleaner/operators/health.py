@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import ntz
+
 DISABLE_AFTER = 5     # fixed: consecutive failures that disable a source
 ALERT_AT = 3          # fixed: consecutive failures that raise an alert
 
@@ -58,5 +60,5 @@ def fetch_outcomes(counts: DataFrame, sources: DataFrame, task_key: str, ts) ->
     return (sources.select(F.col("label").alias("source_id"))
             .join(counts.select(F.col("source").alias("source_id"), "n"), "source_id", "left")
             .select(F.lit(task_key).alias("task_key"), "source_id",
-                    F.lit(ts).cast("timestamp_ntz").alias("ts"), (n > 0).alias("success"),
+                    ntz(ts).alias("ts"), (n > 0).alias("success"),
                     n.alias("item_count")))

@@ -487,7 +487,8 @@ def rss_scan(spark, sf):
     from ..streaming.scratch import run_folder
     path = run_folder(spark, "rss")
     r = A.raw_items(spark, sf)
-    pub = F.date_format(F.to_timestamp(F.col("publish_date")), "EEE, dd MMM yyyy HH:mm:ss Z")
+    pub = F.concat(F.date_format(F.col("publish_date").cast("timestamp_ntz"), "EEE, dd MMM yyyy HH:mm:ss"),
+                   F.lit(" +0000"))
     (r.select("title", F.col("url").alias("link"), pub.alias("pubDate"), F.col("excerpt").alias("description"),
               F.col("item_ord").alias("guid"))
      .write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path))
@@ -506,7 +507,7 @@ def atom_scan(spark, sf):
     d = A.table(spark, sf, "documents")
     r = A.raw_items(spark, sf).join(d.select(F.col("doc_id").alias("item_ord"), "text"), "item_ord")
     published = F.date_format(F.timestamp_add("SECOND", (F.col("item_ord") % 86400).cast("int"),
-                                              F.to_timestamp(F.col("publish_date"))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+                                              F.col("publish_date").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     title = F.concat_ws("\n", F.slice(F.split("text", "\n"), 1, 2))
     links = F.array(F.struct(F.col("url").alias("_href"), F.lit("alternate").alias("_rel")),
                     F.struct(F.concat(F.col("url"), F.lit(".pdf")).alias("_href"), F.lit("related").alias("_rel")))

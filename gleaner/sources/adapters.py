@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import ntz
+
 from ..spec import FilterSpec, JobSpec, RankingSpec, SourceSpec
 from ..functions import url as U
 
@@ -89,7 +91,7 @@ def raw_items(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF) -> D
          .otherwise(F.date_add(F.lit(dt.date(2024, 1, 1)), (doc_id % 30).cast("int"))).alias("publish_date"),
         F.substring(text, 1, 500).alias("excerpt"),
         F.lit(None).cast("string").alias("raw_html"),
-        F.lit(as_of).cast("timestamp_ntz").alias("fetched_at"),
+        ntz(as_of).alias("fetched_at"),
         F.regexp_extract("source", r"(\d+)", 1).cast("int").alias("source_ord"),
         doc_id.cast("long").alias("item_ord"),
     )
@@ -102,7 +104,7 @@ def seen_state(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF) ->
     return d.select("doc_id", url.alias("url")).select(
         F.lit(TASK_KEY).alias("task_key"),
         U.url_hash("url").alias("url_hash"),
-        F.timestamp_add("DAY", -(F.col("doc_id") % 90), F.lit(as_of).cast("timestamp_ntz")).alias("first_seen_ts"),
+        F.timestamp_add("DAY", -(F.col("doc_id") % 90), ntz(as_of)).alias("first_seen_ts"),
     )
 
 

@@ -12,9 +12,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+
+from ..functions.common import ntz, strip
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions.common import strip
 from ..functions.dates import feed_date
 from ..operators.gate import in_window
 
@@ -65,7 +66,7 @@ def scan_rss(spark: SparkSession, path: str, *, label: str | None, url: str | No
         F.lit(source).alias("source"), pub.alias("publish_date"),
         _excerpt(F.coalesce("description", "summary"), F.col("`content:encoded`")).alias("excerpt"),
         F.lit(None).cast("string").alias("raw_html"),
-        F.lit(as_of).cast("timestamp_ntz").alias("fetched_at"),
+        ntz(as_of).alias("fetched_at"),
         F.lit(source_ord).cast("int").alias("source_ord"),
         F.monotonically_increasing_id().alias("item_ord"))
     return out.where((F.col("url") != "") & in_window("publish_date", as_of, window_days))
@@ -98,7 +99,7 @@ def scan_atom(spark: SparkSession, path: str, *, query: str, label: str | None,
         feed.alias("source"), pub.alias("publish_date"), pub_raw.alias("_pub_raw"),
         F.when(summary != "", F.substring(summary, 1, EXCERPT_CHARS)).alias("excerpt"),
         F.lit(None).cast("string").alias("raw_html"),
-        F.lit(as_of).cast("timestamp_ntz").alias("fetched_at"),
+        ntz(as_of).alias("fetched_at"),
         F.lit(source_ord).cast("int").alias("source_ord"),
         F.monotonically_increasing_id().alias("item_ord"))
     # the API returns the newest 80 by submission time; row_number <= k is a

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from ..functions.common import ntz, strip
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.common import strip
 from ..functions.dates import parse_date
 from ..functions.text import title_from_slug
 from ..functions.url import date_from_url
@@ -36,7 +37,7 @@ def scan_sitemap(spark: SparkSession, path: str, *, label: str | None, url: str
     out = r.select("url", title_from_slug("url").alias("title"), F.lit(source).alias("source"),
                    pub.alias("publish_date"), F.lit(None).cast("string").alias("excerpt"),
                    F.lit(None).cast("string").alias("raw_html"),
-                   F.lit(as_of).cast("timestamp_ntz").alias("fetched_at"),
+                   ntz(as_of).alias("fetched_at"),
                    F.lit(source_ord).cast("int").alias("source_ord"), "item_ord")
     return out.where(F.col("publish_date").isNotNull()
                      & (F.col("publish_date") >= F.lit(window_cutoff(as_of, window_days))))

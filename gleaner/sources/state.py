@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import ntz
+
 from ..schema import SEEN
 
 
@@ -24,7 +26,7 @@ def live_seen(seen: DataFrame, task_key: str, ttl_days: int | None,
     if ttl_days is None or ttl_days <= 0:
         return s
     cutoff = as_of - dt.timedelta(days=ttl_days)
-    return s.where(F.col("first_seen_ts") >= F.lit(cutoff).cast("timestamp_ntz"))
+    return s.where(F.col("first_seen_ts") >= ntz(cutoff))
 
 
 def load_seen(spark: SparkSession, path: str, task_key: str, ttl_days: int | None,
@@ -41,7 +43,7 @@ def new_hashes(tagged: DataFrame, task_key: str, as_of: dt.datetime) -> DataFram
     """All first-seen hashes of a run, filtered items included."""
     return (tagged.where(F.col("dup").isNull())
             .select(F.lit(task_key).alias("task_key"), "url_hash",
-                    F.lit(as_of).cast("timestamp_ntz").alias("first_seen_ts")))
+                    ntz(as_of).alias("first_seen_ts")))
 
 
 def append_seen(tagged: DataFrame, path: str, task_key: str, as_of: dt.datetime) -> None:

@@ -20,6 +20,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import ntz
 from ..functions.url import url_hash
 from ..plans.pipeline import survivors, tag
 from ..schema import RAW_ITEMS
@@ -60,7 +61,7 @@ def run_batch(batch: DataFrame, batch_id: int, *, spec: JobSpec, as_of: dt.datet
          .partitionBy("batch_id").parquet(out_path))
         new = (tagged.where(F.col("dup").isNull())
                .select(F.lit(spec.task_key).alias("task_key"), "url_hash",
-                       F.lit(as_of).cast("timestamp_ntz").alias("first_seen_ts"))
+                       ntz(as_of).alias("first_seen_ts"))
                .withColumn("batch_id", F.lit(batch_id).cast("long")))
         new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(state_path)
     finally:
