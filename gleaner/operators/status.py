@@ -21,17 +21,24 @@ def run_id(as_of: dt.datetime) -> str:
 
 def job_status(log: DataFrame) -> DataFrame:
     """Per task: runs (fetch days), latest run day, sources, disabled and
-    alerting sources, items fetched."""
+    alerting sources, items fetched — one aggregate over the health rows
+    unioned with the log's fetch days (no join)."""
     h = source_health(log)
-    per_task_h = h.groupBy("task_key").agg(
-        F.count(F.lit(1)).cast("long").alias("sources"),
-        F.count_if("disabled").cast("long").alias("disabled"),
-        F.count_if((F.col("consecutive_failures") >= ALERT_AT) | F.col("disabled")).cast("long").alias("alerting"),
-        F.sum("total_items_fetched").cast("long").alias("items_fetched"))
-    runs = log.groupBy("task_key").agg(
-        F.countDistinct(F.to_date("ts")).cast("long").alias("runs"),
-        F.date_format(F.max(F.to_date("ts")), "yyyy-MM-dd").alias("last_run"))
-    return runs.join(per_task_h, "task_key")
+    per_source = h.select(
+        "task_key", F.lit(None).cast("date").alias("day"), F.lit(1).alias("is_source"),
+        F.col("disabled").cast("int").alias("is_disabled"),
+        ((F.col("consecutive_failures") >= ALERT_AT) | F.col("disabled")).cast("int").alias("is_alerting"),
+        F.col("total_items_fetched").alias("items"))
+    days = log.select("task_key", F.to_date("ts").alias("day"), F.lit(0).alias("is_source"),
+                      F.lit(0).alias("is_disabled"), F.lit(0).alias("is_alerting"),
+                      F.lit(0).cast("long").alias("items"))
+    return per_source.unionByName(days).groupBy("task_key").agg(
+        F.countDistinct("day").cast("long").alias("runs"),
+        F.date_format(F.max("day"), "yyyy-MM-dd").alias("last_run"),
+        F.sum("is_source").cast("long").alias("sources"),
+        F.sum("is_disabled").cast("long").alias("disabled"),
+        F.sum("is_alerting").cast("long").alias("alerting"),
+        F.sum("items").cast("long").alias("items_fetched"))
 
 
 def manifest_row(tagged: DataFrame, seen_live: DataFrame, spec: JobSpec, as_of: dt.datetime) -> DataFrame:

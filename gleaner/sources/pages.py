@@ -116,7 +116,7 @@ def page_lookup(pages: DataFrame) -> DataFrame:
     keyed = pages.select(U.url_hash("url").alias("page_key"), "page_id",
                          from_html("html").alias("html_date"))
     return (keyed.groupBy("page_key")
-            .agg(F.min_by(F.struct("html_date"), "page_id")["html_date"].alias("page_date"))
+            .agg(F.min_by("html_date", "page_id").alias("page_date"))     # fixed-width: hash aggregate
             .withColumn("page_found", F.lit(True)))
 
 
