@@ -57,3 +57,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings sized for a large input (e.g. 100 TB on ~1000 executors).
+
+    * scan splits of 512 MB keep the task count near input / 512 MB;
+    * the initial shuffle partition count gives ~256 MB per partition
+      before AQE coalesces small ones (never fewer than 2 waves of cores);
+    * AQE splits skewed join partitions above 5x the median / 1 GB;
+    * broadcasts stay behind AQE's measured size (64 MB)."""
+    partitions = max(2 * total_cores, input_bytes // (target_partition_mb << 20))
+    return {
+        **CORE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -129,3 +129,25 @@ def test_natural_key_order(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [r.n for r in df.orderBy(T.natural_key("n")).collect()]
     assert got == ["a", "img1-a.png", "img1.png", "Img2.png", "img9.png", "img10.png"]
+
+
+def test_run_id_and_scale_conf():
+    from gleaner.operators.status import run_id
+    from gleaner.session import scale_conf
+    assert run_id(dt.datetime(2026, 3, 8, 9, 5, 7)) == "20260308T090507"
+    conf = scale_conf(100 << 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_ttl_dedup_stream(spark, tmp_path):
+    from gleaner.schema import RAW_ITEMS
+    from gleaner.streaming.incremental import ttl_dedup
+    rows = [("https://a.com/x", "t", "s", None, None, None, dt.datetime(2026, 3, 1), 0, i) for i in range(3)]
+    rows += [("https://a.com/y/?utm_source=z", "t", "s", None, None, None, dt.datetime(2026, 3, 1), 0, 9)]
+    spark.createDataFrame(rows, RAW_ITEMS).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(RAW_ITEMS).parquet(str(tmp_path / "in"))
+    q = (ttl_dedup(stream, "fetched_at", 45).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2

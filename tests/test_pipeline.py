@@ -73,3 +73,14 @@ def test_top_board_order(spark):
     keys = [(-r.score, r.publish_date and "".join(chr(255 - ord(c)) for c in r.publish_date), r.source_ord, r.item_ord)
             for r in top]
     assert keys == sorted(keys)
+
+
+def test_weekly_report_layout(spark):
+    lines = E.queries()["weekly_report"](spark, SF001).orderBy("section", "part", "line_ord").collect()
+    text = [r.line for r in lines]
+    assert text[0] == "# Weekly Corpus"
+    sections = [t for t in text if t.startswith("## ")]
+    assert len(sections) == 5 and sections[1] == "## 全量时间线"
+    assert text[-1].startswith("_由 gleaner v")
+    n_items = E.queries()["active_sources"](spark, SF001).first().item_count
+    assert sum(1 for r in lines if r.section == 2 and 0 < r.part < (1 << 40)) == n_items
