@@ -87,10 +87,15 @@ def parse_date(raw: Column | str) -> Column:
 
     Accepts ISO dates and date-times, ``Feb 28, 2026``, ``February 28 2026``,
     ``Feb. 28, 2026``, ``28 Feb 2026``, ``2026/2/28``, ``2/28/2026``; commas
-    are optional; else a leading ``YYYY-MM-DD`` is taken."""
-    r = F.regexp_replace(strip(col(raw)), "\\.+$", "")
-    nc = F.replace(r, F.lit(","), F.lit(""))
+    are optional; else a leading ``YYYY-MM-DD`` is taken.  The cleaned
+    string is bound once (``let``), so the parser stays a compact expression
+    wherever it is inlined."""
+    def parse(r: Column) -> Column:
+        return let(F.replace(r, F.lit(","), F.lit("")), lambda nc: _parse_clean(r, nc))
+    return let(F.regexp_replace(strip(col(raw)), "\\.+$", ""), parse)
 
+
+def _parse_clean(r: Column, nc: Column) -> Column:
     def g(rx: str, i: int) -> Column:
         return F.regexp_extract(nc, rx, i)
 
@@ -113,36 +118,41 @@ def parse_date(raw: Column | str) -> Column:
 def feed_date(raw: Column | str) -> Column:
     """Feed entry date shifted to UTC: RFC 822 (``Tue, 03 Mar 2026 23:30:00
     -0500``, zone names) or ISO 8601 with offset; else a plain ISO date."""
-    r = strip(col(raw))
-    rfc = (r"^(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\s+(\d{4})\s+"
-           r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[A-Za-z]+)?$")
-    iso = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(?:\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
+    return let(strip(col(raw)), _feed_date)
+
+
+RX_RFC822 = (r"^(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\s+(\d{4})\s+"
+             r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([+-]\d{4}|[A-Za-z]+)?$")
+RX_ISO_TS = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(?:\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
+
+
+def _zone_minutes(z: Column) -> Column:
+    num = F.when(z.rlike(r"^[+-]\d{2}:?\d{2}$"),
+                 F.when(F.substring(z, 1, 1) == "-", -1).otherwise(1)
+                 * (F.substring(z, 2, 2).cast("int") * 60
+                    + F.substring(F.replace(z, F.lit(":"), F.lit("")), 4, 2).cast("int")))
+    named = F.coalesce(*[F.when(F.upper(z) == k, F.lit(v * 60)) for k, v in ZONE_HOURS.items()])
+    return F.coalesce(num, named, F.lit(0))
+
 
+def _utc_date(local: Column, zone: Column) -> Column:
+    return F.to_date(F.timestamp_add("MINUTE", -let(zone, _zone_minutes), local.cast("timestamp_ntz")))
+
+
+def _feed_date(r: Column) -> Column:
     def g(rx: str, i: int) -> Column:
         return F.regexp_extract(r, rx, i)
 
-    def zone_minutes(z: Column) -> Column:
-        num = F.when(z.rlike(r"^[+-]\d{2}:?\d{2}$"),
-                     F.when(F.substring(z, 1, 1) == "-", -1).otherwise(1)
-                     * (F.substring(z, 2, 2).cast("int") * 60
-                        + F.substring(F.replace(z, F.lit(":"), F.lit("")), 4, 2).cast("int")))
-        named = F.coalesce(*[F.when(F.upper(z) == k, F.lit(v * 60)) for k, v in ZONE_HOURS.items()])
-        return F.coalesce(num, named, F.lit(0))
-
     rfc_local = F.try_to_timestamp(
-        F.format_string("%s-%02d-%02d %02d:%s:%s", g(rfc, 3), _month_no(g(rfc, 2)),
-                        g(rfc, 1).cast("int"), g(rfc, 4).cast("int"), g(rfc, 5),
-                        F.coalesce(F.nullif(g(rfc, 6), F.lit("")), F.lit("00"))),
+        F.format_string("%s-%02d-%02d %02d:%s:%s", g(RX_RFC822, 3), _month_no(g(RX_RFC822, 2)),
+                        g(RX_RFC822, 1).cast("int"), g(RX_RFC822, 4).cast("int"), g(RX_RFC822, 5),
+                        F.coalesce(F.nullif(g(RX_RFC822, 6), F.lit("")), F.lit("00"))),
         F.lit("yyyy-MM-dd HH:mm:ss"))
-    iso_local = F.try_to_timestamp(F.concat(g(iso, 1), F.lit(" "), g(iso, 2)),
+    iso_local = F.try_to_timestamp(F.concat(g(RX_ISO_TS, 1), F.lit(" "), g(RX_ISO_TS, 2)),
                                    F.lit("yyyy-MM-dd HH:mm:ss"))
-
-    def utc_date(local: Column, z: Column) -> Column:
-        return F.to_date(F.timestamp_add("MINUTE", -zone_minutes(z), local.cast("timestamp_ntz")))
-
     return F.coalesce(
-        F.when(r.rlike(rfc), utc_date(rfc_local, g(rfc, 7))),
-        F.when(r.rlike(iso), utc_date(iso_local, g(iso, 3))),
+        F.when(r.rlike(RX_RFC822), _utc_date(rfc_local, g(RX_RFC822, 7))),
+        F.when(r.rlike(RX_ISO_TS), _utc_date(iso_local, g(RX_ISO_TS, 3))),
         F.when(r.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(r, "yyyy-MM-dd")),
     )
 

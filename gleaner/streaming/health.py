@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.health import DISABLE_AFTER, source_health
 from ..schema import FETCH_LOG
+from .scratch import path_exists
 
 HEALTH_COLUMNS = ["task_key", "source_id", "consecutive_failures", "last_success", "last_failure",
                   "total_items_fetched", "fetches"]
@@ -52,13 +53,11 @@ def run_health_stream(spark: SparkSession, landing: str, health_path: str, check
     """Fold every new fetch-log file into the health table (availableNow)."""
     def fn(df: DataFrame, batch_id: int) -> None:
         prev = None
-        try:
+        if path_exists(spark, health_path):
             versions = spark.read.parquet(health_path).where(F.col("batch_id") < batch_id)
-            last = versions.agg(F.max("batch_id")).first()[0]
+            last = versions.agg(F.max("batch_id")).first()[0]      # one scalar: the latest version
             if last is not None:
                 prev = versions.where(F.col("batch_id") == last).select(*HEALTH_COLUMNS)
-        except Exception:  # no health table yet
-            prev = None
         merged = merge(prev, df.select(*FETCH_LOG.fieldNames()))
         (merged.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
