@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import WS, cached, col, let, nz, rstrip, strip
+from .common import cached, col, let, nz, rstrip, strip
 
 ELLIPSIS = "…"
 

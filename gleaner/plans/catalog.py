@@ -16,7 +16,6 @@ from ..functions.dates import parse_date
 from ..operators import dedup, gate, health, rank, stats, themes
 from ..operators.order import with_global_rank
 from ..sources import adapters as A
-from ..spec import window_cutoff
 from . import pipeline as P
 
 Query = Callable[[SparkSession, str], DataFrame]

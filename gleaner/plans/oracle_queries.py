@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from ..functions.text import SIGNAL_PATTERNS  # noqa: F401  (kept for reference in docs)
 from ..sources import adapters as A
 from ..spec import window_cutoff
 from . import oracle as O

@@ -6,7 +6,6 @@ helpers here are for tests, benchmarks and command-line use.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
