@@ -10,6 +10,7 @@ is broadcast.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +19,20 @@ from ..session import checkpoint_dir
 
 def with_global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     checkpoint_dir(df.sparkSession)
-    numbered = (df.orderBy(*order)
+    # The range sort samples its input and the checkpoint writes what a first
+    # pass computed; persisting both sides keeps the upstream plan from
+    # running three times (released once the checkpoint is written).
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    numbered = (src.orderBy(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        numbered_ck = numbered.checkpoint(eager=True)
+    finally:
+        numbered.unpersist()
+        src.unpersist()
+    numbered = numbered_ck
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
