@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import __version__
 from ..functions import text as T
 from ..functions import url as U
-from ..functions.dates import parse_date
+from ..functions.dates import parse_date as parse_date_expr
 from ..operators import dedup, gate, health, rank, stats, themes
 from ..operators.order import with_global_rank
 from ..sources import adapters as A
@@ -87,7 +87,7 @@ def slug_title(spark, sf):
 
 
 @query
-def parse_date_formats(spark, sf):
+def parse_date(spark, sf):
     o = A.table(spark, sf, "orders")
     d, k = F.col("o_orderdate"), F.col("o_orderkey")
     raw = (F.when(k % 6 == 0, F.date_format(d, "yyyy-MM-dd"))
@@ -96,7 +96,7 @@ def parse_date_formats(spark, sf):
            .when(k % 6 == 3, F.date_format(d, "d MMM yyyy"))
            .when(k % 6 == 4, F.date_format(d, "yyyy/M/d"))
            .otherwise(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
-    return o.select("o_orderkey", F.date_format(parse_date(raw), "yyyy-MM-dd").alias("parsed"))
+    return o.select("o_orderkey", F.date_format(parse_date_expr(raw), "yyyy-MM-dd").alias("parsed"))
 
 
 # ----------------------------------------------------------- text functions
@@ -570,3 +570,14 @@ def score_pre_dedup(spark, sf):
     c = P.curate(_raw(spark, sf), _seen_live(spark, sf), A.job_spec(), A.AS_OF)
     items = P.survivors(c.tagged, A.job_spec(), A.AS_OF, multi_stage="pre_dedup")
     return items.select("url_hash", "source", "score")
+
+
+@query
+def top_board(spark, sf):
+    """The report's top-five board rows (stars, date, source, clipped
+    title, takeaway, link)."""
+    from ..operators.report import top_lines
+    items = _curated(spark, sf).items
+    top = rank.top_items(items, 5)
+    ranked = top.select("*", F.row_number().over(Window.orderBy(*rank.order_cols())).cast("long").alias("rank"))
+    return top_lines(ranked)

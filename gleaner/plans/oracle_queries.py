@@ -109,7 +109,7 @@ reg("url_domain", f"SELECT {O.domain('url')} AS domain, CAST(count(*) AS BIGINT)
 reg("url_date", """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL
   ELSE strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END AS url_date FROM orders""")
 reg("slug_title", f"""SELECT p_partkey, {O.title_from_slug("'https://ex.com/news/' || lower(replace(p_name, ' ', '-')) || '/'")} AS title FROM part""")
-reg("parse_date_formats", "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS parsed FROM orders")
+reg("parse_date", "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS parsed FROM orders")
 reg("strip_html", f"SELECT page_id, {O.strip_html('html')} AS text FROM pages")
 reg("truncate_words", f"SELECT doc_id, {O.truncate_words('text', 60)} AS cut FROM documents")
 reg("excerpt", f"SELECT doc_id, {O.make_excerpt('text', 120)} AS excerpt FROM documents")
@@ -583,3 +583,8 @@ reg("score_pre_dedup", f"""{PIPE}, ms AS (SELECT url_hash, count(DISTINCT source
                               WHERE instr({O.domain('t.url')}, pattern) > 0 OR lower(pattern) = lower(t.source)
                               ORDER BY ord LIMIT 1), CAST(1.0 AS DOUBLE)) AS w
         FROM tagged t WHERE disposition = 'passed') i JOIN ms ON ms.url_hash = i.url_hash""")
+
+reg("top_board", f"""{PIPE} SELECT rank AS line_ord,
+  printf('| %d | %s | %s | %s | %s | %s | [%s](%s) |', rank, {O.stars('score')}, coalesce(publish_date, ''),
+         coalesce(source, ''), {O.clip('title', 60)}, coalesce(takeaway, ''), {O.q(RP.LINK_LABEL)}, coalesce(url, '')) AS line
+  FROM ranked WHERE rank <= 5""")
