@@ -46,14 +46,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+SPREAD_BYTES = 256 << 10   # on-disk (compressed) bytes per task when a scan is spread out
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster has
     cores (a small file with one row group is a single task, and most
-    operators here are regex work per row).  A large input already has
-    enough splits and is returned untouched, so at scale this adds no
-    shuffle."""
+    operators here are regex work per row).  The width follows the input's
+    size (about 256 KB of compressed input per task, at most the default
+    parallelism), so a tiny dimension table is left alone, and a large
+    input, which already has enough splits, is returned untouched: at
+    scale this adds no shuffle."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    have = df.rdd.getNumPartitions()
+    if have >= target:
+        return df
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # statistics unavailable: assume it is worth spreading
+        size = target * SPREAD_BYTES
+    want = min(target, max(1, size // SPREAD_BYTES))
+    return df.repartition(want) if want > have else df
 
 
 def job_spec(min_signals: int = MIN_SIGNALS) -> JobSpec:
