@@ -42,3 +42,14 @@ def with_global_rank(df: DataFrame, order: list[Column], name: str = "rank") ->
     return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(name, (F.col("_off") + local + 1).cast("long"))
             .drop("_pid", "_mid", "_off"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write df once to the shared checkpoint folder (computed
+    once through a temporary persist) and read it from there."""
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

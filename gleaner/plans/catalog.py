@@ -543,11 +543,14 @@ def sitemap_scan(spark, sf):
 
 @query
 def weekly_report(spark, sf):
-    """The whole weekly report as ordered lines."""
+    """The whole weekly report as ordered lines.  The tagged rows are
+    materialised once; items, statistics and boards all read them."""
+    from ..operators.order import materialize
     from ..operators.report import display_title, weekly_report as weekly
-    ranked = _ranked(spark, sf)
-    c = _curated(spark, sf)
-    silent = stats.silent_sources(stats.per_source(c.tagged, A.sources_dim(spark)), A.sources_dim(spark))
+    spec = A.job_spec()
+    tagged = materialize(P.tag(_raw(spark, sf), _seen_live(spark, sf), spec))
+    ranked = with_global_rank(P.survivors(tagged, spec, A.AS_OF), rank.order_cols(), "rank")
+    silent = stats.silent_sources(stats.per_source(tagged, A.sources_dim(spark)), A.sources_dim(spark))
     alerts = health.health_alerts(health.source_health(A.fetch_log(spark, sf)))
     board = themes.board(ranked, A.THEMES)
     return weekly(ranked, board, silent, alerts, title=display_title(A.TASK_KEY), as_of=A.AS_OF,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import health, rank, report, stats, status, themes
-from ..operators.order import with_global_rank
+from ..operators.order import materialize, with_global_rank
 from ..session import checkpoint_dir
 from ..sources.state import load_seen
 from ..spec import JobSpec
@@ -40,7 +40,7 @@ def run_job(spark: SparkSession, spec: JobSpec, raw: DataFrame, sources: DataFra
             use_state: bool = True) -> RunResult:
     checkpoint_dir(spark)
     seen = load_seen(spark, seen_path, spec.task_key, spec.dedup_ttl_days, as_of) if use_state else None
-    tagged = tag(raw, seen, spec).checkpoint(eager=True)
+    tagged = materialize(tag(raw, seen, spec))
     ranked = with_global_rank(survivors(tagged, spec, as_of), rank.order_cols(), "rank")
 
     # fetch outcomes first (the reference records health while fetching)
