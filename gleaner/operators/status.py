@@ -69,3 +69,17 @@ def manifest_row(tagged: DataFrame, seen_live: DataFrame, spec: JobSpec, as_of:
 def manifest_json(manifest: DataFrame) -> DataFrame:
     """The manifest row as one JSON document (for the file sink)."""
     return manifest.select(F.to_json(F.struct(*manifest.columns)).alias("manifest"))
+
+
+def latest_runs(manifests: DataFrame) -> DataFrame:
+    """Newest manifest per task (``row_number() <= 1`` per task, a
+    WindowGroupLimit: one row per task leaves each map task)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("task_key").orderBy(F.col("run_id").desc())
+    return manifests.withColumn("_k", F.row_number().over(w)).where(F.col("_k") == 1).drop("_k")
+
+
+def run_status(manifests: DataFrame, log: DataFrame) -> DataFrame:
+    """Latest run of each task with its totals, waterline and source health
+    summary (the status command of a job)."""
+    return latest_runs(manifests).join(job_status(log), "task_key", "left")

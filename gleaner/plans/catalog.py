@@ -584,3 +584,23 @@ def top_board(spark, sf):
     top = rank.top_items(items, 5)
     ranked = top.select("*", F.row_number().over(Window.orderBy(*rank.order_cols())).cast("long").alias("rank"))
     return top_lines(ranked)
+
+
+@query
+def latest_run(spark, sf):
+    """Manifests of three daily runs (as_of 01-28, 01-29, 01-30); the
+    status board shows the newest run per task with source health."""
+    import datetime as dt
+    from ..operators.status import manifest_row as mr, run_status
+    from ..sources.state import live_seen
+    spec = A.job_spec()
+    manifests = None
+    for day in (28, 29, 30):
+        as_of = dt.datetime(2024, 1, day)
+        raw = P.windowed(A.raw_items(spark, sf, as_of), as_of, A.WINDOW_DAYS)
+        seen = live_seen(A.seen_state(spark, sf, as_of), A.TASK_KEY, A.TTL_DAYS, as_of)
+        m = mr(P.tag(raw, seen, spec), seen, spec, as_of)
+        manifests = m if manifests is None else manifests.unionByName(m)
+    return run_status(manifests, A.fetch_log(spark, sf)).select(
+        "task_key", "run_id", "fetched", "deduped", "filtered_out", "final", "waterline_before",
+        "waterline_after", "runs", "last_run", "sources", "disabled", "alerting")

@@ -588,3 +588,17 @@ reg("top_board", f"""{PIPE} SELECT rank AS line_ord,
   printf('| %d | %s | %s | %s | %s | %s | [%s](%s) |', rank, {O.stars('score')}, coalesce(publish_date, ''),
          coalesce(source, ''), {O.clip('title', 60)}, coalesce(takeaway, ''), {O.q(RP.LINK_LABEL)}, coalesce(url, '')) AS line
   FROM ranked WHERE rank <= 5""")
+
+reg("latest_run", f"""WITH {RAW}, {RAW_W}, {SEEN}, {TAGGED}, {HEALTH},
+  m AS (SELECT '{A.TASK_KEY}' AS task_key, '{A.AS_OF:%Y%m%dT%H%M%S}' AS run_id, fetched, deduped, filtered_out, final,
+               waterline_before, waterline_before + fetched - deduped AS waterline_after
+        FROM (SELECT CAST(count(*) AS BIGINT) AS fetched, CAST(count(*) FILTER (WHERE dup IS NOT NULL) AS BIGINT) AS deduped,
+                CAST(count(*) FILTER (WHERE disposition IN ('no_date','not_included','excluded','low_signal')) AS BIGINT) AS filtered_out,
+                CAST(count(*) FILTER (WHERE disposition = 'passed') AS BIGINT) AS final FROM tagged) t,
+             (SELECT CAST(count(DISTINCT url_hash) AS BIGINT) AS waterline_before FROM seen_live) s),
+  js AS (SELECT '{A.TASK_KEY}' AS task_key,
+    (SELECT CAST(count(DISTINCT CAST(ts AS DATE)) AS BIGINT) FROM log) AS runs,
+    (SELECT strftime(max(CAST(ts AS DATE)), '%Y-%m-%d') FROM log) AS last_run,
+    CAST(count(*) AS BIGINT) AS sources, CAST(count(*) FILTER (WHERE consecutive_failures >= 5) AS BIGINT) AS disabled,
+    CAST(count(*) FILTER (WHERE consecutive_failures >= 3) AS BIGINT) AS alerting FROM health)
+  SELECT m.*, runs, last_run, sources, disabled, alerting FROM m LEFT JOIN js USING (task_key)""")
