@@ -151,3 +151,11 @@ def test_ttl_dedup_stream(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_latest_runs(spark):
+    from gleaner.operators.status import latest_runs
+    m = spark.createDataFrame([("a", "20240128T000000", 1), ("a", "20240130T000000", 3), ("a", "20240129T000000", 2),
+                               ("b", "20240101T000000", 9)], "task_key string, run_id string, final long")
+    got = sorted((r.task_key, r.final) for r in latest_runs(m).collect())
+    assert got == [("a", 3), ("b", 9)]
