@@ -12,10 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.common import cached
+
 
 ORD_BITS = 32   # item_ord must stay below 2**32 within one source
 
 
+@cached
 def arrival(source_ord: str = "source_ord", item_ord: str = "item_ord"):
     """(source_ord, item_ord) packed into one long that sorts the same way,
     so "first" is a fixed-width ``min`` (hash aggregate, no sort)."""

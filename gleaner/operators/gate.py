@@ -66,12 +66,17 @@ def _reason(require_date: bool, include: tuple, exclude: tuple, min_signals: int
     return c.otherwise(F.lit("passed"))
 
 
+@cached
+def item_signals(title: str, excerpt: str) -> Column:
+    """Signals of the raw ``title + ' ' + excerpt``."""
+    return detect_signals(F.concat(nz(title), F.lit(" "), nz(excerpt)))
+
+
 def tag_reason(df: DataFrame, spec: FilterSpec) -> DataFrame:
     """Add ``signals`` (raw title + excerpt) and ``disposition``: the dup tag
     when present, else the filter reason.  Survivors get ``excerpt_120`` and
     ``takeaway``; others keep NULL there (computed only under 'passed')."""
-    signals = detect_signals(F.concat(nz("title"), F.lit(" "), nz("excerpt")))
-    out = df.withColumn("signals", signals)
+    out = df.withColumn("signals", item_signals("title", "excerpt"))
     r = reason(spec, "signals")
     disp = F.coalesce(F.col("dup"), r) if "dup" in df.columns else r
     out = out.withColumn("disposition", disp)
