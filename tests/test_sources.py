@@ -84,3 +84,34 @@ def test_registry_isolates_failures(spark, tmp_path):
     assert [(r.source, r.source_ord, r["count"]) for r in rows] == [("good", 0, 3)]
     skipped = registry.scan_all(spark, specs, AS_OF, 7, landed=lambda s: s.url or "", disabled={"good"})
     assert skipped.count() == 0
+
+
+def test_resolve_and_article_predicate(spark):
+    from gleaner.sources.pages import is_likely_article, resolve
+    base = "https://ex.com/blog/list"
+    cases = [("https://other.org/a/b", "https://other.org/a/b"), ("//cdn.ex.com/x/y", "https://cdn.ex.com/x/y"),
+             ("/news/2026/story", "https://ex.com/news/2026/story"), ("#top", "https://ex.com/blog/list#top"),
+             ("?page=2", "https://ex.com/blog/list?page=2"), ("post-1", "https://ex.com/blog/post-1")]
+    df = spark.createDataFrame([(base, h) for h, _ in cases], "b string, h string")
+    assert [r.u for r in df.select(resolve(F.col("b"), F.col("h")).alias("u")).collect()] == [u for _, u in cases]
+    rows = [("https://ex.com/news/a-story", "A long enough story title"),   # article
+            ("https://ex.com/news/a-story", "About"),                       # navigation word
+            ("https://ex.com/pricing", "A long enough story title"),       # one path segment
+            ("https://ex.com/blog/list/", "A long enough story title"),    # the page itself
+            ("https://ex.com/blog/list#x", "A long enough story title")]   # anchor into the page
+    df = spark.createDataFrame([(base, h, t) for h, t in rows], "b string, h string, t string")
+    got = [r.ok for r in df.select(is_likely_article("h", "t", "b").alias("ok")).collect()]
+    assert got == [True, False, False, False, False]
+
+
+def test_url_list_missing_page(spark):
+    from gleaner.sources.pages import scan_urls
+    pages = spark.createDataFrame([(1, "https://ex.com/a/b", "<html><head><title>T &amp; U</title></head>"
+                                       "<body><time datetime='2026-03-01'></time></body></html>")],
+                                  "page_id long, url string, html string")
+    urls = spark.createDataFrame([(0, "https://ex.com/a/b"), (1, "https://ex.com/2026/03/02/gone")],
+                                 "url_ord long, url string")
+    rows = {r.url_ord: r for r in scan_urls(urls, pages).collect()}
+    assert (rows[0].title, str(rows[0].publish_date)) == ("T & U", "2026-03-01")
+    assert (rows[1].title, str(rows[1].publish_date), rows[1].raw_html) == (
+        "https://ex.com/2026/03/02/gone", "2026-03-02", None)
