@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert_shards, language_id, secret_scan, source_mix, token_counts
+from . import hilbert_shards, language_id, ngram_join, secret_scan, source_mix, token_counts
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -38,10 +38,14 @@ def op4_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return source_mix.mix(_documents(spark, sf))
 
 
+def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.jaccard_components(_documents(spark, sf))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     return hilbert_shards.shards(_documents(spark, sf))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op9_hilbert_shards)}
+    f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op9_hilbert_shards)}
 SQL: dict[str, str] = {"op4_source_mix": source_mix.SQL}
