@@ -121,4 +121,6 @@ def short_hash(h: np.ndarray) -> np.uint64:
 
 
 def _odd(j: int) -> np.uint64:
-    return np.uint64((0xD6E8FEB86659FD93 * (2 * j + 1) | 1) & 0xFFFFFFFFFFFFFFFF)
+    """Unrelated odd multipliers, one a position (related ones, such as an
+    arithmetic series, let different runs of repeated words collide)."""
+    return mix64(np.full(1, j + 1, np.uint64) * _BASE)[0] | np.uint64(1)
