@@ -246,8 +246,9 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     learned.  Only the text decides a prediction."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StringType, StructType
-    src = docs.select(F.col(id_col), *[F.col(c) for c in keep], F.col(text_col).alias("_text"))
-    kept = StructType(src.schema.fields[:-1])
+    src = docs.select(F.col(id_col), *[F.col(c) for c in keep], *([] if text_col in keep else [F.col(text_col)]))
+    kept = StructType(src.schema.fields[:1 + len(keep)])
+    where = src.columns.index(text_col)
     spec = StructType(kept.fields).add("lang_pred", StringType()).add("score", DoubleType())
     schema = to_arrow_schema(spec)
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -256,7 +257,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
         score = _Scorer(sent.value)
         names = np.array([*sent.value.languages, "und"], object)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = [t or "" for t in batch.column(where).to_pylist()]
             best, prob, lo = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), 0
             while lo < len(texts):
                 hi, chars = lo, 0
@@ -270,7 +271,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
                     best[lo:hi][seen] = top
                     prob[lo:hi][seen] = 1 / np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
                 lo = hi
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names[best].tolist(), pa.string()), pa.array(prob)],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(names[best].tolist(), pa.string()), pa.array(prob)],
                                              schema=schema)
 
     out = src.mapInArrow(run, spec)

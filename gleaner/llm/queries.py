@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert_shards, language_id, ngram_join, secret_scan, source_mix, token_counts
+from . import decontaminate, fingerprints, hilbert_shards, language_id, ngram_join, secret_scan, source_mix, token_counts
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -16,13 +16,13 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
-def _model() -> str:
+def tokenizer_path() -> str:
     import public_tokenizers
     return str(public_tokenizers.path(TOKENIZER))
 
 
 def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return token_counts.token_counts(_documents(spark, sf), _model())
+    return token_counts.token_counts(_documents(spark, sf), tokenizer_path())
 
 
 def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf)
-    return language_id.identify(docs, language_id.train(docs, _model()))
+    return language_id.identify(docs, language_id.train(docs, tokenizer_path()))
 
 
 def op4_source_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,10 +42,19 @@ def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf))
 
 
+def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprints(_documents(spark, sf))
+
+
+def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.decontaminate(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     return hilbert_shards.shards(_documents(spark, sf))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op9_hilbert_shards)}
+    f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op6_fingerprints,
+                                 op8_decontaminate, op9_hilbert_shards)}
 SQL: dict[str, str] = {"op4_source_mix": source_mix.SQL}

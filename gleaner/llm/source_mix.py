@@ -80,10 +80,11 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0
                  weights, cap).select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...], cap: float, extra: tuple[str, ...] = ()) -> DataFrame:
+def mixed(docs: DataFrame, weights: tuple[int, ...], cap: float) -> DataFrame:
+    """``mix`` of (id, text, source), with the source and the hash ``h``."""
     top = LEVELS[0]
     total_bits = sum(LEVELS)
-    rows = docs.select("id", "source", *extra, word_count(F.col("text")).alias("size"),
+    rows = docs.select("id", "source", word_count(F.col("text")).alias("size"),
                        mix_hash(F.col("id"), F.col("text")).alias("h"))
     rows = materialise(rows.withColumn("b0", F.shiftright("h", total_bits - top)), "mix-rows")
 
@@ -117,7 +118,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...], cap: float, extra: tuple[st
     out = open_.withColumn("part", last)
     for d in done:
         out = out.unionByName(d.withColumn("ties", F.lit(1).cast("long")).withColumn("part", F.lit(None).cast("long")))
-    return out.select("id", "source", *extra, "size", "source_size", "target",
+    return out.select("id", "source", "h", "size", "source_size", "target",
                       (F.col("passes") * F.col("size")
                        + F.coalesce(F.col("part"), F.when(F.col("state") == 1, F.col("size")).otherwise(F.lit(0)))).cast("long").alias("taken"))
 

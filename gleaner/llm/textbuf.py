@@ -69,12 +69,13 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _state["pow"], _state["inv"], _state["letters"]
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offs: np.ndarray, parts: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, bounds): byte ranges of all words; words
-    bounds[i]:bounds[i + 1] belong to row i."""
+    bounds[i]:bounds[i + 1] belong to row i.  ``parts`` marks the bytes
+    between words."""
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    space = _SPACE[data]
+    space = parts[data]
     before, after = np.empty(len(data), bool), np.empty(len(data), bool)
     before[0] = after[-1] = True
     before[1:], after[:-1] = space[:-1], space[1:]
