@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, hilbert_shards, language_id, ngram_join, secret_scan, source_mix, token_counts
+from . import decontaminate, fingerprints, hilbert_shards, html_extract, language_id, ngram_join, secret_scan, source_mix, token_counts
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -46,6 +46,11 @@ def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.fingerprints(_documents(spark, sf))
 
 
+def op7_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.decontaminate(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
@@ -55,6 +60,6 @@ def op9_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op6_fingerprints,
+    f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op6_fingerprints, op7_html_extract,
                                  op8_decontaminate, op9_hilbert_shards)}
 SQL: dict[str, str] = {"op4_source_mix": source_mix.SQL}
