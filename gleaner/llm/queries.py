@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, hilbert_shards, html_extract, language_id, ngram_join, secret_scan, source_mix, token_counts
+from . import decontaminate, fingerprints, fuzzy_lines, hilbert_shards, html_extract, language_id, ngram_join, secret_scan, source_mix, token_counts
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -59,7 +59,11 @@ def op9_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     return hilbert_shards.shards(_documents(spark, sf))
 
 
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return fuzzy_lines.dedup_lines(_documents(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op6_fingerprints, op7_html_extract,
-                                 op8_decontaminate, op9_hilbert_shards)}
+                                 op8_decontaminate, op9_hilbert_shards, op10_line_dedup)}
 SQL: dict[str, str] = {"op4_source_mix": source_mix.SQL}
