@@ -6,8 +6,6 @@ helpers here are for tests, benchmarks and command-line use.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every gleaner job relies on.  UTC pins date arithmetic so the
@@ -24,11 +22,15 @@ CORE_CONF = {
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "gleaner") -> SparkSession:
+def local_session(scratch: str, cpus: int | str = "*", shuffle_partitions: int = 8,
+                  app: str = "gleaner", driver_memory: str = "8g") -> SparkSession:
+    """A local session whose checkpoints and warehouse lie under ``scratch``."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
+               .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+               .config("spark.driver.memory", driver_memory))
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -38,21 +40,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder used to cut lineage.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as-is.  Only when nothing is configured (local tests) a fresh scratch
-    folder is made under /tmp.
-    """
+    """The shared folder used to cut lineage: ``spark.checkpoint.dir`` of the
+    session; only where that is unset, a folder of the session's warehouse,
+    which the driver and all executors share too."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        try:
-            current = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # unset key raises in some versions
-            current = None
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="gleaner-ckpt-", dir="/tmp")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

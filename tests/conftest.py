@@ -10,9 +10,9 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from gleaner.session import local_session
-    s = local_session("*", 8, app="gleaner-tests")
+    s = local_session(str(tmp_path_factory.mktemp("spark")), "*", 8, app="gleaner-tests")
     yield s
     s.stop()
 
