@@ -99,15 +99,14 @@ def forward(pieces: Pieces, prob: np.ndarray, words: list[str]) -> np.ndarray:
     out = np.zeros((len(words), prob.shape[1]))
     for at, codes in _by_length(words):
         n, length = codes.shape
-        ring, log = [np.ones((n, prob.shape[1]))], np.zeros((n, 1))
+        ring, log = [np.ones((n, prob.shape[1]))], np.zeros((n, prob.shape[1]))
         for j in range(1, length + 1):
             total = np.zeros((n, prob.shape[1]))
             for k in range(1, min(pieces.longest, j) + 1):
                 total += ring[-k] * prob[pieces.ids(codes, j - k, k)]
             ring = [*ring[1 - pieces.longest:], total] if pieces.longest > 1 else [total]
             if j % 16 == 0:                                   # keep long words within range
-                scale = total.max(axis=1, keepdims=True)
-                ring, log = [r / scale for r in ring], log + np.log(scale)
+                ring, log = [r / total for r in ring], log + np.log(total)
         out[at] = np.log(ring[-1]) + log
     return out
 
@@ -247,9 +246,9 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StringType, StructType
     src = docs.select(F.col(id_col), *[F.col(c) for c in keep], *([] if text_col in keep else [F.col(text_col)]))
-    kept = StructType(src.schema.fields[:1 + len(keep)])
+    kept = [id_col, *keep]
     where = src.columns.index(text_col)
-    spec = StructType(kept.fields).add("lang_pred", StringType()).add("score", DoubleType())
+    spec = StructType([src.schema[c] for c in kept]).add("lang_pred", StringType()).add("score", DoubleType())
     schema = to_arrow_schema(spec)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -275,4 +274,4 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
                                              schema=schema)
 
     out = src.mapInArrow(run, spec)
-    return out.select(*kept.names, _held_out(id_col).alias("held_out"), "lang_pred", "score")
+    return out.select(*kept, _held_out(id_col).alias("held_out"), "lang_pred", "score")
