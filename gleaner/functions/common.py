@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 # Whitespace as one ASCII class, written so Java regex and RE2 read it alike.
 WS = "[\\t\\n\\x0B\\f\\r ]"
+# What str.strip() removes: the above, other separators, no-break and ideographic spaces.
+STRIP_WS = ("[\\t\\n\\x0B\\f\\r \\x1c-\\x1f\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+            "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
 
 
 def col(c: Column | str) -> Column:
@@ -19,11 +22,11 @@ def col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """str.strip(): drop leading and trailing whitespace (Spark trim only drops spaces)."""
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    return F.regexp_replace(col(c), f"^{STRIP_WS}+|{STRIP_WS}+$", "")
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"{WS}+$", "")
+    return F.regexp_replace(col(c), f"{STRIP_WS}+$", "")
 
 
 def ntz(t: _dt.datetime) -> Column:
@@ -45,17 +48,6 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def regex_quote(s: str) -> str:
-    """Escape a literal for use inside a regex understood by Java and RE2."""
-    out = []
-    for ch in s:
-        if ch.isalnum() or ch in " _-" or ord(ch) > 127:
-            out.append(ch)
-        else:
-            out.append("\\" + ch)
-    return "".join(out)
-
-
 _PLAIN = (str, int, float, bool, type(None), _dt.date, _dt.datetime)
 _BUILT: dict = {}
 

@@ -49,8 +49,9 @@ RX_ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 RX_LDJSON = r"""(?is)<script\b[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
 RX_TIME_ATTR = r"""(?i)<time\b[^>]*\bdatetime\s*=\s*["']([^"']*)["']"""
 RX_TIME_TEXT = r"(?is)<time\b[^>]*>(.*?)</time>"
-RX_DATE_CLASSED = (r"""(?is)<(span|div|p|small|li)\b[^>]*\bclass\s*=\s*["'][^"']*"""
-                   r"""(date|time|publish|posted|created|updated|meta)[^"']*["'][^>]*>(.*?)</(span|div|p|small|li)>""")
+_DATE_CLASS = (r"""[^>]*\bclass\s*=\s*["'][^"']*(?:date|time|publish|posted|created|updated|meta)[^"']*["'][^>]*>.*?""")
+RX_DATE_CLASSED = "(?is)" + "|".join(rf"<{t}\b{_DATE_CLASS}</{t}>" for t in ("span", "div", "p", "small", "li"))
+RX_DATA_ELEMENT = r"""(?is)<[a-z][^>]*\bdata-date\s*=\s*["'][^"']*["'][^>]*>.*?</"""
 RX_DATA_DATE = r"""(?i)\bdata-date\s*=\s*["']([^"']*)["']"""
 RX_SCRIPT_STYLE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 RX_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
@@ -223,14 +224,14 @@ def time_candidates(html: Column | str) -> Column:
 
 
 @cached
-def visible_text(html: Column | str, n: int) -> Column:
+def visible_text(html: Column | str, n: int | None = None) -> Column:
     """Text of article, else main, else body: tags become spaces,
-    whitespace squeezed, first n chars."""
+    whitespace squeezed; first n chars (all without n)."""
     h = F.regexp_replace(col(html), RX_SCRIPT_STYLE, " ")
     root = F.coalesce(_nonempty(F.regexp_extract(h, RX_ARTICLE, 1)), _nonempty(F.regexp_extract(h, RX_MAIN, 1)),
                       _nonempty(F.regexp_extract(h, RX_BODY, 1)), h)
     txt = strip(F.regexp_replace(F.regexp_replace(root, "<[^>]+>", " "), "[\\t\\n\\x0B\\f\\r ]+", " "))
-    return F.substring(txt, 1, n)
+    return txt if n is None else F.substring(txt, 1, n)
 
 
 def text_candidates(text: Column) -> Column:
@@ -244,13 +245,24 @@ def date_in_text(text: Column) -> Column:
 
 @cached
 def visible_candidates(html: Column | str) -> Column:
-    """Date-classed span/div/p/small/li texts, data-date attributes, then
-    pattern matches in the first 2000 chars of the main text."""
+    """Date-classed span/div/p/small/li elements (and such elements inside
+    them), then elements with data-date; each gives its data-date first, then
+    its text.  Last, pattern matches in the main text."""
     h = col(html)
-    classed = F.transform(F.regexp_extract_all(h, F.lit(RX_DATE_CLASSED), 3), lambda t: strip(strip_html(t)))
-    data_date = F.when(_has(h, "data-date"), F.regexp_extract_all(h, F.lit(RX_DATA_DATE), 1)) \
+
+    def of(element: Column) -> Column:
+        opening = F.regexp_extract(element, "(?s)^<[^>]*>", 0)
+        return F.array(_nonempty(F.regexp_extract(opening, RX_DATA_DATE, 1)),
+                       strip(strip_html(F.regexp_replace(element, "</$", ""))))
+
+    def with_inner(element: Column) -> Column:
+        inner = F.regexp_extract_all(F.regexp_replace(element, "(?s)^<[^>]*>", ""), F.lit(RX_DATE_CLASSED), 0)
+        return F.concat(of(element), F.flatten(F.transform(inner, of)))
+
+    classed = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(RX_DATE_CLASSED), 0), with_inner))
+    data_date = F.when(_has(h, "data-date"), F.flatten(F.transform(F.regexp_extract_all(h, F.lit(RX_DATA_ELEMENT), 0), of))) \
         .otherwise(F.array().cast(_NO_CANDIDATES))
-    return F.concat(classed, data_date, let(visible_text(h, 2000), text_candidates))
+    return F.concat(classed, data_date, let(visible_text(h), text_candidates))
 
 
 @cached
@@ -273,16 +285,11 @@ def from_visible_text(html: Column | str) -> Column:
     return first_parsed(visible_candidates(html))
 
 
-@cached
-def html_candidates(html: Column | str) -> Column:
-    h = col(html)
-    return F.concat(meta_candidates(h), jsonld_candidates(h), time_candidates(h), visible_candidates(h))
-
-
 @cached
 def from_html(html: Column | str) -> Column:
-    """Meta -> JSON-LD -> time tag -> visible text: first candidate that parses."""
-    return first_parsed(html_candidates(html))
+    """Meta -> JSON-LD -> time tag -> visible text: the first step with a
+    candidate that parses; later steps are not evaluated then."""
+    return F.coalesce(from_meta(html), from_jsonld(html), from_time_tag(html), from_visible_text(html))
 
 
 def resolve_date(html: Column | str | None, url: Column | str | None,
@@ -298,14 +305,12 @@ def resolve_date(html: Column | str | None, url: Column | str | None,
     return F.coalesce(*parts)
 
 
-def date_method(html: Column | str | None, url: Column | str | None,
-                hint: Column | str | None) -> Column:
-    """Which step of ``resolve_date`` produced the date."""
-    c = F.when(F.lit(False), F.lit(None))
-    if html is not None:
-        c = c.when(from_html(html).isNotNull(), F.lit("html"))
-    if url is not None:
-        c = c.when(date_from_url(url).isNotNull(), F.lit("url"))
-    if hint is not None:
-        c = c.when(parse_date(hint).isNotNull(), F.lit("hint"))
-    return c.otherwise(F.lit("none"))
+def resolve_with_method(html: Column | str | None, url: Column | str | None,
+                        hint: Column | str | None) -> Column:
+    """struct(date, method): ``resolve_date`` and the step that produced it,
+    each step evaluated once."""
+    steps = [(from_html(html), "html")] if html is not None else []
+    steps += [(date_from_url(url), "url")] if url is not None else []
+    steps += [(parse_date(hint), "hint")] if hint is not None else []
+    named = [let(d, lambda v, m=m: F.when(v.isNotNull(), F.struct(v.alias("date"), F.lit(m).alias("method")))) for d, m in steps]
+    return F.coalesce(*named, F.struct(F.lit(None).cast("date").alias("date"), F.lit("none").alias("method")))

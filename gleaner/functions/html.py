@@ -27,7 +27,7 @@ RX_TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
 RX_H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
 RX_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
 RX_MAIN = r"(?is)<main\b[^>]*>(.*?)</main>"
-RX_CONTENT_DIV = r"""(?is)<div\b[^>]*\bclass\s*=\s*["'][^"']*(content|article|post)[^"']*["'][^>]*>(.*?)</div>"""
+RX_CONTENT_DIV = r"""(?is)<div\b[^>]*\bclass\s*=\s*["'][^"']*(content|article|post)[^"']*["'][^>]*>(.*)"""
 RX_BODY = r"(?is)<body\b[^>]*>(.*)"
 RX_P_OPEN = r"(?i)<p\b[^>]*>"
 RX_P_CLOSE_REST = r"(?is)</p>.*$"
@@ -82,20 +82,27 @@ def page_title(html: Column | str) -> Column:
     return F.coalesce(F.nullif(og, F.lit("")), F.nullif(title, F.lit("")), h1)
 
 
+def cut(c: Column, n: int | None) -> Column:
+    """First n characters; all of them without n."""
+    return c if n is None else F.substring(c, 1, n)
+
+
 @cached
-def meta_description(html: Column | str, n: int) -> Column:
-    """og:description, else meta description; stripped; first n chars; NULL if none."""
+def meta_description(html: Column | str, n: int | None = None) -> Column:
+    """og:description, else meta description; stripped; first n chars (all
+    without n); NULL if none."""
     h = col(html)
     og = strip(unescape(meta_content(h, "property", "og:description")))
     desc = strip(unescape(meta_content(h, "name", "description")))
-    return F.substring(F.coalesce(F.nullif(og, F.lit("")), F.nullif(desc, F.lit(""))), 1, n)
+    return cut(F.coalesce(F.nullif(og, F.lit("")), F.nullif(desc, F.lit(""))), n)
 
 
 @cached
-def main_text(html: Column | str, n: int = 2000) -> Column:
+def main_text(html: Column | str, n: int | None = None) -> Column:
     """Readable text: noise elements dropped; root = article -> main ->
-    div with class content/article/post -> body; paragraphs over 20 chars
-    joined by a blank line, else all text lines; at most n chars."""
+    div with class content/article/post (from its opening tag on, so nested
+    divs stay inside) -> body; paragraphs over 20 chars joined by a blank
+    line, else all text lines; first n chars (all without n)."""
     h = drop_elements(html, NOISE_TAGS)
     root = F.coalesce(F.nullif(F.regexp_extract(h, RX_ARTICLE, 1), F.lit("")),
                       F.nullif(F.regexp_extract(h, RX_MAIN, 1), F.lit("")),
@@ -105,11 +112,11 @@ def main_text(html: Column | str, n: int = 2000) -> Column:
     paras = F.filter(F.transform(pieces, lambda x: node_text(F.regexp_replace(x, RX_P_CLOSE_REST, ""))),
                      lambda x: F.length(x) > 20)
     text = F.when(F.size(paras) > 0, F.array_join(paras, "\n\n")).otherwise(node_lines(root))
-    return F.substring(F.regexp_replace(text, "\n{3,}", "\n\n"), 1, n)
+    return cut(F.regexp_replace(text, "\n{3,}", "\n\n"), n)
 
 
 @cached
-def page_excerpt(html: Column | str, n: int = 300) -> Column:
-    """Meta description, else the first n chars of the main text; NULL when empty."""
-    return F.coalesce(meta_description(html, n),
-                      F.nullif(F.substring(main_text(html, n + 100), 1, n), F.lit("")))
+def page_excerpt(html: Column | str, n: int | None = None) -> Column:
+    """Meta description, else the main text (first n chars, all without n);
+    NULL when empty."""
+    return F.coalesce(meta_description(html, n), F.nullif(main_text(html, n), F.lit("")))

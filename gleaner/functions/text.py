@@ -146,13 +146,15 @@ def doc_name(rank: Column | str, title: Column | str) -> Column:
 
 
 @cached
-def natural_key(name: Column | str, width: int = 30) -> Column:
+def natural_key(name: Column | str) -> Column:
     """Sort key ordering digit runs numerically and other runs case-blind.
 
-    Digit runs become '0' + zero-padded number, text runs '1' + lower text
+    Digit runs become '0' + number of digits + digits (leading zeros
+    dropped), text runs '1' + lower text
     + '\x01' (so a shorter run sorts before its extensions)."""
     runs = F.regexp_extract_all(nz(name), F.lit("[0-9]+|[^0-9]+"), 0)
     return F.array_join(F.transform(
         runs, lambda r: F.when(r.rlike("^[0-9]+$"),
-                               F.concat(F.lit("0"), F.lpad(r, width, "0")))
+                               let(F.regexp_replace(r, "^0+", ""), lambda d: F.concat(
+                                   F.lit("0"), F.lpad(F.length(d).cast("string"), 10, "0"), d)))
         .otherwise(F.concat(F.lit("1"), F.lower(r), F.lit("\u0001")))), "")

@@ -59,4 +59,9 @@ def media_type(path: Column | str) -> Column:
 def slide_caption(name: Column | str) -> Column:
     """``Slide n`` from the first digit run of a file name, else the name."""
     d = F.regexp_extract(col(name), "([0-9]+)", 1)
-    return F.when(d != "", F.concat(F.lit("Slide "), d.cast("decimal(38,0)").cast("string"))).otherwise(col(name))
+    return F.when(d != "", F.concat(F.lit("Slide "), F.regexp_replace(d, "^0+([0-9])", "$1"))).otherwise(col(name))
+
+
+def image_files(files: DataFrame, name_col: str) -> DataFrame:
+    """Rows whose file name has an image suffix (any case)."""
+    return files.where(F.lower(F.col(name_col)).rlike("(" + "|".join(s.replace(".", "[.]") for s in IMAGE_SUFFIXES) + ")$"))

@@ -1,41 +1,37 @@
 """Dedup against seen state (D1) and within a run, first wins.
 
-Both are decided per ``url_hash`` with skew-safe shapes: the first row of
-each hash comes from a partial (map-side combined) ``min`` aggregate, not a
-window, so a hash holding a third of all rows never lands whole in one
-task; the result is joined back on ``url_hash`` where AQE can split a hot
-partition.  The seen table is reduced to distinct hashes before the join.
+The facts of each ``url_hash`` (its first arrival, whether it was seen) come
+from a partial ``min`` / ``max`` aggregate, so a hot hash collapses map-side.
+They are written to shared storage before they are joined back: AQE splits
+a skewed partition only between two bare shuffles, and a join with the
+aggregate itself would put all rows of a hot hash in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import cached
-
-
-ORD_BITS = 32   # item_ord must stay below 2**32 within one source
+from ..session import shared_table
 
 
 @cached
-def arrival(source_ord: str = "source_ord", item_ord: str = "item_ord"):
-    """(source_ord, item_ord) packed into one long that sorts the same way,
-    so "first" is a fixed-width ``min`` (hash aggregate, no sort)."""
-    s, i = F.col(source_ord).cast("long"), F.col(item_ord).cast("long")
-    bad = (s < 0) | (s >= (1 << 30)) | (i < 0) | (i >= (1 << ORD_BITS))
-    return F.when(bad, F.raise_error(F.lit("source_ord/item_ord out of range for arrival order"))) \
-        .otherwise(F.shiftleft(s, ORD_BITS) + i)
+def arrival(source_ord: str = "source_ord", item_ord: str = "item_ord") -> Column:
+    """(source_ord, item_ord) as one decimal that sorts the same way, so
+    "first" is a fixed-width ``min`` (hash aggregate, no sort); any int and
+    any long fit."""
+    s, i = F.col(source_ord).cast("decimal(10,0)"), F.col(item_ord).cast("decimal(19,0)")
+    return s * F.lit(str(1 << 64)).cast("decimal(20,0)") + i
 
 
 def hash_facts(items: DataFrame, seen: DataFrame | None) -> DataFrame:
     """Per url_hash: the first arrival in this run and whether the hash is
-    in the seen state — one partial aggregate over items unioned with seen
-    (hot hashes collapse map-side; seen needs no separate distinct)."""
+    in the seen state; one partial aggregate over items unioned with seen."""
     keys = items.select("url_hash", arrival().alias("_arr"), F.lit(False).alias("_seen"))
     if seen is not None:
-        keys = keys.unionByName(seen.select("url_hash", F.lit(None).cast("long").alias("_arr"),
-                                            F.lit(True).alias("_seen")))
+        nothing = F.lit(None).cast(keys.schema["_arr"].dataType)
+        keys = keys.unionByName(seen.select("url_hash", nothing.alias("_arr"), F.lit(True).alias("_seen")))
     return keys.groupBy("url_hash").agg(F.min("_arr").alias("_first"), F.max("_seen").alias("_in_seen"))
 
 
@@ -44,9 +40,8 @@ def tag_duplicates(items: DataFrame, seen: DataFrame | None) -> DataFrame:
 
     ``items`` needs url_hash, source_ord, item_ord.  A hash present in
     ``seen`` marks all its rows dup_state; otherwise every row but the first
-    in (source_ord, item_ord) order is dup_run.  One join back on url_hash
-    (AQE splits a hot hash's partition on the items side)."""
-    facts = hash_facts(items, seen)
+    in (source_ord, item_ord) order is dup_run."""
+    facts = shared_table(hash_facts(items, seen), "hash-facts")
     out = items.join(facts, "url_hash", "left")
     dup = (F.when(F.col("_in_seen"), F.lit("dup_state"))
            .when(arrival() != F.col("_first"), F.lit("dup_run")))

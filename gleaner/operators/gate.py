@@ -12,13 +12,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import cached, col, nz, regex_quote
+from ..functions.common import cached, col, nz
 from ..functions.text import detect_signals, make_excerpt, takeaway
 from ..spec import FilterSpec, window_cutoff
 
-# Above this many literals one alternation regex beats a chain of instr().
-_ALTERNATION_AT = 64
-
 
 @cached
 def in_window(publish_date: Column | str, as_of: dt.datetime | dt.date, days: int) -> Column:
@@ -37,8 +34,6 @@ def matches_any(text: Column, patterns: list[str]) -> Column:
     pats = [p.lower() for p in patterns]
     if not pats:
         return F.lit(False)
-    if len(pats) >= _ALTERNATION_AT:
-        return text.rlike("(" + "|".join(regex_quote(p) for p in pats) + ")")
     out = F.lit(False)
     for p in pats:
         out = out | (F.instr(text, p) > 0)
@@ -46,14 +41,15 @@ def matches_any(text: Column, patterns: list[str]) -> Column:
 
 
 def reason(spec: FilterSpec, signals_col: str = "signals") -> Column:
-    """First failing filter reason, or 'passed'."""
+    """First failing filter reason, or 'passed'; needs ``_gate``, the text
+    that the lists read."""
     return _reason(spec.require_publish_date, tuple(spec.include_patterns),
                    tuple(spec.exclude_patterns), spec.min_detail_signals, signals_col)
 
 
 @cached
 def _reason(require_date: bool, include: tuple, exclude: tuple, min_signals: int, signals_col: str) -> Column:
-    text = gate_text("title", "excerpt")
+    text = F.col("_gate")
     c = F.when(F.lit(False), F.lit(None))
     if require_date:
         c = c.when(F.col("publish_date").isNull(), F.lit("no_date"))
@@ -76,10 +72,10 @@ def tag_reason(df: DataFrame, spec: FilterSpec) -> DataFrame:
     """Add ``signals`` (raw title + excerpt) and ``disposition``: the dup tag
     when present, else the filter reason.  Survivors get ``excerpt_120`` and
     ``takeaway``; others keep NULL there (computed only under 'passed')."""
-    out = df.withColumn("signals", item_signals("title", "excerpt"))
+    out = df.withColumn("signals", item_signals("title", "excerpt")).withColumn("_gate", gate_text("title", "excerpt"))
     r = reason(spec, "signals")
     disp = F.coalesce(F.col("dup"), r) if "dup" in df.columns else r
-    out = out.withColumn("disposition", disp)
+    out = out.withColumn("disposition", disp).drop("_gate")
     passed = F.col("disposition") == "passed"
     return (out.withColumn("excerpt_120", F.when(passed, make_excerpt("excerpt", 120)))
                .withColumn("takeaway", F.when(passed, takeaway("title", "excerpt", 60))))

@@ -3,8 +3,9 @@
 The reference keeps a mutable per-source record; here the record is a
 fold over the log, written as two partial aggregates: the last success per
 source, then the failures after it (the trailing failure streak).  The
-per-source table is small and AQE broadcasts it at runtime when its
-measured size allows, so the log is not shuffled whole.
+per-source table is written to shared storage and read back for the join:
+AQE then broadcasts it if small, or splits a source that holds most of the
+log.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import ntz
+from ..session import shared_table
 
 DISABLE_AFTER = 5     # fixed: consecutive failures that disable a source
 ALERT_AT = 3          # fixed: consecutive failures that raise an alert
@@ -31,6 +33,7 @@ def source_health(log: DataFrame) -> DataFrame:
     # one row per source joins back to the log; the per-source columns ride
     # through the second aggregate, so no third join is needed
     after_last = ~ok & (F.col("last_success").isNull() | (F.col("ts") > F.col("last_success")))
+    first = shared_table(first, "source-facts")
     return (log.select(*keys, "ts", "success").join(first, keys)
             .groupBy(*keys)
             .agg(F.count_if(after_last).cast("long").alias("consecutive_failures"),
@@ -55,7 +58,8 @@ def enabled_sources(sources: DataFrame, health: DataFrame) -> DataFrame:
 
 
 def fetch_outcomes(counts: DataFrame, sources: DataFrame, task_key: str, ts) -> DataFrame:
-    """One fetch-log row per scanned source (G8): success iff items > 0."""
+    """One fetch-log row per source in ``sources`` (those that were scanned,
+    not the disabled ones) (G8): success iff items > 0."""
     n = F.coalesce(F.col("n"), F.lit(0)).cast("long")
     return (sources.select(F.col("label").alias("source_id"))
             .join(counts.select(F.col("source").alias("source_id"), "n"), "source_id", "left")

@@ -1,18 +1,17 @@
 """Scoring and ordering.
 
-The weight lookup is a theta join (substring of domain OR label equality,
-first match in map order).  The weight map is job configuration, so its
-size is checked: up to ``EXPR_LIMIT`` entries it becomes one ordered CASE
-expression evaluated in place (no join, no shuffle); beyond that the
-distinct (domain, source) pairs are matched against the map with a
-nested-loop join and ``min_by(weight, ord)``, then joined back on the pair.
+The weight lookup is an ordered match (substring of the domain, or label
+equality; first entry wins).  The weight map is job configuration: it is
+held as one constant array and searched in place, whatever its size; no
+join, no shuffle.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import cached, col
@@ -20,41 +19,17 @@ from ..functions.url import domain as url_domain
 from ..spec import RankingSpec, as_of_date
 
 SIGNAL_BONUS_CAP = 0.3          # fixed: cap of the detail-signal bonus
-EXPR_LIMIT = 512                # weight-map entries evaluated as one CASE
-BROADCAST_LIMIT = 100_000       # weight-map entries allowed on a broadcast side
 
 
-@cached
-def weight_expr(url_col: str, source_col: str, entries: tuple[tuple[str, float], ...]) -> Column:
-    """First entry whose pattern is a substring of the URL's domain or
-    equals the source label (any case); 1.0 when none matches."""
-    domain, source = url_domain(url_col), F.col(source_col)
-    c = F.when(F.lit(False), F.lit(None).cast("double"))
-    for pattern, w in entries:
-        c = c.when((F.instr(domain, pattern) > 0) | (F.lower(source) == pattern.lower()),
-                   F.lit(float(w)))
-    return c.otherwise(F.lit(1.0))
-
-
-def with_source_weight(df: DataFrame, entries: list[tuple[str, float]],
-                       spark: SparkSession | None = None) -> DataFrame:
-    """Add ``weight`` from the ordered (pattern, weight) entries; default 1.0."""
-    dom = url_domain("url")
-    if len(entries) <= EXPR_LIMIT:
-        return df.withColumn("weight", weight_expr("url", "source", tuple(map(tuple, entries))))
-    if len(entries) > BROADCAST_LIMIT:
-        raise ValueError(f"weight map of {len(entries)} entries exceeds the broadcast bound")
-    spark = spark or df.sparkSession
-    wdim = spark.createDataFrame([(p, float(w), i) for i, (p, w) in enumerate(entries)],
-                                 "pattern string, weight double, ord int")
-    pairs = df.select(dom.alias("_dom"), F.col("source").alias("_src")).distinct()
-    hit = (pairs.join(F.broadcast(wdim),
-                      (F.instr(F.col("_dom"), F.col("pattern")) > 0)
-                      | (F.lower(F.col("_src")) == F.lower(F.col("pattern"))), "inner")
-           .groupBy("_dom", "_src").agg(F.min_by("weight", "ord").alias("_w")))
-    out = (df.withColumn("_dom", dom).withColumn("_src", F.col("source"))
-           .join(hit, ["_dom", "_src"], "left"))
-    return out.withColumn("weight", F.coalesce("_w", F.lit(1.0))).drop("_dom", "_src", "_w")
+def with_source_weight(df: DataFrame, entries: list[tuple[str, float]]) -> DataFrame:
+    """Add ``weight``: of the first (pattern, weight) entry whose pattern is a
+    substring of the URL's domain or equals the source label (any case);
+    default 1.0."""
+    table = F.from_json(F.lit(json.dumps([{"p": p, "l": p.lower(), "w": float(w)} for p, w in entries])),
+                        "array<struct<p:string,l:string,w:double>>")
+    named = df.withColumn("_dom", url_domain("url")).withColumn("_src", F.lower("source"))
+    hit = F.get(F.filter(table, lambda e: (F.instr(F.col("_dom"), e["p"]) > 0) | F.coalesce(F.col("_src") == e["l"], F.lit(False))), 0)
+    return named.withColumn("weight", F.coalesce(hit["w"], F.lit(1.0))).drop("_dom", "_src")
 
 
 @cached

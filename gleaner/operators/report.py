@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.common import nz
 from ..functions.text import clip, doc_name, stars
-from .order import with_global_rank
 
 # Literal text of the report layout.
 LINK_LABEL = "链接"
@@ -39,7 +38,7 @@ def timeline_lines(ranked: DataFrame) -> DataFrame:
 
 
 def source_lines(ranked: DataFrame) -> DataFrame:
-    """sources.md body: per item a link line, a date/source line, an
+    """sources.md: a heading (rank 0); per item a link line, a date/source line, an
     excerpt[:80] line when there is an excerpt, and a blank line."""
     ex = F.substring(nz("excerpt"), 1, 80)
     lines = F.array(
@@ -47,9 +46,11 @@ def source_lines(ranked: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("k"), F.format_string("   - Date: %s | Source: %s", nz("publish_date"), nz("source")).alias("line")),
         F.struct(F.lit(3).alias("k"), F.when(ex != "", F.concat(F.lit("   - "), ex)).alias("line")),
         F.struct(F.lit(4).alias("k"), F.lit("").alias("line")))
-    return (ranked.select("rank", F.explode(lines).alias("l"))
+    body = (ranked.select("rank", F.explode(lines).alias("l"))
             .where(F.col("l.line").isNotNull())
             .select("rank", F.col("l.k").cast("long").alias("line_ord"), F.col("l.line").alias("line")))
+    heading = ranked.sparkSession.createDataFrame([(0, 1, "# Sources"), (0, 2, "")], "rank long, line_ord long, line string")
+    return heading.unionByName(body)
 
 
 def item_docs(ranked: DataFrame) -> DataFrame:
@@ -61,15 +62,6 @@ def item_docs(ranked: DataFrame) -> DataFrame:
     return ranked.select("rank", doc_name("rank", "title").alias("doc_name"), body.alias("body"))
 
 
-def header_lines(title: str, as_of: dt.datetime, window_days: int, configured: int,
-                 active: Column, items: Column) -> list[Column]:
-    start = (as_of - dt.timedelta(days=window_days)).strftime("%Y-%m-%d")
-    return [F.lit(f"# {title}"), F.lit(""),
-            F.lit(f"> **周期**: {start} — {as_of:%Y-%m-%d}"),
-            F.lit(f"> **生成时间**: {as_of:%Y-%m-%d %H:%M} UTC"),
-            F.format_string(f"> **信息源**: 配置 {configured} 个 / 入选 %d 个 | **收录条目**: %d 条", active, items)]
-
-
 def display_title(task_key: str) -> str:
     """Task key to a display title: underscores to spaces, title case."""
     return task_key.replace("_", " ").title()
@@ -170,7 +162,8 @@ def weekly_report(ranked: DataFrame, board: DataFrame, silent: DataFrame, alerts
     reason = F.coalesce(*[F.when(F.col("reason") == en, F.lit(zh)) for en, zh in SILENT_REASON_TEXT],
                         F.col("reason"))
     n_silent = silent.agg(F.count(F.lit(1)).alias("n"))
-    silent_rows = with_global_rank(silent, [F.col("source")], "_o").select(
+    # one row per configured source / alerting source: small tables, ordered by a plain window
+    silent_rows = silent.withColumn("_o", F.row_number().over(Window.orderBy("source_ord"))).select(
         F.format_string("| %s | %s | %d | %d | %d |", F.col("source"), reason, F.col("fetched"),
                         F.col("dedup_dropped"), F.col("filter_dropped")).alias("line"), "_o")
     static(4, [W_SILENT, ""])
@@ -184,7 +177,8 @@ def weekly_report(ranked: DataFrame, board: DataFrame, silent: DataFrame, alerts
 
     n_alerts = alerts.agg(F.count(F.lit(1)).alias("n"))
     status = F.when(F.col("disabled"), F.lit(ALERT_STATUS_TEXT[0][1])).otherwise(F.lit(ALERT_STATUS_TEXT[1][1]))
-    ordered = with_global_rank(alerts, [F.col("disabled").desc(), F.col("failures").desc(), F.col("source_id")], "_o")
+    ordered = alerts.withColumn("_o", F.row_number().over(
+        Window.orderBy(F.col("disabled").desc(), F.col("failures").desc(), F.col("source_id"))))
     last = F.coalesce(F.date_format("last_failure", "yyyy-MM-dd HH:mm:ss"), F.lit("—"))
     alert_rows = ordered.select(F.format_string("| %s | %d | %s | %s |", F.col("source_id"), F.col("failures"),
                                                 last, status).alias("line"), "_o")
@@ -258,3 +252,16 @@ def memo_report(ranked: DataFrame, board: DataFrame, *, title: str, as_of: dt.da
     refs = _rows(ranked, 5, F.col("rank"), F.lit(0),
                  F.format_string("%d. %s — %s", F.col("rank"), nz("title"), nz("url")))
     return layout.unionByName(head).unionByName(facts).unionByName(analysis).unionByName(refs)
+
+
+# Report kinds and the layouts they use.
+KINDS = {"weekly_intel": "weekly", "investment_memo": "memo", "company_dossier": "memo"}
+
+
+def report_of(kind: str, ranked: DataFrame, board: DataFrame, silent: DataFrame, alerts: DataFrame, *, title: str,
+              as_of: dt.datetime, window_days: int, configured: int, version: str) -> DataFrame:
+    """The report of a kind (an unknown one is a weekly report)."""
+    if KINDS.get(kind, "weekly") == "memo":
+        return memo_report(ranked, board, title=title, as_of=as_of, window_days=window_days, version=version)
+    return weekly_report(ranked, board, silent, alerts, title=title, as_of=as_of, window_days=window_days,
+                         configured=configured, version=version)

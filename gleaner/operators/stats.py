@@ -34,14 +34,15 @@ def run_stats_rollup(tagged: DataFrame) -> DataFrame:
 
 
 def per_source(tagged: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per-source funnel over configured and observed labels (missing -> 0)."""
+    """Per-source funnel over configured and observed labels (missing -> 0);
+    ``source_ord`` is the configured position, NULL if not configured."""
     d = F.col("disposition")
     obs = tagged.groupBy("source").agg(
         F.count(F.lit(1)).cast("long").alias("fetched"),
         _n(F.col("dup").isNull()).alias("dedup_kept"),
         *[_n(d == r).alias(r) for r in FILTER_REASONS],
         _n(d == "passed").alias("final"))
-    conf = sources.select(F.col("label").alias("source")).distinct()
+    conf = sources.groupBy(F.col("label").alias("source")).agg(F.min("source_ord").alias("source_ord"))
     j = obs.join(conf, "source", "full_outer")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     return j.select(
@@ -52,21 +53,19 @@ def per_source(tagged: DataFrame, sources: DataFrame) -> DataFrame:
         z("dedup_kept").alias("filter_input"),
         F.greatest(F.lit(0).cast("long"), z("dedup_kept") - z("final")).alias("filter_dropped"),
         *[z(r).alias(r) for r in FILTER_REASONS],
-        z("final").alias("final"))
+        z("final").alias("final"), "source_ord")
 
 
-def silent_sources(per_src: DataFrame, sources: DataFrame) -> DataFrame:
-    """Configured sources with no survivor, with the reason."""
-    conf = sources.select(F.col("label").alias("source")).distinct()
-    s = conf.join(per_src, "source", "left")
-    f, dd, fd = (F.coalesce(F.col(c), F.lit(0)) for c in ("fetched", "dedup_dropped", "filter_dropped"))
+def silent_sources(per_src: DataFrame) -> DataFrame:
+    """Configured sources with no survivor, with the reason and the
+    configured position."""
+    f, dd, fd = F.col("fetched"), F.col("dedup_dropped"), F.col("filter_dropped")
     reason = (F.when(f == 0, F.lit("empty/failed"))
               .when((dd >= f) & (fd == 0), F.lit("all deduped"))
               .when(fd > 0, F.lit("all filtered"))
               .otherwise(F.lit("none selected")))
-    return (s.where(F.coalesce(F.col("final"), F.lit(0)) == 0)
-            .select("source", reason.alias("reason"), f.cast("long").alias("fetched"),
-                    dd.cast("long").alias("dedup_dropped"), fd.cast("long").alias("filter_dropped")))
+    return (per_src.where((F.col("final") == 0) & F.col("source_ord").isNotNull())
+            .select("source", reason.alias("reason"), "fetched", "dedup_dropped", "filter_dropped", "source_ord"))
 
 
 def active_sources(items: DataFrame) -> DataFrame:

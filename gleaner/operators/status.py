@@ -41,19 +41,21 @@ def job_status(log: DataFrame) -> DataFrame:
         F.sum("items").cast("long").alias("items_fetched"))
 
 
-def manifest_row(tagged: DataFrame, seen_live: DataFrame, spec: JobSpec, as_of: dt.datetime) -> DataFrame:
-    """One manifest row: run identity plus run totals and waterline, from a
+def manifest_row(tagged: DataFrame, seen_live: DataFrame, spec: JobSpec, as_of: dt.datetime,
+                 completed_at: dt.datetime | None = None) -> DataFrame:
+    """One manifest row: run identity plus run totals, filter breakdown and waterline, from a
     single aggregate over tagged rows unioned with the live seen hashes."""
     d = F.col("disposition")
     t = tagged.select(F.lit(None).cast("string").alias("seen_hash"), F.lit(1).alias("is_item"),
                       F.col("dup").isNotNull().cast("int").alias("is_dup"),
                       d.isin(*FILTER_REASONS).cast("int").alias("is_filtered"),
-                      (d == "passed").cast("int").alias("is_final"))
+                      (d == "passed").cast("int").alias("is_final"), *[(d == r).cast("int").alias(r) for r in FILTER_REASONS])
     s = seen_live.select(F.col("url_hash").alias("seen_hash"), F.lit(0).alias("is_item"), F.lit(0).alias("is_dup"),
-                         F.lit(0).alias("is_filtered"), F.lit(0).alias("is_final"))
+                         F.lit(0).alias("is_filtered"), F.lit(0).alias("is_final"), *[F.lit(0).alias(r) for r in FILTER_REASONS])
     agg = t.unionByName(s).agg(
         F.sum("is_item").cast("long").alias("fetched"), F.sum("is_dup").cast("long").alias("deduped"),
         F.sum("is_filtered").cast("long").alias("filtered_out"), F.sum("is_final").cast("long").alias("final"),
+        *[F.coalesce(F.sum(r), F.lit(0)).cast("long").alias(r) for r in FILTER_REASONS],
         F.countDistinct("seen_hash").cast("long").alias("waterline_before"))
     return agg.select(
         F.lit(spec.task_key).alias("task_key"), F.lit(run_id(as_of)).alias("run_id"),
@@ -63,12 +65,20 @@ def manifest_row(tagged: DataFrame, seen_live: DataFrame, spec: JobSpec, as_of:
         "fetched", "deduped", "filtered_out", "final", "waterline_before",
         (F.col("waterline_before") + F.col("fetched") - F.col("deduped")).alias("waterline_after"),
         F.lit(len(spec.sources)).cast("long").alias("configured_sources"),
-        F.lit(__version__).alias("version"))
-
-
-def manifest_json(manifest: DataFrame) -> DataFrame:
-    """The manifest row as one JSON document (for the file sink)."""
-    return manifest.select(F.to_json(F.struct(*manifest.columns)).alias("manifest"))
+        F.lit(__version__).alias("version"), *FILTER_REASONS,
+        F.lit((completed_at or as_of).strftime("%Y-%m-%dT%H:%M:%S+00:00")).alias("completed_at"))
+
+
+def manifest_document(manifest: DataFrame, per_source: DataFrame, sources: DataFrame) -> DataFrame:
+    """The manifest with its configured sources and per-source statistics
+    (arrays of one struct per source, bounded by the job's sources)."""
+    conf = sources.select("source_ord", *[c for c in sources.columns if c != "source_ord"])
+    rows = (manifest.select(F.struct("*").alias("m"))
+            .unionByName(per_source.select(F.struct("*").alias("p")), allowMissingColumns=True)
+            .unionByName(conf.select(F.struct("*").alias("s")), allowMissingColumns=True))
+    one = rows.agg(F.first("m", ignorenulls=True).alias("m"), F.sort_array(F.collect_list("p")).alias("per_source"),
+                   F.sort_array(F.collect_list("s")).alias("sources"))
+    return one.select("m.*", "per_source", "sources")
 
 
 def latest_runs(manifests: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.common import let
 from .gate import gate_text, matches_any
 
 # The reference's eight ordered themes and their keywords.
@@ -33,17 +34,17 @@ DEFAULT_THEMES: list[tuple[str, list[str]]] = [
     ("融资与商业", ["funding", "acquisition", "valuation", "series", "revenue", "partnership",
                "enterprise", "pricing"]),
 ]
-MAX_THEMES = 6
 REFS_PER_THEME = 5
 
 
 def theme_of(title: Column | str, excerpt: Column | str,
              lexicon: list[tuple[str, list[str]]] = DEFAULT_THEMES) -> Column:
-    text = gate_text(title, excerpt)
-    c = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, words in lexicon:
-        c = c.when(matches_any(text, words), F.lit(name))
-    return c
+    def first(text: Column) -> Column:
+        c = F.when(F.lit(False), F.lit(None).cast("string"))
+        for name, words in lexicon:
+            c = c.when(matches_any(text, words), F.lit(name))
+        return c
+    return let(gate_text(title, excerpt), first)
 
 
 def assign(items: DataFrame, lexicon: list[tuple[str, list[str]]] = DEFAULT_THEMES) -> DataFrame:
@@ -52,9 +53,10 @@ def assign(items: DataFrame, lexicon: list[tuple[str, list[str]]] = DEFAULT_THEM
 
 
 def board(ranked: DataFrame, lexicon: list[tuple[str, list[str]]] = DEFAULT_THEMES,
-          max_themes: int = MAX_THEMES, refs: int = REFS_PER_THEME) -> DataFrame:
-    """Themes by item count desc (ties: earliest first item), at most
-    ``max_themes``; each with its first ``refs`` items by rank.  Needs ``rank``."""
+          max_themes: int | None = None, refs: int = REFS_PER_THEME) -> DataFrame:
+    """Themes by item count desc (ties: earliest first item), the first
+    ``max_themes`` (all by default); each with its first ``refs`` items by
+    rank.  Needs ``rank``."""
     t = assign(ranked, lexicon).where(F.col("theme").isNotNull())
     counts = t.groupBy("theme").agg(F.count(F.lit(1)).cast("long").alias("n"),
                                     F.min("rank").alias("first_rank"))
@@ -62,6 +64,7 @@ def board(ranked: DataFrame, lexicon: list[tuple[str, list[str]]] = DEFAULT_THEM
     top = (t.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= refs)
            .groupBy("theme")
            .agg(F.sort_array(F.collect_list(F.struct("rank", "title", "url", "publish_date"))).alias("refs")))
-    return (counts.join(top, "theme")
-            .orderBy(F.col("n").desc(), F.col("first_rank").asc())
-            .limit(max_themes))
+    out = counts.join(top, "theme")
+    if max_themes is not None:
+        out = out.orderBy(F.col("n").desc(), F.col("first_rank").asc()).limit(max_themes)
+    return out

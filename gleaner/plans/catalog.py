@@ -17,6 +17,7 @@ from ..operators import dedup, gate, health, rank, stats, themes
 from ..operators.order import with_global_rank
 from ..sources import adapters as A
 from . import pipeline as P
+from .run import REPORT_THEMES
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -226,13 +227,13 @@ def run_stats_rollup(spark, sf):
 
 @query
 def per_source_stats(spark, sf):
-    return stats.per_source(_curated(spark, sf).tagged, A.sources_dim(spark))
+    return stats.per_source(_curated(spark, sf).tagged, A.sources_dim(spark)).drop("source_ord")
 
 
 @query
 def silent_sources(spark, sf):
     ps = stats.per_source(_curated(spark, sf).tagged, A.sources_dim(spark))
-    return stats.silent_sources(ps, A.sources_dim(spark))
+    return stats.silent_sources(ps).drop("source_ord")
 
 
 @query
@@ -288,14 +289,14 @@ def page_title(spark, sf):
 def page_excerpt(spark, sf):
     from ..functions.html import page_excerpt as excerpt_of
     p = A.table(spark, sf, "pages")
-    return p.select("page_id", excerpt_of("html", 300).alias("excerpt"))
+    return p.select("page_id", excerpt_of("html").alias("excerpt"))
 
 
 @query
 def main_text(spark, sf):
     from ..functions.html import main_text as text_of
     p = A.table(spark, sf, "pages")
-    return p.select("page_id", text_of("html", 2000).alias("main_text"))
+    return p.select("page_id", text_of("html").alias("main_text"))
 
 
 def _listings(spark, sf):
@@ -328,7 +329,7 @@ def url_list_scan(spark, sf):
     items = scan_urls(urls, p)
     return items.select("url_ord", "url", "title", "source",
                         F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"), "excerpt",
-                        F.length("raw_html").cast("long").alias("html_chars"))
+                        "html_chars")
 
 
 # ------------------------------------------------------------------ reports
@@ -381,22 +382,24 @@ def media_type(spark, sf):
 
 
 # ------------------------------------------------------------------- export
-def _imported(ranked):
-    return ranked.where(F.col("item_ord") % 4 == 0).select("url_hash")
+def _imported(spark, sf, ranked):
+    """Hashes of the documents that a rater called good."""
+    good = A.table(spark, sf, "labels").where("quality = 1").select(F.col("doc_id").alias("item_ord")).distinct()
+    return ranked.join(good, "item_ord", "left_semi").select("url_hash")
 
 
 @query
 def import_pending(spark, sf):
     from ..operators.export import pending
     r = _ranked(spark, sf)
-    return pending(r, _imported(r)).select("url_hash", "rank")
+    return pending(r, _imported(spark, sf, r)).select("url_hash", "rank")
 
 
 @query
 def export_batches(spark, sf):
     from ..operators.export import batches, pending
     r = _ranked(spark, sf)
-    return batches(pending(r, _imported(r))).select("url_hash", "rank", "pos", "batch")
+    return batches(pending(r, _imported(spark, sf, r))).select("url_hash", "rank", "pos", "batch")
 
 
 @query
@@ -499,18 +502,16 @@ def rss_scan(spark, sf):
 @query
 def atom_scan(spark, sf):
     """Raw items written as one Atom feed per source (two links per entry,
-    two-line titles), scanned back with the newest-80 rule per feed."""
+    whole texts as many-line titles), scanned back."""
     from ..sources.feeds import scan_atom
     from ..streaming.scratch import run_folder
     path = run_folder(spark, "atom")
-    d = A.table(spark, sf, "documents")
-    r = A.raw_items(spark, sf).join(d.select(F.col("doc_id").alias("item_ord"), "text"), "item_ord")
+    r = A.raw_items(spark, sf)
     published = F.date_format(F.timestamp_add("SECOND", (F.col("item_ord") % 86400).cast("int"),
                                               F.col("publish_date").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    title = F.concat_ws("\n", F.slice(F.split("text", "\n"), 1, 2))
     links = F.array(F.struct(F.col("url").alias("_href"), F.lit("alternate").alias("_rel")),
                     F.struct(F.concat(F.col("url"), F.lit(".pdf")).alias("_href"), F.lit("related").alias("_rel")))
-    (r.select(F.col("item_ord").cast("string").alias("id"), F.substring(title, 1, 200).alias("title"),
+    (r.select(F.col("item_ord").cast("string").alias("id"), F.col("excerpt").alias("title"),
               links.alias("link"), published.alias("published"), F.col("excerpt").alias("summary"), "source")
      .sortWithinPartitions("item_ord")
      .write.partitionBy("source").format("xml").option("rowTag", "entry").option("rootTag", "feed").save(path))
@@ -550,9 +551,9 @@ def weekly_report(spark, sf):
     spec = A.job_spec()
     tagged = materialize(P.tag(_raw(spark, sf), _seen_live(spark, sf), spec))
     ranked = with_global_rank(P.survivors(tagged, spec, A.AS_OF), rank.order_cols(), "rank")
-    silent = stats.silent_sources(stats.per_source(tagged, A.sources_dim(spark)), A.sources_dim(spark))
+    silent = stats.silent_sources(stats.per_source(tagged, A.sources_dim(spark)))
     alerts = health.health_alerts(health.source_health(A.fetch_log(spark, sf)))
-    board = themes.board(ranked, A.THEMES)
+    board = themes.board(ranked, A.THEMES, max_themes=REPORT_THEMES)
     return weekly(ranked, board, silent, alerts, title=display_title(A.TASK_KEY), as_of=A.AS_OF,
                   window_days=A.WINDOW_DAYS, configured=A.N_SOURCES, version=__version__)
 
@@ -562,7 +563,7 @@ def memo_report(spark, sf):
     """The memo report (investment memo / company dossier) as ordered lines."""
     from ..operators.report import display_title, memo_report as memo
     ranked = _ranked(spark, sf)
-    return memo(ranked, themes.board(ranked, A.THEMES), title=display_title(A.TASK_KEY), as_of=A.AS_OF,
+    return memo(ranked, themes.board(ranked, A.THEMES, max_themes=REPORT_THEMES), title=display_title(A.TASK_KEY), as_of=A.AS_OF,
                 window_days=A.WINDOW_DAYS, version=__version__)
 
 

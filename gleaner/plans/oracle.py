@@ -8,7 +8,7 @@ look-around; explicit ASCII whitespace class).
 
 from __future__ import annotations
 
-from ..functions.common import WS
+from ..functions.common import STRIP_WS, WS
 from ..functions.text import ACTION_VERBS, FILLER_STARTS, SENTENCE_END, SIGNAL_PATTERNS
 from ..functions.url import TRACKING_RX, URL_RX
 
@@ -23,11 +23,11 @@ def nz(x: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(f'^{WS}+|{WS}+$')}, '', 'g')"
+    return f"regexp_replace({x}, {q(f'^{STRIP_WS}+|{STRIP_WS}+$')}, '', 'g')"
 
 
 def rstrip(x: str) -> str:
-    return f"regexp_replace({x}, {q(f'{WS}+$')}, '')"
+    return f"regexp_replace({x}, {q(f'{STRIP_WS}+$')}, '')"
 
 
 def strip_html(x: str) -> str:
@@ -132,7 +132,9 @@ def normalize_url(u: str) -> str:
     p0 = f"regexp_replace(regexp_replace({url_part(u, 3)}, ';[^/]*$', ''), '/+$', '')"
     p = f"(CASE WHEN {p0} = '' THEN '/' ELSE {p0} END)"
     cq = clean_query(url_part(u, 4))
-    return (f"(lower({url_part(u, 1)}) || '://' || {domain(u)} || {p} || "
+    before = f"CASE WHEN {url_part(u, 1)} = '' THEN '' ELSE lower({url_part(u, 1)}) || ':' END"
+    host = f"CASE WHEN {domain(u)} = '' THEN '' ELSE '//' || {domain(u)} END"
+    return (f"({before} || {host} || {p} || "
             f"CASE WHEN {cq} = '' THEN '' ELSE '?' || {cq} END)")
 
 
@@ -180,10 +182,10 @@ def page_title(h0: str) -> str:
     return f"coalesce(nullif({og}, ''), nullif({title}, ''), {h1})"
 
 
-def meta_description(h: str, n: int) -> str:
+def meta_description(h: str) -> str:
     og = strip(unescape(meta_content(h, "property", "og:description")))
     desc = strip(unescape(meta_content(h, "name", "description")))
-    return f"substr(coalesce(nullif({og}, ''), nullif({desc}, '')), 1, {n})"
+    return f"coalesce(nullif({og}, ''), nullif({desc}, ''))"
 
 
 def main_text_parts(h0: str) -> tuple[str, str]:
@@ -196,14 +198,14 @@ def main_text_parts(h0: str) -> tuple[str, str]:
     return root, h
 
 
-def main_text_from_root(root: str, n: int) -> str:
+def main_text_from_root(root: str) -> str:
     pieces = f"regexp_split_to_array({root}, {q(H.RX_P_OPEN)})[2:]"
     close_rest = f"regexp_replace(y, {q(H.RX_P_CLOSE_REST)}, '')"
     paras = (f"list_filter(list_transform({pieces}, lambda y: "
              f"{node_text(close_rest)}), "
              f"lambda z: length(z) > 20)")
     text = f"(CASE WHEN len({paras}) > 0 THEN array_to_string({paras}, chr(10) || chr(10)) ELSE {node_lines(root)} END)"
-    return f"substr(regexp_replace({text}, '\\n{{3,}}', chr(10) || chr(10), 'g'), 1, {n})"
+    return f"regexp_replace({text}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
 
 
 # -------------------------------------------------------------------- dates
@@ -279,13 +281,13 @@ def time_candidates(h: str) -> str:
     return f"list_concat({attrs}, {texts})"
 
 
-def visible_text(h0: str, n: int) -> str:
+def visible_text(h0: str) -> str:
     h = f"regexp_replace({h0}, {q(D.RX_SCRIPT_STYLE)}, ' ', 'g')"
     root = (f"coalesce(nullif(regexp_extract({h}, {q(D.RX_ARTICLE)}, 1), ''), "
             f"nullif(regexp_extract({h}, {q(D.RX_MAIN)}, 1), ''), "
             f"nullif(regexp_extract({h}, {q(D.RX_BODY)}, 1), ''), {h})")
     txt = strip(f"regexp_replace(regexp_replace({root}, '<[^>]+>', ' ', 'g'), {q(WS + '+')}, ' ', 'g')")
-    return f"substr({txt}, 1, {n})"
+    return txt
 
 
 def text_candidates(t: str) -> str:
@@ -297,10 +299,16 @@ def date_in_text(t: str) -> str:
 
 
 def visible_candidates(h: str) -> str:
-    classed = (f"list_transform(regexp_extract_all({h}, {q(D.RX_DATE_CLASSED)}, 3), "
-               f"lambda t: {strip(strip_html('t'))})")
-    data_date = f"regexp_extract_all({h}, {q(D.RX_DATA_DATE)}, 1)"
-    return f"list_concat({classed}, {data_date}, {text_candidates(visible_text(h, 2000))})"
+    def of(e: str) -> str:
+        opening = f"regexp_extract({e}, '(?s)^<[^>]*>', 0)"
+        text = strip(strip_html(f"regexp_replace({e}, '</$', '')"))
+        return f"[nullif(regexp_extract({opening}, {q(D.RX_DATA_DATE)}, 1), ''), {text}]"
+
+    inner = f"regexp_extract_all(regexp_replace(e, '(?s)^<[^>]*>', ''), {q(D.RX_DATE_CLASSED)}, 0)"
+    both = f"list_concat({of('e')}, flatten(list_transform({inner}, lambda y: {of('y')})))"
+    classed = f"flatten(list_transform(regexp_extract_all({h}, {q(D.RX_DATE_CLASSED)}, 0), lambda e: {both}))"
+    data_date = f"flatten(list_transform(regexp_extract_all({h}, {q(D.RX_DATA_ELEMENT)}, 0), lambda e: {of('e')}))"
+    return f"list_concat({classed}, {data_date}, {text_candidates(visible_text(h))})"
 
 
 def html_candidates(h: str) -> str:

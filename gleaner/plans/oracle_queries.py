@@ -28,10 +28,10 @@ def doc_url(alias: str = "") -> str:
 
 RAW = f"""raw AS (
   SELECT {doc_url()} AS url,
-         substr(split_part(split_part(text, chr(10), 1), '.', 1), 1, 80) AS title,
+         split_part(split_part(text, chr(10), 1), '.', 1) AS title,
          source,
          CASE WHEN doc_id % 17 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) END AS publish_date,
-         substr(text, 1, 500) AS excerpt,
+         text AS excerpt,
          CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER) AS source_ord,
          CAST(doc_id AS BIGINT) AS item_ord
   FROM documents)"""
@@ -43,7 +43,7 @@ SEEN = f"""seen_live AS (
   SELECT url_hash, first_seen_ts FROM (
     SELECT {O.url_hash('(' + doc_url() + ')')} AS url_hash,
            {AS_OF_TS} - to_days(CAST(doc_id % 90 AS INTEGER)) AS first_seen_ts
-    FROM documents WHERE doc_id % 5 = 0) s
+    FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) s
   WHERE first_seen_ts >= {TTL_TS})"""
 
 
@@ -211,7 +211,7 @@ reg("theme_board", f"""{PIPE}, th AS (SELECT *, {_theme_case(_gtext())} AS theme
         FROM (SELECT *, row_number() OVER (PARTITION BY theme ORDER BY rank) AS k FROM th WHERE theme IS NOT NULL)
         WHERE k <= 5 GROUP BY theme)
   SELECT c.theme, n, CAST(first_rank AS BIGINT) AS first_rank, ref_titles, ref_ranks FROM c JOIN r USING (theme)
-  ORDER BY n DESC, first_rank LIMIT 6""")
+""")
 
 LOG = """log AS (SELECT 'src' || CAST(user_id AS VARCHAR) AS source_id, ts, event_type = 'purchase' AS success,
   CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS BIGINT) ELSE 0 END AS item_count FROM events)"""
@@ -228,9 +228,9 @@ reg("health_alerts", f"""WITH {HEALTH} SELECT source_id, consecutive_failures AS
 
 reg("page_title", f"SELECT page_id, {O.page_title('html')} AS title FROM pages")
 _ROOT = O.main_text_parts("html")[0]
-reg("page_excerpt", f"""SELECT page_id, coalesce(md, nullif(substr({O.main_text_from_root('root', 400)}, 1, 300), '')) AS excerpt
-  FROM (SELECT page_id, {O.meta_description('html', 300)} AS md, {_ROOT} AS root FROM pages)""")
-reg("main_text", f"""SELECT page_id, {O.main_text_from_root('root', 2000)} AS main_text
+reg("page_excerpt", f"""SELECT page_id, coalesce(md, nullif({O.main_text_from_root('root')}, '')) AS excerpt
+  FROM (SELECT page_id, {O.meta_description('html')} AS md, {_ROOT} AS root FROM pages)""")
+reg("main_text", f"""SELECT page_id, {O.main_text_from_root('root')} AS main_text
   FROM (SELECT page_id, {_ROOT} AS root FROM pages)""")
 
 # ------------------------------------------------------------------ pages
@@ -238,13 +238,27 @@ from ..sources import pages as PG  # noqa: E402
 
 LISTINGS = f"""listings AS (
   SELECT printf('https://%s/list/%d', host, block) AS listing_url,
-         '<html><body><nav><a href="/">Home page link</a></nav><ul>' || string_agg(li, '' ORDER BY page_id)
-         || '</ul></body></html>' AS html
-  FROM (SELECT {O.domain('url')} AS host, CAST(floor(page_id / {A.LISTING_CHUNK}) AS BIGINT) AS block, page_id,
-               '<li>' || CASE WHEN page_id % 2 = 0 THEN printf('<time datetime="2024-01-%02d"></time>', page_id % 30 + 1)
-               ELSE '' END || ' <a href="' || regexp_replace(url, '#.*$', '') || '">'
-               || regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) || '</a></li>' AS li
-        FROM pages) GROUP BY host, block)"""
+         '<html><body><nav><a href="/">Home page link</a></nav>' || string_agg(card, '' ORDER BY page_id)
+         || '</body></html>' AS html
+  FROM (SELECT host, block, page_id,
+          CASE page_id % 4
+            WHEN 0 THEN '<ul><li>' || tm || ' ' || link || '</li></ul>'
+            WHEN 1 THEN '<article><h3>' || link || '</h3>' || tm || '</article>'
+            WHEN 2 THEN '<table><tr><td>' || link || '</td><td>' || printf('Jan %d, 2024', page_id % 30 + 1) || '</td></tr></table>'
+            ELSE '<div class="card"><div>' || link || '</div><p>more</p></div>' END AS card
+        FROM (SELECT {O.domain('url')} AS host, CAST(floor(page_id / {A.LISTING_CHUNK}) AS BIGINT) AS block, page_id,
+                printf('<time datetime="2024-01-%02d"></time>', page_id % 30 + 1) AS tm,
+                '<a href="' || CASE WHEN page_id % 8 = 3 THEN '../x/..' || regexp_replace(regexp_replace(url, '#.*$', ''), '^[a-z]+://[^/]*', '')
+                  ELSE regexp_replace(url, '#.*$', '') END || '">'
+                || regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) || '</a>' AS link FROM pages)) GROUP BY host, block)"""
+
+
+def _no_dots(path: str) -> str:
+    """Remove '/./' and '/x/../' by repeated replacement."""
+    out = f"regexp_replace({path}, '/[.](/|$)', '/', 'g')"
+    for _ in range(6):
+        out = f"regexp_replace({out}, '/(?:[^/.][^/]*|[.][^/.][^/]*)/[.][.](/|$)', '/')"
+    return f"regexp_replace({out}, '^(/[.][.])+(/|$)', '/')"
 
 
 def _resolve(base: str, href: str) -> str:
@@ -254,13 +268,14 @@ def _resolve(base: str, href: str) -> str:
     origin = f"({scheme} || '://' || {auth})"
     no_frag = f"regexp_replace({base}, '#.*$', '')"
     bdir = f"regexp_replace({bpath}, '[^/]*$', '')"
+    ref_path, ref_tail = f"regexp_extract({href}, '^[^?#]*', 0)", f"regexp_replace({href}, '^[^?#]*', '')"
     return (f"(CASE WHEN regexp_matches({href}, {O.q(PG.RX_SCHEME)}) THEN {href} "
             f"WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href} "
-            f"WHEN starts_with({href}, '/') THEN {origin} || {href} "
+            f"WHEN starts_with({href}, '/') THEN {origin} || {_no_dots(ref_path)} || {ref_tail} "
             f"WHEN {href} = '' THEN {no_frag} "
             f"WHEN starts_with({href}, '#') THEN {no_frag} || {href} "
             f"WHEN starts_with({href}, '?') THEN {origin} || {bpath} || {href} "
-            f"ELSE {origin} || CASE WHEN {bdir} = '' THEN '/' ELSE {bdir} END || {href} END)")
+            f"ELSE {origin} || {_no_dots(f"CASE WHEN {bdir} = '' THEN '/' ELSE {bdir} END || {ref_path}")} || {ref_tail} END)")
 
 
 def _likely_article(href: str, text: str, base: str) -> str:
@@ -281,13 +296,16 @@ def _context_date(b: str) -> str:
     attr = f"nullif(regexp_extract({b}, {O.q(PG.RX_TIME_ATTR1)}, 1), '')"
     ttext = f"nullif({O.strip(O.node_text(f'regexp_extract({b}, {O.q(PG.RX_TIME_TEXT1)}, 1)'))}, '')"
     spaced = f"regexp_replace(regexp_replace({b}, '<[^>]+>', ' ', 'g'), {O.q(O.WS + '+')}, ' ', 'g')"
-    words = f"substr({O.strip(spaced)}, 1, 200)"
-    return O.first_parsed(f"list_concat([{attr}, {ttext}], {O.text_candidates(O.unescape(words))})")
+    return O.first_parsed(f"list_concat([{attr}, {ttext}], {O.text_candidates(O.unescape(O.strip(spaced)))})")
+
+
+def _cut(h: str) -> str:
+    return (f"regexp_replace(regexp_replace({h}, {O.q(PG.RX_BLOCK_CLOSE)}, chr(1), 'g'), {O.q(PG.RX_CARD_CLOSE)}, chr(1) || '\\1', 'g')")
 
 
 LINKS = f"""blocks AS (
   SELECT listing_url, unnest(segs) AS seg, generate_subscripts(segs, 1) AS seg_pos
-  FROM (SELECT listing_url, regexp_split_to_array({O.drop_elements('html', PG.LISTING_NOISE)}, {O.q(PG.RX_BLOCK_CLOSE)}) AS segs
+  FROM (SELECT listing_url, string_split({_cut(O.drop_elements('html', PG.LISTING_NOISE))}, chr(1)) AS segs
         FROM listings)),
 anchors AS (
   SELECT listing_url, seg_pos, ctx_date, unnest(hs) AS h, unnest(ts) AS t, generate_subscripts(hs, 1) AS a_pos
@@ -308,10 +326,10 @@ reg("page_links", f"""WITH {LISTINGS}, {LINKS} SELECT listing_url, CAST(link_pos
 reg("listing_scan", f"""WITH {LISTINGS}, {LINKS},
   lookup AS (SELECT {O.url_hash('url')} AS page_key, arg_min(html, page_id) AS page_html FROM pages GROUP BY 1),
   j AS (SELECT l.*, coalesce(ctx_date, {O.date_from_url('href')}) AS known, page_html
-        FROM links l LEFT JOIN lookup p ON {O.url_hash('l.href')} = p.page_key WHERE link_pos <= {PG.MAX_LINKS}),
+        FROM links l LEFT JOIN lookup p ON {O.url_hash('l.href')} = p.page_key),
   j2 AS (SELECT *, CASE WHEN known IS NULL AND page_html IS NOT NULL THEN row_number() OVER (
            PARTITION BY listing_url, (known IS NULL AND page_html IS NOT NULL) ORDER BY link_pos) END AS lk FROM j),
-  j3 AS (SELECT *, CASE WHEN lk <= {PG.MAX_LOOKUPS} THEN {O.from_html('page_html')} END AS page_date FROM j2),
+  j3 AS (SELECT *, CASE WHEN lk IS NOT NULL THEN {O.from_html('page_html')} END AS page_date FROM j2),
   r AS (SELECT *, coalesce(known, page_date) AS resolved FROM j3)
   SELECT href AS url, text AS title, listing_url AS source,
          strftime(coalesce(resolved, {AS_OF_D}), '%Y-%m-%d') AS publish_date,
@@ -328,8 +346,8 @@ reg("url_list_scan", f"""WITH urls AS (SELECT page_id AS url_ord, CASE WHEN page
     'manual' AS source,
     strftime(CASE WHEN html IS NOT NULL THEN coalesce({O.from_html('html')}, {O.date_from_url('u.url')})
              ELSE {O.date_from_url('u.url')} END, '%Y-%m-%d') AS publish_date,
-    CASE WHEN html IS NOT NULL THEN {O.meta_description('html', 500)} END AS excerpt,
-    CAST(length(substr(html, 1, {PG.MAX_HTML})) AS BIGINT) AS html_chars
+    CASE WHEN html IS NOT NULL THEN {O.meta_description('html')} END AS excerpt,
+    CAST(length(html) AS BIGINT) AS html_chars
   FROM urls u LEFT JOIN pg ON u.url = pg.url""")
 
 # ---------------------------------------------------------------- reports
@@ -341,7 +359,8 @@ reg("timeline_lines", f"""{PIPE} SELECT rank AS line_ord,
          {O.clip('title', 55)}, coalesce(excerpt, ''), {O.q(RP.LINK_LABEL)}, coalesce(url, '')) AS line FROM ranked""")
 
 reg("source_lines", f"""{PIPE}, l AS (
-  SELECT rank, 1 AS k, printf('%d. [%s](%s)', rank, coalesce(title, ''), coalesce(url, '')) AS line FROM ranked
+  SELECT 0 AS rank, 1 AS k, '# Sources' AS line UNION ALL SELECT 0, 2, ''
+  UNION ALL SELECT rank, 1 AS k, printf('%d. [%s](%s)', rank, coalesce(title, ''), coalesce(url, '')) AS line FROM ranked
   UNION ALL SELECT rank, 2, printf('   - Date: %s | Source: %s', coalesce(publish_date, ''), coalesce(source, '')) FROM ranked
   UNION ALL SELECT rank, 3, CASE WHEN substr(coalesce(excerpt, ''), 1, 80) <> ''
                        THEN '   - ' || substr(coalesce(excerpt, ''), 1, 80) END FROM ranked
@@ -376,7 +395,8 @@ reg("text_blocks", f"""WITH d AS (SELECT doc_id, {_BODY} AS body,
 
 def _natural_key(x: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all(coalesce({x}, ''), '[0-9]+|[^0-9]+'), "
-            f"lambda r: CASE WHEN regexp_matches(r, '^[0-9]+$') THEN '0' || lpad(r, 30, '0') "
+            f"lambda r: CASE WHEN regexp_matches(r, '^[0-9]+$') THEN '0' || lpad(CAST(length(regexp_replace(r, '^0+', '')) AS VARCHAR), 10, '0') "
+            f"|| regexp_replace(r, '^0+', '') "
             f"ELSE '1' || lower(r) || chr(1) END), '')")
 
 
@@ -402,7 +422,7 @@ reg("media_type", f"""SELECT p_partkey, file_name, {_media('file_name')} AS bloc
   FROM (SELECT p_partkey, replace(lower(p_name), ' ', '_') || {_SUFFIX} AS file_name FROM part)""")
 
 # ----------------------------------------------------------------- export
-_PENDING = "pending AS (SELECT * FROM ranked WHERE url_hash NOT IN (SELECT url_hash FROM ranked WHERE item_ord % 4 = 0))"
+_PENDING = "pending AS (SELECT * FROM ranked WHERE url_hash NOT IN (SELECT url_hash FROM ranked WHERE item_ord IN (SELECT doc_id FROM labels WHERE quality = 1)))"
 reg("import_pending", f"{PIPE}, {_PENDING} SELECT url_hash, rank FROM pending")
 reg("export_batches", f"""{PIPE}, {_PENDING} SELECT url_hash, rank, CAST(pos AS BIGINT) AS pos,
   CAST(floor((pos - 1) / 20) AS BIGINT) AS batch FROM (SELECT *, row_number() OVER (ORDER BY rank) AS pos FROM pending)""")
@@ -425,9 +445,14 @@ reg("manifest_row", f"""WITH {RAW}, {RAW_W}, {SEEN}, {TAGGED}
   SELECT '{A.TASK_KEY}' AS task_key, '{A.AS_OF:%Y%m%dT%H%M%S}' AS run_id, '{A.AS_OF:%Y-%m-%dT%H:%M:%S}+00:00' AS started_at,
     CAST({A.WINDOW_DAYS} AS BIGINT) AS window_days, CAST({A.TTL_DAYS} AS BIGINT) AS dedup_ttl_days,
     fetched, deduped, filtered_out, final, waterline_before, waterline_before + fetched - deduped AS waterline_after,
-    CAST({A.N_SOURCES} AS BIGINT) AS configured_sources, '0.1.0' AS version
+    CAST({A.N_SOURCES} AS BIGINT) AS configured_sources, '0.1.0' AS version,
+    no_date, not_included, excluded, low_signal, '{A.AS_OF:%Y-%m-%dT%H:%M:%S}+00:00' AS completed_at
   FROM (SELECT CAST(count(*) AS BIGINT) AS fetched, CAST(count(*) FILTER (WHERE dup IS NOT NULL) AS BIGINT) AS deduped,
           CAST(count(*) FILTER (WHERE disposition IN ('no_date','not_included','excluded','low_signal')) AS BIGINT) AS filtered_out,
+          CAST(count(*) FILTER (WHERE disposition = 'no_date') AS BIGINT) AS no_date,
+          CAST(count(*) FILTER (WHERE disposition = 'not_included') AS BIGINT) AS not_included,
+          CAST(count(*) FILTER (WHERE disposition = 'excluded') AS BIGINT) AS excluded,
+          CAST(count(*) FILTER (WHERE disposition = 'low_signal') AS BIGINT) AS low_signal,
           CAST(count(*) FILTER (WHERE disposition = 'passed') AS BIGINT) AS final FROM tagged) t,
        (SELECT CAST(count(DISTINCT url_hash) AS BIGINT) AS waterline_before FROM seen_live) s""")
 
@@ -439,20 +464,14 @@ reg("stream_health", SQL["health_fold"])
 # --------------------------------------------------------- feeds, sitemaps
 reg("rss_scan", f"""WITH {RAW} SELECT {O.strip('url')} AS url, {O.strip("coalesce(title, '')")} AS title,
   'corpus-rss' AS source, strftime(publish_date, '%Y-%m-%d') AS publish_date,
-  substr(nullif(excerpt, ''), 1, 500) AS excerpt
+  nullif(excerpt, '') AS excerpt
   FROM raw WHERE {O.strip('url')} <> '' AND (publish_date IS NULL OR publish_date >= {CUTOFF_D})""")
 
-reg("atom_scan", f"""WITH {RAW}, e AS (
-    SELECT r.*, d.text,
-      CASE WHEN r.publish_date IS NULL THEN '' ELSE strftime(CAST(r.publish_date AS TIMESTAMP)
-        + to_seconds(CAST(r.item_ord % 86400 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') END AS published
-    FROM raw r JOIN documents d ON d.doc_id = r.item_ord),
-  k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY published DESC, item_ord) AS k FROM e)
-  SELECT {O.strip('url')} AS url,
-    replace({O.strip("substr(array_to_string(string_split(text, chr(10))[1:2], chr(10)), 1, 200)")}, chr(10), ' ') AS title,
+reg("atom_scan", f"""WITH {RAW}
+  SELECT {O.strip('url')} AS url, replace({O.strip('excerpt')}, chr(10), ' ') AS title,
     source, strftime(publish_date, '%Y-%m-%d') AS publish_date,
-    CASE WHEN {O.strip("coalesce(excerpt, '')")} <> '' THEN substr(replace({O.strip("coalesce(excerpt, '')")}, chr(10), ' '), 1, 500) END AS excerpt
-  FROM k WHERE k <= 80 AND {O.strip('url')} <> '' AND (publish_date IS NULL OR publish_date >= {CUTOFF_D})""")
+    CASE WHEN {O.strip("coalesce(excerpt, '')")} <> '' THEN replace({O.strip("coalesce(excerpt, '')")}, chr(10), ' ') END AS excerpt
+  FROM raw WHERE {O.strip('url')} <> '' AND (publish_date IS NULL OR publish_date >= {CUTOFF_D})""")
 
 LASTMOD = "coalesce(lastmod, '')"
 reg("sitemap_scan", f"""WITH s AS (
@@ -523,7 +542,7 @@ _LINES = f"""lines(section, part, line_ord, line) AS (
   UNION ALL {_lit_rows(4, 0, [RP.W_SILENT, ''])}
   UNION ALL SELECT 4, 0, 2 + t.k, t.line FROM (SELECT unnest([{', '.join(O.q(x) for x in [RP.W_SILENT_INTRO, ''] + RP.W_SILENT_HEADER)}]) AS line,
       unnest(range(0, 4)) AS k) t WHERE (SELECT count(*) FROM silent) > 0
-  UNION ALL SELECT 4, 1, row_number() OVER (ORDER BY source), printf('| %s | %s | %d | %d | %d |', source, reason,
+  UNION ALL SELECT 4, 1, row_number() OVER (ORDER BY CAST(substr(source, 4) AS INTEGER)), printf('| %s | %s | %d | %d | %d |', source, reason,
       fetched, dedup_dropped, filter_dropped) FROM silent
   UNION ALL SELECT 4, 0, 2, {O.q(RP.W_NO_SILENT)} WHERE (SELECT count(*) FROM silent) = 0
   UNION ALL {_lit_rows(4, _BIG, ['', '---', ''])}

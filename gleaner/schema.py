@@ -19,6 +19,7 @@ SEEN = StructType([
     StructField("task_key", StringType()),
     StructField("url_hash", StringType()),
     StructField("first_seen_ts", TimestampNTZType()),
+    StructField("seen_day", DateType()),
 ])
 
 FETCH_LOG = StructType([
@@ -29,12 +30,6 @@ FETCH_LOG = StructType([
     StructField("item_count", LongType()),
 ])
 
-WEIGHTS = StructType([
-    StructField("pattern", StringType()),
-    StructField("weight", DoubleType()),
-    StructField("ord", IntegerType()),
-])
-
 SOURCES = StructType([
     StructField("source_ord", IntegerType()),
     StructField("type", StringType()),

@@ -6,7 +6,9 @@ helpers here are for tests, benchmarks and command-line use.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every gleaner job relies on.  UTC pins date arithmetic so the
 # DuckDB oracle and Spark agree; AQE re-plans joins (broadcast vs sort-merge),
@@ -52,6 +54,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+def shared_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it from there.  A join
+    side read this way is a bare shuffle, which AQE can split by skew."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
     """Settings sized for a large input (e.g. 100 TB on ~1000 executors).
 

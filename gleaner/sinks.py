@@ -25,7 +25,8 @@ def write_lines(lines: DataFrame, path: str, order: list[str]) -> None:
 
 def append_seen(tagged: DataFrame, path: str, task_key: str, as_of: dt.datetime) -> None:
     """Append every first-seen hash of the run (filtered items included)."""
-    new_hashes(tagged, task_key, as_of).write.mode("append").partitionBy("task_key").parquet(path)
+    (new_hashes(tagged, task_key, as_of).withColumn("seen_day", F.to_date("first_seen_ts"))
+     .write.mode("append").partitionBy("task_key", "seen_day").parquet(path))
 
 
 def append_fetch_log(outcomes: DataFrame, path: str) -> None:

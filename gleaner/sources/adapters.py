@@ -43,30 +43,7 @@ THEMES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-SPREAD_BYTES = 256 << 10   # on-disk (compressed) bytes per task when a scan is spread out
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (a small file with one row group is a single task, and most
-    operators here are regex work per row).  The width follows the input's
-    size (about 256 KB of compressed input per task, at most the default
-    parallelism), so a tiny dimension table is left alone, and a large
-    input, which already has enough splits, is returned untouched: at
-    scale this adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= target:
-        return df
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # statistics unavailable: assume it is worth spreading
-        size = target * SPREAD_BYTES
-    want = min(target, max(1, size // SPREAD_BYTES))
-    return df.repartition(want) if want > have else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def job_spec(min_signals: int = MIN_SIGNALS) -> JobSpec:
@@ -98,11 +75,11 @@ def raw_items(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF) -> D
     first_line = F.substring_index(F.substring_index(text, "\n", 1), ".", 1)
     return d.select(
         doc_url(doc_id, text, F.col("lang"), F.col("source")).alias("url"),
-        F.substring(first_line, 1, 80).alias("title"),
+        first_line.alias("title"),
         F.col("source"),
         F.when(doc_id % 17 == 0, F.lit(None).cast("date"))
          .otherwise(F.date_add(F.lit(dt.date(2024, 1, 1)), (doc_id % 30).cast("int"))).alias("publish_date"),
-        F.substring(text, 1, 500).alias("excerpt"),
+        text.alias("excerpt"),
         F.lit(None).cast("string").alias("raw_html"),
         ntz(as_of).alias("fetched_at"),
         F.regexp_extract("source", r"(\d+)", 1).cast("int").alias("source_ord"),
@@ -111,8 +88,10 @@ def raw_items(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF) -> D
 
 
 def seen_state(spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF) -> DataFrame:
-    """Hashes of documents with doc_id % 5 = 0, first seen doc_id % 90 days ago."""
-    d = table(spark, sf_dir, "documents").where(F.col("doc_id") % 5 == 0)
+    """Hashes of the labelled documents (a rater saw them), first seen
+    doc_id % 90 days ago."""
+    labels = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    d = table(spark, sf_dir, "documents").join(labels, "doc_id", "left_semi")
     url = doc_url(F.col("doc_id"), F.col("text"), F.col("lang"), F.col("source"))
     return d.select("doc_id", url.alias("url")).select(
         F.lit(TASK_KEY).alias("task_key"),
@@ -137,32 +116,34 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sources_dim(spark: SparkSession, spec: JobSpec | None = None) -> DataFrame:
     """Configured sources as a small dimension table (size = job config)."""
-    spec = spec or job_spec()
-    rows = [(i, s.type, s.source_id, s.url, s.query, float(s.weight)) for i, s in enumerate(spec.sources)]
-    return spark.createDataFrame(rows, "source_ord int, type string, label string, url string, "
-                                       "query string, weight double")
+    from ..plans.run import source_table
+    return source_table(spark, spec or job_spec())
 
 
-LISTING_CHUNK = 64     # pages per synthetic listing page (bounds every group)
+LISTING_CHUNK = 512    # pages per synthetic listing page (bounds every group)
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing pages built from ``pages``: per host and block of 64 page ids,
-    an <li> per page with a link to its URL (fragment dropped), its <title> as text and, for
-    even page_id, a <time datetime>.  A block holds at most 64 rows, so no
-    group grows with the data."""
+    """Listing pages built from ``pages``, one per host and block of page ids.
+
+    Four layouts by page_id % 4: a list item with a <time>, an article whose
+    <time> follows the heading link, a table row with a date cell, and a card
+    of nested divs without a date; every eighth page links with ``../``."""
     p = table(spark, sf_dir, "pages")
-    host = U.domain("url")
-    href = F.regexp_replace("url", "#.*$", "")
+    k = F.col("page_id")
+    whole = F.regexp_replace("url", "#.*$", "")
+    href = F.when(k % 8 == 3, F.concat(F.lit("../x/.."), F.regexp_replace(whole, "^[a-z]+://[^/]*", ""))).otherwise(whole)
     title = F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1)
-    time_tag = F.when(F.col("page_id") % 2 == 0, F.format_string(
-        '<time datetime="2024-01-%02d"></time>', (F.col("page_id") % 30 + 1).cast("int"))).otherwise(F.lit(""))
-    li = F.concat(F.lit("<li>"), time_tag, F.lit(' <a href="'), href, F.lit('">'), title, F.lit("</a></li>"))
-    block = F.floor(F.col("page_id") / LISTING_CHUNK).cast("long")
-    return (p.select(host.alias("host"), block.alias("block"), F.col("page_id"), li.alias("li"))
-            .groupBy("host", "block")
-            .agg(F.sort_array(F.collect_list(F.struct("page_id", "li"))).alias("lis"))
+    day = (k % 30 + 1).cast("int")
+    link = F.concat(F.lit('<a href="'), href, F.lit('">'), title, F.lit("</a>"))
+    time_tag = F.format_string('<time datetime="2024-01-%02d"></time>', day)
+    card = (F.when(k % 4 == 0, F.concat(F.lit("<ul><li>"), time_tag, F.lit(" "), link, F.lit("</li></ul>")))
+            .when(k % 4 == 1, F.concat(F.lit("<article><h3>"), link, F.lit("</h3>"), time_tag, F.lit("</article>")))
+            .when(k % 4 == 2, F.concat(F.lit("<table><tr><td>"), link, F.lit("</td><td>"), F.format_string("Jan %d, 2024", day),
+                                       F.lit("</td></tr></table>")))
+            .otherwise(F.concat(F.lit('<div class="card"><div>'), link, F.lit("</div><p>more</p></div>"))))
+    return (p.select(U.domain("url").alias("host"), F.floor(k / LISTING_CHUNK).cast("long").alias("block"), "page_id", card.alias("card"))
+            .groupBy("host", "block").agg(F.sort_array(F.collect_list(F.struct("page_id", "card"))).alias("cards"))
             .select(F.format_string("https://%s/list/%d", F.col("host"), F.col("block")).alias("listing_url"),
-                    F.concat(F.lit('<html><body><nav><a href="/">Home page link</a></nav><ul>'),
-                             F.array_join(F.transform("lis", lambda x: x["li"]), ""),
-                             F.lit("</ul></body></html>")).alias("html")))
+                    F.concat(F.lit('<html><body><nav><a href="/">Home page link</a></nav>'),
+                             F.array_join(F.transform("cards", lambda x: x["card"]), ""), F.lit("</body></html>")).alias("html")))

@@ -17,6 +17,7 @@ from ..functions.common import ntz, strip
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.dates import feed_date
+from ..functions.html import cut
 from ..operators.gate import in_window
 
 RSS_ITEM = StructType([StructField(n, StringType()) for n in (
@@ -28,9 +29,8 @@ ATOM_ENTRY = StructType([
     StructField("link", ArrayType(ATOM_LINK)), StructField("published", StringType()),
     StructField("updated", StringType()), StructField("summary", StringType()),
 ])
+ATOM_TEXT = StructType([StructField("_VALUE", StringType()), StructField("_type", StringType())])
 CHANNEL = StructType([StructField("title", StringType())])
-EXCERPT_CHARS = 500     # fixed: excerpt kept from a feed entry
-MAX_ENTRIES = 80        # fixed: newest entries kept per paper query
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType) -> DataFrame:
@@ -39,32 +39,36 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType) -
 
 
 def feed_title(spark: SparkSession, path: str) -> str | None:
-    """The channel title (one small value per feed file)."""
-    try:
-        row = read_xml(spark, path, "channel", CHANNEL).where(F.col("title").isNotNull()).first()
-    except Exception:  # unreadable feed: caller falls back to the URL
-        return None
-    return row["title"].strip() if row else None
+    """The title of the channel (RSS) or feed (Atom): one small value."""
+    for tag in ("channel", "feed"):
+        row = read_xml(spark, path, tag, CHANNEL).where(F.col("title").isNotNull()).first()
+        if row:
+            return row["title"].strip()
+    return None
 
 
-def _excerpt(summary: Column, content: Column) -> Column:
-    return F.coalesce(F.substring(F.nullif(summary, F.lit("")), 1, EXCERPT_CHARS),
-                      F.substring(content, 1, EXCERPT_CHARS))
+def _excerpt(summary: Column, content: Column, chars: int | None) -> Column:
+    return cut(F.coalesce(F.nullif(summary, F.lit("")), content), chars)
 
 
 def scan_rss(spark: SparkSession, path: str, *, label: str | None, url: str | None,
-             as_of: dt.datetime, window_days: int, source_ord: int = 0) -> DataFrame:
-    """One row per item with a link; source = label, else the channel
-    title, else the feed URL; date shifted to UTC; dated rows before the
-    window dropped, undated rows kept."""
+             as_of: dt.datetime, window_days: int, source_ord: int = 0,
+             excerpt_chars: int | None = None) -> DataFrame:
+    """One row per item (RSS) or entry (an Atom feed) with a link; source =
+    label, else the feed's title, else the feed URL; date shifted to UTC;
+    dated rows before the window dropped, undated rows kept."""
     source = label or feed_title(spark, path) or url or path
-    r = read_xml(spark, path, "item", RSS_ITEM)
+    rss = read_xml(spark, path, "item", RSS_ITEM)
+    atom = read_xml(spark, path, "entry", StructType(ATOM_ENTRY.fields + [StructField("content", ATOM_TEXT)]))
+    r = rss.unionByName(atom.select(
+        "title", _alternate(F.col("link")).alias("link"), F.lit(None).cast("string").alias("pubDate"), "published", "updated",
+        F.lit(None).cast("string").alias("description"), "summary", F.col("content._VALUE").alias("content:encoded"), F.col("id").alias("guid")))
     link = strip(F.coalesce(F.col("link"), F.lit("")))
     pub = F.coalesce(feed_date(F.coalesce("pubDate", "published")), feed_date("updated"))
     out = r.select(
         link.alias("url"), strip(F.coalesce(F.col("title"), F.lit(""))).alias("title"),
         F.lit(source).alias("source"), pub.alias("publish_date"),
-        _excerpt(F.coalesce("description", "summary"), F.col("`content:encoded`")).alias("excerpt"),
+        _excerpt(F.coalesce("description", "summary"), F.col("`content:encoded`"), excerpt_chars).alias("excerpt"),
         F.lit(None).cast("string").alias("raw_html"),
         ntz(as_of).alias("fetched_at"),
         F.lit(source_ord).cast("int").alias("source_ord"),
@@ -80,11 +84,13 @@ def _alternate(links: Column) -> Column:
 
 def scan_atom(spark: SparkSession, path: str, *, query: str, label: str | None,
               as_of: dt.datetime, window_days: int, source_ord: int = 0,
-              feed_col: str | None = None) -> DataFrame:
+              feed_col: str | None = None, newest: int | None = None,
+              excerpt_chars: int | None = None) -> DataFrame:
     """Paper-API Atom entries: alternate link, ISO published date as
-    written, newlines in title/summary become spaces, summary cut to 500,
-    the 80 newest entries per feed (``feed_col`` when several feeds share
-    a path), source = label else ``arXiv:{query}``."""
+    written, newlines in title/summary become spaces, source = label else
+    ``arXiv:{query}``.  ``newest`` keeps that many entries per feed
+    (``feed_col`` when several feeds share a path), ``excerpt_chars`` that
+    many characters of a summary; by default nothing is cut."""
     source = label or f"arXiv:{query}"
     r = read_xml(spark, path, "entry", ATOM_ENTRY) if feed_col is None else (
         spark.read.format("xml").option("rowTag", "entry").option("ignoreSurroundingSpaces", "false")
@@ -97,14 +103,13 @@ def scan_atom(spark: SparkSession, path: str, *, query: str, label: str | None,
         strip(F.coalesce(_alternate(F.col("link")), F.lit(""))).alias("url"),
         F.replace(strip(F.coalesce(F.col("title"), F.lit(""))), F.lit("\n"), F.lit(" ")).alias("title"),
         feed.alias("source"), pub.alias("publish_date"), pub_raw.alias("_pub_raw"),
-        F.when(summary != "", F.substring(summary, 1, EXCERPT_CHARS)).alias("excerpt"),
+        F.when(summary != "", cut(summary, excerpt_chars)).alias("excerpt"),
         F.lit(None).cast("string").alias("raw_html"),
         ntz(as_of).alias("fetched_at"),
         F.lit(source_ord).cast("int").alias("source_ord"),
         F.monotonically_increasing_id().alias("item_ord"))
-    # the API returns the newest 80 by submission time; row_number <= k is a
-    # WindowGroupLimit, so only k rows per feed leave each map task
-    w = Window.partitionBy("source").orderBy(F.col("_pub_raw").desc(), F.col("item_ord"))
-    newest = out.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= MAX_ENTRIES)
-    return (newest.where((F.col("url") != "") & in_window("publish_date", as_of, window_days))
-            .drop("_k", "_pub_raw"))
+    if newest is not None:
+        # row_number <= k is a WindowGroupLimit: only k rows per feed leave each map task
+        w = Window.partitionBy("source").orderBy(F.col("_pub_raw").desc(), F.col("item_ord"))
+        out = out.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= newest).drop("_k")
+    return out.where((F.col("url") != "") & in_window("publish_date", as_of, window_days)).drop("_pub_raw")

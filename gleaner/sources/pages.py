@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import url as U
-from ..functions.common import col, strip
+from ..functions.common import col, ntz, strip
 from ..functions.dates import first_parsed, from_html, text_candidates
 from ..functions.html import drop_elements, node_text, unescape
 from ..spec import as_of_date, window_cutoff
@@ -28,14 +28,24 @@ NAV_TEXT = (r"(?i)^(home|about|contact|login|sign.?up|register|products?|solutio
 ARTICLE_PATH_HINT = (r"(?i)/(blog|news|post|article|research|paper|update|release|announcement|"
                      r"insight|report|press-release|changelog|20\d{2})/")
 LISTING_NOISE = ["nav", "footer", "header", "script", "style"]
-RX_BLOCK_CLOSE = r"(?i)</(li|div|article|section|tr|td|p|h[1-6])>"
+# A block ends with its container: li, article, section, tr, or a div that another div (or its parent's end) follows.
+RX_BLOCK_CLOSE = r"(?i)</(?:li|article|section|tr)>"
+RX_CARD_CLOSE = r"(?i)</div>[\t\n\x0B\f\r ]*(<div\b|</div>)"
 RX_ANCHOR = r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 RX_TIME_ATTR1 = r"""(?i)<time\b[^>]*\bdatetime\s*=\s*["']([^"']*)["']"""
 RX_TIME_TEXT1 = r"(?is)<time\b[^>]*>(.*?)</time>"
 RX_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
-MAX_LINKS = 30         # fixed: links taken from one listing page
-MAX_LOOKUPS = 15       # fixed: article pages looked up per listing page
-MAX_HTML = 100_000     # fixed: html kept per fetched page
+
+
+def no_dots(path: Column) -> Column:
+    """An absolute path without ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"),
+                       lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+                       .otherwise(F.concat(acc, F.array(s))))
+    end = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end)
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -47,13 +57,14 @@ def resolve(base: Column, href: Column) -> Column:
     origin = F.concat(scheme, F.lit("://"), auth)
     no_frag = F.regexp_replace(base, "#.*$", "")
     bdir = F.regexp_replace(bpath, "[^/]*$", "")
+    ref_path, ref_tail = F.regexp_extract(href, "^[^?#]*", 0), F.regexp_replace(href, "^[^?#]*", "")
     return (F.when(href.rlike(RX_SCHEME), href)
             .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href))
-            .when(F.startswith(href, F.lit("/")), F.concat(origin, href))
+            .when(F.startswith(href, F.lit("/")), F.concat(origin, no_dots(ref_path), ref_tail))
             .when(href == "", no_frag)
             .when(F.startswith(href, F.lit("#")), F.concat(no_frag, href))
             .when(F.startswith(href, F.lit("?")), F.concat(origin, bpath, href))
-            .otherwise(F.concat(origin, F.when(bdir == "", F.lit("/")).otherwise(bdir), href)))
+            .otherwise(F.concat(origin, no_dots(F.concat(F.when(bdir == "", F.lit("/")).otherwise(bdir), ref_path)), ref_tail)))
 
 
 def same_site(link_domain: Column, base_domain: Column) -> Column:
@@ -77,11 +88,10 @@ def is_likely_article(href: Column | str, text: Column | str, base: Column | str
 
 def context_date(block: Column) -> Column:
     """Date near a link: first <time datetime>, else <time> text, else a
-    visible date in the first 200 chars of the enclosing block's text."""
+    visible date in the enclosing block's text."""
     attr = F.nullif(F.regexp_extract(block, RX_TIME_ATTR1, 1), F.lit(""))
     ttext = F.nullif(strip(node_text(F.regexp_extract(block, RX_TIME_TEXT1, 1))), F.lit(""))
-    words = F.substring(strip(F.regexp_replace(F.regexp_replace(block, "<[^>]+>", " "),
-                                               "[\\t\\n\\x0B\\f\\r ]+", " ")), 1, 200)
+    words = strip(F.regexp_replace(F.regexp_replace(block, "<[^>]+>", " "), "[\\t\\n\\x0B\\f\\r ]+", " "))
     return first_parsed(F.concat(F.array(attr, ttext), text_candidates(unescape(words))))
 
 
@@ -89,7 +99,8 @@ def extract_links(listings: DataFrame) -> DataFrame:
     """(listing_url, html) -> (listing_url, link_pos, href, text, ctx_date):
     same-site article links, first occurrence of each absolute href."""
     clean = drop_elements("html", LISTING_NOISE)
-    blocks = listings.select("listing_url", F.posexplode(F.split(clean, RX_BLOCK_CLOSE)).alias("seg_pos", "seg"))
+    cut_blocks = F.regexp_replace(F.regexp_replace(clean, RX_BLOCK_CLOSE, "\u0001"), RX_CARD_CLOSE, "\u0001$1")
+    blocks = listings.select("listing_url", F.posexplode(F.split(cut_blocks, "\u0001")).alias("seg_pos", "seg"))
     anchors = blocks.select(
         "listing_url", "seg_pos", context_date(F.col("seg")).alias("ctx_date"),
         F.posexplode(F.arrays_zip(F.regexp_extract_all("seg", F.lit(RX_ANCHOR), 1).alias("h"),
@@ -109,31 +120,36 @@ def extract_links(listings: DataFrame) -> DataFrame:
             .select("listing_url", "link_pos", "href", "text", "ctx_date"))
 
 
-def page_lookup(pages: DataFrame) -> DataFrame:
-    """Landed pages keyed by normalised-URL hash: the first page per key
-    and its HTML publish date.  The date is taken map-side, so the join
-    ships one small row per page instead of its HTML."""
-    keyed = pages.select(U.url_hash("url").alias("page_key"), "page_id",
-                         from_html("html").alias("html_date"))
-    return (keyed.groupBy("page_key")
-            .agg(F.min_by("html_date", "page_id").alias("page_date"))     # fixed-width: hash aggregate
-            .withColumn("page_found", F.lit(True)))
+def page_dates(pages: DataFrame, keys: DataFrame) -> DataFrame:
+    """(page_key, page_date): HTML publish date of the first landed page of
+    every wanted key.  Pages are semi-joined to the keys first, so the date
+    steps run only on pages that an undated link needs."""
+    keyed = pages.select(U.url_hash("url").alias("page_key"), "page_id", "html").join(keys, "page_key", "left_semi")
+    return (keyed.select("page_key", "page_id", from_html("html").alias("html_date"))
+            .groupBy("page_key").agg(F.min_by("html_date", "page_id").alias("page_date")))    # fixed-width: hash aggregate
+
 
+def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, window_days: int, *, label: str | None = None,
+                 source_ord: int = 0, fallback_today: bool = True, max_links: int | None = None,
+                 max_lookups: int | None = None) -> DataFrame:
+    """Article links of landed listing pages as raw items.
 
-def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, window_days: int,
-                 fallback_today: bool = True) -> DataFrame:
-    """First 30 links per listing; date = context -> URL -> article page
-    (first 15 links per listing that have a landed page) -> as_of; rows
-    dated before the window are dropped after resolution."""
-    links = extract_links(listings).where(F.col("link_pos") <= MAX_LINKS)
+    Date = context -> URL -> the landed article page -> as_of; rows dated
+    before the window are dropped after resolution; source = label, else the
+    listing's URL.  ``max_links`` takes the first links of a listing,
+    ``max_lookups`` looks up the first undated ones; by default all."""
+    links = extract_links(listings)
+    if max_links is not None:
+        links = links.where(F.col("link_pos") <= max_links)
     known = F.coalesce(F.col("ctx_date"), U.date_from_url("href"))
-    j = (links.withColumn("known", known).withColumn("page_key", U.url_hash("href"))
-         .join(page_lookup(pages), "page_key", "left"))
-    needs = F.col("known").isNull() & F.col("page_found").isNotNull()
-    j = j.withColumn("_needs", needs)
-    w = Window.partitionBy("listing_url", "_needs").orderBy("link_pos")
-    j = j.withColumn("_lookup", F.when(F.col("_needs"), F.row_number().over(w)))
-    looked_up = F.when(F.col("_lookup") <= MAX_LOOKUPS, F.col("page_date"))
+    j = links.withColumn("known", known).withColumn("page_key", F.when(F.col("known").isNull(), U.url_hash("href")))
+    keys = j.where(F.col("page_key").isNotNull()).select("page_key").distinct()
+    j = j.join(page_dates(pages, keys), "page_key", "left")
+    looked_up = F.col("page_date")
+    if max_lookups is not None:
+        w = Window.partitionBy("listing_url", F.col("known").isNull()).orderBy("link_pos")
+        j = j.withColumn("_lookup", F.row_number().over(w))
+        looked_up = F.when(F.col("_lookup") <= max_lookups, looked_up)
     resolved = F.coalesce(F.col("known"), looked_up)
     method = (F.when(F.col("ctx_date").isNotNull(), F.lit("context"))
               .when(F.col("known").isNotNull(), F.lit("url"))
@@ -142,22 +158,28 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
     out = (j.select("listing_url", "link_pos", "href", "text", resolved.alias("resolved"), method.alias("date_method"))
            .where(F.col("resolved").isNull() | (F.col("resolved") >= F.lit(window_cutoff(as_of, window_days)))))
     pub = F.coalesce("resolved", F.lit(as_of_date(as_of))) if fallback_today else F.col("resolved")
+    none = F.lit(None).cast("string")
     return out.select(F.col("href").alias("url"), F.col("text").alias("title"),
-                      F.col("listing_url").alias("source"), pub.alias("publish_date"),
+                      (F.lit(label) if label else F.col("listing_url")).alias("source"), pub.alias("publish_date"),
+                      none.alias("excerpt"), none.alias("raw_html"), ntz(as_of).alias("fetched_at"),
+                      F.lit(source_ord).cast("int").alias("source_ord"), F.col("link_pos").cast("long").alias("item_ord"),
                       "date_method", "link_pos")
 
 
-def scan_urls(urls: DataFrame, pages: DataFrame, label: str = "manual") -> DataFrame:
-    """Explicit URL list (url, url_ord) left-joined to landed pages by exact
-    URL: title (or the URL), date from the page then the URL, meta
-    description, html kept to 100 000 chars.  No window cutoff."""
-    from ..functions.html import meta_description, page_title
-    pg = pages.groupBy("url").agg(F.min_by("html", "page_id").alias("html"))
-    j = urls.join(pg, "url", "left")
-    found = F.col("html").isNotNull()
-    title = F.when(found, F.coalesce(F.nullif(page_title("html"), F.lit("")), F.col("url"))).otherwise(F.col("url"))
-    pub = F.when(found, F.coalesce(from_html("html"), U.date_from_url("url"))).otherwise(U.date_from_url("url"))
-    return j.select("url_ord", "url", title.alias("title"), F.lit(label).alias("source"),
-                    pub.alias("publish_date"),
-                    F.when(found, meta_description("html", 500)).alias("excerpt"),
-                    F.substring("html", 1, MAX_HTML).alias("raw_html"))
+def scan_urls(urls: DataFrame, pages: DataFrame, label: str | None = None, *, as_of: dt.datetime | None = None,
+              source_ord: int = 0, with_html: bool = False, max_html: int | None = None) -> DataFrame:
+    """Explicit URL list (url, url_ord) left-joined to the first landed page
+    of that very URL: title (or the URL), date from the page then the URL,
+    meta description.  No window cutoff.  Fields are taken where the page is
+    read; html itself is only carried along (``with_html``) if wanted."""
+    from ..functions.html import cut, meta_description, page_title
+    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    fields = pages.select("url", "page_id", page_title("html").alias("page_title"), from_html("html").alias("page_date"),
+                          meta_description("html").alias("excerpt"), F.length("html").cast("long").alias("html_chars"),
+                          *([cut(F.col("html"), max_html).alias("raw_html")] if with_html else []))
+    j = urls.join(fields.join(first, ["url", "page_id"]), "url", "left")
+    out = j if with_html else j.withColumn("raw_html", F.lit(None).cast("string"))
+    return out.select("url_ord", "url", F.coalesce(F.nullif("page_title", F.lit("")), F.col("url")).alias("title"),
+                      F.lit(label or "manual").alias("source"), F.coalesce("page_date", U.date_from_url("url")).alias("publish_date"),
+                      "excerpt", "raw_html", (ntz(as_of) if as_of else F.lit(None).cast("timestamp_ntz")).alias("fetched_at"),
+                      F.lit(source_ord).cast("int").alias("source_ord"), F.col("url_ord").cast("long").alias("item_ord"), "html_chars")

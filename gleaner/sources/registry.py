@@ -47,10 +47,28 @@ def _sitemap(spark, spec: SourceSpec, as_of, days, ord_, landed):
                         as_of=as_of, window_days=days, source_ord=ord_)
 
 
+def _html_list(spark, spec: SourceSpec, as_of, days, ord_, landed):
+    """Landed pages (page_id, url, html): the one at the source's URL is the
+    listing, the others are article pages."""
+    from .pages import scan_listing
+    pages = spark.read.parquet(landed(spec))
+    listings = pages.where(F.col("url") == spec.url).select(F.col("url").alias("listing_url"), "html")
+    return scan_listing(listings, pages, as_of, days, label=spec.label, source_ord=ord_)
+
+
+def _manual_urls(spark, spec: SourceSpec, as_of, days, ord_, landed):
+    from .pages import scan_urls
+    urls = ([spec.url] if spec.url else []) + list(spec.urls or [])
+    listed = spark.createDataFrame(list(enumerate(urls)), "url_ord long, url string")
+    return scan_urls(listed, spark.read.parquet(landed(spec)), spec.label, as_of=as_of, source_ord=ord_, with_html=True)
+
+
 register("rss", _rss)
 register("arxiv", _atom)
 register("atom", _atom)
 register("sitemap", _sitemap)
+register("html_list", _html_list)
+register("manual_urls", _manual_urls)
 
 
 def empty(spark: SparkSession) -> DataFrame:

@@ -2,8 +2,8 @@
 
 The reference rewrites one JSON map per run; a table that is read while
 written cannot be overwritten, so new hashes are appended (partitioned by
-``task_key``) and expiry is a timestamp filter at read time that parquet
-row-group statistics can prune.  A hash seen again after expiry simply
+``task_key`` and the day first seen) and expiry is a filter at read time
+that prunes whole day folders.  A hash seen again after expiry simply
 gets a second row, which reads the same as the map.
 """
 
@@ -26,15 +26,20 @@ def live_seen(seen: DataFrame, task_key: str, ttl_days: int | None,
     if ttl_days is None or ttl_days <= 0:
         return s
     cutoff = as_of - dt.timedelta(days=ttl_days)
-    return s.where(F.col("first_seen_ts") >= ntz(cutoff))
+    live = s.where(F.col("first_seen_ts") >= ntz(cutoff))
+    if "seen_day" not in seen.columns:
+        return live
+    return live.where(F.col("seen_day").isNull() | (F.col("seen_day") >= F.lit(cutoff.date())))
 
 
 def load_seen(spark: SparkSession, path: str, task_key: str, ttl_days: int | None,
               as_of: dt.datetime) -> DataFrame:
-    """Read the seen table; a missing table is empty state."""
-    try:
+    """Read the seen table; only a missing table is empty state (any other
+    fault fails the run instead of re-admitting everything)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         seen = spark.read.schema(SEEN).parquet(path)
-    except Exception:  # no state yet
+    else:
         seen = spark.createDataFrame([], SEEN)
     return live_seen(seen, task_key, ttl_days, as_of)
 
@@ -44,7 +49,3 @@ def new_hashes(tagged: DataFrame, task_key: str, as_of: dt.datetime) -> DataFram
     return (tagged.where(F.col("dup").isNull())
             .select(F.lit(task_key).alias("task_key"), "url_hash",
                     ntz(as_of).alias("first_seen_ts")))
-
-
-def append_seen(tagged: DataFrame, path: str, task_key: str, as_of: dt.datetime) -> None:
-    new_hashes(tagged, task_key, as_of).write.mode("append").partitionBy("task_key").parquet(path)
