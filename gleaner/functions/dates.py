@@ -312,5 +312,8 @@ def resolve_with_method(html: Column | str | None, url: Column | str | None,
     steps = [(from_html(html), "html")] if html is not None else []
     steps += [(date_from_url(url), "url")] if url is not None else []
     steps += [(parse_date(hint), "hint")] if hint is not None else []
-    named = [let(d, lambda v, m=m: F.when(v.isNotNull(), F.struct(v.alias("date"), F.lit(m).alias("method")))) for d, m in steps]
-    return F.coalesce(*named, F.struct(F.lit(None).cast("date").alias("date"), F.lit("none").alias("method")))
+
+    def named(date: Column, method: str) -> Column:
+        return let(date, lambda v: F.when(v.isNotNull(), F.struct(v.alias("date"), F.lit(method).alias("method"))))
+
+    return F.coalesce(*[named(d, m) for d, m in steps], F.struct(F.lit(None).cast("date").alias("date"), F.lit("none").alias("method")))

@@ -63,5 +63,5 @@ def test_resolve_date_and_method(spark):
                                 ("<p>x</p>", "https://a.com/x", "Jan 7, 2026"),
                                 (None, "https://a.com/x", None)], "h string, u string, r string")
     rows = df.select(D.resolve_date("h", "u", "r").alias("d"),
-                     D.date_method("h", "u", "r").alias("m")).collect()
+                     D.resolve_with_method("h", "u", "r")["method"].alias("m")).collect()
     assert [(r.d, r.m) for r in rows] == [(d(2026, 1, 5), "url"), (d(2026, 1, 7), "hint"), (None, "none")]
