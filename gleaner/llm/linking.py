@@ -5,8 +5,9 @@ are the candidates that a verifier confirms.  Only the connected components
 of the links are asked for, so pairs whose ends are connected already need
 no test:
 
-1. Star rounds: in every list one pivot (another one each round) is paired
-   with all members of other components.  A list of n members costs n pairs.
+1. Star rounds: every list names one pivot (another one each round), and
+   every node is paired with one of the pivots that its lists name.  A round
+   costs a pair a node at most, however many lists a node is in.
 2. The cross round: in every list the members outside its largest component
    are paired with all members of other components.  Every pair that was not
    tested and might join two components is tested here, so the components
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import components, materialise
 
-STAR_ROUNDS = 6
+STAR_ROUNDS = 10
 
 
 def connect(postings: DataFrame, fits: Callable, verify: Callable[[DataFrame], DataFrame], star_rounds: int = STAR_ROUNDS) -> DataFrame:
@@ -35,7 +36,8 @@ def connect(postings: DataFrame, fits: Callable, verify: Callable[[DataFrame], D
     for turn in range(star_rounds):
         open_ = _open(held, turn)
         pair = open_.where((F.col("label") != F.col("pivot.label")) & fits(F.col("att"), F.col("pivot.att")))
-        found = _links(pair.select("node", F.col("pivot.node").alias("other"), "label", F.col("pivot.label").alias("other_label")), verify)
+        one = pair.groupBy("node", "label").agg(F.min(F.struct("pivot.h", "pivot.node", "pivot.label")).alias("p"))
+        found = _links(one.select("node", F.col("p.node").alias("other"), "label", F.col("p.label").alias("other_label")), verify)
         if found.isEmpty():
             break
         held, labels = _merge(held, labels, found)
