@@ -26,11 +26,13 @@ from .common import components, materialise
 STAR_ROUNDS = 10
 
 
-def connect(postings: DataFrame, fits: Callable, verify: Callable[[DataFrame], DataFrame], star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def connect(postings: DataFrame, fits: Callable, verify: Callable[[DataFrame], DataFrame], star_rounds: int = STAR_ROUNDS,
+            elsewhere: Callable = lambda x, y: F.lit(False)) -> DataFrame:
     """postings(key, node, att) -> (node, root) for linked nodes.
 
     fits(att1, att2) -> Column prunes candidates; verify(pairs(a, b)) ->
-    links(a, b) decides them."""
+    links(a, b) decides them; elsewhere(att1, att2) -> Column may say that a
+    pair surely fits in another list too, where the cross round meets it."""
     held = materialise(postings.select("key", "node", "att", F.col("node").alias("label")), "postings")
     labels: DataFrame | None = None
     for turn in range(star_rounds):
@@ -41,7 +43,7 @@ def connect(postings: DataFrame, fits: Callable, verify: Callable[[DataFrame], D
         if found.isEmpty():
             break
         held, labels = _merge(held, labels, found)
-    found = _links(_cross(held, fits), verify)
+    found = _links(_cross(held, fits, elsewhere), verify)
     if not found.isEmpty():
         held, labels = _merge(held, labels, found)
     if labels is None:
@@ -58,7 +60,7 @@ def _open(held: DataFrame, turn: int) -> DataFrame:
     return held.join(lists, "key")
 
 
-def _cross(held: DataFrame, fits: Callable) -> DataFrame:
+def _cross(held: DataFrame, fits: Callable, elsewhere: Callable) -> DataFrame:
     size = held.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = (size.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("n", "label")).alias("top"))
                .where("c > 1").select("key", F.col("top.label").alias("top")))
@@ -67,7 +69,7 @@ def _cross(held: DataFrame, fits: Callable) -> DataFrame:
                                               F.col("label").alias("other_label"))
     return (some.join(minor, "key")
             .where((F.col("label") != F.col("other_label")) & ((F.col("label") == F.col("top")) | (F.col("node") < F.col("other")))
-                   & fits(F.col("att"), F.col("other_att")))
+                   & fits(F.col("att"), F.col("other_att")) & ~elsewhere(F.col("att"), F.col("other_att")))
             .select("node", "other", "label", "other_label"))
 
 

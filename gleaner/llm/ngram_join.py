@@ -209,8 +209,11 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
 
     single = F.col("n") - F.size("tokens")
     head = F.col("n") - _least(F.col("n"), percent) + 1 - single
-    postings = (reps.where(head > 0).select("id", "n", single.alias("s"), F.posexplode(F.slice("tokens", F.lit(1), head.cast("int"))).alias("i", "key"))
-                .select("key", F.col("id").alias("node"), F.struct("n", (F.col("s") + F.col("i")).alias("pos")).alias("att")))
+    first = F.slice("tokens", F.lit(1), head.cast("int"))
+    before = F.concat(F.array(F.lit(None).cast("long")), first)      # each token with the one before it in the document's order
+    postings = (reps.where(head > 0).select("id", "n", single.alias("s"), F.posexplode(F.arrays_zip(first.alias("key"), before.alias("prev"))).alias("i", "t"))
+                .where("t.key IS NOT NULL")
+                .select("t.key", F.col("id").alias("node"), F.struct("n", (F.col("s") + F.col("i")).alias("pos"), "t.prev").alias("att")))
 
     def fits(x: Column, y: Column) -> Column:
         both = x["n"] + y["n"]
@@ -229,7 +232,8 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
                 .join(size.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
                 .where(F.col("common") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b"))
 
-    roots = connect(postings, fits, verify)
+    # documents that share the token before, too, fit in its list as well: both stand earlier there
+    roots = connect(postings, fits, verify, elsewhere=lambda x, y: F.coalesce(x["prev"] == y["prev"], F.lit(False)))
     named = materialise(classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                         .select("n", "d1", "d2", F.coalesce("root", "rep").alias("component_id")), "jaccard-named")
     out = judged.select("id", "n", "d1", "d2")
