@@ -1,15 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
 The test items are a stated query set.  They are taken in blocks of a fixed
 number of bytes; each block goes to every task (that bound is checked), and
 all documents are read against it, so no document text is ever shuffled.
 
-1. Count, for every word n-gram of the items, how many documents hold it.
-   An item's seeds are its rare n-grams: those in at most a thousandth of
-   the documents, and in any case the rarer half, so an item that was copied
-   everywhere keeps seeds.
-2. Where a document holds a seed, the passage around it is aligned with the
-   item (Smith-Waterman over words: match 1, mismatch and gap -1/2).  The
+1. Every word n-gram of an item is a seed, however many documents hold it:
+   an edited copy keeps only some of the item's n-grams, and those may be
+   the common ones.
+2. Where a document holds a seed and the passage around it enough of the
+   item's words, the passage is aligned with the item (Smith-Waterman over words: match 1, mismatch and gap -1/2).  The
    score is the best alignment divided by the item's length: 1 for a verbatim
    copy, about 0.7 with every fifth word changed; a document is leaked at
    0.5 or more.
@@ -32,6 +31,8 @@ from .textbuf import gram_hashes, slices, word_hashes, words
 
 #: Bytes of test items that go to the tasks at once.
 BLOCK_BYTES = 16 << 20
+#: Pairs of a hit and a place in an item that are looked at together.
+SPOTS = 1 << 20
 _MASK = (1 << 22) - 1
 _PART = np.zeros(256, bool)
 _PART[:128] = [not chr(c).isalnum() for c in range(128)]
@@ -67,18 +68,6 @@ class Items:
         return cls(ids, seqs, names, owner, np.repeat(np.arange(len(grams)), [len(g) for g in grams]),
                    np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64))
 
-    def rare(self, count: np.ndarray, docs: int) -> Items:
-        """Only the seeds: n-grams in docs / 1000 documents at most, and each
-        item's rarer half."""
-        keep = np.zeros(len(self.owner), bool)
-        for i in range(len(self.ids)):
-            at = np.arange(*np.searchsorted(self.item, [i, i + 1]))
-            df = count[self.owner[at]]
-            half = np.sort(df)[(len(df) - 1) // 2] if len(df) else 0
-            keep[at] = df <= max(half, docs // 1000)
-        names, owner = np.unique(self.grams[self.owner[keep]], return_inverse=True)
-        return Items(self.ids, self.words, names, owner, self.item[keep], self.place[keep])
-
 
 class _Finder:
     """Places of a block's n-grams in word sequences: a small bit table,
@@ -114,19 +103,25 @@ def align(item: np.ndarray, window: np.ndarray, miss: float = 0.5, gap: float =
     return best
 
 
-def _df(sent, n: int):
-    def run(batches):
-        items = sent.value
-        find, total, docs = _Finder(items, n), np.zeros(len(items.grams), np.int64), 0
-        for batch in batches:
-            docs += batch.num_rows
-            for _, _, h, bounds in _words(batch.column(0)):
-                row, _, no = find(h, bounds)
-                total += np.bincount(np.unique(row * len(items.grams) + no) % len(items.grams), minlength=len(total)) if len(row) else 0
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int64()), pa.array([docs, *total[at].tolist()], pa.int64())],
-                                         names=["gram", "n"])
-    return run
+def _spots(items: Items, order: np.ndarray, cuts: np.ndarray, row: np.ndarray, at: np.ndarray, no: np.ndarray):
+    """(row, item, begins) of every pair that shares a seed, by row and item;
+    begins are the places where the item would start.  Hits are expanded a
+    bounded number at a time, whole rows together."""
+    n = cuts[no + 1] - cuts[no]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    ends = np.append(np.flatnonzero(row[1:] != row[:-1]) + 1, len(row)) if len(row) else np.zeros(0, np.int64)
+    lo = 0
+    while lo < len(row):
+        hi = int(ends[max(np.searchsorted(upto[ends], upto[lo] + SPOTS, "right") - 1, np.searchsorted(ends, lo, "right"))])
+        m = n[lo:hi]
+        own = order[np.arange(int(m.sum())) + np.repeat(cuts[no[lo:hi]] - (upto[lo:hi] - upto[lo]), m)]
+        r, i, begin = np.repeat(row[lo:hi], m), items.item[own], np.repeat(at[lo:hi], m) - items.place[own]
+        by = np.lexsort((begin, i, r))
+        r, i, begin = r[by], i[by], begin[by]
+        starts = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (i[1:] != i[:-1])))
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(r)]):
+            yield int(r[a]), int(i[a]), begin[a:z].tolist()
+        lo = hi
 
 
 def _search(sent, n: int, threshold: float, where: int, schema: pa.Schema):
@@ -141,11 +136,7 @@ def _search(sent, n: int, threshold: float, where: int, schema: pa.Schema):
             count, name, best = count.to_numpy().copy(), name.to_pylist(), best.to_numpy().copy()
             for lo, hi, h, bounds in _words(batch.column(where)):
                 row, at, no = find(h, bounds)
-                spots: dict[tuple[int, int], list[int]] = {}
-                for r, a, g in zip(row.tolist(), at.tolist(), no.tolist()):
-                    for o in order[cuts[g]:cuts[g + 1]].tolist():
-                        spots.setdefault((r, int(items.item[o])), []).append(a - int(items.place[o]))
-                for (r, i), begins in sorted(spots.items()):
+                for r, i, begins in _spots(items, order, cuts, row, at, no):
                     score = _best(items.words[i], h, begins, bounds[r], bounds[r + 1], threshold)
                     if score >= threshold:
                         count[lo + r] += 1
@@ -188,7 +179,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, threshol
     items = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
     blocks = 1 + (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES
     kept = [id_col, *keep]
-    texts = docs.select(text_col)
     # findings gather in three columns that every block of items passes on
     found = docs.select(*kept, *([] if text_col in kept else [text_col]), F.lit(0).alias("n_items"),
                         F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("score"))
@@ -196,11 +186,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, threshol
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         block = Items.of([r["item_id"] for r in rows], [r["text"] for r in rows], n)
-        df, n_docs = np.zeros(len(block.grams), np.int64), 0
-        for r in texts.mapInArrow(_df(sc.broadcast(block), n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-            if r["gram"] < 0:
-                n_docs = r["n"]
-            else:
-                df[r["gram"]] = r["n"]
-        found = found.mapInArrow(_search(sc.broadcast(block.rare(df, n_docs)), n, threshold, where, to_arrow_schema(found.schema)), found.schema)
+        found = found.mapInArrow(_search(sc.broadcast(block), n, threshold, where, to_arrow_schema(found.schema)), found.schema)
     return found.select(*kept, (F.col("n_items") > 0).alias("leaked"), "n_items", "item_id", "score")

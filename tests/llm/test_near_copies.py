@@ -253,6 +253,40 @@ def test_decontamination_finds_edited_copies_and_leaves_clean_text(spark):
     assert decontaminate.decontaminate(docs.limit(0), bench).collect() == []
 
 
+def test_decontamination_finds_an_edited_item_in_many_documents(spark):
+    """Every fifth word changed, copied into 1% of 2 000 documents, and one
+    more item that only one document holds."""
+    rnd = random.Random(12)
+    items = [[f"item{i}x{j}" for j in range(25)] for i in range(2)]
+    edited = [[f"new{i}" if j % 5 == 4 else w for j, w in enumerate(t)] for i, t in enumerate(items)]
+    rows = []
+    for i in range(2000):
+        text = [f"term{rnd.randrange(3000)}" for _ in range(30)]
+        item = 0 if i % 100 == 0 else 1 if i == 77 else None
+        rows.append((i, " ".join(text[:15] + (edited[item] if item is not None else []) + text[15:])))
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["item_id"], r["score"]) for r in decontaminate.decontaminate(docs, bench).where("leaked").collect()}
+    assert got == {**{i: (0, pytest.approx(0.7, abs=0.03)) for i in range(0, 2000, 100)}, 77: (1, pytest.approx(0.7, abs=0.03))}
+
+
+def test_spots_do_not_depend_on_the_bound(monkeypatch):
+    rnd = np.random.default_rng(5)
+    items = decontaminate.Items.of(list(range(6)), [" ".join(f"w{rnd.integers(4)}" for _ in range(12)) for _ in range(6)], 3)
+    order = np.argsort(items.owner, kind="stable")
+    cuts = np.searchsorted(items.owner[order], np.arange(len(items.grams) + 1))
+    row, at = np.sort(rnd.integers(0, 9, 200)), np.arange(200)
+    no = rnd.integers(0, len(items.grams), 200)
+    plain: dict = {}
+    for r, a, g in zip(row.tolist(), at.tolist(), no.tolist()):
+        for o in order[cuts[g]:cuts[g + 1]]:
+            plain.setdefault((r, int(items.item[o])), []).append(a - int(items.place[o]))
+    want = [(r, i, sorted(b)) for (r, i), b in sorted(plain.items())]
+    for most in (1, 40, 1 << 20):
+        monkeypatch.setattr(decontaminate, "SPOTS", most)
+        assert list(decontaminate._spots(items, order, cuts, row, at, no)) == want
+
+
 def test_decontamination_in_blocks_agrees(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
