@@ -271,7 +271,7 @@ def _doc_link(text: Column) -> Column:
 
 def _land(spark: SparkSession, sf: str) -> dict[str, str]:
     """Documents as two RSS-type feeds (one of them Atom) and a paper feed,
-    pages as a sitemap and as one listing page."""
+    pages as a sitemap and as a listing in numbered pages of a bounded size."""
     base = run_folder(spark, "landed")
     d = A.table(spark, sf, "documents").where("text IS NOT NULL")
     text, part = F.col("text"), F.col("doc_id") % 3
@@ -292,10 +292,13 @@ def _land(spark: SparkSession, sf: str) -> dict[str, str]:
      .write.format("xml").option("rowTag", "url").option("rootTag", "urlset").save(f"{base}/site"))
     card = F.format_string('<article><h3><a href="../news/2024/%d">Long enough title %d</a></h3><time datetime="2024-01-%02d"></time></article>',
                            F.col("page_id"), F.col("page_id"), (F.col("page_id") % 28 + 1).cast("int"))
-    one = (p.select("page_id", card.alias("card")).groupBy(F.lit(LANDED[4].url).alias("url"))
-           .agg(F.sort_array(F.collect_list(F.struct("page_id", "card"))).alias("c"))
-           .select(F.lit(-1).cast("long").alias("page_id"), "url", F.array_join(F.transform("c", lambda x: x["card"]), "").alias("html")))
-    one.unionByName(p.select("page_id", "url", "html")).write.parquet(f"{base}/listing")
+    block = F.floor(F.col("page_id") / A.LISTING_CHUNK).cast("long")
+    listed = (p.select("page_id", block.alias("block"), card.alias("card")).groupBy("block")
+              .agg(F.sort_array(F.collect_list(F.struct("page_id", "card"))).alias("c"))
+              .select((-1 - F.col("block")).alias("page_id"),
+                      F.concat(F.lit(LANDED[4].url), F.when(F.col("block") == 0, "").otherwise(F.concat(F.lit("?page="), F.col("block").cast("string")))).alias("url"),
+                      F.array_join(F.transform("c", lambda x: x["card"]), "").alias("html")))
+    listed.unionByName(p.select("page_id", "url", "html")).write.parquet(f"{base}/listing")
     p.select("page_id", "url", "html").write.parquet(f"{base}/picked")
     return {s.source_id: f"{base}/{'arXiv' if s.type == 'arxiv' else s.source_id}" for s in LANDED} | {"off": f"{base}/feed-a"}
 

@@ -136,15 +136,23 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
 
     Date = context -> URL -> the landed article page -> as_of; rows dated
     before the window are dropped after resolution; source = label, else the
-    listing's URL.  ``max_links`` takes the first links of a listing,
+    listing's URL.  A column ``listing_ord`` numbers the pages of a listing:
+    links arrive in that order, then by their place in the page.  ``max_links`` takes the first links of a listing,
     ``max_lookups`` looks up the first undated ones; by default all."""
     links = extract_links(listings)
+    item_ord = F.col("link_pos").cast("long")
+    if "listing_ord" in listings.columns:
+        order = listings.groupBy("listing_url").agg(F.min("listing_ord").cast("long").alias("listing_ord"))
+        links = links.join(order, "listing_url")
+        item_ord = F.col("listing_ord") * (1 << 32) + item_ord
     if max_links is not None:
         links = links.where(F.col("link_pos") <= max_links)
     known = F.coalesce(F.col("ctx_date"), U.date_from_url("href"))
     j = links.withColumn("known", known).withColumn("page_key", F.when(F.col("known").isNull(), U.url_hash("href")))
     keys = j.where(F.col("page_key").isNotNull()).select("page_key").distinct()
-    j = j.join(page_dates(pages, keys), "page_key", "left")
+    # dated links look nothing up: a key of their own each keeps them out of one task
+    own = F.concat(F.lit("-"), F.col("link_pos").cast("string"), F.lit("-"), F.col("listing_url"))
+    j = j.withColumn("page_key", F.coalesce("page_key", own)).join(page_dates(pages, keys), "page_key", "left")
     looked_up = F.col("page_date")
     if max_lookups is not None:
         w = Window.partitionBy("listing_url", F.col("known").isNull()).orderBy("link_pos")
@@ -155,14 +163,14 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
               .when(F.col("known").isNotNull(), F.lit("url"))
               .when(looked_up.isNotNull(), F.lit("page"))
               .otherwise(F.lit("fallback" if fallback_today else "none")))
-    out = (j.select("listing_url", "link_pos", "href", "text", resolved.alias("resolved"), method.alias("date_method"))
+    out = (j.select("listing_url", "link_pos", item_ord.alias("item_ord"), "href", "text", resolved.alias("resolved"), method.alias("date_method"))
            .where(F.col("resolved").isNull() | (F.col("resolved") >= F.lit(window_cutoff(as_of, window_days)))))
     pub = F.coalesce("resolved", F.lit(as_of_date(as_of))) if fallback_today else F.col("resolved")
     none = F.lit(None).cast("string")
     return out.select(F.col("href").alias("url"), F.col("text").alias("title"),
                       (F.lit(label) if label else F.col("listing_url")).alias("source"), pub.alias("publish_date"),
                       none.alias("excerpt"), none.alias("raw_html"), ntz(as_of).alias("fetched_at"),
-                      F.lit(source_ord).cast("int").alias("source_ord"), F.col("link_pos").cast("long").alias("item_ord"),
+                      F.lit(source_ord).cast("int").alias("source_ord"), "item_ord",
                       "date_method", "link_pos")
 
 

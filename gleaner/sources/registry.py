@@ -49,10 +49,15 @@ def _sitemap(spark, spec: SourceSpec, as_of, days, ord_, landed):
 
 def _html_list(spark, spec: SourceSpec, as_of, days, ord_, landed):
     """Landed pages (page_id, url, html): the one at the source's URL is the
-    listing, the others are article pages."""
+    listing, which may go on over numbered pages (URL?page=N); the others are
+    article pages."""
     from .pages import scan_listing
     pages = spark.read.parquet(landed(spec))
-    listings = pages.where(F.col("url") == spec.url).select(F.col("url").alias("listing_url"), "html")
+    # the number of a page of the listing: 0 at the source's URL, null elsewhere
+    rest = F.substr("url", F.lit(len(spec.url or "") + 1))
+    number = F.when(F.startswith("url", F.lit(spec.url)), F.when(rest == "", F.lit(0)).otherwise(
+        F.nullif(F.regexp_extract(rest, r"^\?page=([0-9]{1,9})$", 1), F.lit("")).cast("long")))
+    listings = pages.withColumn("listing_ord", number).where("listing_ord IS NOT NULL").select(F.col("url").alias("listing_url"), "html", "listing_ord")
     return scan_listing(listings, pages, as_of, days, label=spec.label, source_ord=ord_)
 
 

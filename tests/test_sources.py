@@ -115,3 +115,42 @@ def test_url_list_missing_page(spark):
     assert (rows[0].title, str(rows[0].publish_date)) == ("T & U", "2026-03-01")
     assert (rows[1].title, str(rows[1].publish_date), rows[1].raw_html) == (
         "https://ex.com/2026/03/02/gone", "2026-03-02", None)
+
+
+def test_listing_goes_on_over_numbered_pages(spark, tmp_path):
+    url = "https://ex.com/all/list"
+    card = '<article><a href="../news/2026/{0}">Long enough title {0}</a><time datetime="2026-03-05"></time></article>'
+    pages = [(-1, url, card.format(1) + card.format(2)), (-2, f"{url}?page=10", card.format(5)), (-3, f"{url}?page=2", card.format(3) + card.format(4)),
+             (-4, f"{url}?page=x", card.format(6)), (-5, f"{url}s", card.format(7)), (8, "https://ex.com/news/2026/1", card.format(8)), (9, None, "")]
+    path = str(tmp_path / "listing")
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(path)
+    got = registry.scan_source(spark, SourceSpec(type="html_list", label="listing", url=url), AS_OF, 7, 0, lambda s: path).orderBy("item_ord").collect()
+    assert [r.url for r in got] == [f"https://ex.com/news/2026/{i}" for i in range(1, 6)]
+    assert len({r.item_ord for r in got}) == 5
+
+
+def test_landed_listing_pages_are_bounded(spark):
+    """No row of the landed listing grows with the table."""
+    from gleaner.plans import more_queries as M
+    from gleaner.sources import adapters as A
+    sf = "/root/testdata/sf0.1"
+    landed = spark.read.parquet(M._land(spark, sf)["listing"]).where(F.startswith("url", F.lit(M.LANDED[4].url)))
+    cards = [r.n for r in landed.select(F.size(F.split("html", "<article>")).alias("n")).collect()]
+    assert sum(n - 1 for n in cards) == A.table(spark, sf, "pages").count()
+    assert len(cards) > 1 and max(cards) - 1 <= A.LISTING_CHUNK
+
+
+def test_dated_links_do_not_meet_in_one_task(spark):
+    from gleaner.sources.pages import scan_listing
+    card = '<article><a href="/news/2026/{0}">Long enough title {0}</a><time datetime="2026-03-05"></time></article>'
+    listings = spark.createDataFrame([("https://ex.com/all/list", "".join(card.format(i) for i in range(200)))], "listing_url string, html string")
+    pages = spark.createDataFrame([(1, "https://ex.com/a", "")], "page_id long, url string, html string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sizes = [r["count"] for r in scan_listing(listings, pages, AS_OF, 7).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 200 and max(sizes) < 100
