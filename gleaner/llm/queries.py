@@ -60,7 +60,7 @@ def op9_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return fuzzy_lines.dedup_lines(_documents(spark, sf))
+    return fuzzy_lines.dedup_lines(_documents(spark, sf), grams=8)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

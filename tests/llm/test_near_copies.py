@@ -215,6 +215,36 @@ def test_line_dedup_equals_brute_force(spark):
         assert (got[i]["text"], got[i]["n_lines"], got[i]["n_kept"]) == ("\n".join(keep), len(lines), len(keep))
 
 
+def test_line_dedup_recall_on_edit_similarity_alone(spark):
+    """Pairs of a line and its edited copy (one word, a tenth or a fifth of
+    the words, one letter) against edit similarity without any bit filter."""
+    rnd = random.Random(9)
+    vocab = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 9))) for _ in range(5000)]
+    pairs = []
+    for n in (3, 5, 6, 7, 8, 12, 20, 30, 50, 100, 200):
+        for edits in sorted({1, max(1, n // 10), max(1, n // 6)}):
+            for _ in range(12):
+                a = [rnd.choice(vocab) for _ in range(n)]
+                b = list(a)
+                for j in rnd.sample(range(n), edits):
+                    b[j] = rnd.choice(vocab) if n >= 5 else b[j] + "s"
+                x, y = " ".join(a), " ".join(b)
+                if x != y and _distance(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9):
+                    pairs.append((x, y))
+    pairs += [("字" * 3 + "".join(chr(0x4e00 + rnd.randrange(4000)) for _ in range(60)), "") for _ in range(5)]
+    pairs = [(x, y or x[:30] + "改" + x[31:]) for x, y in pairs]
+    docs = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)], "doc_id long, text string").repartition(4)
+
+    def recall(**given):
+        kept = {r["doc_id"]: r["n_kept"] for r in fuzzy_lines.dedup_lines(docs, **given).collect()}
+        assert all(kept[2 * i] == 1 for i in range(len(pairs)))
+        return sum(kept[2 * i + 1] == 0 for i in range(len(pairs))) / len(pairs)
+
+    found, before = recall(grams=8), recall()
+    print(f"recall on {len(pairs)} pairs: {found:.3f} with grams, {before:.3f} by SimHash alone")
+    assert found >= 0.95 > 0.5 > before
+
+
 def test_line_dedup_edges(spark):
     rows = [(1, "same line here\nother"), (1, "same line here\nother"), (None, "same line here"), (2, "Same line, here!\nown")]
     got = sorted(((r["doc_id"] or 0), r["text"], r["n_lines"], r["n_kept"])
