@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, fuzzy_lines, hilbert_shards, html_extract, infill, language_id, level_audit, ngram_join, \
+from . import decontaminate, fingerprints, fuzzy_lines, hilbert_shards, html_extract, infill, language_id, level_audit, ngram_join, pivot_simhash, \
     secret_scan, source_mix, token_counts
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -64,6 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy_lines.dedup_lines(_documents(spark, sf), grams=8)
 
 
+def op11_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
+    return pivot_simhash.simhash_components(_documents(spark, sf))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     done = infill.restore(infill.arrange(_documents(spark, sf)))
     return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
@@ -75,5 +79,5 @@ def op13_source_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_secret_scan, op3_language_id, op4_source_mix, op5_ngram_join, op6_fingerprints, op7_html_extract,
-                                 op8_decontaminate, op9_hilbert_shards, op10_line_dedup, op12_fill_in_middle, op13_source_audit)}
+                                 op8_decontaminate, op9_hilbert_shards, op10_line_dedup, op11_simhash_pivots, op12_fill_in_middle, op13_source_audit)}
 SQL: dict[str, str] = {"op4_source_mix": source_mix.SQL, "op12_fill_in_middle": infill.SQL, "op13_source_audit": level_audit.SQL}
