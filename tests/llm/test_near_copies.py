@@ -78,6 +78,55 @@ def test_jaccard_edges(spark):
     assert {r["component_id"] for r in ngram_join.jaccard_components(long).collect()} == {0}
 
 
+def test_jaccard_repeated_ids_and_groups(spark):
+    """An id with two texts: what links with either is in a group whose least
+    id is that id."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " other"), (4, "nothing of these at all here"), (2, a + " more")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, root string").repartition(3)
+    got = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.jaccard_components(docs).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def _near_copies(n, with_base):
+    """A text of 60 words and n copies with one to three words changed."""
+    rnd = random.Random(n)
+    base = [f"w{i}" for i in range(60)]
+    out = [" ".join(base)] if with_base else []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rnd.choice([1, 1, 2, 3])):
+            copy[rnd.randrange(60)] = f"new{i}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("with_base", [True, False])
+def test_tested_pairs_grow_with_a_group(spark, monkeypatch, with_base):
+    from gleaner.llm import linking
+    counts, real = [], linking._links
+
+    def counted(pairs, verify):
+        counts[-1] += pairs.count()
+        return real(pairs, verify)
+    monkeypatch.setattr(linking, "_links", counted)
+    for n in (200, 800):
+        counts.append(0)
+        texts = _near_copies(n, with_base)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs).collect()}
+        if n == 200:
+            sets = [_shingles(t) for t in texts]
+            u = Union(range(len(texts)))
+            for a in range(len(texts)):
+                for b in range(a + 1, len(texts)):
+                    if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                        u.join(a, b)
+            assert got == {i: u.find(i) for i in range(len(texts))}
+    print("pairs tested", with_base, counts)
+    assert counts[1] <= 8 * max(counts[0], 200)
+
+
 def test_packed_integers_round_trip():
     rnd = np.random.default_rng(3)
     for n in (0, 1, 5, 1000):
