@@ -141,7 +141,7 @@ def _judge(k: int, percent: int):
             else:
                 out["tokens"].append(None)
                 out["ranks"].append(None)
-        return pa.table({"id": docs.column("id"), "n": pa.array(out["n"], pa.int64()), **{c: pa.array(out[c], pa.int64()) for c in ("d1", "d2", "c1", "c2")},
+        return pa.table({"id": docs.column("id"), "tag": docs.column("tag"), "n": pa.array(out["n"], pa.int64()), **{c: pa.array(out[c], pa.int64()) for c in ("d1", "d2", "c1", "c2")},
                          "tokens": pa.array(out["tokens"], pa.list_(pa.int64())),
                          "ranks": pa.array(out["ranks"], pa.binary())})
     return run
@@ -219,10 +219,12 @@ def _need(both: Column, percent: int) -> Column:
     return F.floor((both * percent + 99 + percent) / (100 + percent)).cast("long")
 
 
-def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+                       tag_col: str | None = None) -> DataFrame:
     """One row per input row: ``id_col``, n_shingles (size of the distinct
     k-word shingle set of the whole text), component_id (smallest id
-    reachable by links, itself included).
+    reachable by links, itself included) and, if given, ``tag_col`` (a long
+    that the caller knows the row by).
 
     Words are lower-cased in A-Z and split at space and 0x09-0x0D.  Texts of
     fewer than k words have their whole sequence as one shingle; null texts
@@ -231,7 +233,8 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
     texts, each of which may link; groups are of texts, and a group's id is
     the least of all its rows.  Ties cannot occur; an empty table gives an
     empty result."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       (F.col(tag_col) if tag_col else F.lit(None)).cast("long").alias("tag"))
     judged = materialise(_judged(rows, k, percent), "jaccard-docs")
     alive = judged.where("d1 IS NOT NULL AND id IS NOT NULL")
     classes = materialise(alive.groupBy("n", "d1", "d2").agg(F.min("id").alias("id")).withColumn("node", F.monotonically_increasing_id()), "jaccard-classes")
@@ -280,11 +283,12 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
               .join(roots.withColumnRenamed("node", "stand"), "stand", "left").select("n", "d1", "d2", "id", F.coalesce("root", "stand").alias("root")))
     groups = materialise(groups, "jaccard-groups")
     named = materialise(groups.join(groups.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("n", "d1", "d2", "component_id"), "jaccard-named")
-    out = judged.select("id", "n", "d1", "d2")
+    out = judged.select("id", "n", "d1", "d2", "tag")
     linked = (out.where("d1 IS NOT NULL").join(named, ["n", "d1", "d2"])
-              .select("id", "n", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")))
-    alone = out.where("d1 IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return linked.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+              .select("id", "n", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"), "tag"))
+    alone = out.where("d1 IS NULL").select("id", "n", F.col("id").alias("component_id"), "tag")
+    return linked.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                                      *[F.col("tag").alias(tag_col)] * bool(tag_col))
 
 
 def _cores(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -307,4 +311,4 @@ def _judged(rows: DataFrame, k: int, percent: int) -> DataFrame:
     asked = dealt.groupBy("block").applyInArrow(_ask(k, width), "part long, block long, keys binary, n binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "block long, part long, ranks binary")
     return (dealt.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_judge(k, percent), "id long, n long, d1 long, d2 long, c1 long, c2 long, tokens array<long>, ranks binary"))
+            .applyInArrow(_judge(k, percent), "id long, tag long, n long, d1 long, d2 long, c1 long, c2 long, tokens array<long>, ranks binary"))

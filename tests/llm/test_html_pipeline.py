@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gleaner.llm import html_extract as H
+from gleaner.llm.common import materialise
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,6 +107,29 @@ def test_stages_against_brute_force(spark):
     assert max(sizes.values()) - min(sizes.values()) <= 1
 
 
+CLASHES = ["lang_pred", "score", "leaked", "item_id", "n_items", "id", "s", "times", "take_h", "_h", "_copy", "copy", "row_h", "tag", "gone_id",
+           "component_id", "node", "size", "shard", "kept__0"]
+
+
+def test_stages_keep_extra_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    docs = materialise(docs.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHES]), "clashes")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in CLASHES), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 40
+
+
+def test_near_copies_stage_judges_rows_of_an_id_by_their_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 2), (2, a + " more", "en", "s", 3), (7, b + " more", "en", "s", 4), (None, a, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF)
+    assert sorted(r["n_chars"] for r in kept.collect()) == [2, 3, 5]
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
