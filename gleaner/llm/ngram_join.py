@@ -288,7 +288,7 @@ def jaccard_components(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col
               .select("id", "n", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"), "tag"))
     alone = out.where("d1 IS NULL").select("id", "n", F.col("id").alias("component_id"), "tag")
     return linked.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                                      *[F.col("tag").alias(tag_col)] * bool(tag_col))
+                                      *([F.col("tag").alias(tag_col)] if tag_col else []))
 
 
 def _cores(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
