@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..functions import url as U
 from ..functions.dates import parse_date as parse_date_expr
 from ..operators import dedup, gate, health, rank, stats, themes
+from ..operators.markup import main_texts
 from ..operators.order import with_global_rank
 from ..sources import adapters as A
 from . import pipeline as P
@@ -287,16 +288,17 @@ def page_title(spark, sf):
 
 @query
 def page_excerpt(spark, sf):
-    from ..functions.html import page_excerpt as excerpt_of
-    p = A.table(spark, sf, "pages")
-    return p.select("page_id", excerpt_of("html").alias("excerpt"))
+    """Meta description; the main text only of pages that have none."""
+    from ..functions.html import meta_description
+    p = A.table(spark, sf, "pages").select("page_id", "html", meta_description("html").alias("excerpt"))
+    bare = main_texts(p.where("excerpt IS NULL").drop("excerpt"))
+    return p.where("excerpt IS NOT NULL").select("page_id", "excerpt").unionByName(
+        bare.select("page_id", F.nullif("main_text", F.lit("")).alias("excerpt")))
 
 
 @query
 def main_text(spark, sf):
-    from ..functions.html import main_text as text_of
-    p = A.table(spark, sf, "pages")
-    return p.select("page_id", text_of("html").alias("main_text"))
+    return main_texts(A.table(spark, sf, "pages").select("page_id", "html"))
 
 
 def _listings(spark, sf):

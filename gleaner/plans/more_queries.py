@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as T
 from ..functions import url as U
-from ..operators import blocks, gate, health
+from ..operators import blocks, gate, health, markup
 from ..sources import adapters as A
+from ..sources.pages import html_dates
 from ..spec import FilterSpec, JobSpec, RankingSpec, SourceSpec, window_cutoff
 from ..streaming.scratch import run_folder
 from . import catalog as C
@@ -38,9 +39,12 @@ def _pages_of(spark: SparkSession, sf: str, shapes) -> DataFrame:
 
 def _step(name: str, step, shapes, dated: int, total: int) -> None:
     """Register a date step over pages in ``total`` layouts, of which the
-    first ``dated`` carry the order's date."""
+    first ``dated`` carry the order's date; ``step`` takes the html column or,
+    by element extents, the pages."""
     def run(spark, sf):
-        return _pages_of(spark, sf, shapes).select("o_orderkey", F.date_format(step("html"), "yyyy-MM-dd").alias("found"))
+        pages = _pages_of(spark, sf, shapes)
+        found = step(pages).toDF("o_orderkey", "found") if step in (markup.visible_dates, html_dates) else pages.select("o_orderkey", step("html").alias("found"))
+        return found.select("o_orderkey", F.date_format("found", "yyyy-MM-dd").alias("found"))
     run.__name__ = name
     query(run)
     Q.reg(name, f"""SELECT o_orderkey, CASE WHEN o_orderkey % {total} < {dated} THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') END
@@ -89,8 +93,8 @@ def _cascade(iso, words, other):
 _step("date_meta", D.from_meta, _meta, 2, 3)
 _step("date_jsonld", D.from_jsonld, _jsonld, 3, 4)
 _step("date_time_tag", D.from_time_tag, _time, 2, 3)
-_step("date_visible", D.from_visible_text, _visible, 4, 5)
-_step("date_html", D.from_html, _cascade, 4, 5)
+_step("date_visible", markup.visible_dates, _visible, 4, 5)
+_step("date_html", html_dates, _cascade, 4, 5)
 
 
 @query

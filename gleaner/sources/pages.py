@@ -1,10 +1,9 @@
 """Landed web pages as sources.
 
-Listing pages become one row per article link: the page is cut into
-blocks at closing block tags, each block is exploded with its position,
-and its anchors are exploded again — all with ``split``/``posexplode``,
-never a per-row Python parser.  Every window here is per page (bounded by
-one document's links), never per source.
+Listing pages become one row per article link: anchors, their texts and
+the dates near them come from element extents (``operators/markup``), never
+from a per-row parser.  Every window here is per page (bounded by one
+document's links), never per source.
 """
 
 from __future__ import annotations
@@ -16,8 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import url as U
 from ..functions.common import col, ntz, strip
-from ..functions.dates import first_parsed, from_html, text_candidates
-from ..functions.html import drop_elements, node_text, unescape
+from ..functions.dates import from_jsonld, from_meta, from_time_tag
+from ..functions.html import unescape
+from ..operators import markup
+from ..session import shared_table
 from ..spec import as_of_date, window_cutoff
 
 # Anchor texts that are navigation, and path hints of articles.
@@ -27,13 +28,8 @@ NAV_TEXT = (r"(?i)^(home|about|contact|login|sign.?up|register|products?|solutio
             r"partners?|customers?|resources?)$")
 ARTICLE_PATH_HINT = (r"(?i)/(blog|news|post|article|research|paper|update|release|announcement|"
                      r"insight|report|press-release|changelog|20\d{2})/")
-LISTING_NOISE = ["nav", "footer", "header", "script", "style"]
-# A block ends with its container: li, article, section, tr, or a div that another div (or its parent's end) follows.
-RX_BLOCK_CLOSE = r"(?i)</(?:li|article|section|tr)>"
-RX_CARD_CLOSE = r"(?i)</div>[\t\n\x0B\f\r ]*(<div\b|</div>)"
-RX_ANCHOR = r"""(?is)<a\b[^>]*\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-RX_TIME_ATTR1 = r"""(?i)<time\b[^>]*\bdatetime\s*=\s*["']([^"']*)["']"""
-RX_TIME_TEXT1 = r"(?is)<time\b[^>]*>(.*?)</time>"
+# Elements of a listing that are dropped with their links.
+LISTING_NOISE = ["nav", "footer", "header"]
 RX_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
@@ -86,47 +82,40 @@ def is_likely_article(href: Column | str, text: Column | str, base: Column | str
             & ~self_link & ~anchor)
 
 
-def context_date(block: Column) -> Column:
-    """Date near a link: first <time datetime>, else <time> text, else a
-    visible date in the enclosing block's text."""
-    attr = F.nullif(F.regexp_extract(block, RX_TIME_ATTR1, 1), F.lit(""))
-    ttext = F.nullif(strip(node_text(F.regexp_extract(block, RX_TIME_TEXT1, 1))), F.lit(""))
-    words = strip(F.regexp_replace(F.regexp_replace(block, "<[^>]+>", " "), "[\\t\\n\\x0B\\f\\r ]+", " "))
-    return first_parsed(F.concat(F.array(attr, ttext), text_candidates(unescape(words))))
-
-
 def extract_links(listings: DataFrame) -> DataFrame:
     """(listing_url, html) -> (listing_url, link_pos, href, text, ctx_date):
-    same-site article links, first occurrence of each absolute href."""
-    clean = drop_elements("html", LISTING_NOISE)
-    cut_blocks = F.regexp_replace(F.regexp_replace(clean, RX_BLOCK_CLOSE, "\u0001"), RX_CARD_CLOSE, "\u0001$1")
-    blocks = listings.select("listing_url", F.posexplode(F.split(cut_blocks, "\u0001")).alias("seg_pos", "seg"))
-    anchors = blocks.select(
-        "listing_url", "seg_pos", context_date(F.col("seg")).alias("ctx_date"),
-        F.posexplode(F.arrays_zip(F.regexp_extract_all("seg", F.lit(RX_ANCHOR), 1).alias("h"),
-                                  F.regexp_extract_all("seg", F.lit(RX_ANCHOR), 2).alias("t")))
-        .alias("a_pos", "a"))
-    href = resolve(F.col("listing_url"), unescape(strip(F.col("a.h"))))
-    links = anchors.select("listing_url", "seg_pos", "a_pos", "ctx_date", href.alias("href"),
-                           node_text(F.col("a.t")).alias("text"))
+    same-site article links, first occurrence of each absolute href.  The
+    date is that of the link's parent element, else of its grandparent."""
+    found = markup.links(listings.select("listing_url", "html"), LISTING_NOISE)
+    href = resolve(F.col("listing_url"), unescape(strip("href")))
+    links = found.select("listing_url", "start", "ctx_date", href.alias("href"), "text")
     ok = (same_site(U.domain("href"), U.domain("listing_url"))
           & (F.length("text") >= 10)
           & is_likely_article("href", "text", "listing_url"))
-    first = Window.partitionBy("listing_url", "href").orderBy("seg_pos", "a_pos")
-    pos = Window.partitionBy("listing_url").orderBy("seg_pos", "a_pos")
+    first = Window.partitionBy("listing_url", "href").orderBy("start", "text", "ctx_date")
+    pos = Window.partitionBy("listing_url").orderBy("start", "href")
     return (links.where(ok)
             .withColumn("_k", F.row_number().over(first)).where(F.col("_k") == 1)
             .withColumn("link_pos", F.row_number().over(pos).cast("long"))
             .select("listing_url", "link_pos", "href", "text", "ctx_date"))
 
 
+def html_dates(pages: DataFrame) -> DataFrame:
+    """The pages without their html and with html_date: meta, JSON-LD, time
+    tag, and, only for pages that these leave undated, the visible date by
+    element extents."""
+    early = F.coalesce(from_meta("html"), from_jsonld("html"), from_time_tag("html"))
+    first = pages.withColumn("html_date", early)
+    undated = first.where("html_date IS NULL").drop("html_date")
+    return first.where("html_date IS NOT NULL").drop("html").unionByName(markup.visible_dates(undated).withColumnRenamed("visible_date", "html_date"))
+
+
 def page_dates(pages: DataFrame, keys: DataFrame) -> DataFrame:
     """(page_key, page_date): HTML publish date of the first landed page of
     every wanted key.  Pages are semi-joined to the keys first, so the date
     steps run only on pages that an undated link needs."""
     keyed = pages.select(U.url_hash("url").alias("page_key"), "page_id", "html").join(keys, "page_key", "left_semi")
-    return (keyed.select("page_key", "page_id", from_html("html").alias("html_date"))
-            .groupBy("page_key").agg(F.min_by("html_date", "page_id").alias("page_date")))    # fixed-width: hash aggregate
+    return (html_dates(keyed).groupBy("page_key").agg(F.min_by("html_date", "page_id").alias("page_date")))    # fixed-width: hash aggregate
 
 
 def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, window_days: int, *, label: str | None = None,
@@ -178,14 +167,17 @@ def scan_urls(urls: DataFrame, pages: DataFrame, label: str | None = None, *, as
               source_ord: int = 0, with_html: bool = False, max_html: int | None = None) -> DataFrame:
     """Explicit URL list (url, url_ord) left-joined to the first landed page
     of that very URL: title (or the URL), date from the page then the URL,
-    meta description.  No window cutoff.  Fields are taken where the page is
-    read; html itself is only carried along (``with_html``) if wanted."""
+    meta description.  No window cutoff.  Pages are semi-joined to the list
+    first, so fields are taken from listed pages only; html itself is only
+    carried along (``with_html``) if wanted."""
     from ..functions.html import cut, meta_description, page_title
-    first = pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
-    fields = pages.select("url", "page_id", page_title("html").alias("page_title"), from_html("html").alias("page_date"),
-                          meta_description("html").alias("excerpt"), F.length("html").cast("long").alias("html_chars"),
-                          *([cut(F.col("html"), max_html).alias("raw_html")] if with_html else []))
-    j = urls.join(fields.join(first, ["url", "page_id"]), "url", "left")
+    wanted = pages.select("url", "page_id", "html").join(urls.select("url").distinct(), "url", "left_semi")
+    first = wanted.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    listed = shared_table(wanted.join(first, ["url", "page_id"]).dropDuplicates(["url", "page_id"]), "listed-pages")
+    fields = listed.select("url", page_title("html").alias("page_title"), meta_description("html").alias("excerpt"), F.length("html").cast("long").alias("html_chars"),
+                           *([cut(F.col("html"), max_html).alias("raw_html")] if with_html else []))
+    dates = html_dates(listed.select("url", "html")).select("url", F.col("html_date").alias("page_date"))
+    j = urls.join(fields, "url", "left").join(dates, "url", "left")
     out = j if with_html else j.withColumn("raw_html", F.lit(None).cast("string"))
     return out.select("url_ord", "url", F.coalesce(F.nullif("page_title", F.lit("")), F.col("url")).alias("title"),
                       F.lit(label or "manual").alias("source"), F.coalesce("page_date", U.date_from_url("url")).alias("publish_date"),

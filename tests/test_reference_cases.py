@@ -32,7 +32,7 @@ def test_listing_layouts(spark):
     df = spark.createDataFrame([("https://ex.com/list/all", LISTING)], "listing_url string, html string")
     got = {r.href: r.ctx_date and r.ctx_date.isoformat() for r in pages.extract_links(df).collect()}
     assert got == {"https://ex.com/blog/a": "2026-03-02", "https://ex.com/blog/b": "2026-03-03", "https://ex.com/blog/c": "2026-03-04",
-                   "https://ex.com/blog/d": None, "https://ex.com/list/e": "2026-03-05", "https://ex.com/list/f": "2026-03-06",
+                   "https://ex.com/blog/d": "2026-03-04", "https://ex.com/list/e": "2026-03-05", "https://ex.com/list/f": "2026-03-06",
                    "https://ex.com/blog/g": "2026-03-07", "https://ex.com/blog/h": None}
 
 
@@ -107,7 +107,7 @@ def test_registry_scans_lists_and_urls(spark, tmp_path):
     specs = [SourceSpec(type="html_list", url=site, label="list"), SourceSpec(type="manual_urls", urls=["https://ex.com/blog/d", "https://ex.com/2026/03/05/x"])]
     rows = registry.scan_all(spark, specs, AS_OF, 7, landed=lambda s: str(tmp_path / "pages")).collect()
     by = {(r.source, r.url): str(r.publish_date) for r in rows}
-    assert len(rows) == 10 and by[("list", "https://ex.com/blog/d")] == "2026-03-06" and by[("list", "https://ex.com/blog/h")] == "2026-03-08"
+    assert len(rows) == 10 and by[("list", "https://ex.com/blog/d")] == "2026-03-04" and by[("list", "https://ex.com/blog/h")] == "2026-03-08"
     assert by[("manual", "https://ex.com/2026/03/05/x")] == "2026-03-05" and by[("manual", "https://ex.com/blog/d")] == "2026-03-06"
 
 
