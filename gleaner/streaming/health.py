@@ -1,75 +1,140 @@
-"""Source health as a streaming fold (H3).
+"""Source health as a streaming fold with keyed state (H3).
 
-Each micro-batch of fetch-log rows is reduced per source with built-in
-partial aggregates (last success, failures after it, items, last failure),
-then merged into the running health table by a join on source_id:
+One state record per source lives in the state store: totals, the last
+success and failure, and the open failure streak.  A micro-batch reads and
+writes only the records of the sources it holds rows of, and the sink gets
+only those, so a batch costs what it holds however many sources there are.
 
-* a batch with a success resets the streak to the batch's failures after
-  its last success;
-* a batch without one adds its failures to the streak.
+Rows may arrive in any order within ``delay`` of event time: failures after
+the last success are kept by their time until the watermark has passed them,
+so a success that arrives late still ends exactly the failures before it.
+Failures that the watermark has passed are only counted.  Rows older than the
+watermark are late and are left out (H4).  With ``forget_days`` a record has a
+time to live: a timer drops it when the watermark is so long past its last row.
 
-Rows are ordered by arrival batch, then by time inside a batch — the order
-the reference's fold sees them when each run appends in time order.  The
-health table is versioned per batch id, so a re-executed batch rebuilds
-its version from the previous one.
+State, watermark and the list of read files are in the checkpoint: a run
+that starts again goes on where the last one stopped, and a batch that runs
+again overwrites its own rows of the sink.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.health import DISABLE_AFTER, source_health
+from ..functions.common import ntz
+from ..operators.health import DISABLE_AFTER
 from ..schema import FETCH_LOG
-from .scratch import path_exists
 
 HEALTH_COLUMNS = ["task_key", "source_id", "consecutive_failures", "last_success", "last_failure",
                   "total_items_fetched", "fetches"]
+STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+_RECORD = "last_success long, last_failure long, items long, fetches long, settled long"
+_OUT = "task_key string, source_id string, consecutive_failures long, last_success long, last_failure long, items long, fetches long"
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _later(a: int | None, b: int | None) -> int | None:
+    return max((x for x in (a, b) if x is not None), default=None)
+
+
+class HealthFold(StatefulProcessor):
+    """State of one (task_key, source_id): the record, and the times of the
+    failures after the last success that the watermark has not passed."""
+
+    def __init__(self, forget_ms: int | None = None):
+        self.forget_ms = forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.record = handle.getValueState("record", _RECORD)
+        self.open = handle.getListState("open", "ts long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        success, failure, items, fetches, settled = self.record.get() if self.record.exists() else (None, None, 0, 0, 0)
+        failures = [t[0] for t in self.open.get()] if self.open.exists() else []
+        ended = success
+        for batch in rows:
+            batch = batch[batch["at"] >= watermark]
+            good, bad = batch[batch["success"]], batch[~batch["success"]]
+            fetches += len(batch)
+            items += int(good["item_count"].fillna(0).sum())
+            success = _later(success, int(good["at"].max()) if len(good) else None)
+            failure = _later(failure, int(bad["at"].max()) if len(bad) else None)
+            failures += bad["at"].astype(int).tolist()
+        if success != ended:
+            settled = 0                          # all of them are older than any row that is not late
+        failures = [t for t in failures if success is None or t > success]
+        recent = [t for t in failures if t >= watermark]
+        settled += len(failures) - len(recent)
+        self.record.update((success, failure, items, fetches, settled))
+        if recent:
+            self.open.put([(t,) for t in recent])
+        elif self.open.exists():
+            self.open.clear()
+        if self.forget_ms is not None and fetches:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(_later(success, failure) // 1000 + self.forget_ms)
+        if fetches:
+            yield pd.DataFrame({"task_key": [key[0]], "source_id": [key[1]], "consecutive_failures": [settled + len(recent)],
+                                "last_success": pd.array([success], "Int64"), "last_failure": pd.array([failure], "Int64"),
+                                "items": [items], "fetches": [fetches]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.record.clear()
+        self.open.clear()
+        yield from ()
 
+    def close(self) -> None:
+        pass
+
+
+def _micros(c: str) -> Column:
+    return F.timestamp_diff("MICROSECOND", ntz(_EPOCH), F.col(c).cast("timestamp_ntz")).cast("long")
+
+
+def _time(c: str) -> Column:
+    return F.timestamp_add("MICROSECOND", F.col(c), ntz(_EPOCH))
+
+
+def fold(log: DataFrame, delay: str, forget_days: int | None = None) -> DataFrame:
+    """Streaming fetch log -> the changed health records of every batch."""
+    events = (log.select("task_key", "source_id", _micros("ts").alias("at"), "success", F.coalesce("item_count", F.lit(0)).cast("long").alias("item_count"))
+              .where("at IS NOT NULL AND success IS NOT NULL")
+              .withColumn("event_ts", F.timestamp_micros("at")).withWatermark("event_ts", delay))
+    forget = None if forget_days is None else forget_days * 86_400_000
+    out = events.groupBy("task_key", "source_id").transformWithStateInPandas(HealthFold(forget), _OUT, "Update", "EventTime")
+    return out.select("task_key", "source_id", "consecutive_failures", _time("last_success").alias("last_success"),
+                      _time("last_failure").alias("last_failure"), F.col("items").alias("total_items_fetched"), "fetches")
+
+
+def run_health_stream(spark: SparkSession, landing: str, health_path: str, checkpoint: str, *, delay: str = "7 days", forget_days: int | None = None,
+                      max_files: int | None = None) -> None:
+    """Fold every new fetch-log file into the health table (availableNow):
+    only changed records are appended, a version per batch."""
+    if spark.conf.get(STORE[0], "") != STORE[1]:
+        spark.conf.set(*STORE)
 
-def merge(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Fold one batch's per-source summary into the previous health table."""
-    b = source_health(batch).select(
-        "task_key", "source_id",
-        F.col("last_success").alias("b_ls"), F.col("last_failure").alias("b_lf"),
-        F.col("total_items_fetched").alias("b_items"), F.col("fetches").alias("b_n"),
-        F.col("consecutive_failures").alias("b_streak"))
-    if prev is None:
-        return b.select("task_key", "source_id", F.col("b_streak").alias("consecutive_failures"),
-                        F.col("b_ls").alias("last_success"), F.col("b_lf").alias("last_failure"),
-                        F.col("b_items").alias("total_items_fetched"), F.col("b_n").alias("fetches"))
-    j = prev.join(b, ["task_key", "source_id"], "full_outer")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
-    streak = F.when(F.col("b_ls").isNotNull(), z("b_streak")).otherwise(z("consecutive_failures") + z("b_streak"))
-    return j.select(
-        "task_key", "source_id", streak.cast("long").alias("consecutive_failures"),
-        F.coalesce("b_ls", "last_success").alias("last_success"),
-        F.greatest("last_failure", "b_lf").alias("last_failure"),
-        (z("total_items_fetched") + z("b_items")).cast("long").alias("total_items_fetched"),
-        (z("fetches") + z("b_n")).cast("long").alias("fetches"))
-
-
-def run_health_stream(spark: SparkSession, landing: str, health_path: str, checkpoint: str) -> None:
-    """Fold every new fetch-log file into the health table (availableNow)."""
     def fn(df: DataFrame, batch_id: int) -> None:
-        prev = None
-        if path_exists(spark, health_path):
-            versions = spark.read.parquet(health_path).where(F.col("batch_id") < batch_id)
-            last = versions.agg(F.max("batch_id")).first()[0]      # one scalar: the latest version
-            if last is not None:
-                prev = versions.where(F.col("batch_id") == last).select(*HEALTH_COLUMNS)
-        merged = merge(prev, df.select(*FETCH_LOG.fieldNames()))
-        (merged.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(health_path))
-
-    q = (spark.readStream.schema(FETCH_LOG).parquet(landing).writeStream.foreachBatch(fn)
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(health_path))
+
+    reader = spark.readStream.schema(FETCH_LOG)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    q = (fold(reader.parquet(landing), delay, forget_days).writeStream.outputMode("update").foreachBatch(fn)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def latest_health(spark: SparkSession, health_path: str) -> DataFrame:
-    h = spark.read.parquet(health_path)
-    last = h.agg(F.max("batch_id")).first()[0]
-    return (h.where(F.col("batch_id") == last).select(*HEALTH_COLUMNS)
-            .withColumn("disabled", F.col("consecutive_failures") >= DISABLE_AFTER))
+    """The last version of every source's record."""
+    rest = [c for c in HEALTH_COLUMNS if c not in ("task_key", "source_id")]
+    return (spark.read.parquet(health_path).groupBy("task_key", "source_id").agg(F.max_by(F.struct(*rest), "batch_id").alias("record"))
+            .select("task_key", "source_id", "record.*").withColumn("disabled", F.col("consecutive_failures") >= DISABLE_AFTER))
