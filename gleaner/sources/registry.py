@@ -1,22 +1,30 @@
 """Source registry (A1, D8, C7): source type -> scan function.
 
-A scan turns one configured source into raw-item rows; ``scan_all`` unions
-them (``unionByName``) with each source's position as ``source_ord``.  An
-unknown type or a failing scan yields no rows and a warning, so one bad
-source never fails the run.  The loop runs over the job configuration
-(bounded), building one lazy plan.
+A scan turns one configured source into raw-item rows, with the source's
+position as ``source_ord``.  ``scan_all`` runs every source as a job of its
+own, a few at a time, and writes its rows to the shared folder; what comes
+back is one scan over the folders of the sources that came through.  An
+unknown type, a scan that cannot be planned and one that fails while it runs
+(a corrupt landed file) all yield no rows, a warning and a ``Fault``: one bad
+source never fails the run, and rows of a source are there whole or not at
+all.  A fault of the shared folder itself is not a source's: it is met first
+and fails the run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import RAW_ITEMS
+from ..session import checkpoint_dir
 from ..spec import SourceSpec
 
 log = logging.getLogger(__name__)
@@ -80,28 +88,47 @@ def empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_ITEMS)
 
 
+@dataclass(frozen=True)
+class Fault:
+    """Why a source gave no rows."""
+    source_id: str
+    source_ord: int
+    error: str
+
+
 def scan_source(spark: SparkSession, spec: SourceSpec, as_of: dt.datetime, window_days: int,
                 source_ord: int, landed: Callable[[SourceSpec], str]) -> DataFrame:
+    """Rows of one source as a lazy plan; raises what the scan raises."""
     fn = REGISTRY.get(spec.type)
     if fn is None:
-        log.warning("no scan registered for source type %r", spec.type)
-        return empty(spark)
-    try:
-        df = fn(spark, spec, as_of, window_days, source_ord, landed)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in RAW_ITEMS.fields])
-    except Exception:  # noqa: BLE001 - one source never fails the run
-        log.exception("scan failed for %s", spec.source_id)
-        return empty(spark)
+        raise LookupError(f"no scan registered for source type {spec.type!r}")
+    df = fn(spark, spec, as_of, window_days, source_ord, landed)
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in RAW_ITEMS.fields])
 
 
 def scan_all(spark: SparkSession, specs: list[SourceSpec], as_of: dt.datetime, window_days: int,
-             landed: Callable[[SourceSpec], str], disabled: set[str] | None = None) -> DataFrame:
-    """Union of every enabled source's rows (disabled sources skipped)."""
+             landed: Callable[[SourceSpec], str], disabled: set[str] | None = None, *, parallel: int = 4,
+             faults: list[Fault] | None = None) -> DataFrame:
+    """Rows of every enabled source (disabled sources skipped), ``parallel``
+    sources at a time.  ``faults``, if given, takes what went wrong."""
     disabled = disabled or set()
-    out = empty(spark)
-    for i, spec in enumerate(specs):
+    base = f"{checkpoint_dir(spark).rstrip('/')}/scan-{uuid.uuid4().hex}"
+    empty(spark).coalesce(1).write.parquet(f"{base}/none")
+
+    def one(place: tuple[int, SourceSpec]) -> str | Fault | None:
+        i, spec = place
         if spec.source_id in disabled:
             log.warning("skipping disabled source %s", spec.source_id)
-            continue
-        out = out.unionByName(scan_source(spark, spec, as_of, window_days, i, landed))
-    return out
+            return None
+        try:
+            scan_source(spark, spec, as_of, window_days, i, landed).write.parquet(f"{base}/{i}")
+            return f"{base}/{i}"
+        except Exception as e:  # noqa: BLE001 - one source never fails the run
+            log.warning("scan failed for %s: %s", spec.source_id, str(e).splitlines()[0] if str(e) else repr(e))
+            return Fault(spec.source_id, i, str(e) or repr(e))
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        done = list(pool.map(one, enumerate(specs)))
+    if faults is not None:
+        faults += [d for d in done if isinstance(d, Fault)]
+    return spark.read.schema(RAW_ITEMS).parquet(f"{base}/none", *[d for d in done if isinstance(d, str)])
