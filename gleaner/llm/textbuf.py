@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+#: Bytes hashed at once (a longer word counts as one): the tables of powers stay small in every worker.
+SEGMENT = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -57,7 +59,7 @@ def slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(_state.get("pow", ())) < n:
-        size = max(n, SLICE_BYTES)
+        size = max(n, SEGMENT)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         for name, base in (("pow", _BASE), ("inv", inverse)):
             t = np.full(size, base, np.uint64)
@@ -91,7 +93,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out, i = np.empty(len(starts), np.uint64), 0
     while i < len(starts):
         base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, base + SEGMENT, "right")))
         seg = data[base:ends[j - 1]]
         power, inverse, letters = _tables(len(seg))
         run = np.zeros(len(seg) + 1, np.uint64)
