@@ -40,7 +40,6 @@ DATE_ELEMENTS = ["span", "div", "p", "small", "li"]
 # A tag with quoted values, a tag with an odd quote, a comment, text.
 RX_TOKEN = r"""(?s)<!--.*?-->|<(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|<[^<>]*+>|[^<]++|<"""
 RX_NAME = r"^</?([A-Za-z][A-Za-z0-9:_-]*)"
-_LAST = (1 << 31) - 2
 
 
 def page_key(html: Column | str) -> list[Column]:
@@ -62,35 +61,35 @@ def has_class(tag: Column, words: str) -> Column:
 
 
 def tokens(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """(page key, i, token, name, sign) of every distinct html, written once
-    to the shared folder; i counts from 1, the page itself starts at 0.  name is '' for text and comments; sign is 1 for an
-    opening, -1 for a closing tag, else 0."""
+    """(page key, size, i, token, name, sign) of every distinct html; i counts
+    from 1 to size, the page itself starts at 0.  name is '' for text and
+    comments; sign is 1 for an opening, -1 for a closing tag, else 0."""
     html = F.col(html_col)
     known = pages.where(html.isNotNull()).select(*page_key(html), html.alias("html")).groupBy(*KEY).agg(F.first("html").alias("html"))
     plain = F.col("html")
     for raw in ("script", "style"):
         plain = F.regexp_replace(plain, rf"(?is)<{raw}\b[^>]*>.*?</{raw}\s*>", "<!---->")
-    found = known.select(*KEY, F.posexplode(F.regexp_extract_all(plain, F.lit(RX_TOKEN), 0)).alias("place", "token"))
-    named = found.select(*KEY, (F.col("place") + 1).alias("i"), "token").withColumn("name", F.lower(F.regexp_extract("token", RX_NAME, 1)))
+    split = known.select(*KEY, F.regexp_extract_all(plain, F.lit(RX_TOKEN), 0).alias("all"))
+    found = split.select(*KEY, F.size("all").alias("size"), F.posexplode("all").alias("place", "token"))
+    named = found.select(*KEY, "size", (F.col("place") + 1).alias("i"), "token", F.lower(F.regexp_extract("token", RX_NAME, 1)).alias("name"))
     sign = (F.when((F.col("name") == "") | F.col("name").isin(VOID), 0).when(F.startswith("token", F.lit("</")), -1)
             .when(F.endswith("token", F.lit("/>")), 0).otherwise(1))
-    return shared_table(named.withColumn("sign", sign), "html-tokens")
+    return named.withColumn("sign", sign)
 
 
 def texts(stream: DataFrame) -> DataFrame:
-    """(page key, i, text): text between tags, stripped; none is empty."""
+    """(page key, size, start, text): text between tags, stripped; none is empty."""
     of = stream.where(~F.startswith("token", F.lit("<")) | (F.col("token") == "<"))
-    return of.select(*KEY, "i", strip(unescape("token")).alias("text")).where("text <> ''")
+    return of.select(*KEY, "size", F.col("i").alias("start"), strip(unescape("token")).alias("text")).where("text <> ''")
 
 
-def elements(stream: DataFrame) -> DataFrame:
-    """(page key, name, start, end, depth, tag): extents of all elements, in
-    token places; the outermost have depth 1."""
+def extents(stream: DataFrame) -> DataFrame:
+    """(page key, size, name, start, end, tag): extents of all elements, in
+    token places."""
     by_name = Window.partitionBy(*KEY, "name").orderBy("i")
     tags = stream.where("sign <> 0").withColumn("sum", F.sum("sign").over(by_name))
     tags = tags.withColumn("level", F.col("sum") - F.least(F.min("sum").over(by_name), F.lit(0)))
-    before = F.lag("level", 1, 0).over(by_name)
-    tags = (tags.withColumn("before", before).where("sign = 1 OR before > 0")
+    tags = (tags.withColumn("before", F.lag("level", 1, 0).over(by_name)).where("sign = 1 OR before > 0")
             .withColumn("level", F.when(F.col("sign") == 1, F.col("level")).otherwise(F.col("before"))))
     pair = Window.partitionBy(*KEY, "name", "level").orderBy("i")
     tags = tags.withColumn("match", F.when(F.col("sign") == 1, F.when(F.lead("sign").over(pair) == -1, F.lead("i").over(pair)))
@@ -101,45 +100,46 @@ def elements(stream: DataFrame) -> DataFrame:
     around = F.sum(F.when(closed, F.col("sign")).otherwise(0)).over(Window.partitionBy(*KEY).orderBy("i"))
     tags = tags.withColumn("around", F.when(F.col("sign") == -1, around + 1).otherwise(around))
     later = Window.partitionBy(*KEY, "around").orderBy("i").rowsBetween(1, Window.unboundedFollowing)
-    up = F.coalesce(F.min(F.when(F.col("sign") == -1, F.col("i"))).over(later), F.lit(_LAST))
-    sibling = F.coalesce(F.when(F.col("name") == "p", F.lead(F.when(F.col("sign") == 1, F.col("i"))).over(by_name)), F.lit(_LAST))
+    up = F.coalesce(F.min(F.when(F.col("sign") == -1, F.col("i"))).over(later), F.col("size") + 1)
+    sibling = F.coalesce(F.when(F.col("name") == "p", F.lead(F.when(F.col("sign") == 1, F.col("i"))).over(by_name)), F.col("size") + 1)
     tags = tags.withColumn("end", F.coalesce("match", F.least(up, sibling)))
-
-    opened = tags.where("sign = 1").select(*KEY, "name", F.col("i").alias("start"), "end", F.col("token").alias("tag"))
-    return _summed(opened, opened, "depth").withColumn("depth", F.col("depth") + 1)
-
-
-def _summed(places: DataFrame, extents: DataFrame, out: str) -> DataFrame:
-    """``places`` (by ``start``) with the number of extents around each."""
-    cols = places.columns
-    none = [F.lit(None).cast(places.schema[c].dataType).alias(c) for c in cols if c not in KEY]
-    events = extents.select(*KEY, *none, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("by")),
-                                                           F.struct(F.col("end").alias("at"), F.lit(-1).alias("by")))).alias("e"))
-    rows = places.select(*cols, F.lit(None).cast("struct<at:int,by:int>").alias("e")).union(events.select(*cols, "e"))
+    return tags.where("sign = 1").select(*KEY, "size", "name", F.col("i").alias("start"), "end", F.col("token").alias("tag"))
+
+
+def nodes(stream: DataFrame, noise: list[str] | None = None) -> DataFrame:
+    """(page key, size, name, start, end, tag, text, depth, noisy): all
+    elements and texts (name ''), depth the number of elements around them
+    (an element counts itself), noisy the number of ``noise`` elements."""
+    opened = extents(stream)
+    noisy = F.col("name").isin(noise or []).cast("int")
+    event = "struct<at:int,by:int,noisy:int>"
+    places = opened.select("*", F.lit(None).cast("string").alias("text"), F.lit(1).alias("own"), noisy.alias("own_noisy"), F.lit(None).cast(event).alias("e"))
+    said = texts(stream).select(*KEY, "size", F.lit("").alias("name"), "start", F.lit(None).cast("int").alias("end"), F.lit(None).cast("string").alias("tag"), "text",
+                                F.lit(0).alias("own"), F.lit(0).alias("own_noisy"), F.lit(None).cast(event).alias("e"))
+    both = F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("by"), noisy.alias("noisy")),
+                   F.struct(F.col("end").alias("at"), F.lit(-1).alias("by"), (-noisy).alias("noisy")))
+    none = {c: F.lit(None).cast(places.schema[c].dataType).alias(c) for c in places.columns if c not in KEY}
+    events = opened.select(*KEY, *[none[c] for c in places.columns if c not in KEY and c != "e"], F.explode(both).alias("e"))
     # at one place: what ends there is over, what starts there is not yet around
-    order = Window.partitionBy(*KEY).orderBy(F.coalesce("start", "e.at"), F.coalesce("e.by", F.lit(0)))
-    inside = F.sum(F.coalesce("e.by", F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn(out, F.coalesce(inside, F.lit(0)).cast("int")).where("e IS NULL").drop("e")
+    order = Window.partitionBy(*KEY).orderBy(F.coalesce("start", "e.at"), F.coalesce("e.by", F.lit(0))).rowsBetween(Window.unboundedPreceding, -1)
+    rows = places.unionByName(said).unionByName(events)
+    summed = rows.withColumn("depth", F.coalesce(F.sum("e.by").over(order), F.lit(0))).withColumn("noisy", F.coalesce(F.sum("e.noisy").over(order), F.lit(0)))
+    return (summed.where("e IS NULL").withColumn("depth", (F.col("depth") + F.col("own")).cast("int"))
+            .withColumn("noisy", (F.col("noisy") + F.col("own_noisy")).cast("int")).drop("own", "own_noisy", "e"))
 
 
-def outside(places: DataFrame, extents: DataFrame) -> DataFrame:
-    """The places (by ``start``) that lie in none of the extents and start
-    none."""
-    own = extents.select(*KEY, F.col("start").alias("own")).distinct()
-    kept = _summed(places, extents, "n_around").where("n_around = 0").drop("n_around")
-    same = (kept[KEY[0]] == own[KEY[0]]) & (kept[KEY[1]] == own[KEY[1]]) & (kept["start"] == own["own"])
-    return kept.join(own, same, "left_anti")
+def elements(stream: DataFrame) -> DataFrame:
+    """(page key, name, start, end, depth, tag) of all elements; the
+    outermost have depth 1."""
+    return nodes(stream).where("name <> ''").select(*KEY, "name", "start", "end", "depth", "tag")
 
 
-def containing(extents: DataFrame, places: DataFrame, at: str = "i", also: list[str] | None = None) -> DataFrame:
-    """Interval join: rows of ``extents`` (start, end) with the rows of
+def containing(around: DataFrame, places: DataFrame, at: str = "i", also: list[str] | None = None) -> DataFrame:
+    """Interval join: rows of ``around`` (start, end) with the rows of
     ``places`` strictly inside them; columns in ``also`` must be equal."""
-    by = [*KEY, *(also or []), "stretch"]
-    cut_up = F.explode(F.sequence(F.floor(F.col("start") / STRETCH), F.floor(F.least("end", F.col("page_end")) / STRETCH)))
-    ends = places.groupBy(*KEY).agg(F.max(at).alias("page_end"))
-    left = extents.join(ends, KEY).where(F.col("start") <= F.col("page_end")).withColumn("stretch", cut_up).drop("page_end")
+    left = around.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("start") / STRETCH), F.floor(F.col("end") / STRETCH))))
     right = places.withColumn("stretch", F.floor(F.col(at) / STRETCH))
-    return left.join(right, by).where((F.col("start") < F.col(at)) & (F.col(at) < F.col("end"))).drop("stretch")
+    return left.join(right, [*KEY, *(also or []), "stretch"]).where((F.col("start") < F.col(at)) & (F.col(at) < F.col("end"))).drop("stretch")
 
 
 def _joined(rows: DataFrame, keys: list[str], sep: str, out: str) -> DataFrame:
@@ -169,13 +169,9 @@ def main_texts(pages: DataFrame, n: int | None = None, html_col: str = "html") -
     dropped whole; root = article, main, div of a content class, body or
     page; its paragraphs over 20 characters joined by blank lines, else all
     its texts by line; first n characters (all without n)."""
-    stream = tokens(pages, html_col)
-    found = elements(stream)
-    noise = found.where(F.col("name").isin(NOISE_TAGS))
-    clean = shared_table(outside(found.where(F.col("name").isin("article", "main", "div", "body", "p")), noise), "html-elements")
+    clean = shared_table(nodes(tokens(pages, html_col), NOISE_TAGS).where("noisy = 0"), "html-nodes")
     root = roots(clean)
-    text = texts(stream).withColumnRenamed("i", "start")
-    text = shared_table(_in_root(outside(text, noise).withColumnRenamed("start", "i"), root, "i"), "html-texts")
+    text = _in_root(_texts_of(clean), root, "i")
     paragraphs = _in_root(clean.where("name = 'p'").select(*KEY, "start", "end"), root, "start")
     paras = _joined(containing(paragraphs, text), [*KEY, "start"], "", "text").where(F.char_length("text") > 20).withColumnRenamed("start", "i")
     by_para, by_line = _joined(paras, KEY, "\n\n", "of_paras"), _joined(text, KEY, "\n", "of_lines")
@@ -184,6 +180,10 @@ def main_texts(pages: DataFrame, n: int | None = None, html_col: str = "html") -
     return _back(pages, result, html_col, "found_text", "main_text", F.lit(""))
 
 
+def _texts_of(found: DataFrame) -> DataFrame:
+    return found.where("name = ''").select(*KEY, F.col("start").alias("i"), "text")
+
+
 def _back(pages: DataFrame, result: DataFrame, html_col: str, found: str, name: str, default: Column) -> DataFrame:
     """One row per page, without its html, with what was found."""
     keyed = pages.select(*[c for c in pages.columns if c != html_col], *page_key(html_col), F.col(html_col).isNull().alias("no_html"))
@@ -196,9 +196,8 @@ def visible_dates(pages: DataFrame, html_col: str = "html") -> DataFrame:
     date's class in page order, then elements with data-date, each by its
     data-date and then its text; last the first date that a pattern finds in
     the text of article, main, body or page."""
-    stream = tokens(pages, html_col)
-    found = shared_table(elements(stream), "html-elements")
-    text = shared_table(texts(stream), "html-texts")
+    found = shared_table(nodes(tokens(pages, html_col)), "html-nodes")
+    text = _texts_of(found)
     data = attribute(F.col("tag"), "data-date")
     classed = F.col("name").isin(DATE_ELEMENTS) & has_class(F.col("tag"), DATE_CLASS)
     kinds = F.filter(F.array(F.when(classed, 0), F.when(data.isNotNull(), 1)), lambda x: x.isNotNull())
@@ -216,16 +215,16 @@ def _squeezed(c: str) -> Column:
 
 
 def context_dates(anchors: DataFrame, found: DataFrame, text: DataFrame, chars: int = 200) -> DataFrame:
-    """anchors (page key, start, depth) -> (page key, start, ctx_date): the
+    """anchors (page key, size, start, depth) -> (page key, start, ctx_date): the
     date of the parent, else of the grandparent.  An element's date is that
     of its first ``<time>`` (datetime, then text), else the first date that a
     pattern finds in the first ``chars`` characters of its text.  The page
     itself is the parent of the outermost elements."""
-    top = anchors.select(*KEY).distinct().select(*KEY, F.lit(0).alias("start"), F.lit(_LAST).alias("end"), F.lit(0).alias("depth"))
-    extents = found.select(*KEY, "start", "end", "depth").unionByName(top)
+    top = anchors.select(*KEY, "size").distinct().select(*KEY, F.lit(0).alias("start"), (F.col("size") + 1).alias("end"), F.lit(0).alias("depth"))
+    around = found.select(*KEY, "start", "end", "depth").unionByName(top)
     asked = (anchors.select(*KEY, F.col("start").alias("i"), F.col("depth").alias("own"), F.explode(F.array(F.lit(1), F.lit(2))).alias("up"))
              .withColumn("depth", F.col("own") - F.col("up")).where("depth >= 0"))
-    near = shared_table(containing(extents, asked, also=["depth"]), "html-near")
+    near = containing(around, asked, also=["depth"])
     ancestors = near.select(*KEY, "start", "end").distinct()
 
     clock = found.where("name = 'time'").select(*KEY, F.col("start").alias("i"), F.col("end").alias("time_end"), attribute(F.col("tag"), "datetime").alias("datetime"))
@@ -246,13 +245,10 @@ def links(listings: DataFrame, noise: list[str], html_col: str = "html") -> Data
     """(listing's columns but html, start, href, text, ctx_date): every
     anchor with an href outside the noise elements, its texts joined, and the
     date near it."""
-    stream = tokens(listings, html_col)
-    found = shared_table(elements(stream), "html-elements")
-    dropped = found.where(F.col("name").isin(noise))
-    kept = shared_table(outside(found, dropped), "html-kept")
-    text = shared_table(outside(texts(stream).withColumnRenamed("i", "start"), dropped).withColumnRenamed("start", "i"), "html-texts")
+    kept = shared_table(nodes(tokens(listings, html_col), noise).where("noisy = 0"), "html-nodes")
+    text = _texts_of(kept)
     href = attribute(F.col("tag"), "href")
-    anchors = kept.where((F.col("name") == "a") & href.isNotNull()).select(*KEY, "start", "end", "depth", href.alias("href"))
+    anchors = kept.where((F.col("name") == "a") & href.isNotNull()).select(*KEY, "size", "start", "end", "depth", href.alias("href"))
     said = _joined(containing(anchors.select(*KEY, "start", "end"), text), [*KEY, "start"], "", "text")
     dates = context_dates(anchors, kept, text)
     out = (anchors.select(*KEY, "start", "href").join(said, [*KEY, "start"], "left").join(dates, [*KEY, "start"], "left"))

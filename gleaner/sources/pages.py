@@ -127,7 +127,8 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
     before the window are dropped after resolution; source = label, else the
     listing's URL.  A column ``listing_ord`` numbers the pages of a listing:
     links arrive in that order, then by their place in the page.  ``max_links`` takes the first links of a listing,
-    ``max_lookups`` looks up the first undated ones; by default all."""
+    ``max_lookups`` looks up the first undated ones that have a landed page;
+    by default all."""
     links = extract_links(listings)
     item_ord = F.col("link_pos").cast("long")
     if "listing_ord" in listings.columns:
@@ -141,11 +142,12 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
     keys = j.where(F.col("page_key").isNotNull()).select("page_key").distinct()
     # dated links look nothing up: a key of their own each keeps them out of one task
     own = F.concat(F.lit("-"), F.col("link_pos").cast("string"), F.lit("-"), F.col("listing_url"))
-    j = j.withColumn("page_key", F.coalesce("page_key", own)).join(page_dates(pages, keys), "page_key", "left")
+    j = j.withColumn("page_key", F.coalesce("page_key", own)).join(page_dates(pages, keys).withColumn("landed", F.lit(True)), "page_key", "left")
     looked_up = F.col("page_date")
     if max_lookups is not None:
-        w = Window.partitionBy("listing_url", F.col("known").isNull()).orderBy("link_pos")
-        j = j.withColumn("_lookup", F.row_number().over(w))
+        # only lookups that find a page count
+        w = Window.partitionBy("listing_url", F.col("landed")).orderBy("link_pos")
+        j = j.withColumn("_lookup", F.when(F.col("landed"), F.row_number().over(w)))
         looked_up = F.when(F.col("_lookup") <= max_lookups, looked_up)
     resolved = F.coalesce(F.col("known"), looked_up)
     method = (F.when(F.col("ctx_date").isNotNull(), F.lit("context"))
