@@ -1,8 +1,9 @@
 """Benchmark decontamination: n-gram seeds, then local alignment.
 
-The test items are a stated query set.  They are taken in blocks of a fixed
-number of bytes; each block goes to every task (that bound is checked), and
-all documents are read against it, so no document text is ever shuffled.
+The test items are a stated query set.  Repeated items count once; the rest
+are taken in blocks of ``BLOCK_BYTES`` of text at most (a longer item is a
+block of its own); each block goes to every task, and all documents are read
+against it, so no document text is ever shuffled.
 
 1. Every word n-gram of an item is a seed, however many documents hold it:
    an edited copy keeps only some of the item's n-grams, and those may be
@@ -13,8 +14,11 @@ all documents are read against it, so no document text is ever shuffled.
    copy, about 0.7 with every fifth word changed; a document is leaked at
    0.5 or more.
 
-Words are runs of letters and digits of the lower-cased text, so case and
-punctuation do not hide a copy.
+3. An item of fewer than n words is found by its whole sequence.
+
+Words are runs of letters, marks and digits of the lower-cased text, so case
+and punctuation of any kind (dashes, quotes, no-break spaces) do not hide a
+copy; in scripts that are written without spaces a character is a word.
 """
 
 from __future__ import annotations
@@ -27,20 +31,31 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbuf import gram_hashes, slices, word_hashes, words
+from .textbuf import buffer, gram_hashes, slices, word_hashes, words
 
 #: Bytes of test items that go to the tasks at once.
 BLOCK_BYTES = 16 << 20
 #: Pairs of a hit and a place in an item that are looked at together.
 SPOTS = 1 << 20
 _MASK = (1 << 22) - 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _PART = np.zeros(256, bool)
 _PART[:128] = [not chr(c).isalnum() for c in range(128)]
+_BETWEEN = r"[^\p{L}\p{M}\p{N}]+"
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 
 
 def _words(col: pa.Array):
     """Slices of a column: (row range, word hashes, bounds by row)."""
-    for lo, hi, data, offs in slices(pc.utf8_lower(pc.fill_null(col, "")) if len(col) else col):
+    for lo, hi, data, offs in slices(col):
+        if len(data) and int(data.max()) >= 128:             # beyond ASCII: borders by kind of character
+            part = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(col.slice(lo, hi - lo), "")), _BETWEEN, " ")
+            if pc.any(pc.match_substring_regex(part, _UNSPACED)).as_py():
+                part = pc.replace_substring_regex(part, _UNSPACED, r" \1 ")
+            data, offs = buffer(part)
+        else:
+            data = _LOWER[data]
         starts, ends, bounds = words(data, offs, _PART)
         yield lo, hi, word_hashes(data, starts, ends), bounds
 
@@ -124,17 +139,36 @@ def _spots(items: Items, order: np.ndarray, cuts: np.ndarray, row: np.ndarray, a
         lo = hi
 
 
+def _short(items: Items, n: int) -> list[tuple[_Finder, np.ndarray]]:
+    """For every length under n: a finder of whole sequences and, by gram
+    number, the items of that length (their numbers)."""
+    out = []
+    for k in range(1, n):
+        of = [i for i, s in enumerate(items.words) if len(s) == k]
+        if of:
+            grams = np.array([gram_hashes(items.words[i], k)[0] for i in of], np.uint64)
+            names, owner = np.unique(grams, return_inverse=True)
+            out.append((_Finder(Items([], [], names, owner, owner, owner), k), [np.array(of)[owner == g].tolist() for g in range(len(names))]))
+    return out
+
+
 def _search(sent, n: int, threshold: float, where: int, schema: pa.Schema):
     """Adds a block's findings to the last three columns."""
     def run(batches):
         items: Items = sent.value
-        find = _Finder(items, n)
+        find, whole = _Finder(items, n), _short(items, n)
         order = np.argsort(items.owner, kind="stable")
         cuts = np.searchsorted(items.owner[order], np.arange(len(items.grams) + 1))
         for batch in batches:
             *columns, count, name, best = batch.columns
             count, name, best = count.to_numpy().copy(), name.to_pylist(), best.to_numpy().copy()
             for lo, hi, h, bounds in _words(batch.column(where)):
+                for short, of in whole:
+                    row, _, no = short(h, bounds)
+                    for r, g in sorted(set(zip(row.tolist(), no.tolist()))):
+                        count[lo + r] += len(of[g])
+                        if best[lo + r] < 1:
+                            best[lo + r], name[lo + r] = 1.0, items.ids[of[g][0]]
                 row, at, no = find(h, bounds)
                 for r, i, begins in _spots(items, order, cuts, row, at, no):
                     score = _best(items.words[i], h, begins, bounds[r], bounds[r + 1], threshold)
@@ -171,20 +205,36 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, n: int = 3, threshol
     """One row per input row: ``id_col``, columns of ``keep``, leaked, n_items
     (test items found), item_id (the best; the first of equals), score.
 
-    Null or empty texts hold nothing; items of fewer than ``n`` words cannot
-    be told from chance and match nothing; repeated rows of either table are
-    judged alike; an empty benchmark leaves every document clean."""
+    Null or empty texts hold nothing, and items without a word match nothing;
+    items of fewer than ``n`` words match where their whole sequence stands;
+    repeated rows of either table are judged alike, and repeated items count
+    once; an empty benchmark leaves every document clean."""
     from pyspark.sql.pandas.types import to_arrow_schema
     sc = docs.sparkSession.sparkContext
-    items = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")).where("text IS NOT NULL")
-    blocks = 1 + (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES
+    items = (benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")).where("text IS NOT NULL").distinct())
+    parts = 1 + 2 * (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES
     kept = [id_col, *keep]
     # findings gather in three columns that every block of items passes on
     found = docs.select(*kept, *([] if text_col in kept else [text_col]), F.lit(0).alias("n_items"),
                         F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("score"))
     where = found.columns.index(text_col)
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        block = Items.of([r["item_id"] for r in rows], [r["text"] for r in rows], n)
-        found = found.mapInArrow(_search(sc.broadcast(block), n, threshold, where, to_arrow_schema(found.schema)), found.schema)
+    for b in range(parts):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == b).orderBy("item_id", "text").collect()
+        for some in _bounded(rows):
+            block = Items.of([r["item_id"] for r in some], [r["text"] for r in some], n)
+            found = found.mapInArrow(_search(sc.broadcast(block), n, threshold, where, to_arrow_schema(found.schema)), found.schema)
     return found.select(*kept, (F.col("n_items") > 0).alias("leaked"), "n_items", "item_id", "score")
+
+
+def _bounded(rows: list):
+    """Runs of rows of ``BLOCK_BYTES`` of text at most, one row at least."""
+    some, size = [], 0
+    for r in rows:
+        n = len(r["text"].encode())
+        if some and size + n > BLOCK_BYTES:
+            yield some
+            some, size = [], 0
+        some.append(r)
+        size += n
+    if some:
+        yield some

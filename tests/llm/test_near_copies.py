@@ -322,7 +322,7 @@ def test_decontamination_finds_edited_copies_and_leaves_clean_text(spark):
         rows.append((i, " ".join(text), 0))
     rows += [(900, None, 0), (901, "", 0), (902, "term1", 0), (None, " ".join(items[3]), 1), (0, rows[0][1], 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score int").repartition(4)
-    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(50, None), (51, "two words"), (52, "")], "item_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(50, None), (51, "no-such words"), (52, "")], "item_id long, text string")
     got = decontaminate.decontaminate(docs, bench).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -349,6 +349,39 @@ def test_decontamination_finds_an_edited_item_in_many_documents(spark):
     assert got == {**{i: (0, pytest.approx(0.7, abs=0.03)) for i in range(0, 2000, 100)}, 77: (1, pytest.approx(0.7, abs=0.03))}
 
 
+def test_decontamination_of_any_script_and_length(spark):
+    """Typographic marks, scripts without spaces, items of one or two words,
+    repeated items."""
+    japanese = "これは試験のための文章です。誰もこの文を訓練に使ってはいけません。"
+    items = [(1, "The quick brown fox - jumps over the 'lazy' dog, twice a day"), (2, japanese), (3, "Zyzzyva"), (4, "quantum marmalade"), (5, None), (6, "..."),
+             (1, "The quick brown fox - jumps over the 'lazy' dog, twice a day"), (7, "ÉCOLE NORMALE SUPÉRIEURE DE CACHAN EN ÉTÉ")]
+    texts = {0: ("x The quick brown fox\u2014jumps over the \u2018lazy\u2019 dog,\u00a0twice a day y", 1), 1: (japanese, 2), 2: ("前置き" + japanese + "後書き", 2), 3: (japanese[:12], None),
+             4: ("we saw a ZYZZYVA\u2026 there", 3), 5: ("zyzzyvas", None), 6: ("quantum, marmalade!", 4), 7: ("quantum and marmalade", None),
+             8: ("l\u2019école normale supérieure de cachan en été", 7), 9: (None, None), 10: ("", None), 11: ("...", None), 12: ("全く別の話です。今日は天気がいいですね。", None)}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string").repartition(3)
+    got = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["item_id"] for r in got} == {i: w for i, (_, w) in texts.items()}
+    assert all(r["n_items"] == r["leaked"] for r in got)
+
+
+def test_decontamination_equals_all_items_on_all_documents(spark):
+    """Every item aligned with every whole document, no seeds and no windows:
+    what the seeds miss would show."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 1200").collect()}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()}
+    number: dict = {}
+    def coded(t):
+        return np.array([number.setdefault(w, len(number)) for w in re.findall(r"[^\W_]+", t.lower())])
+    coded_items = {i: coded(t) for i, t in items.items()}
+    want = {}
+    for d, t in docs.items():
+        w = coded(t)
+        want[d] = any(len(x) >= 3 and np.isin(x, w).sum() >= 0.5 * len(x) and decontaminate.align(x, w) >= 0.5 * len(x) for x in coded_items.values())
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert {r["doc_id"]: r["leaked"] for r in decontaminate.decontaminate(table, bench).collect()} == want and any(want.values())
+
+
 def test_spots_do_not_depend_on_the_bound(monkeypatch):
     rnd = np.random.default_rng(5)
     items = decontaminate.Items.of(list(range(6)), [" ".join(f"w{rnd.integers(4)}" for _ in range(12)) for _ in range(6)], 3)
