@@ -8,11 +8,13 @@ element, are joined by smoothness edges, heavier the closer they are in the
 element tree.  The blocks on the source's side of the minimum cut are the
 main text: the labelling with the least sum of costs and broken ties.
 
-The classifier is trained here, on a bounded sample of pages, from what
-their own markup says: blocks whose nearest telling ancestor is an article
-or main element count as content; navigation, footers, asides, forms, notices,
-adverts and comments as boilerplate.  Without any such page, fixed
-starting weights are used.
+The classifier has two parts.  What a block's own text looks like (links,
+length, sentences, place) is learned here, on a bounded sample of pages whose
+markup says what their blocks are: those whose nearest telling ancestor is an
+article or main element are content; navigation, footers, asides, forms,
+notices, adverts and comments boilerplate.  That label is no feature of the
+fit; where a page has it, it enters the cost with a fixed weight.  Without any
+page that tells, the starting weights are used.
 """
 
 from __future__ import annotations
@@ -43,10 +45,14 @@ notice notification alert menu nav navbar navigation sidebar aside footer breadc
 share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay widget toolbar search
 pagination pager copyright complementary contentinfo form masthead topbar""".split())
 POSITIVE_WORDS = frozenset("article post entry story content body text main".split())
+# Parts of a class name that say nothing by themselves.
+PLAIN_WORDS = frozenset("""list item box wrap wrapper container block bar area inner outer left right top bottom main site page section primary secondary
+small big first last col row group panel link links text title icon btn button js id the""".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|([^<]+|<)""", re.S)
 _ATTRS = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(\shidden)(?=[\s/=]|$)|display\s*:\s*(none)""", re.I)
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+_RIGHTS = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)|all rights reserved", re.I)
 
 
 @dataclass
@@ -66,10 +72,16 @@ def _cue(tag: str, attrs: str, inside: bool, around: int) -> int:
         return around
     if tag in NEGATIVE_TAGS or tag == "header" and not inside:
         return -1
-    words = {w.lower() for m in _ATTRS.finditer(attrs) if not (m[5] or m[6]) for w in _WORDS.findall(m[2] or m[3] or m[4] or "")} if "=" in attrs else ()
-    if words and not NEGATIVE_WORDS.isdisjoint(words):
-        return -1
-    return 1 if tag in POSITIVE_TAGS or words and not POSITIVE_WORDS.isdisjoint(words) else around
+    names = [[w.lower() for w in _WORDS.findall(n)] for m in _ATTRS.finditer(attrs) if not (m[5] or m[6])
+             for n in (m[2] or m[3] or m[4] or "").split()] if "=" in attrs else []
+    # a name speaks against a block if all of it does: "ad-box" and "site-footer", not "social-science"
+    against = any(not NEGATIVE_WORDS.isdisjoint(n) and (NEGATIVE_WORDS | PLAIN_WORDS).issuperset(n) for n in names)
+    favour = any(not POSITIVE_WORDS.isdisjoint(n) and NEGATIVE_WORDS.isdisjoint(n) for n in names)
+    if tag in POSITIVE_TAGS:
+        return -1 if against and not favour else 1
+    if against != favour:
+        return 1 if favour else -1
+    return around
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -77,6 +89,7 @@ def blocks_of(page: str) -> list[Block]:
     of white space one space, ends trimmed, empty ones left out."""
     out: list[Block] = []
     stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]      # tag, number, cue, inside content
+    hidden: list[int] = []                                            # stack places of elements that are not shown
     parts: list[str] = []
     linked = number = links = 0
     pos = 0
@@ -86,7 +99,8 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             tags = [s[0] for s in stack]
-            out.append(Block(text, tuple(s[1] for s in stack), stack[-1][2], min(1.0, linked / len(text)),
+            cue = -1 if not stack[-1][2] and len(text) < 200 and _RIGHTS.search(text) else stack[-1][2]
+            out.append(Block(text, tuple(s[1] for s in stack), cue, min(1.0, linked / len(text)),
                              any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t in tags), "li" in tags or "td" in tags))
         parts.clear()
         linked = 0
@@ -94,10 +108,13 @@ def blocks_of(page: str) -> list[Block]:
     while pos < len(page):
         m = _TOKEN.match(page, pos)
         if m is None:                                                 # an unclosed tag: the rest is text
-            parts.append(page[pos])
+            if not hidden:
+                parts.append(page[pos])
             pos += 1
             continue
         pos = m.end()
+        if hidden and (m[5] is not None or m[1] is not None):
+            continue
         if m[5] is not None or m[1] is not None:
             text = m[5] if m[5] is not None else html.escape(m[1])
             parts.append(text)
@@ -106,47 +123,44 @@ def blocks_of(page: str) -> list[Block]:
         if not m[3]:
             continue
         tag, closing, attrs = m[3].lower(), bool(m[2]), m[4]
-        if not closing and (tag in HIDDEN_TAGS or "hid" in attrs or "none" in attrs) and tag not in VOID_TAGS \
-                and (tag in HIDDEN_TAGS or any(a[5] or a[6] for a in _ATTRS.finditer(attrs))):
-            if not attrs.endswith("/"):
-                pos = _skip(page, pos, tag)
-            if tag in BLOCK_TAGS:
-                close()
+        if tag in RAW_TAGS and not closing:
+            pos = pos if attrs.endswith("/") else _skip(page, pos, tag)
             continue
+        unseen = not closing and tag not in VOID_TAGS and (tag in HIDDEN_TAGS or ("hid" in attrs or "none" in attrs)
+                                                           and any(a[5] or a[6] for a in _ATTRS.finditer(attrs)))
         if tag == "a":
             links = 0 if closing else 1
-        if tag not in BLOCK_TAGS:
+        if tag == "body" and not closing and stack[-1][0] == "head":
+            stack.pop()                                               # a head that was never closed
+            hidden = [h for h in hidden if h < len(stack)]
+        if tag not in BLOCK_TAGS and not unseen and not (closing and any(stack[h][0] == tag for h in hidden)):
             continue
-        close()
+        if tag in BLOCK_TAGS:
+            close()
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
                     break
             links = 0 if tag != "li" else links
-        elif tag not in VOID_TAGS:
-            if stack[-1][0] == "p" or AUTO_CLOSED.get(tag) == stack[-1][0] or tag == stack[-1][0] and tag in AUTO_CLOSED:
+        elif tag not in VOID_TAGS and not attrs.endswith("/") or tag in BLOCK_TAGS - VOID_TAGS:
+            if tag in BLOCK_TAGS and len(stack) > 1 and (stack[-1][0] == "p" or AUTO_CLOSED.get(tag) == stack[-1][0] or tag == stack[-1][0] and tag in AUTO_CLOSED):
                 stack.pop()
-                if len(stack) == 0:
-                    stack.append(("", 0, 0, False))
+                hidden = [h for h in hidden if h < len(stack)]
             number += 1
             cue = _cue(tag, attrs, stack[-1][3], stack[-1][2])
+            if unseen:
+                hidden.append(len(stack))
             stack.append((tag, number, cue, stack[-1][3] or tag in POSITIVE_TAGS))
+        hidden = [h for h in hidden if h < len(stack)]
     close()
     return out
 
 
 def _skip(page: str, pos: int, tag: str) -> int:
-    """Position after an element whose text is not shown."""
-    if tag in RAW_TAGS:
-        end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-        return end.end() if end else len(page)
-    depth = 1
-    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, pos):
-        depth += -1 if m[1] else 1
-        if depth == 0:
-            return m.end()
-    return len(page)
+    """Position after a raw element, whose content is no markup."""
+    end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
+    return end.end() if end else len(page)
 
 
 def features(b: Block) -> list[float]:
@@ -160,8 +174,15 @@ def features(b: Block) -> list[float]:
 START = np.array([-1.0, 4.0, -5.0, -3.0, 3.0, 1.0, 1.0, 0.5, -1.0, -0.5])
 
 
+#: Features that say what the markup tells; the fit leaves their weights alone.
+CUES = (1, 2)
+
+
 def fit(rows: np.ndarray, labels: np.ndarray, pull: float = 1e-3, steps: int = 25) -> np.ndarray:
-    """Logistic regression by Newton steps, pulled towards START."""
+    """Logistic regression by Newton steps on all features but the cues,
+    pulled towards START."""
+    rows = rows.copy()
+    rows[:, CUES] = 0
     w = START.copy()
     if not len(labels) or labels.min() == labels.max():
         return w

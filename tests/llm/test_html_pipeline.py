@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,37 @@ def test_blocks_of_odd_markup():
     assert H.blocks_of("") == [] and H.blocks_of("<p> &nbsp; </p>") == [] and H.blocks_of("<script>x") == []
 
 
+BODY = "<article><p>The long article text, with a sentence or two. It goes on.</p></article>"
+SEEN = "The long article text, with a sentence or two. It goes on."
+
+
+def test_hidden_elements_end_as_shown_ones_do():
+    for page in ('<ul><li style="display:none">x<li>y</ul>' + BODY, "<nav><p hidden>a<p>b</p></nav>" + BODY, "<div hidden><div>a</div>b</div>" + BODY,
+                 '<p>' + BODY.replace("long", '<span hidden>not <b>shown</b></span>long'), "<head><title>t</title><link rel=x><body>" + BODY,
+                 "<div><button>press<button>me</div>" + BODY, "<select><option>1<option>2</select>" + BODY, "<table><tr hidden><td>a<tr><td></table>" + BODY):
+        assert H.main_text(page, H.START) == SEEN, page
+
+
+def test_one_word_of_a_class_name_does_not_decide():
+    text = "A paragraph of the text, long enough to be one. It has two sentences, even."
+    for open_, shut in (('<div class="widget-area content">', "</div>"), ('<div class="social-science">', "</div>"), ('<article class="comment-on-politics">', "</article>")):
+        assert H.main_text(f"<nav>Menu</nav>{open_}<p>{text}</p>{shut}<div class='site-footer'>{text}</div>", H.START) == text, open_
+    assert H.main_text(f"<p>{text}</p><p>Copyright 2024 Owner. All rights reserved</p>", H.START) == text
+    assert H.main_text(f"<article><p>{text}</p></article><section><article class='comment'><p>{text} no</p></article></section>", H.START) == text
+
+
+def test_the_fit_does_not_see_its_label():
+    rnd = np.random.default_rng(5)
+    blocks = [H.Block(t, (0,), cue, link, False, False) for cue, t, link in
+              [(1, "A long sentence, with commas, and an end. And another one, too.", 0.05), (-1, "Home", 1.0), (1, "Short but real.", 0.0), (-1, "Buy now", 0.7)] * 30]
+    x, y = np.array([H.features(b) for b in blocks]) + 0, np.array([float(b.cue > 0) for b in blocks])
+    w = H.fit(x, y)
+    assert (w[list(H.CUES)] == H.START[list(H.CUES)]).all() and abs(w - H.START).max() > 0.3
+    flipped = x.copy()
+    flipped[:, H.CUES] = rnd.random((len(x), 2))
+    assert np.allclose(H.fit(flipped, y), w)
+
+
 def test_extract_rows_and_edges(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     weights = H.train(pages)
