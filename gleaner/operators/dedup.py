@@ -1,5 +1,9 @@
 """Dedup against seen state (D1) and within a run, first wins.
 
+The seen state is read once and never shuffled whole: a Bloom filter of the
+run's hashes is tested where its rows are read (``bloom``), and only possible
+hits are compared exactly.
+
 The facts of each ``url_hash`` (its first arrival, whether it was seen) come
 from a partial ``min`` / ``max`` aggregate, so a hot hash collapses map-side.
 They are written to shared storage before they are joined back: AQE splits
@@ -12,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from ..functions.common import cached
 from ..session import shared_table
 
@@ -41,7 +46,8 @@ def tag_duplicates(items: DataFrame, seen: DataFrame | None) -> DataFrame:
     ``items`` needs url_hash, source_ord, item_ord.  A hash present in
     ``seen`` marks all its rows dup_state; otherwise every row but the first
     in (source_ord, item_ord) order is dup_run."""
-    facts = shared_table(hash_facts(items, seen), "hash-facts")
+    near = None if seen is None else bloom.candidates(seen.select("url_hash"), items)
+    facts = shared_table(hash_facts(items, near), "hash-facts")
     out = items.join(facts, "url_hash", "left")
     dup = (F.when(F.col("_in_seen"), F.lit("dup_state"))
            .when(arrival() != F.col("_first"), F.lit("dup_run")))
@@ -55,4 +61,4 @@ def first_wins(items: DataFrame) -> DataFrame:
 
 def not_seen(items: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows whose url_hash is not in the seen state (D1 alone)."""
-    return items.join(seen.select("url_hash"), "url_hash", "left_anti")
+    return items.join(bloom.candidates(seen.select("url_hash"), items), "url_hash", "left_anti")
