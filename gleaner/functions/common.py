@@ -15,6 +15,10 @@ WS = "[\\t\\n\\x0B\\f\\r ]"
 STRIP_WS = ("[\\t\\n\\x0B\\f\\r \\x1c-\\x1f\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
             "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
 
+# The same characters, for trimming without a regex.
+STRIP_CHARS = ("\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+               + "\u2028\u2029\u202f\u205f\u3000")
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -22,11 +26,11 @@ def col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """str.strip(): drop leading and trailing whitespace (Spark trim only drops spaces)."""
-    return F.regexp_replace(col(c), f"^{STRIP_WS}+|{STRIP_WS}+$", "")
+    return F.btrim(col(c), F.lit(STRIP_CHARS))
 
 
 def rstrip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), f"{STRIP_WS}+$", "")
+    return F.rtrim(col(c), F.lit(STRIP_CHARS))
 
 
 def ntz(t: _dt.datetime) -> Column:

@@ -196,22 +196,27 @@ def jsonld_candidates(html: Column | str) -> Column:
     dateCreated, dateModified, then datePublished/dateCreated of each
     @graph node."""
     scripts = F.regexp_extract_all(col(html), F.lit(RX_LDJSON), 1)
+    nothing = F.array().cast(_NO_CANDIDATES)
 
-    def items(s: Column) -> Column:
-        t = strip(s)
-        return F.when(F.startswith(t, F.lit("[")), F.from_json(t, "array<string>")).otherwise(F.array(t))
+    def text(v: Column, key: str) -> Column:
+        return F.try_variant_get(v, f"$['{key}']", "string")
+
+    def nodes(v: Column, path: str) -> Column:
+        return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
 
     def item_cands(o: Column) -> Column:
-        graph = F.coalesce(F.from_json(F.get_json_object(o, "$.@graph"), "array<string>"),
-                           F.array().cast("array<string>"))
-        own = F.array(*[F.get_json_object(o, f"$.{k}") for k in ("datePublished", "dateCreated", "dateModified")])
-        nodes = F.flatten(F.transform(graph, lambda n: F.array(F.get_json_object(n, "$.datePublished"),
-                                                                F.get_json_object(n, "$.dateCreated"))))
-        return F.concat(own, nodes)
-
-    per_script = F.transform(scripts, lambda s: F.flatten(F.transform(
-        F.coalesce(items(s), F.array().cast("array<string>")), item_cands)))
-    return F.when(_has(col(html), "ld+json"), F.flatten(per_script)).otherwise(F.array().cast(_NO_CANDIDATES))
+        own = F.array(*[text(o, k) for k in ("datePublished", "dateCreated", "dateModified")])
+        graph = F.transform(nodes(o, "$['@graph']"), lambda n: F.array(text(n, "datePublished"), text(n, "dateCreated")))
+        return F.concat(own, F.flatten(graph))
+
+    def script_cands(v: Column) -> Column:
+        # a list holds objects; anything else is one
+        listed = F.startswith(F.schema_of_variant(v), F.lit("ARRAY"))
+        return F.flatten(F.transform(F.when(listed, nodes(v, "$")).otherwise(F.array(v)), item_cands))
+
+    # each script is parsed once; broken JSON has no candidates
+    per_script = F.transform(scripts, lambda s: F.coalesce(let(F.try_parse_json(strip(s)), script_cands), nothing))
+    return F.when(_has(col(html), "ld+json"), F.flatten(per_script)).otherwise(nothing)
 
 
 @cached

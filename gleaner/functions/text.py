@@ -35,9 +35,10 @@ SENTENCE_END = r"[.!?。！？；]\s+|[.!?。！？；]$"
 
 @cached
 def strip_html(c: Column | str) -> Column:
-    """Remove HTML comments (across lines), then every tag."""
+    """Remove HTML comments (across lines), then every tag; no regex runs on
+    a text without a tag."""
     no_comments = F.regexp_replace(col(c), "(?s)<!--.*?-->", "")
-    return F.regexp_replace(no_comments, "<[^>]+>", "")
+    return F.when(F.instr(col(c), "<") > 0, F.regexp_replace(no_comments, "<[^>]+>", "")).otherwise(col(c))
 
 
 def _last_space_index(c: Column) -> Column:
@@ -76,26 +77,46 @@ def make_excerpt(c: Column | str, n: int = 120) -> Column:
 @cached
 def sentences(c: Column | str) -> Column:
     """Split at sentence ends; keep stripped pieces longer than 10 chars."""
-    parts = F.transform(F.split(nz(c), SENTENCE_END), lambda s: strip(s))
-    return F.filter(parts, lambda s: F.length(s) > 10)
+    return _real(F.split(nz(c), SENTENCE_END))
+
+
+def _real(parts: Column) -> Column:
+    return F.filter(F.transform(parts, lambda s: strip(s)), lambda s: F.length(s) > 10)
+
+
+def _opening(text: Column, n: int) -> Column:
+    """The first n sentences.  A split that stops after a few pieces holds
+    them in most texts; only a text whose opening pieces are too short or too
+    few is split whole."""
+    few = 4 * n
+
+    def told(parts: Column) -> Column:
+        # the last piece is the unsplit rest, if there are that many
+        whole = F.size(parts) < few
+        real = _real(F.when(whole, parts).otherwise(F.slice(parts, 1, few - 1)))
+        return let(real, lambda r: F.when(whole | (F.size(r) >= n), r).otherwise(_real(F.split(text, SENTENCE_END))))
+
+    return F.slice(let(F.split(text, SENTENCE_END, few), told), 1, n)
 
 
 @cached
 def takeaway(title: Column | str, excerpt: Column | str, n: int = 60) -> Column:
-    """One-line "what happened": an action-verb title, else the first of the
-    first three sentences with an action verb, else the first sentence."""
+    """One line: a short title with an action verb as it is, else the first of
+    the opening three sentences with one, else the opening sentence."""
     verb = "(?i)" + ACTION_VERBS
     title, excerpt = nz(title), nz(excerpt)
 
     def from_body(body: Column) -> Column:
-        return let(sentences(body), lambda sents: let(
-            F.get(F.filter(F.slice(sents, 1, 3), lambda s: s.rlike(verb)), 0),
+        return let(_opening(body, 3), lambda sents: let(
+            F.get(F.filter(sents, lambda s: s.rlike(verb)), 0),
             lambda with_verb: F.when(with_verb.isNotNull(), truncate_words(with_verb, n))
             .when(F.size(sents) > 0, truncate_words(F.get(sents, 0), n))
             .otherwise(truncate_words(body, n))))
 
     def from_text(text: Column) -> Column:
-        body = F.regexp_replace(strip(F.regexp_replace(text, "(?i)" + FILLER_STARTS, "")), "^[,;: ]+", "")
+        # fillers are under 32 characters: most texts need no replacement
+        plain = F.when(F.substring(text, 1, 32).rlike("(?i)" + FILLER_STARTS), F.regexp_replace(text, "(?i)" + FILLER_STARTS, "")).otherwise(text)
+        body = F.ltrim(strip(plain), F.lit(",;: "))
         return F.when(text == "", truncate_words(title, n)).otherwise(let(body, from_body))
 
     return (F.when((title == "") & (excerpt == ""), F.lit(""))

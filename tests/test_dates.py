@@ -65,3 +65,23 @@ def test_resolve_date_and_method(spark):
     rows = df.select(D.resolve_date("h", "u", "r").alias("d"),
                      D.resolve_with_method("h", "u", "r")["method"].alias("m")).collect()
     assert [(r.d, r.m) for r in rows] == [(d(2026, 1, 5), "url"), (d(2026, 1, 7), "hint"), (None, "none")]
+
+
+def test_jsonld_shapes(spark):
+    """One object, a list, a graph, broken JSON, odd values, several scripts."""
+    def page(*scripts):
+        return "<html>" + "".join(f'<script type="application/ld+json">{s}</script>' for s in scripts) + "</html>"
+    cases = [
+        (page('{"datePublished": "2026-03-01", "dateModified": "2026-03-09"}'), "2026-03-01"),
+        (page('  [{"x": 1}, {"dateCreated": "2026-03-02T10:00:00Z"}]\n'), "2026-03-02"),
+        (page('{"@graph": [{"@type": "WebPage"}, {"nested": {"datePublished": "2026-01-01"}}, {"dateCreated": "2026-03-03"}]}'), "2026-03-03"),
+        (page('{"@graph": {"datePublished": "2026-03-04"}}'), None),
+        (page('{"datePublished": "2026-03-05", broken'), None),
+        (page('{"datePublished": not json}', '{"dateModified": "March 6, 2026"}'), "2026-03-06"),
+        (page('{"datePublished": null, "dateCreated": 7, "dateModified": {"y": 1}}'), None),
+        (page('"2026-03-08"', "[]", "", "[1, null, [2]]", '{"datePublished": "2026-03-09"}'), "2026-03-09"),
+        (page('[{"@graph": [{"datePublished": "2026-03-10"}]}]'), "2026-03-10"),
+        (None, None),
+    ]
+    got = one_col(spark, [h for h, _ in cases], D.from_jsonld)
+    assert [d and d.isoformat() for d in got] == [w for _, w in cases]

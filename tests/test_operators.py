@@ -159,3 +159,18 @@ def test_latest_runs(spark):
                                ("b", "20240101T000000", 9)], "task_key string, run_id string, final long")
     got = sorted((r.task_key, r.final) for r in latest_runs(m).collect())
     assert got == [("a", 3), ("b", 9)]
+
+
+def test_takeaway_of_texts_that_open_with_many_short_pieces(spark):
+    """The opening three real sentences, however many short ones come first."""
+    from conftest import one_col
+    from gleaner.functions import text as T
+    short = "No. Yes. " * 30
+    texts = [short + "Here is the first real sentence. The second real one follows. The third real one shows a verb. A fourth is released here.",
+             "First long sentence here! Second long sentence here? Third long one here； Fourth one is launched.",
+             short, "Only one sentence without an end", "a. b. c. d. e. f. g. h. i. j. k. l. m. n. o.", "We present, in short, a thing that is long enough. It was shipped today."]
+    pairs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    got = [r.t for r in pairs.orderBy("i").select(T.takeaway(F.lit("Title"), "v").alias("t")).collect()]
+    assert got == ["The third real one shows a verb", "First long sentence here", "No. Yes. No. Yes. No. Yes. No. Yes. No. Yes. No. Yes. No.…",
+                   "Only one sentence without an end", "a. b. c. d. e. f. g. h. i. j. k. l. m. n. o.", "It was shipped today"]
+    assert one_col(spark, ["　\x85 a b \x1f ", "​x"], T.strip) == ["a b", "​x"]
