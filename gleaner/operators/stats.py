@@ -16,7 +16,9 @@ def _n(cond: Column) -> Column:
     return F.count_if(cond).cast("long")
 
 
-def _counters() -> list[Column]:
+def counters() -> list[Column]:
+    """The counters of tagged rows; also the metrics a run observes while it
+    writes them."""
     d = F.col("disposition")
     return [
         F.count(F.lit(1)).cast("long").alias("fetched"),
@@ -28,7 +30,7 @@ def _counters() -> list[Column]:
 
 def run_stats_rollup(tagged: DataFrame) -> DataFrame:
     """One row per source plus a total row (``source`` NULL, level 'total')."""
-    return (tagged.rollup("source").agg(*_counters(), F.grouping_id().alias("_g"))
+    return (tagged.rollup("source").agg(*counters(), F.grouping_id().alias("_g"))
             .withColumn("level", F.when(F.col("_g") == 1, F.lit("total")).otherwise(F.lit("source")))
             .drop("_g"))
 

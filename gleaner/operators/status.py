@@ -57,6 +57,19 @@ def manifest_row(tagged: DataFrame, seen_live: DataFrame, spec: JobSpec, as_of:
         F.sum("is_filtered").cast("long").alias("filtered_out"), F.sum("is_final").cast("long").alias("final"),
         *[F.coalesce(F.sum(r), F.lit(0)).cast("long").alias(r) for r in FILTER_REASONS],
         F.countDistinct("seen_hash").cast("long").alias("waterline_before"))
+    return _manifest(agg, spec, as_of, completed_at)
+
+
+def observed_manifest(totals: dict[str, int], seen_live: DataFrame, spec: JobSpec, as_of: dt.datetime,
+                      completed_at: dt.datetime | None = None) -> DataFrame:
+    """``manifest_row`` from the counters that were observed while the tagged
+    rows were written: no second pass over them."""
+    before = seen_live.agg(F.countDistinct("url_hash").cast("long").alias("waterline_before"))
+    known = [F.lit(totals.get(c) or 0).cast("long").alias(c) for c in ("fetched", "deduped", "filtered_out", "final", *FILTER_REASONS)]
+    return _manifest(before.select(*known, "waterline_before"), spec, as_of, completed_at)
+
+
+def _manifest(agg: DataFrame, spec: JobSpec, as_of: dt.datetime, completed_at: dt.datetime | None) -> DataFrame:
     return agg.select(
         F.lit(spec.task_key).alias("task_key"), F.lit(run_id(as_of)).alias("run_id"),
         F.lit(as_of.strftime("%Y-%m-%dT%H:%M:%S+00:00")).alias("started_at"),

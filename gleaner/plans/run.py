@@ -1,9 +1,9 @@
 """A whole curation run (I1): scan -> dedup -> gate -> score -> stats ->
 report -> sinks -> state.
 
-The tagged DataFrame is materialised once (checkpoint to the shared
-folder) because items, statistics, state and health all read it; the
-seen-state append happens last, so a crash re-admits items but never
+The tagged DataFrame is written once (a table in the shared folder) because
+items, statistics, state and health all read it; the manifest's totals are
+observed in that write; the seen-state append happens last, so a crash re-admits items but never
 loses them.  ``use_state=False`` runs without seen state and writes none
 (health is still logged).
 """
@@ -14,14 +14,14 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import __version__, sinks
 from ..operators import health, rank, report, stats, status, themes
-from ..operators.order import materialize, with_global_rank
+from ..operators.order import with_global_rank
 from ..schema import FETCH_LOG
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shared_table
 from ..sources.registry import scan_all
 from ..sources.state import load_seen
 from ..spec import JobSpec, SourceSpec
@@ -63,7 +63,8 @@ def run_job(spark: SparkSession, spec: JobSpec, landed: Callable[[SourceSpec], s
     if raw is None:
         raw = scan_all(spark, spec.sources, as_of, spec.time_window_days, landed, off)
     seen = load_seen(spark, seen_path, spec.task_key, spec.dedup_ttl_days, as_of) if use_state else None
-    tagged = materialize(tag(raw, seen, spec))
+    totals = Observation("run-totals")
+    tagged = shared_table(tag(raw, seen, spec).observe(totals, *stats.counters()), "tagged")
     ranked = with_global_rank(survivors(tagged, spec, as_of), rank.order_cols(), "rank")
 
     # fetch outcomes first (health is recorded while fetching), of scanned sources only
@@ -75,7 +76,7 @@ def run_job(spark: SparkSession, spec: JobSpec, landed: Callable[[SourceSpec], s
     per_source = stats.per_source(tagged, sources)
     silent = stats.silent_sources(per_source)
     seen_live = seen if seen is not None else spark.createDataFrame([], "url_hash string")
-    manifest = status.manifest_row(tagged, seen_live, spec, as_of)
+    manifest = status.observed_manifest(totals.get, seen_live, spec, as_of)
     log = spark.read.schema(FETCH_LOG).parquet(log_path).where(F.col("task_key") == spec.task_key)
     alerts = health.health_alerts(health.source_health(log))
     board = themes.board(ranked, lexicon, max_themes=REPORT_THEMES)

@@ -45,6 +45,11 @@ def test_a_run_ends_and_health_logs_the_failure(spark, landed, tmp_path):
     out = {k: str(tmp_path / k) for k in ("out", "seen", "log")}
     result = run_job(spark, spec, lambda s: str(landed / s.source_id), as_of=AS_OF, out_dir=out["out"], seen_path=out["seen"], log_path=out["log"])
     assert result.tagged.count() == 601
+    # the manifest's totals were observed in the write of the tagged rows: equal to the rollup, without reading them again
+    total = result.run_stats.where("level = 'total'").first()
+    row = result.manifest.first()
+    assert all(row[c] == total[c] for c in ("fetched", "deduped", "filtered_out", "final", "no_date", "excluded")) and row["fetched"] == 601
+    assert "tagged-" not in result.manifest._jdf.queryExecution().executedPlan().toString()
     log = {r.source_id: r.success for r in spark.read.schema(FETCH_LOG).parquet(out["log"]).collect()}
     assert log == {"good": True, "bad": False, "site": True, "gone": False, "odd": False, "late": True}
 
