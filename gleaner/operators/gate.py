@@ -1,8 +1,8 @@
 """Filters and the ordered filter gate.
 
 Nothing is dropped: each row gets the first failing reason in the order
-date gate -> include -> exclude -> minimum signals, or 'passed'.  All
-predicates are built-in Column expressions.
+date gate -> include -> exclude -> minimum signals, or 'passed'.  Long
+pattern lists read every text once (``patterns``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.common import cached, col, nz
 from ..functions.text import detect_signals, make_excerpt, takeaway
 from ..spec import FilterSpec, window_cutoff
+from .patterns import matches_any
 
 
 @cached
@@ -29,17 +30,6 @@ def gate_text(title: Column | str, excerpt: Column | str) -> Column:
     return F.lower(F.concat(nz(title), F.lit(" "), nz(excerpt)))
 
 
-def matches_any(text: Column, patterns: list[str]) -> Column:
-    """Any pattern (lower-cased) is a literal substring of text."""
-    pats = [p.lower() for p in patterns]
-    if not pats:
-        return F.lit(False)
-    out = F.lit(False)
-    for p in pats:
-        out = out | (F.instr(text, p) > 0)
-    return out
-
-
 def reason(spec: FilterSpec, signals_col: str = "signals") -> Column:
     """First failing filter reason, or 'passed'; needs ``_gate``, the text
     that the lists read."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.common import cached, col
 from ..functions.url import domain as url_domain
 from ..spec import RankingSpec, as_of_date
+from .patterns import INLINE, first_match
 
 SIGNAL_BONUS_CAP = 0.3          # fixed: cap of the detail-signal bonus
 
@@ -28,6 +29,11 @@ def with_source_weight(df: DataFrame, entries: list[tuple[str, float]]) -> DataF
     table = F.from_json(F.lit(json.dumps([{"p": p, "l": p.lower(), "w": float(w)} for p, w in entries])),
                         "array<struct<p:string,l:string,w:double>>")
     named = df.withColumn("_dom", url_domain("url")).withColumn("_src", F.lower("source"))
+    if len(entries) > INLINE:
+        # least place of a pattern in the domain and of a label that is the source
+        label = F.nullif(F.array_position(F.transform(table, lambda e: e["l"]), F.col("_src")), F.lit(0)) - 1
+        place = F.least(first_match(F.col("_dom"), [p for p, _ in entries]), label.cast("int"))
+        return named.withColumn("weight", F.coalesce(F.get(table, place)["w"], F.lit(1.0))).drop("_dom", "_src")
     hit = F.get(F.filter(table, lambda e: (F.instr(F.col("_dom"), e["p"]) > 0) | F.coalesce(F.col("_src") == e["l"], F.lit(False))), 0)
     return named.withColumn("weight", F.coalesce(hit["w"], F.lit(1.0))).drop("_dom", "_src")
 

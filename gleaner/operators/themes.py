@@ -9,11 +9,14 @@ rows per map task.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import let
-from .gate import gate_text, matches_any
+from .gate import gate_text
+from .patterns import INLINE, first_match, matches_any
 
 # The reference's eight ordered themes and their keywords.
 DEFAULT_THEMES: list[tuple[str, list[str]]] = [
@@ -39,6 +42,13 @@ REFS_PER_THEME = 5
 
 def theme_of(title: Column | str, excerpt: Column | str,
              lexicon: list[tuple[str, list[str]]] = DEFAULT_THEMES) -> Column:
+    words = [(w.lower(), name) for name, ws in lexicon for w in ws]
+    if len(words) > INLINE:
+        # the first keyword of the ordered lexicon names the theme
+        names = F.array(*[F.lit(name) for name, _ in lexicon])
+        owner = F.from_json(F.lit(json.dumps([[n for n, _ in lexicon].index(name) for _, name in words])), "array<int>")
+        return F.get(names, F.get(owner, first_match(gate_text(title, excerpt), [w for w, _ in words])))
+
     def first(text: Column) -> Column:
         c = F.when(F.lit(False), F.lit(None).cast("string"))
         for name, words in lexicon:
