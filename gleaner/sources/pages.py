@@ -105,7 +105,9 @@ def html_dates(pages: DataFrame) -> DataFrame:
     tag, and, only for pages that these leave undated, the visible date by
     element extents."""
     early = F.coalesce(from_meta("html"), from_jsonld("html"), from_time_tag("html"))
-    first = pages.withColumn("html_date", early)
+    # written once: dates, and html only where there is none yet
+    first = pages.withColumn("html_date", early).withColumn("html", F.when(F.col("html_date").isNull(), F.col("html")))
+    first = shared_table(first, "html-dates")
     undated = first.where("html_date IS NULL").drop("html_date")
     return first.where("html_date IS NOT NULL").drop("html").unionByName(markup.visible_dates(undated).withColumnRenamed("visible_date", "html_date"))
 
@@ -129,7 +131,7 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
     links arrive in that order, then by their place in the page.  ``max_links`` takes the first links of a listing,
     ``max_lookups`` looks up the first undated ones that have a landed page;
     by default all."""
-    links = extract_links(listings)
+    links = shared_table(extract_links(listings), "listing-links")         # read for the lookups and for the rows
     item_ord = F.col("link_pos").cast("long")
     if "listing_ord" in listings.columns:
         order = listings.groupBy("listing_url").agg(F.min("listing_ord").cast("long").alias("listing_ord"))
