@@ -82,21 +82,27 @@ def is_likely_article(href: Column | str, text: Column | str, base: Column | str
             & ~self_link & ~anchor)
 
 
-def extract_links(listings: DataFrame) -> DataFrame:
+def extract_links(listings: DataFrame, max_links: int | None = None) -> DataFrame:
     """(listing_url, html) -> (listing_url, link_pos, href, text, ctx_date):
-    same-site article links, first occurrence of each absolute href.  The
-    date is that of the link's parent element, else of its grandparent."""
-    found = markup.links(listings.select("listing_url", "html"), LISTING_NOISE)
+    same-site article links, first occurrence of each absolute href; the
+    first ``max_links`` of a listing (all by default).  The date is that of
+    the link's parent element, else of its grandparent; it is looked for at
+    the links that are kept."""
+    found, dates = markup.links(listings.select("listing_url", "html"), LISTING_NOISE)
     href = resolve(F.col("listing_url"), unescape(strip("href")))
-    links = found.select("listing_url", "start", "ctx_date", href.alias("href"), "text")
+    links = found.withColumn("href", href)
     ok = (same_site(U.domain("href"), U.domain("listing_url"))
           & (F.length("text") >= 10)
           & is_likely_article("href", "text", "listing_url"))
-    first = Window.partitionBy("listing_url", "href").orderBy("start", "text", "ctx_date")
+    # several pages of a listing may hold the same link at the same place: ranks keep them until their dates are known
+    first = Window.partitionBy("listing_url", "href").orderBy("start", "text")
     pos = Window.partitionBy("listing_url").orderBy("start", "href")
-    return (links.where(ok)
-            .withColumn("_k", F.row_number().over(first)).where(F.col("_k") == 1)
-            .withColumn("link_pos", F.row_number().over(pos).cast("long"))
+    kept = (links.where(ok).withColumn("_k", F.rank().over(first)).where(F.col("_k") == 1)
+            .withColumn("link_pos", F.dense_rank().over(pos).cast("long")).drop("_k"))
+    kept = shared_table(kept if max_links is None else kept.where(F.col("link_pos") <= max_links), "listing-anchors")
+    by_date = Window.partitionBy("listing_url", "href").orderBy("ctx_date")
+    return (kept.join(dates(kept), [*markup.KEY, "start"], "left")
+            .withColumn("_k", F.row_number().over(by_date)).where(F.col("_k") == 1)
             .select("listing_url", "link_pos", "href", "text", "ctx_date"))
 
 
@@ -131,14 +137,12 @@ def scan_listing(listings: DataFrame, pages: DataFrame, as_of: dt.datetime, wind
     links arrive in that order, then by their place in the page.  ``max_links`` takes the first links of a listing,
     ``max_lookups`` looks up the first undated ones that have a landed page;
     by default all."""
-    links = shared_table(extract_links(listings), "listing-links")         # read for the lookups and for the rows
+    links = shared_table(extract_links(listings, max_links), "listing-links")         # read for the lookups and for the rows
     item_ord = F.col("link_pos").cast("long")
     if "listing_ord" in listings.columns:
         order = listings.groupBy("listing_url").agg(F.min("listing_ord").cast("long").alias("listing_ord"))
         links = links.join(order, "listing_url")
         item_ord = F.col("listing_ord") * (1 << 32) + item_ord
-    if max_links is not None:
-        links = links.where(F.col("link_pos") <= max_links)
     known = F.coalesce(F.col("ctx_date"), U.date_from_url("href"))
     j = links.withColumn("known", known).withColumn("page_key", F.when(F.col("known").isNull(), U.url_hash("href")))
     keys = j.where(F.col("page_key").isNotNull()).select("page_key").distinct()

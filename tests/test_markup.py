@@ -135,3 +135,33 @@ def test_interval_join_returns_strict_containment(spark):
                        spark.createDataFrame(places, "page_h1 long, page_h2 long, i int")).collect()
     want = sorted((s, e, i) for _, _, s, e in extents for _, k, i in places if k == 1 and s < i < e)
     assert sorted((r["start"], r["end"], r["i"]) for r in got) == want
+
+
+def test_tasks_follow_the_characters_of_html_not_the_session(spark, monkeypatch):
+    """With one shuffle partition a page set still takes as many tasks as its html asks for."""
+    monkeypatch.setattr(M, "TASK_CHARS", 2000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = M.tokens(_pages(spark, [f"<ul>{'<li>x</li>' * 60}{i}</ul>" for i in range(40)]))
+        assert stream.rdd.getNumPartitions() >= 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_windows_of_a_page_neither_read_the_rest_again_nor_leave_its_task(spark):
+    """No frame up to a page's last row (read again for every row), and one exchange from the pages to their nodes."""
+    found = M.nodes(M.tokens(_pages(spark, ["<ul><li><p>a<p>b</li></ul>", "<b>x"])), ["nav"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedfollowing" not in plan and plan.count("Exchange") == 1
+    rows = {(r["name"], r["start"], r["end"], r["depth"]) for r in found.collect()}
+    assert rows == {("ul", 1, 8, 1), ("li", 2, 7, 2), ("p", 3, 5, 3), ("p", 5, 7, 3), ("", 4, None, 3), ("", 6, None, 3), ("b", 1, 3, 1), ("", 2, None, 1)}
+
+
+def test_first_links_have_the_same_places_and_dates(spark):
+    """max_links drops later links and changes nothing of the first; a link of two pages of a listing keeps its first date."""
+    df = spark.createDataFrame([("https://ex.com/list/all", CARDS), ("https://ex.com/list/two", '<p><a href="/blog/a">The same link twice</a><i>2026-03-09</i></p>'),
+                                ("https://ex.com/list/two", '<p><a href="/blog/a">The same link twice</a><i>2026-03-05</i></p>')], "listing_url string, html string")
+    every = [tuple(r) for r in pages.extract_links(df).collect()]
+    assert sorted(tuple(r) for r in pages.extract_links(df, 3).collect()) == sorted(r for r in every if r[1] <= 3)
+    assert [(r[1], str(r[4])) for r in every if r[0].endswith("two")] == [(1, "2026-03-05")]
