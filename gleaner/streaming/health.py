@@ -21,8 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,18 +32,16 @@ from ..schema import FETCH_LOG
 HEALTH_COLUMNS = ["task_key", "source_id", "consecutive_failures", "last_success", "last_failure",
                   "total_items_fetched", "fetches"]
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-_RECORD = "last_success long, last_failure long, items long, fetches long, settled long"
+_RECORD = "last_success long, last_failure long, items long, fetches long, settled long, open array<long>"
 _OUT = "task_key string, source_id string, consecutive_failures long, last_success long, last_failure long, items long, fetches long"
 _EPOCH = dt.datetime(1970, 1, 1)
 
 
-def _later(a: int | None, b: int | None) -> int | None:
-    return max((x for x in (a, b) if x is not None), default=None)
-
-
 class HealthFold(StatefulProcessor):
-    """State of one (task_key, source_id): the record, and the times of the
-    failures after the last success that the watermark has not passed."""
+    """State of one (task_key, source_id): the record, with the times of the
+    failures after the last success that the watermark has not passed.  It is
+    one value, read and written once a batch: a source has few rows in a
+    batch, so calls to the store and frames of rows would be its cost."""
 
     def __init__(self, forget_ms: int | None = None):
         self.forget_ms = forget_ms
@@ -52,43 +49,37 @@ class HealthFold(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.record = handle.getValueState("record", _RECORD)
-        self.open = handle.getListState("open", "ts long")
 
     def handleInputRows(self, key, rows, timerValues):
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        success, failure, items, fetches, settled = self.record.get() if self.record.exists() else (None, None, 0, 0, 0)
-        failures = [t[0] for t in self.open.get()] if self.open.exists() else []
-        ended = success
-        for batch in rows:
-            batch = batch[batch["at"] >= watermark]
-            good, bad = batch[batch["success"]], batch[~batch["success"]]
-            fetches += len(batch)
-            items += int(good["item_count"].fillna(0).sum())
-            success = _later(success, int(good["at"].max()) if len(good) else None)
-            failure = _later(failure, int(bad["at"].max()) if len(bad) else None)
-            failures += bad["at"].astype(int).tolist()
+        success, failure, items, fetches, settled, kept = self.record.get() or (None, None, 0, 0, 0, [])
+        failures, ended = list(kept), success
+        for _, _, at, good, count, _ in rows:
+            if at < watermark:
+                continue
+            fetches += 1
+            if good:
+                items += count
+                success = at if success is None or at > success else success
+            else:
+                failure = at if failure is None or at > failure else failure
+                failures.append(at)
         if success != ended:
             settled = 0                          # all of them are older than any row that is not late
         failures = [t for t in failures if success is None or t > success]
         recent = [t for t in failures if t >= watermark]
         settled += len(failures) - len(recent)
-        self.record.update((success, failure, items, fetches, settled))
-        if recent:
-            self.open.put([(t,) for t in recent])
-        elif self.open.exists():
-            self.open.clear()
+        self.record.update((success, failure, items, fetches, settled, recent))
         if self.forget_ms is not None and fetches:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(_later(success, failure) // 1000 + self.forget_ms)
+            self.handle.registerTimer(max(t for t in (success, failure) if t is not None) // 1000 + self.forget_ms)
         if fetches:
-            yield pd.DataFrame({"task_key": [key[0]], "source_id": [key[1]], "consecutive_failures": [settled + len(recent)],
-                                "last_success": pd.array([success], "Int64"), "last_failure": pd.array([failure], "Int64"),
-                                "items": [items], "fetches": [fetches]})
+            yield Row(task_key=key[0], source_id=key[1], consecutive_failures=settled + len(recent), last_success=success, last_failure=failure,
+                      items=items, fetches=fetches)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.record.clear()
-        self.open.clear()
         yield from ()
 
     def close(self) -> None:
@@ -109,7 +100,7 @@ def fold(log: DataFrame, delay: str, forget_days: int | None = None) -> DataFram
               .where("at IS NOT NULL AND success IS NOT NULL")
               .withColumn("event_ts", F.timestamp_micros("at")).withWatermark("event_ts", delay))
     forget = None if forget_days is None else forget_days * 86_400_000
-    out = events.groupBy("task_key", "source_id").transformWithStateInPandas(HealthFold(forget), _OUT, "Update", "EventTime")
+    out = events.groupBy("task_key", "source_id").transformWithState(HealthFold(forget), _OUT, "Update", "EventTime")
     return out.select("task_key", "source_id", "consecutive_failures", _time("last_success").alias("last_success"),
                       _time("last_failure").alias("last_failure"), F.col("items").alias("total_items_fetched"), "fetches")
 

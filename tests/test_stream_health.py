@@ -63,3 +63,51 @@ def test_a_record_is_forgotten_after_its_time_to_live(spark, base):
         H.run_health_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", delay="1 day", forget_days=30)
     got = {r.source_id: (r.consecutive_failures, r.fetches) for r in H.latest_health(spark, f"{base}/out").collect()}
     assert got["a"] == (1, 1) and got["b"][0] == 0
+
+
+class _Handle:
+    """A state store that counts its calls."""
+
+    def __init__(self):
+        self.calls, self.values = [], {}
+
+    def getValueState(self, name, schema):
+        return _Value(self, name)
+
+    getListState = getValueState
+
+
+class _Value:
+    def __init__(self, handle, name):
+        self.handle, self.name = handle, name
+
+    def _call(self, what):
+        self.handle.calls.append((what, self.name))
+
+    def exists(self):
+        self._call("exists")
+        return self.name in self.handle.values
+
+    def get(self):
+        self._call("get")
+        return self.handle.values.get(self.name)
+
+    def update(self, value):
+        self._call("update")
+        self.handle.values[self.name] = value
+
+    put = update
+
+
+class _Times:
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_source_costs_one_read_and_one_write_of_state_a_batch(spark):
+    handle, fold = _Handle(), H.HealthFold()
+    fold.init(handle)
+    out = []
+    for at in (10, 20):
+        out = list(fold.handleInputRows(("t", "a"), iter([("t", "a", at, at == 10, 3, None), ("t", "a", at + 1, False, 0, None)]), _Times()))
+    assert len(handle.calls) == 4 and [tuple(r) for r in out] == [("t", "a", 3, 10, 21, 3, 4)]
