@@ -165,3 +165,27 @@ def test_first_links_have_the_same_places_and_dates(spark):
     every = [tuple(r) for r in pages.extract_links(df).collect()]
     assert sorted(tuple(r) for r in pages.extract_links(df, 3).collect()) == sorted(r for r in every if r[1] <= 3)
     assert [(r[1], str(r[4])) for r in every if r[0].endswith("two")] == [(1, "2026-03-05")]
+
+
+@pytest.fixture
+def dealt(spark, monkeypatch):
+    """Tasks that wrote nodes, asked of small tasks in a session with a single shuffle partition."""
+    real, seen = M.shared_table, []
+
+    def shared(df, label):
+        if label == "html-nodes":
+            seen.append(df.rdd.getNumPartitions())
+        return real(df, label)
+    monkeypatch.setattr(M, "shared_table", shared)
+    monkeypatch.setattr(M, "TASK_CHARS", 1000, raising=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield seen
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+MANY = [f"<main><p>{LONG} {i}</p>{'<b>x</b>' * 50}</main>" for i in range(30)]
+
+
+def test_main_text_is_dealt_by_characters(spark, dealt):
+    assert sorted(_main(spark, MANY)) == sorted(f"{LONG} {i}" for i in range(30)) and min(dealt) >= 10
