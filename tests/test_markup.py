@@ -189,3 +189,12 @@ MANY = [f"<main><p>{LONG} {i}</p>{'<b>x</b>' * 50}</main>" for i in range(30)]
 
 def test_main_text_is_dealt_by_characters(spark, dealt):
     assert sorted(_main(spark, MANY)) == sorted(f"{LONG} {i}" for i in range(30)) and min(dealt) >= 10
+
+
+def test_page_excerpt_is_dealt_by_characters(spark, dealt, tmp_path):
+    """A described page keeps its description; the others' main text takes the tasks its html asks for."""
+    from gleaner.plans.catalog import page_excerpt
+    htmls = [*MANY, "<meta name='description' content='said'><p>x</p>"]
+    spark.createDataFrame(list(enumerate(htmls)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [r.excerpt for r in page_excerpt(spark, str(tmp_path)).orderBy("page_id").collect()]
+    assert got == [f"{LONG} {i}" for i in range(30)] + ["said"] and min(dealt) >= 10
