@@ -198,3 +198,11 @@ def test_page_excerpt_is_dealt_by_characters(spark, dealt, tmp_path):
     spark.createDataFrame(list(enumerate(htmls)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = [r.excerpt for r in page_excerpt(spark, str(tmp_path)).orderBy("page_id").collect()]
     assert got == [f"{LONG} {i}" for i in range(30)] + ["said"] and min(dealt) >= 10
+
+
+def test_url_list_dates_are_dealt_by_characters(spark, dealt):
+    """A URL list's visible dates take the tasks its pages' html asks for."""
+    htmls = [f"<main><span class='date'>2026-03-{i % 28 + 1:02d}</span>{'<b>x</b>' * 50}{i}</main>" for i in range(30)]
+    df = spark.createDataFrame([(i, f"https://ex.com/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string").repartition(3)
+    got = pages.scan_urls(df.select(df.page_id.alias("url_ord"), "url"), df).orderBy("url_ord").collect()
+    assert [str(r.publish_date) for r in got] == [f"2026-03-{i % 28 + 1:02d}" for i in range(30)] and min(dealt) >= 10
