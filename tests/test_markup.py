@@ -206,3 +206,12 @@ def test_url_list_dates_are_dealt_by_characters(spark, dealt):
     df = spark.createDataFrame([(i, f"https://ex.com/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string").repartition(3)
     got = pages.scan_urls(df.select(df.page_id.alias("url_ord"), "url"), df).orderBy("url_ord").collect()
     assert [str(r.publish_date) for r in got] == [f"2026-03-{i % 28 + 1:02d}" for i in range(30)] and min(dealt) >= 10
+
+
+def test_listing_links_are_dealt_by_characters(spark, dealt):
+    """Listing pages of a source take the tasks their html asks for."""
+    htmls = [f"<ul><li><a href='/blog/2026/{i}'>Long enough title {i}</a><time>2026-03-01</time>{'<b>x</b>' * 50}</li></ul>" for i in range(30)]
+    df = spark.createDataFrame([(f"https://ex.com/list/{i}", h) for i, h in enumerate(htmls)], "listing_url string, html string").repartition(3)
+    got = pages.extract_links(df).collect()
+    assert sorted(r.href for r in got) == sorted(f"https://ex.com/blog/2026/{i}" for i in range(30)) and min(dealt) >= 10
+    assert {str(r.ctx_date) for r in got} == {"2026-03-01"}
