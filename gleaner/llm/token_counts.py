@@ -24,7 +24,6 @@ Null text counts as empty (0 bytes, 0 tokens); rows are kept as they are
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textbuf import buffer, slices
+
 #: Pre-tokens in at least so many rows of a block are counted in the block.
 SHARED_ROWS = 16
-_CUT = re.compile("\n|[ ▁]*[^ ▁\n]+|[ ▁]+")
 _FLUSH = 1 << 21
 _CACHE = 1 << 20
 
@@ -64,6 +64,55 @@ class PieceCounter:
         return [self.known[t] for t in tokens]
 
 
+def _pre_tokens(texts: pa.Array):
+    """(pre-tokens, row of each) of all texts but empty ones, slice by slice;
+    a text begins with the space that the model puts before it.  Cuts lie
+    before a run of spaces and on both sides of a line break, so pre-tokens
+    cover the bytes and need no copy of their own."""
+    for lo, _, data, offs in slices(texts):
+        rows = np.flatnonzero(np.diff(offs))
+        if not len(rows):
+            continue
+        first = offs[rows] + np.arange(len(rows))
+        led = np.full(len(data) + len(rows), 32, np.uint8)
+        own = np.ones(len(led), bool)
+        own[first] = False
+        led[own] = data
+        space, line = led == 32, led == 10
+        mark = np.flatnonzero(led == 0xE2)
+        mark = mark[(led[np.minimum(mark + 1, len(led) - 1)] == 0x96) & (led[np.minimum(mark + 2, len(led) - 1)] == 0x81)]
+        for j in range(3):
+            space[mark + j] = True
+        cut = np.zeros(len(led), bool)
+        cut[1:] = (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
+        cut[first] = True
+        at = np.flatnonzero(cut)
+        bounds = pa.py_buffer(np.append(at, len(led)))
+        tokens = pa.LargeStringArray.from_buffers(len(at), bounds, pa.py_buffer(led))
+        yield tokens, np.repeat(lo + rows, np.diff(np.append(np.searchsorted(at, first), len(at))))
+
+
+def _binary(values: np.ndarray, lens: np.ndarray) -> pa.Array:
+    """One binary a run of values."""
+    ends = np.concatenate([[0], np.cumsum(lens)]) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(lens), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def _inverted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(pre-tokens, number of rows of each, rows, frequencies), the last two
+    in the order of the pre-tokens."""
+    found = list(_pre_tokens(texts))
+    if not found:
+        return pa.array([], pa.large_string()), *(np.zeros(0, np.int64) for _ in range(3))
+    coded = pa.chunked_array([t for t, _ in found]).dictionary_encode().unify_dictionaries()
+    key = np.concatenate([c.indices.to_numpy().astype(np.int64) << 15 | r for c, (_, r) in zip(coded.chunks, found)])
+    key.sort()
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    freqs, key = np.diff(np.append(at, len(key))), key[at]
+    names = coded.chunk(0).dictionary
+    return names, np.bincount(key >> 15, minlength=len(names)), key & 0x7FFF, freqs
+
+
 def _postings(model: str, id_type: pa.DataType):
     schema = pa.schema([("k", pa.string()), ("block", pa.int64()), ("rows", pa.binary()), ("freqs", pa.binary()),
                         ("row", pa.int32()), ("id", id_type), ("n_bytes", pa.int64()), ("base", pa.int64())])
@@ -73,72 +122,79 @@ def _postings(model: str, id_type: pa.DataType):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1 << 15):
                 b = batch.slice(lo, 1 << 15)
-                block, seq = (part << 32) + seq, seq + 1
-                lists, freqs = defaultdict(list), defaultdict(list)
-                base, n_bytes = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
-                for i, text in enumerate(b.column(1).to_pylist()):
-                    if not text:
-                        continue
-                    n_bytes[i] = len(text.encode("utf-8", "surrogatepass"))
-                    for t, n in Counter(_CUT.findall(" " + text)).items():
-                        lists[t].append(i)
-                        freqs[t].append(n)
-                shared = [t for t, r in lists.items() if len(r) >= SHARED_ROWS]
-                for t, n in zip(shared, count(shared)):
-                    base[lists.pop(t)] += np.array(freqs.pop(t), np.int64) * n
+                block, seq = (part << 24) + seq, seq + 1
+                names, held, rows, freqs = _inverted(b.column(1))
+                base = np.zeros(b.num_rows, np.int64)
+                shared = held >= SHARED_ROWS
+                often = np.repeat(shared, held)
+                pieces = np.array(count(names.filter(pa.array(shared)).to_pylist()), np.int64)
+                np.add.at(base, rows[often], freqs[often] * np.repeat(pieces, held[shared]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f"\n{block}"] * b.num_rows, pa.string()), pa.array([block] * b.num_rows, pa.int64()),
                      pa.nulls(b.num_rows, pa.binary()), pa.nulls(b.num_rows, pa.binary()),
-                     pa.array(range(b.num_rows), pa.int32()), b.column(0), pa.array(n_bytes), pa.array(base)], schema=schema)
-                names = list(lists)
-                for at in range(0, len(names), 1 << 16):
-                    some = names[at:at + (1 << 16)]
-                    n = len(some)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.string()), pa.array([block] * n, pa.int64()),
-                         pa.array([np.array(lists[t], np.uint16).tobytes() for t in some], pa.binary()),
-                         pa.array([np.array(f := freqs[t], np.uint8 if max(f) < 256 else np.uint32).tobytes()
-                                   for t in some], pa.binary()),
-                         pa.nulls(n, pa.int32()), pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-                        schema=schema)
+                     pa.array(range(b.num_rows), pa.int32()), b.column(0), pa.array(np.diff(buffer(b.column(1))[1])), pa.array(base)], schema=schema)
+                # one byte a frequency where all of a pre-token's fit
+                most = np.zeros(len(names), np.int64)
+                np.maximum.at(most, np.repeat(np.arange(len(names)), held), freqs)
+                for some, kind in ((~shared & (most < 256), np.uint8), (~shared & (most >= 256), np.uint32)):
+                    mine = np.repeat(some, held)
+                    tokens, lens = names.filter(pa.array(some)).cast(pa.string()), held[some]
+                    lists, counts = _binary(rows[mine].astype(np.uint16), lens), _binary(freqs[mine].astype(kind), lens)
+                    for at in range(0, len(tokens), 1 << 16):
+                        n = min(1 << 16, len(tokens) - at)
+                        yield pa.RecordBatch.from_arrays(
+                            [tokens.slice(at, n), pa.array([block] * n, pa.int64()), lists.slice(at, n), counts.slice(at, n),
+                             pa.nulls(n, pa.int32()), pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=schema)
     return run
 
 
 def _partial_sums(model: str):
     def run(batches):
-        count, sums, held = PieceCounter(model), {}, 0
+        count, keys, sums, held = PieceCounter(model), [], [], 0
         for batch in batches:
             meta = batch.filter(pa.compute.is_valid(batch.column("row")))
             if meta.num_rows:
                 yield meta
-            keys = batch.filter(pa.compute.is_null(batch.column("row")))
-            tokens = keys.column("k").to_pylist()
-            for block, rows, freqs, n in zip(keys.column("block").to_pylist(), keys.column("rows").to_pylist(),
-                                             keys.column("freqs").to_pylist(), count(tokens)):
-                r = np.frombuffer(rows, np.uint16)
-                f = np.frombuffer(freqs, np.uint8 if len(freqs) == len(r) else np.uint32)
-                acc = sums.get(block)
-                if acc is None:
-                    acc = sums[block] = np.zeros(1 << 15, np.int64)
-                    held += len(acc)
-                acc[r] += f.astype(np.int64) * n          # rows of one posting list are distinct
+            lists = batch.filter(pa.compute.is_null(batch.column("row")))
+            if not lists.num_rows:
+                continue
+            pieces = np.array(count(lists.column("k").to_pylist()), np.int64)
+            rows, at = buffer(lists.column("rows"))
+            freqs, ends = buffer(lists.column("freqs"))
+            lens, sizes = np.diff(at) // 2, np.diff(ends)
+            key = np.repeat(lists.column("block").to_numpy() << 15, lens) | rows.view(np.uint16)
+            narrow = np.repeat(sizes == lens, sizes)           # bytes of one-byte frequencies
+            of = np.empty(len(key), np.int64)
+            one = np.repeat(sizes == lens, lens)
+            of[one], of[~one] = freqs[narrow], freqs[~narrow].view(np.uint32)
+            keys.append(key)
+            sums.append(of * np.repeat(pieces, lens))
+            held += len(key)
             if held >= _FLUSH:
-                yield from _flush(sums, batch.schema)
-                sums, held = {}, 0
-        if sums:
-            yield from _flush(sums, batch.schema)
+                key, value = _summed(keys, sums)
+                if len(key) >= _FLUSH // 2:
+                    yield _flush(key, value, batch.schema)
+                    key, value = key[:0], value[:0]
+                keys, sums, held = [key], [value], len(key)
+        if held:
+            yield _flush(*_summed(keys, sums), batch.schema)
     return run
 
 
-def _flush(sums: dict[int, np.ndarray], schema: pa.Schema):
-    rows, vals = [], []
-    for acc in sums.values():
-        r = np.flatnonzero(acc)
-        rows.append(r.astype(np.uint16).tobytes())
-        vals.append(acc[r].tobytes())
-    n = len(sums)
-    cols = {"block": pa.array(list(sums), pa.int64()), "rows": pa.array(rows, pa.binary()), "freqs": pa.array(vals, pa.binary())}
-    yield pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(block and row, sum) of each once, sorted."""
+    key, value = np.concatenate(keys), np.concatenate(values)
+    order = np.argsort(key, kind="stable")
+    key, value = key[order], value[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[at], np.add.reduceat(value, at)
+
+
+def _flush(key: np.ndarray, value: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    block, at = np.unique(key >> 15, return_index=True)
+    lens = np.diff(np.append(at, len(key)))
+    cols = {"block": pa.array(block), "rows": _binary((key & 0x7FFF).astype(np.uint16), lens), "freqs": _binary(value, lens)}
+    return pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(len(block), f.type)) for f in schema], schema=schema)
 
 
 def _total(table: pa.Table) -> pa.Table:

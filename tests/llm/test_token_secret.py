@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +47,35 @@ def test_token_counts_shared_words_and_empty_table(spark):
     assert token_counts.token_counts(docs.limit(0), queries.tokenizer_path()).collect() == []
 
 
+def test_inverted_lists_equal_the_cuts_of_each_text():
+    """Pre-tokens by bytes are those of the expression, text by text."""
+    import pyarrow as pa
+    cut = re.compile("\n|[ ▁]*[^ ▁\n]+|[ ▁]+")
+    for texts in ([*EDGE, "end▁", "\n\n▁", "… █▁▁x", "a " * 300], [None, ""], []):
+        names, held, rows, freqs = token_counts._inverted(pa.array(texts, pa.string()))
+        got = {(t, int(r)): int(f) for t, r, f in zip(np.repeat(np.array(names.to_pylist(), object), held), rows, freqs)}
+        want = {(w, i): n for i, t in enumerate(texts) if t for w, n in Counter(cut.findall(" " + t)).items()}
+        assert got == want
+
+
+def test_partial_sums_of_many_blocks_take_no_room_for_rows_that_are_not_there():
+    """A batch of postings of 4 000 blocks needs memory by postings, not 32 768 sums a block."""
+    import pyarrow as pa
+    n = 4000
+    batch = pa.record_batch({"k": [f" w{i % 7}" for i in range(n)], "block": pa.array(range(n), pa.int64()), "rows": [np.array([3, 9], np.uint16).tobytes()] * n,
+                             "freqs": [np.array([1, 300], np.uint32).tobytes() if i % 2 else b"\x01\x02" for i in range(n)], "row": pa.nulls(n, pa.int32()),
+                             "id": pa.nulls(n, pa.int64()), "n_bytes": pa.nulls(n, pa.int64()), "base": pa.nulls(n, pa.int64())})
+    pieces = token_counts.PieceCounter(queries.tokenizer_path())(batch.column("k").to_pylist())
+    tracemalloc.start()
+    out = list(token_counts._partial_sums(queries.tokenizer_path())([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = {(b, int(r)): int(v) for o in out for b, rows, vals in zip(*(o.column(c).to_pylist() for c in ("block", "rows", "freqs")))
+           for r, v in zip(np.frombuffer(rows, np.uint16), np.frombuffer(vals, np.int64))}
+    assert got == {(i, r): pieces[i] * f for i in range(n) for r, f in ((3, 1), (9, 300 if i % 2 else 2))}
+    assert peak < 64 << 20
+
+
 def _base_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
     out = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
