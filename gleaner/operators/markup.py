@@ -170,25 +170,27 @@ def containing(around: DataFrame, places: DataFrame, at: str = "i", also: list[s
     return _dealt(left, keys, tasks).join(_dealt(right, keys, tasks), keys).where((F.col("start") < F.col(at)) & (F.col(at) < F.col("end"))).drop("stretch")
 
 
-def _joined(rows: DataFrame, keys: list[str], sep: str, out: str, tasks: int) -> DataFrame:
-    """Texts of each group in page order, joined."""
+def _joined(rows: DataFrame, keys: list[str], sep: str, out: str, tasks: int | None = None) -> DataFrame:
+    """Texts of each group in page order, joined; without ``tasks``, rows stay
+    in the task of their page where they are dealt by it already."""
     parts = F.sort_array(F.collect_list(F.struct("i", "text")))
     return _dealt(rows, keys, tasks).groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["text"]), sep).alias(out))
 
 
-def roots(found: DataFrame, with_div: bool = True) -> DataFrame:
+def roots(found: DataFrame, tasks: int, with_div: bool = True) -> DataFrame:
     """(page key, root struct(rank, start, end)): the first article, else
-    main, else (``with_div``) div of a content class, else body."""
+    main, else (``with_div``) div of a content class, else body; dealt by
+    page."""
     rank = F.when(F.col("name") == "article", 1).when(F.col("name") == "main", 2).when(F.col("name") == "body", 4)
     if with_div:
         rank = F.coalesce(rank, F.when((F.col("name") == "div") & has_class(F.col("tag"), CONTENT_CLASS), 3))
-    return (found.select(*KEY, F.struct(rank.alias("rank"), "start", "end").alias("root")).where("root.rank IS NOT NULL")
-            .groupBy(*KEY).agg(F.min("root").alias("root")))
+    ranked = found.select(*KEY, F.struct(rank.alias("rank"), "start", "end").alias("root")).where("root.rank IS NOT NULL")
+    return _dealt(ranked, KEY, tasks).groupBy(*KEY).agg(F.min("root").alias("root"))
 
 
-def _in_root(rows: DataFrame, root: DataFrame, at: str) -> DataFrame:
-    """Rows inside their page's root (all of them without one)."""
-    return (rows.join(root, KEY, "left")
+def _in_root(rows: DataFrame, root: DataFrame, at: str, tasks: int) -> DataFrame:
+    """Rows inside their page's root (all of them without one), dealt by page."""
+    return (_dealt(rows, KEY, tasks).join(root, KEY, "left")
             .where(F.col("root").isNull() | ((F.col("root.start") < F.col(at)) & (F.col(at) < F.col("root.end")))).drop("root"))
 
 
@@ -198,11 +200,11 @@ def main_texts(pages: DataFrame, n: int | None = None, html_col: str = "html") -
     page; its paragraphs over 20 characters joined by blank lines, else all
     its texts by line; first n characters (all without n)."""
     clean, tasks = page_nodes(pages, html_col, NOISE_TAGS)
-    root = roots(clean)
-    text = _in_root(_texts_of(clean), root, "i")
-    paragraphs = _in_root(clean.where("name = 'p'").select(*KEY, "start", "end"), root, "start")
+    root = roots(clean, tasks)
+    text = _in_root(_texts_of(clean), root, "i", tasks)
+    paragraphs = _in_root(clean.where("name = 'p'").select(*KEY, "start", "end"), root, "start", tasks)
     paras = _joined(containing(paragraphs, text, tasks=tasks), [*KEY, "start"], "", "text", tasks).where(F.char_length("text") > 20).withColumnRenamed("start", "i")
-    by_para, by_line = _joined(paras, KEY, "\n\n", "of_paras", tasks), _joined(text, KEY, "\n", "of_lines", tasks)
+    by_para, by_line = _joined(paras, KEY, "\n\n", "of_paras", tasks), _joined(text, KEY, "\n", "of_lines")
     whole = F.regexp_replace(F.coalesce("of_paras", "of_lines"), "\n{3,}", "\n\n")
     result = by_line.join(by_para, KEY, "left").select(*KEY, cut(whole, n).alias("found_text"))
     return _back(pages, result, html_col, "found_text", "main_text", F.lit(""))
@@ -233,7 +235,7 @@ def visible_dates(pages: DataFrame, html_col: str = "html") -> DataFrame:
     own = _joined(containing(holders.select(*KEY, "start", "end").distinct(), text, tasks=tasks), [*KEY, "start"], "", "inside", tasks)
     dated = (holders.join(own, [*KEY, "start"], "left").select(*KEY, "kind", "start", first_parsed(F.array("data", "inside")).alias("day"))
              .where("day IS NOT NULL").groupBy(*KEY).agg(F.min_by("day", F.struct("kind", "start")).alias("of_element")))
-    body = _joined(_in_root(text, roots(found, with_div=False), "i"), KEY, " ", "body", tasks).select(*KEY, first_parsed(text_candidates(_squeezed("body"))).alias("of_text"))
+    body = _joined(_in_root(text, roots(found, tasks, with_div=False), "i", tasks), KEY, " ", "body").select(*KEY, first_parsed(text_candidates(_squeezed("body"))).alias("of_text"))
     result = dated.join(body, KEY, "full").select(*KEY, F.coalesce("of_element", "of_text").alias("found_day"))
     return _back(pages, result, html_col, "found_day", "visible_date", F.lit(None))
 
