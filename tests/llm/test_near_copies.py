@@ -417,3 +417,26 @@ def test_alignment_equals_the_plain_recurrence():
             for j, y in enumerate(b, 1):
                 h[i][j] = max(0, h[i - 1][j - 1] + (1 if x == y else -0.5), h[i - 1][j] - 0.5, h[i][j - 1] - 0.5)
         assert decontaminate.align(np.array(a), np.array(b)) == pytest.approx(max(max(r) for r in h))
+
+
+def test_line_links_by_words_equal_those_by_whole_distance(spark):
+    """Pairs told word by word are those of the distance, and a long pair of as many words needs no band over all of it."""
+    import time
+    rnd = random.Random(11)
+
+    def edited(words):
+        return [w for x in words for w in rnd.choice([[x], [x], [x], [x + "y"], ["other"], [], [x, "more"]])]
+    pairs = []
+    for i in range(200):
+        a = ["".join(rnd.choice("abcé") for _ in range(rnd.randrange(1, 8))) for _ in range(rnd.randrange(0, 12))]
+        b = edited(a) if i % 2 else [rnd.choice([w, w, w + "x", "z"]) for w in a]
+        pairs.append((i, -i, rnd.randrange(0, 25), a, b))
+    df = spark.createDataFrame(pairs, "a long, b long, most int, wa array<string>, wb array<string>").repartition(4)
+    line = "CASE WHEN size({0}) > 0 THEN array_join(reverse({0}), ' ') || ' ' ELSE '' END"
+    want = {r.a for r in df.where(f"levenshtein({line.format('wa')}, {line.format('wb')}) <= most").collect()}
+    assert {r.a for r in fuzzy_lines._within(df).collect()} == want and 0 < len(want) < 200
+    long = [f"word{i}" for i in range(20_000)]
+    one = spark.createDataFrame([(1, 2, 35_000, long, [w if i % 7 else w[::-1] for i, w in enumerate(long)])], df.schema)
+    start = time.time()
+    fuzzy_lines._within(one).collect()
+    assert time.time() - start < 15
