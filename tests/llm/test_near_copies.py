@@ -294,6 +294,37 @@ def test_line_dedup_recall_on_edit_similarity_alone(spark):
     assert found >= 0.95 > 0.5 > before
 
 
+def test_simhash_of_lines_of_any_length(spark):
+    """Packed and bitwise counts agree with the definition, and a line's work grows with its words, not with their square."""
+    import time
+    rnd = random.Random(14)
+    vocab = [f"w{i}" for i in range(300)] + ["été", "中"]
+    lines = [[rnd.choice(vocab) for _ in range(n)] for n in (1, 2, 3, 255, 256, 510, 511, 512, 513, 1500, 4000)] + [["w1"] * 511, ["w1"] * 512]
+    docs = spark.createDataFrame([(i, "- " + ", ".join(w) + "!\n...") for i, w in enumerate(lines)], "id long, text string").repartition(3)
+    got = {r["id"]: r for r in fuzzy_lines.occurrences(docs).where("n > 0").collect()}
+    assert {i: (r["no"], r["sim"]) for i, r in got.items()} == {i: (0, _simhash(w)) for i, w in enumerate(lines)}
+    long = spark.createDataFrame([(1, " ".join(f"word{i % 5000}" for i in range(200_000)))], "id long, text string")
+    start = time.time()
+    assert fuzzy_lines.occurrences(long).count() == 1 and fuzzy_lines.occurrences(long).first()["sim"] is not None
+    assert time.time() - start < 15
+
+
+def test_lines_told_apart_are_not_told_again(spark, monkeypatch):
+    """A crowd of lines that share half their words and no link: every pair is tested once at most."""
+    rnd = random.Random(15)
+    common = [f"common{i}" for i in range(20)]
+    texts = [" ".join(common[:10] + [f"own{rnd.randrange(10 ** 6)}" for _ in range(14)] + common[10:]) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    tested, within = [], fuzzy_lines._within
+
+    def counted(rest):
+        tested.extend(tuple(r) for r in rest.select("a", "b").collect())
+        return within(rest)
+    monkeypatch.setattr(fuzzy_lines, "_within", counted)
+    assert all(r["n_kept"] == 1 for r in fuzzy_lines.dedup_lines(docs, grams=8).collect())
+    assert len(tested) > 100 and len(set(tested)) == len(tested)
+
+
 def test_line_dedup_edges(spark):
     rows = [(1, "same line here\nother"), (1, "same line here\nother"), (None, "same line here"), (2, "Same line, here!\nown")]
     got = sorted(((r["doc_id"] or 0), r["text"], r["n_lines"], r["n_kept"])
