@@ -2,6 +2,7 @@
 against brute force."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from gleaner.llm import decontaminate, fingerprints, fuzzy_lines, ngram_join
+from gleaner.llm import common, decontaminate, fingerprints, fuzzy_lines, ngram_join
 from gleaner.llm.common import components
 from gleaner.llm.linking import connect
 
@@ -325,6 +326,34 @@ def test_lines_told_apart_are_not_told_again(spark, monkeypatch):
     assert len(tested) > 100 and len(set(tested)) == len(tested)
 
 
+def test_lines_with_a_passage_at_other_places_are_no_pairs(spark, monkeypatch):
+    """A passage that many lines have at different places makes few pairs, and all links are found; no table is left that nothing reads."""
+    rnd = random.Random(16)
+
+    def words(n):
+        return ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n)]
+    passage, texts = words(8), []
+    for i in range(96):
+        own, at = words(16), i % 6 * 3
+        texts.append(" ".join(own[:at] + passage + own[at:]))
+    crowd = len(texts)
+    texts += [t.replace(t.split(" ")[-1 if i % 8 < 4 else 0], "edited") for i, t in enumerate(texts[:24])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    tested, within = [], fuzzy_lines._within
+
+    def counted(rest):
+        tested.extend(tuple(r) for r in rest.select("a", "b").collect())
+        return within(rest)
+    monkeypatch.setattr(fuzzy_lines, "_within", counted)
+    root = common.scratch_root(spark)
+    held = set(os.listdir(root)) if os.path.isdir(root) else set()
+    kept = {r["doc_id"]: r["n_kept"] for r in fuzzy_lines.dedup_lines(docs, grams=8).collect()}
+    assert kept == {i: int(i < crowd) for i in range(len(texts))}
+    assert len(tested) < 1500
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - held}
+    assert "line-occurrences" in left and not left & {"line-distinct", "line-grams", "line-live", "line-texts", "postings", "cross"}
+
+
 def test_line_dedup_edges(spark):
     rows = [(1, "same line here\nother"), (1, "same line here\nother"), (None, "same line here"), (2, "Same line, here!\nown")]
     got = sorted(((r["doc_id"] or 0), r["text"], r["n_lines"], r["n_kept"])
