@@ -309,24 +309,29 @@ def _land(spark: SparkSession, sf: str) -> dict[str, str]:
 
 @query
 def source_union(spark, sf):
-    """All source types scanned from landed files (``off`` is disabled)."""
-    from ..sources.registry import scan_all
+    """All source types scanned from landed files (``off`` is disabled); a
+    source that fails fails the query."""
+    from ..sources.registry import scan_whole
     where = _land(spark, sf)
-    raw = scan_all(spark, LANDED, A.AS_OF, A.WINDOW_DAYS, lambda s: where[s.source_id], {"off"})
+    raw = scan_whole(spark, LANDED, A.AS_OF, A.WINDOW_DAYS, lambda s: where[s.source_id], {"off"})
     return raw.select("url", "title", "source", F.date_format("publish_date", "yyyy-MM-dd").alias("publish_date"), "source_ord")
 
 
 @query
 def whole_run(spark, sf):
     """A run from the job: health skips a disabled source, landed files are
-    scanned, the report and all tables are written; the survivors."""
+    scanned, the report and all tables are written; the survivors.  They
+    stand for every enabled source, so a source that fails fails the query."""
     from ..schema import FETCH_LOG
+    from ..sources.registry import ScanFailed
     from .run import run_job
     where, base = _land(spark, sf), run_folder(spark, "whole-run")
     days = [(A.AS_OF - dt.timedelta(days=i)) for i in range(1, 6)]
     spark.createDataFrame([("landed", "off", d, False, 0) for d in days], FETCH_LOG).write.mode("append").partitionBy("task_key").parquet(f"{base}/log")
-    run_job(spark, landed_job(), lambda s: where[s.source_id], as_of=A.AS_OF, out_dir=f"{base}/out", seen_path=f"{base}/seen",
-            log_path=f"{base}/log")
+    result = run_job(spark, landed_job(), lambda s: where[s.source_id], as_of=A.AS_OF, out_dir=f"{base}/out", seen_path=f"{base}/seen",
+                     log_path=f"{base}/log")
+    if result.faults:
+        raise ScanFailed(result.faults)
     back = spark.read.schema("url string, title string, source string, publish_date string, takeaway string, score double").json(f"{base}/out/items")
     return back.select("url", "title", "source", "publish_date", "takeaway", "score")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,14 @@ from ..operators import health, rank, report, stats, status, themes
 from ..operators.order import with_global_rank
 from ..schema import FETCH_LOG
 from ..session import checkpoint_dir, shared_table
-from ..sources.registry import scan_all
+from ..sources.registry import Fault, scan_all
 from ..sources.state import load_seen
 from ..spec import JobSpec, SourceSpec
 from ..streaming.scratch import path_exists
 from .pipeline import survivors, tag
 
 REPORT_THEMES = 6     # themes shown in a report
+FAULTS = "source_id string, source_ord int, error string"
 
 
 @dataclass
@@ -39,6 +40,7 @@ class RunResult:
     per_source: DataFrame
     silent: DataFrame
     manifest: DataFrame
+    faults: list[Fault] = field(default_factory=list)
 
 
 def disabled_sources(spark: SparkSession, spec: JobSpec, log_path: str) -> set[str]:
@@ -56,12 +58,15 @@ def run_job(spark: SparkSession, spec: JobSpec, landed: Callable[[SourceSpec], s
             lexicon: list[tuple[str, list[str]]] = themes.DEFAULT_THEMES) -> RunResult:
     """Run the job: ``landed`` names the folder that a source's fetched data
     lies in.  Disabled sources are neither scanned nor logged.  ``raw`` replaces
-    the scan by ready rows."""
+    the scan by ready rows.  Sources that failed are told in the result's
+    ``faults`` and in the table ``faults`` of the run's output: their missing
+    rows are not a quiet source's."""
     checkpoint_dir(spark)
     off = disabled_sources(spark, spec, log_path)
     sources = source_table(spark, spec)
+    faults: list[Fault] = []
     if raw is None:
-        raw = scan_all(spark, spec.sources, as_of, spec.time_window_days, landed, off)
+        raw = scan_all(spark, spec.sources, as_of, spec.time_window_days, landed, off, faults=faults)
     seen = load_seen(spark, seen_path, spec.task_key, spec.dedup_ttl_days, as_of) if use_state else None
     totals = Observation("run-totals")
     tagged = shared_table(tag(raw, seen, spec).observe(totals, *stats.counters()), "tagged")
@@ -91,10 +96,11 @@ def run_job(spark: SparkSession, spec: JobSpec, landed: Callable[[SourceSpec], s
         report.item_docs(ranked).write.mode("overwrite").parquet(f"{out_dir}/item_docs")
     board.write.mode("overwrite").parquet(f"{out_dir}/themes")
     per_source.write.mode("overwrite").parquet(f"{out_dir}/per_source")
+    spark.createDataFrame([astuple(f) for f in faults], FAULTS).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/faults")
     sinks.write_manifest(status.manifest_document(manifest, per_source, sources), f"{out_dir}/manifest")
     if use_state:
         sinks.append_seen(tagged, seen_path, spec.task_key, as_of)
-    return RunResult(tagged, ranked, run_stats, per_source, silent, manifest)
+    return RunResult(tagged, ranked, run_stats, per_source, silent, manifest, faults)
 
 
 def source_table(spark: SparkSession, spec: JobSpec) -> DataFrame:

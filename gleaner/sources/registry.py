@@ -8,7 +8,10 @@ unknown type, a scan that cannot be planned and one that fails while it runs
 (a corrupt landed file) all yield no rows, a warning and a ``Fault``: one bad
 source never fails the run, and rows of a source are there whole or not at
 all.  A fault of the shared folder itself is not a source's: it is met first
-and fails the run.
+and fails the run.  So does a fault of the engine while a source is scanned
+(memory, disk, a lost executor, a cancelled job): it says nothing about the
+source.  Callers whose result stands for every source use ``scan_whole``,
+which raises where a source failed.
 """
 
 from __future__ import annotations
@@ -96,6 +99,25 @@ class Fault:
     error: str
 
 
+class ScanFailed(RuntimeError):
+    """Sources failed where rows of all of them were asked for."""
+
+    def __init__(self, faults: list[Fault]) -> None:
+        super().__init__("; ".join(f"{f.source_id}: {f.error.splitlines()[0]}" for f in faults))
+        self.faults = faults
+
+
+#: What a failure that is the engine's and not the source's says of itself.
+ENGINE_FAULTS = ("OutOfMemoryError", "SparkOutOfMemoryError", "UNABLE_TO_ACQUIRE_MEMORY", "No space left on device", "Disk quota exceeded",
+                 "ExecutorLostFailure", "ExecutorDeadException", "FetchFailed", "SparkContext was shut down", "stopped SparkContext",
+                 "SparkContext has been shutdown", "SPARK_JOB_CANCELLED", "Py4JNetworkError")
+
+
+def is_engine_fault(e: BaseException) -> bool:
+    told = f"{type(e).__name__}: {e}"
+    return any(mark in told for mark in ENGINE_FAULTS)
+
+
 def scan_source(spark: SparkSession, spec: SourceSpec, as_of: dt.datetime, window_days: int,
                 source_ord: int, landed: Callable[[SourceSpec], str]) -> DataFrame:
     """Rows of one source as a lazy plan; raises what the scan raises."""
@@ -110,7 +132,8 @@ def scan_all(spark: SparkSession, specs: list[SourceSpec], as_of: dt.datetime, w
              landed: Callable[[SourceSpec], str], disabled: set[str] | None = None, *, parallel: int = 4,
              faults: list[Fault] | None = None) -> DataFrame:
     """Rows of every enabled source (disabled sources skipped), ``parallel``
-    sources at a time.  ``faults``, if given, takes what went wrong."""
+    sources at a time.  ``faults``, if given, takes what went wrong; a fault
+    of the engine is raised."""
     disabled = disabled or set()
     base = f"{checkpoint_dir(spark).rstrip('/')}/scan-{uuid.uuid4().hex}"
     empty(spark).coalesce(1).write.parquet(f"{base}/none")
@@ -124,6 +147,8 @@ def scan_all(spark: SparkSession, specs: list[SourceSpec], as_of: dt.datetime, w
             scan_source(spark, spec, as_of, window_days, i, landed).write.parquet(f"{base}/{i}")
             return f"{base}/{i}"
         except Exception as e:  # noqa: BLE001 - one source never fails the run
+            if is_engine_fault(e):
+                raise
             log.warning("scan failed for %s: %s", spec.source_id, str(e).splitlines()[0] if str(e) else repr(e))
             return Fault(spec.source_id, i, str(e) or repr(e))
 
@@ -132,3 +157,14 @@ def scan_all(spark: SparkSession, specs: list[SourceSpec], as_of: dt.datetime, w
     if faults is not None:
         faults += [d for d in done if isinstance(d, Fault)]
     return spark.read.schema(RAW_ITEMS).parquet(f"{base}/none", *[d for d in done if isinstance(d, str)])
+
+
+def scan_whole(spark: SparkSession, specs: list[SourceSpec], as_of: dt.datetime, window_days: int,
+               landed: Callable[[SourceSpec], str], disabled: set[str] | None = None, *, parallel: int = 4) -> DataFrame:
+    """``scan_all`` where rows of every enabled source are asked for: raises
+    ``ScanFailed`` if one failed, instead of giving the rows of the others."""
+    faults: list[Fault] = []
+    rows = scan_all(spark, specs, as_of, window_days, landed, disabled, parallel=parallel, faults=faults)
+    if faults:
+        raise ScanFailed(faults)
+    return rows

@@ -58,3 +58,32 @@ def test_a_fault_of_the_shared_folder_fails_the_run(spark, landed, monkeypatch):
     monkeypatch.setattr(registry, "checkpoint_dir", lambda s: "nosuchscheme://x")
     with pytest.raises(Exception):
         registry.scan_all(spark, SPECS, AS_OF, 7, lambda s: str(landed / s.source_id))
+
+
+def _failing(*args):
+    raise ValueError("a feed that nothing can read")
+
+
+def test_the_queries_fail_where_a_source_fails(spark, monkeypatch):
+    from gleaner.plans import more_queries as M
+    monkeypatch.setitem(registry.REGISTRY, "sitemap", _failing)
+    for query in (M.source_union, M.whole_run):
+        with pytest.raises(registry.ScanFailed, match="site: a feed that nothing can read"):
+            query(spark, "/root/testdata/sf0.001")
+
+
+def test_a_run_tells_its_failed_sources(spark, landed, tmp_path):
+    spec = JobSpec(task_key="t", time_window_days=7, dedup_ttl_days=45, sources=SPECS, filters=FilterSpec(), ranking=RankingSpec())
+    out = str(tmp_path / "out")
+    result = run_job(spark, spec, lambda s: str(landed / s.source_id), as_of=AS_OF, out_dir=out, seen_path=str(tmp_path / "seen"), log_path=str(tmp_path / "log"))
+    assert [f.source_id for f in result.faults] == ["bad", "gone", "odd"]
+    told = spark.read.parquet(f"{out}/faults").orderBy("source_ord").collect()
+    assert [(r.source_id, r.source_ord) for r in told] == [("bad", 1), ("gone", 3), ("odd", 4)] and all(r.error for r in told)
+
+
+def test_a_fault_of_the_engine_is_not_a_source_s(spark, landed, monkeypatch):
+    def out_of_memory(*args):
+        raise RuntimeError("Job aborted due to stage failure: java.lang.OutOfMemoryError: Java heap space")
+    monkeypatch.setitem(registry.REGISTRY, "sitemap", out_of_memory)
+    with pytest.raises(RuntimeError, match="OutOfMemoryError"):
+        registry.scan_all(spark, SPECS, AS_OF, 7, lambda s: str(landed / s.source_id))
